@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from gnomon.llm import op6_exact, op7_decontaminate
 from gnomon.llm.op1_pieces import op1_pieces
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_pieces,)}
-ORACLES: dict[str, str] = {}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_pieces, op6_exact.op6_exact_dedup, op7_decontaminate.op7_decontaminate)}
+ORACLES: dict[str, str] = {"op6_exact_dedup": op6_exact.ORACLE, "op7_decontaminate": op7_decontaminate.ORACLE}
