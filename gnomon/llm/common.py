@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import uuid
 
 import pyarrow as pa
@@ -33,16 +35,31 @@ def only(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """df written once to the checkpoint folder that all executors share, and read from there.
+    """df written once, as a table in the folder that all executors share, and read from there.
 
-    On a cluster spark.checkpoint.dir names the folder. Only where it is unset, as in tests,
-    a local one is used.
+    On a cluster spark.checkpoint.dir names the folder. Only where it is unset, as in tests, a local
+    one is used. The tables of a session are removed when the driver ends.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or f"/tmp/gnomon-checkpoints/{uuid.uuid4().hex}")
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or "/tmp/gnomon-checkpoints"
+    path = f"{folder}/gnomon-{uuid.uuid4().hex}"
+    if not _WRITTEN:
+        atexit.register(_remove, spark)
+    _WRITTEN.append(path)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+_WRITTEN: list[str] = []
+
+
+def _remove(spark: SparkSession) -> None:
+    """Remove the session's own tables, if its JVM still runs."""
+    with contextlib.suppress(Exception):
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for path in _WRITTEN:
+            at = jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(conf).delete(at, True)
 
 
 def texts(column: pa.Array) -> list[bytes]:

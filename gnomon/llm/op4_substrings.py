@@ -11,7 +11,7 @@ An anchor with very many different zones is dealt again string by string.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -148,52 +148,45 @@ def dealt(rows: DataFrame) -> DataFrame:
     return rows.repartition("p").sortWithinPartitions("p", "z1", "z2", "doc", "pos").mapInArrow(run, "mixed boolean, p int, doc bigint, pos bigint")
 
 
-def ranks(text: np.ndarray) -> list[np.ndarray]:
-    """Ranks of the suffixes by their first 1, 2, 4, ... up to LENGTH symbols or more."""
-    level, out, k = np.unique(text, return_inverse=True)[1].astype(np.int64), [], 1
-    n = len(text)
-    while True:
-        out.append(level)
-        if k >= LENGTH:
-            return out
-        after = np.zeros(n, np.int64)
-        after[: max(0, n - k)] = level[k:] + 1
-        key = level * (n + 1) + after
-        order = np.argsort(key, kind="stable")
-        own = key[order]
-        level = np.empty(n, np.int64)
-        level[order] = np.concatenate(([0], np.cumsum(own[1:] != own[:-1])))
-        k *= 2
-
-
-def common(levels: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Length of the common prefix of suffixes i and j, up to twice the top level's."""
-    n, length = len(levels[0]), np.zeros(len(i), np.int64)
-    for e in range(len(levels) - 1, -1, -1):
-        a, b = i + length, j + length
-        ok = (a < n) & (b < n)
-        same = ok & (levels[e][np.minimum(a, n - 1)] == levels[e][np.minimum(b, n - 1)])
-        length += same * (1 << e)
-    return length
-
-
-def previous_factor(text: np.ndarray) -> np.ndarray:
-    """For each position, the longest factor from there that also starts earlier (exact below LENGTH)."""
-    n = len(text)
-    levels = ranks(text)
-    order = np.argsort(levels[-1], kind="stable")
-    out = np.zeros(n, np.int64)
+def dense(key: np.ndarray) -> np.ndarray:
+    order = np.argsort(key)
+    own, out = key[order], np.empty(len(key), np.int64)
+    out[order] = np.cumsum(np.append(False, own[1:] != own[:-1]))
+    return out
+
+
+def shifted(x: np.ndarray, k: int) -> np.ndarray:
+    """x from k places on, then zeros."""
+    return np.concatenate((x[k:], np.zeros(min(k, len(x)), x.dtype)))
+
+
+def repeated_factor(text: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Whether the longest previous factor at each of starts is LENGTH or more.
+
+    text has 0 between its parts and bytes plus 1 elsewhere; no string from starts crosses a 0. Starts
+    come into suffix order by ranks of ever longer prefixes, up to LENGTH. In that order the nearest
+    smaller start before and the nearest after are the candidates for the longest previous factor; it
+    reaches LENGTH just when one of them has the same rank.
+    """
+    n, key = len(text), np.zeros(len(text), np.int64)
+    for j in range(7):
+        key = key << 9 | shifted(text, j)
+    level, k = dense(key), 7
+    while 2 * k <= LENGTH:
+        level, k = dense(level * (n + 1) + shifted(level + 1, k)), 2 * k
+    whole = level[starts] * (n + 1) + level[starts + LENGTH - k]
+    order = np.argsort(whole)
+    at, own = starts[order], whole[order]
+    found = np.zeros(len(starts), bool)
     for back in (True, False):
-        at = order if back else order[::-1]
-        smaller = np.arange(-1, n - 1)
-        while True:
-            todo = np.flatnonzero((smaller >= 0) & (at[np.maximum(smaller, 0)] > at))
-            if not len(todo):
-                break
+        place, rank = (at, own) if back else (at[::-1], own[::-1])
+        smaller = np.where(np.append(False, rank[1:] == rank[:-1]), np.arange(-1, len(rank) - 1), -1)
+        todo = np.flatnonzero(smaller >= 0)
+        while len(todo := todo[place[smaller[todo]] > place[todo]]):
             smaller[todo] = smaller[smaller[todo]]
-        has = np.flatnonzero(smaller >= 0)
-        out[at[has]] = np.maximum(out[at[has]], common(levels, at[has], at[smaller[has]]))
-    return out
+            todo = todo[smaller[todo] >= 0]
+        found[(order if back else order[::-1])[smaller >= 0]] = True
+    return found
 
 
 def compared(zones_: DataFrame) -> DataFrame:
@@ -216,13 +209,13 @@ def compared(zones_: DataFrame) -> DataFrame:
         held.sort(key=lambda x: (x[1], x[2]))
         size = np.array([len(x[3]) + 1 for x in held])
         starts = np.cumsum(size) - size
-        text = np.zeros(size.sum(), np.int64)
-        for s, x in zip(starts.tolist(), held, strict=True):
-            text[s : s + len(x[3])] = np.frombuffer(x[3], np.uint8)
-        text[starts + size - 1] = 256 + np.arange(len(held))
+        text = np.frombuffer(b"\0".join(x[3] for x in held) + b"\0", np.uint8).astype(np.int64) + 1
+        text[starts + size - 1] = 0
         owner = np.repeat(np.arange(len(held)), size)
         place = np.arange(len(text)) - starts[owner]
-        hit = (previous_factor(text) >= LENGTH) & (place <= size[owner] - 1 - LENGTH)
+        whole = np.flatnonzero(place <= size[owner] - 1 - LENGTH)
+        hit = np.zeros(len(text), bool)
+        hit[whole] = repeated_factor(text, whole)
         edge = np.diff(np.concatenate(([0], hit.astype(np.int8), [0])))
         first, last = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1) - 1
         own = owner[first]
@@ -250,22 +243,22 @@ def strings(zones_: DataFrame) -> DataFrame:
     return zones_.mapInArrow(run, "p int, z1 bigint, z2 bigint, doc bigint, pos bigint")
 
 
-def cut(rows: DataFrame, part: Callable[[bytes, int, int], bytes]) -> DataFrame:
-    """p, doc, pos and bytes of the zones that rows (doc, text, asked) ask for."""
+def cut(rows: DataFrame) -> DataFrame:
+    """p, doc, pos, bytes and heat of the zones that rows (doc, text, asked) ask for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 200):
                 batch = whole.slice(at, 200)
-                out: list[list] = [[], [], [], []]
+                out: list[list] = [[], [], [], [], []]
                 for d, t, asked in zip(batch.column(0).to_pylist(), texts(batch.column(1)), batch.column(2).to_pylist(), strict=True):
                     for x in asked:
                         start, n = x["pos"] >> 8 & (1 << 40) - 1, x["pos"] & 255
-                        for have, value in zip(out, (x["p"], d, x["pos"], part(t, start, n)), strict=True):
+                        for have, value in zip(out, (x["p"], d, x["pos"], t[start : start + n - 1 + LENGTH], x["hot"]), strict=True):
                             have.append(value)
-                yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64()), pa.array(out[3], pa.binary())], ["p", "doc", "pos", "zone"])
+                yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64()), pa.array(out[3], pa.binary()), pa.array(out[4], pa.bool_())], ["p", "doc", "pos", "zone", "hot"])
 
-    return rows.mapInArrow(run, "p int, doc bigint, pos bigint, zone binary")
+    return rows.mapInArrow(run, "p int, doc bigint, pos bigint, zone binary, hot boolean")
 
 
 def remove_repeats(df: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -282,14 +275,13 @@ def remove_repeats(df: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
     found = durable(dealt(anchored(own)))
     mixed = found.where("mixed").select("p", "doc", "pos")
     tag_of = F.shiftright("pos", 48).alias("tag")
-    asked = mixed.select("doc", tag_of, F.struct("p", "pos").alias("x")).groupBy("doc", "tag").agg(F.collect_list("x").alias("asked"))
-    pieces = cut(own.join(asked, ["doc", "tag"]).select("doc", "text", "asked"), lambda t, start, n: t[start : start + n - 1 + LENGTH])
-    hot = mixed.groupBy("p").agg(F.count("*").alias("n")).where(F.col("n") > ZONES).select("p")
-    many = durable(hot)
-    usual = compared(pieces.join(many, "p", "left_anti").repartition("p").sortWithinPartitions("p"))
-    later = found.where("NOT mixed").select("doc", "pos").union(usual)
-    if many.limit(1).count():
-        later = later.union(dealt(strings(pieces.join(many, "p", "left_semi"))).where("NOT mixed").select("doc", "pos"))
+    n = mixed.groupBy("p").agg((F.count("*") > ZONES).alias("hot"))
+    asked = mixed.join(n, "p").select("doc", tag_of, F.struct("p", "pos", "hot").alias("x")).groupBy("doc", "tag").agg(F.collect_list("x").alias("asked"))
+    pieces = cut(own.join(asked, ["doc", "tag"]).select("doc", "text", "asked"))
+    # A number is given so that tasks that read little, but compute much, are not put together.
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    usual = compared(pieces.where("NOT hot").drop("hot").repartition(tasks, "p").sortWithinPartitions("p"))
+    later = found.where("NOT mixed").select("doc", "pos").union(usual).union(dealt(strings(pieces.where("hot").drop("hot"))).where("NOT mixed").select("doc", "pos"))
     start = F.shiftright("pos", 8).bitwiseAND(F.lit((1 << 40) - 1))
     spans = later.select("doc", tag_of, F.struct(start.alias("start"), (start + F.col("pos").bitwiseAND(F.lit(255)) - 1 + LENGTH).alias("end")).alias("x")).groupBy("doc", "tag").agg(F.collect_list("x").alias("found"))
     rows = own.join(spans, ["doc", "tag"], "left").select("doc", "text", F.col("found"))
