@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gnomon.llm import op3_language, op4_substrings, op6_exact, op7_decontaminate, op8_toxicity, op9_score, op10_near
+from gnomon.llm import op2_html, op3_language, op4_substrings, op5_surrogates, op6_exact, op7_decontaminate, op8_toxicity, op9_score, op10_near
 from gnomon.llm.op1_pieces import op1_pieces
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_pieces, op3_language.op3_language, op4_substrings.op4_substrings, op6_exact.op6_exact_dedup, op7_decontaminate.op7_decontaminate, op8_toxicity.op8_toxicity, op9_score.op9_score, op10_near.op10_near_dedup)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_pieces, op2_html.op2_main_text, op3_language.op3_language, op4_substrings.op4_substrings, op5_surrogates.op5_surrogates, op6_exact.op6_exact_dedup, op7_decontaminate.op7_decontaminate, op8_toxicity.op8_toxicity, op9_score.op9_score, op10_near.op10_near_dedup)}
 ORACLES: dict[str, str] = {"op6_exact_dedup": op6_exact.ORACLE, "op7_decontaminate": op7_decontaminate.ORACLE}
