@@ -297,8 +297,9 @@ def fit(df: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id
     sizes = {r["y"]: r["n"] for r in own.select("key").join(marked, "key").groupBy("y").agg(F.count("*").alias("n")).collect()}
     share = F.when(F.col("y") == 1, F.lit(min(1.0, documents / sizes.get(1, 1)))).otherwise(F.lit(min(1.0, documents / sizes.get(0, 1))))
     drawn = marked.where(F.pmod(F.xxhash64("key", F.lit("toxicity")), F.lit(1_000_000)) < share * 1_000_000)
-    # About 2 * documents labelled keys that occur, by the rates above; those of other texts find none.
-    sample = own.join(drawn, "key").select("y", "text")
+    # About 2 * documents keys by the rates above, and never more than the limit: small enough to send
+    # to every executor, so that no text is shuffled.
+    sample = own.join(F.broadcast(drawn.limit(8 * documents)), "key").select("y", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
