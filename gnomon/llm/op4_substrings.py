@@ -115,11 +115,13 @@ def anchored(df: DataFrame) -> DataFrame:
 
 
 def dealt(rows: DataFrame) -> DataFrame:
-    """Later copies (mixed false), and the first zones of anchors with several (mixed true)."""
+    """Later copies (mixed false), the first zones of anchors with several (mixed true), and anchors with
+    more than ZONES different ones (mixed null)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before: tuple | None = None  # the last row's p, z1, z2, and the first doc, pos of its zone
         only_zone: tuple[int, int, int] | None = None  # first zone of the last row's anchor, not yet sent
+        seen = 0  # zones of the last row's anchor
         for batch in batches:
             p, z1, z2, doc, pos = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(5))
             n = len(p)
@@ -138,12 +140,18 @@ def dealt(rows: DataFrame) -> DataFrame:
             if only_zone and len(heads) and not new_p[0]:
                 for have, x in zip((send_p, send_doc, send_pos), only_zone, strict=True):
                     have.append(np.array([x], have[0].dtype))
+            place = np.arange(len(heads))
+            begun = np.maximum.accumulate(np.where(new_p, place, -seen)) if len(heads) else place
+            hot = p[heads[place - begun == ZONES]]
             if len(heads):
                 k = heads[-1]
+                seen = int(place[-1] - begun[-1]) + 1
                 only_zone = (int(p[k]), int(doc[k]), int(pos[k])) if new_p[-1] else None
             before = (p[-1], z1[-1], z2[-1], rep_doc[-1], rep_pos[-1])
             mixed = np.concatenate([np.zeros(later.sum(), bool), np.ones(sum(map(len, send_p)), bool)])
-            yield pa.RecordBatch.from_arrays([pa.array(mixed), *(pa.array(np.concatenate([x[later], *y])) for x, y in ((p, send_p), (doc, send_doc), (pos, send_pos)))], ["mixed", "p", "doc", "pos"])
+            flags = pa.array([*mixed.tolist(), *[None] * len(hot)], pa.bool_()) if len(hot) else pa.array(mixed)
+            none = np.zeros(len(hot), np.int64)
+            yield pa.RecordBatch.from_arrays([flags, *(pa.array(np.concatenate([x[later], *y, z.astype(x.dtype)])) for x, y, z in ((p, send_p, hot), (doc, send_doc, none), (pos, send_pos, none)))], ["mixed", "p", "doc", "pos"])
 
     return rows.repartition("p").sortWithinPartitions("p", "z1", "z2", "doc", "pos").mapInArrow(run, "mixed boolean, p int, doc bigint, pos bigint")
 
@@ -275,8 +283,8 @@ def remove_repeats(df: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
     found = durable(dealt(anchored(own)))
     mixed = found.where("mixed").select("p", "doc", "pos")
     tag_of = F.shiftright("pos", 48).alias("tag")
-    n = mixed.groupBy("p").agg((F.count("*") > ZONES).alias("hot"))
-    asked = mixed.join(n, "p").select("doc", tag_of, F.struct("p", "pos", "hot").alias("x")).groupBy("doc", "tag").agg(F.collect_list("x").alias("asked"))
+    hot = durable(found.where("mixed IS NULL").select("p", F.lit(True).alias("hot")).distinct())
+    asked = mixed.join(hot, "p", "left").select("doc", tag_of, F.struct("p", "pos", F.coalesce("hot", F.lit(False)).alias("hot")).alias("x")).groupBy("doc", "tag").agg(F.collect_list("x").alias("asked"))
     pieces = cut(own.join(asked, ["doc", "tag"]).select("doc", "text", "asked"))
     # A number is given so that tasks that read little, but compute much, are not put together.
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
