@@ -1,4 +1,582 @@
-"""Queries over the reference operators, and the SQL they are checked against."""
+"""Named queries over the reference operators, and the SQL that each is checked against."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from gnomon.functions import geometry as g
+from gnomon.functions import sizing, strata
+from gnomon.operators import clusters as cl
+from gnomon.operators import labels as lb
+from gnomon.operators import panos as pn
+from gnomon.operators import runs as rn
+from gnomon.operators import sampling as sm
+from gnomon.operators.replay import classify, covariates, replay
+from gnomon.plans import duck
+from gnomon.sources import views
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+c = F.col
+#: Bounds of eras for the events, which span one month.
+E1, E2, E3 = "2024-01-08", "2024-01-16", "2024-01-24"
+NOW = "1998-08-05 12:00:00"
+
+
+def query(sql: str | None = None):
+    """Registers a function (spark, sf_dir) under its name, with the SQL it must agree with."""
+
+    def add(f: Callable[[SparkSession, str], DataFrame]):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+def replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return replay(views.labels(spark, sf_dir))
+
+
+def study(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return covariates(replayed(spark, sf_dir))
+
+
+def classed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(replayed(spark, sf_dir))
+
+
+def cluster_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return views.view(spark, sf_dir, "events", views.CLUSTER)
+
+
+def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return views.view(spark, sf_dir, "orders", views.RUN)
+
+
+def panos(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return views.view(spark, sf_dir, "customer", views.PANO)
+
+
+def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return views.view(spark, sf_dir, "orders", views.LEDGER)
+
+
+def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return views.view(spark, sf_dir, "part", views.BOX)
+
+
+def tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return views.view(spark, sf_dir, "events", views.TAGGED)
+
+
+# Replay
+
+_EXACTNESS = """count(*) AS n, count(*) FILTER (replayable_x) AS replayable_x, count(*) FILTER (replayable_y) AS replayable_y,
+  round(100.0::DOUBLE * count(*) FILTER (exact_x) / nullif(count(*) FILTER (replayable_x), 0), 6) AS exact_x_pct, round(100.0::DOUBLE * count(*) FILTER (exact_y) / nullif(count(*) FILTER (replayable_y), 0), 6) AS exact_y_pct,
+  round(quantile_cont(abs(dx), 0.5) FILTER (NOT exact_x), 6) AS dx_p50, round(quantile_cont(abs(dx), 0.9) FILTER (NOT exact_x), 6) AS dx_p90,
+  round(quantile_cont(abs(dy), 0.5) FILTER (NOT exact_y), 6) AS dy_p50, round(quantile_cont(abs(dy), 0.9) FILTER (NOT exact_y), 6) AS dy_p90"""
+_PX = f"(sqrt(dx_deg * dx_deg + dy_deg * dy_deg) / {duck.fov('zoom')} * 720)"
+
+
+def _era(e1: str, e2: str) -> str:
+    return f"CASE WHEN time_created < TIMESTAMP '{e1}' THEN 'legacy' WHEN time_created >= TIMESTAMP '{e2}' THEN 'post179' ELSE 'mid' END"
+
+
+@query(f"WITH {duck.REPLAY} SELECT label_id, CAST(pano_x AS BIGINT) AS pano_x, CAST(pano_y AS BIGINT) AS pano_y, CAST(replay_x AS BIGINT) AS replay_x, CAST(replay_y AS BIGINT) AS replay_y, round(pov_h, 6) AS pov_heading, round(pov_p, 6) AS pov_pitch, round(dx, 6) AS dx, round(dy, 6) AS dy, exact_x, exact_y FROM replayed")
+def replay_project(spark, sf_dir):
+    whole = [c(k).cast("bigint").alias(k) for k in ("pano_x", "pano_y", "replay_x", "replay_y")]
+    return replayed(spark, sf_dir).select("label_id", *whole, *(F.round(k, 6).alias(k) for k in ("pov_heading", "pov_pitch", "dx", "dy")), "exact_x", "exact_y")
+
+
+@query(f"WITH {duck.REPLAY} SELECT label_type, {_EXACTNESS} FROM replayed GROUP BY label_type")
+def replay_exactness_by_type(spark, sf_dir):
+    return lb.exactness(replayed(spark, sf_dir), "label_type")
+
+
+@query(f"WITH {duck.REPLAY} SELECT {_era(E1, E2)} AS era, {_EXACTNESS} FROM replayed GROUP BY 1")
+def replay_exactness_by_window(spark, sf_dir):
+    return lb.exactness(replayed(spark, sf_dir).withColumn("era", strata.era(c("time_created"), E1, E2)), "era")
+
+
+@query(f"WITH {duck.REPLAY}, e AS (SELECT *, replayable_x AND replayable_y AS both_, {_PX} AS px FROM replayed) SELECT strftime(time_created, '%Y-%m') AS month, count(*) AS n, round(100.0::DOUBLE * count(*) FILTER (exact_x AND exact_y) / nullif(count(*) FILTER (both_), 0), 6) AS exact_pct, round(100.0::DOUBLE * count(*) FILTER (both_ AND px >= 10) / nullif(count(*) FILTER (both_), 0), 6) AS ge_10px_pct FROM e GROUP BY 1")
+def replay_monthly(spark, sf_dir):
+    return lb.monthly(replayed(spark, sf_dir))
+
+
+@query(f"WITH {duck.REPLAY}, per AS (SELECT pano_id, count(*) AS n, stddev_samp(dx_deg) AS sd, avg(dx_deg) AS m FROM replayed WHERE NOT exact_x AND dx_deg IS NOT NULL GROUP BY pano_id HAVING count(*) >= 2) SELECT count(*) AS n_panos, CAST(coalesce(sum(n), 0) AS BIGINT) AS n_labels, round(median(sd), 6) AS median_within, round(stddev_samp(m), 6) AS sd_across FROM per")
+def drift_decomposition(spark, sf_dir):
+    return lb.drift(replayed(spark, sf_dir))
+
+
+# Off-axis
+
+@query(f"WITH {duck.STUDY} SELECT label_id, round(offaxis_v, 6) AS offaxis_v, round(offaxis_r, 4) AS offaxis_r, round(depression, 6) AS depression, band, at_floor, eligible FROM study")
+def offaxis_offsets(spark, sf_dir):
+    return study(spark, sf_dir).select("label_id", F.round("offaxis_v", 6).alias("offaxis_v"), F.round("offaxis_r", 4).alias("offaxis_r"), F.round("depression", 6).alias("depression"), "band", "at_floor", "eligible")
+
+
+@query(f"WITH {duck.STUDY}, banded AS (SELECT band, count(*) AS n, round(quantile_cont(offaxis_v, 0.05), 6) AS p5, round(quantile_cont(offaxis_v, 0.5), 6) AS p50, round(quantile_cont(offaxis_v, 0.95), 6) AS p95, round(stddev_samp(offaxis_v), 6) AS sd, round(quantile_cont(offaxis_r, 0.95), 6) AS radial_p95, round(100.0::DOUBLE * count(*) FILTER (at_floor) / count(*), 6) AS floor_pct FROM study WHERE eligible GROUP BY band) SELECT b.band, coalesce(n, 0) AS n, p5, p50, p95, sd, radial_p95, floor_pct FROM (VALUES ('<5'), ('5-15'), ('15-30'), ('>30')) b(band) LEFT JOIN banded ON banded.band = b.band")
+def offaxis_by_band(spark, sf_dir):
+    return lb.offaxis_by_band(study(spark, sf_dir))
+
+
+@query(f"WITH {duck.STUDY}, own AS (SELECT *, offaxis_v - avg(offaxis_v) OVER (PARTITION BY city, band) AS resid FROM study WHERE eligible) SELECT city, count(*) AS n, round(stddev_samp(offaxis_v), 6) AS sd_overall, round(stddev_samp(resid), 6) AS sd_within, round(CASE WHEN count(*) > count(DISTINCT band) THEN 100 * stddev_samp(resid) / nullif(stddev_samp(offaxis_v), 0) END, 6) AS surviving_pct, round(covar_samp(offaxis_v, depression) / nullif(stddev_samp(offaxis_v) * stddev_samp(depression), 0), 6) AS corr FROM own GROUP BY city")
+def offaxis_identification(spark, sf_dir):
+    return lb.identification(study(spark, sf_dir), "city")
+
+
+@query(f"WITH {duck.STUDY} SELECT label_type, count(*) AS n, round(100.0::DOUBLE * count(*) FILTER (at_floor) / count(*), 6) AS at_floor_pct, round(100.0::DOUBLE * count(*) FILTER (pitch = -35) / count(*), 6) AS exactly_floor_pct, round(min(pitch), 6) AS min_pitch, round(max(pitch), 6) AS max_pitch FROM study WHERE eligible GROUP BY label_type")
+def pitch_floor_by_type(spark, sf_dir):
+    return lb.floor_by_type(study(spark, sf_dir))
+
+
+@query(f"WITH {duck.STUDY}, by_rung AS (SELECT CASE WHEN round(zoom, 4) IN (1, 2, 3) THEN CAST(CAST(zoom AS INT) AS VARCHAR) ELSE 'other' END AS rung, count(*) AS n, round(min({duck.fov('zoom')}), 6) AS fov, round(min(degrees(atan(5 / (0.5 * 720 / tan(radians({duck.fov('zoom')}) / 2))))), 6) AS deg_at_5px FROM study WHERE eligible GROUP BY 1) SELECT *, round(100.0::DOUBLE * n / sum(n) OVER (), 6) AS share_pct FROM by_rung")
+def zoom_ladder(spark, sf_dir):
+    return lb.zoom_ladder(study(spark, sf_dir))
+
+
+@query(f"WITH {duck.STUDY}, edge AS (SELECT band, quantile_cont(offaxis_v, 0.05) AS lo, quantile_cont(offaxis_v, 0.95) AS hi FROM study WHERE eligible GROUP BY band), own AS (SELECT s.band, CASE WHEN offaxis_v < lo THEN 'low' WHEN offaxis_v > hi THEN 'high' END AS side FROM study s JOIN edge USING (band) WHERE eligible) SELECT band, side, count(*) AS n FROM own WHERE side IS NOT NULL GROUP BY ALL")
+def offaxis_tails(spark, sf_dir):
+    return lb.tail_bands(study(spark, sf_dir))
+
+
+@query(f"WITH {duck.LABELS}, t AS (SELECT pano_id, camera_pitch * cos(radians(pano_x / pano_width * 360 - 180)) AS tp, camera_roll * sin(radians(pano_x / pano_width * 360 - 180)) AS tr FROM labels), s AS (SELECT count(*) AS n, count(DISTINCT pano_id) AS panos, stddev_samp(tp) AS a, stddev_samp(tr) AS b, stddev_samp(tp + tr) AS ab FROM t) SELECT n, panos, round(a, 6) AS sd_pitch, round(b, 6) AS sd_roll, round(ab, 6) AS sd_both, round(0.59 / (a * sqrt(n)), 6) AS se_pitch, round(0.59 / (b * sqrt(n)), 6) AS se_roll, greatest(0.59 / (a * sqrt(n)), 0.59 / (b * sqrt(n))) < 0.3 / 1.96 AS reachable FROM s")
+def tilt_design(spark, sf_dir):
+    return lb.tilt(views.labels(spark, sf_dir))
+
+
+# Sizing
+
+_DIST = "greatest(0.0::DOUBLE, 19.8054639::DOUBLE + 0.01523952::DOUBLE * ({0}))"
+_SIZE = "(CASE WHEN " + _DIST + " = 0 THEN 1500::DOUBLE ELSE least(1500::DOUBLE, greatest(50::DOUBLE, 8725.6::DOUBLE * pow(" + _DIST + ", -1.192::DOUBLE))) END)"
+
+
+def _v1(y: str, h: str) -> str:
+    return _SIZE.format(f"{h} / 2 - {y}")
+
+
+def _v2(y: str, h: str) -> str:
+    return f"(least(90::DOUBLE, greatest(8::DOUBLE, {_SIZE.format(f'({h} / 2 - {y}) * (6656::DOUBLE / {h})')} * ({h} / 6656::DOUBLE) * 2.5::DOUBLE / {h} * 180)) / 180 * {h})"
+
+
+_BLEND_V, _BLEND_S = "(2.341219672825709::DOUBLE / tan(radians(11.25::DOUBLE)))", "(-2.341219672825709::DOUBLE * (pi() / 180) / pow(sin(radians(11.25::DOUBLE)), 2))"
+_BLEND = f"least(50::DOUBLE, greatest(0::DOUBLE, CASE WHEN dep >= 11.25 THEN 2.341219672825709::DOUBLE / tan(radians(greatest(dep, 1e-9::DOUBLE))) ELSE {_BLEND_V} + {_BLEND_S} * (greatest(dep, 0::DOUBLE) - 11.25::DOUBLE) END))"
+_CENSUS = f"""WITH {duck.LABELS}, sized AS (SELECT *, {_v1('pano_y', 'pano_height')} AS size, {duck.DEPRESSION} AS dep FROM labels WHERE pano_width > 0 AND pano_height > 0 AND pano_y BETWEEN 0 AND pano_height),
+gapped AS (SELECT *, abs({_DIST.format('pano_height / 2 - pano_y')} - {_BLEND}) AS gap FROM sized) SELECT {{by}} count(*) AS n,
+  round(100.0::DOUBLE * count(*) FILTER (size = 1500) / count(*), 6) AS clamp_high_pct, round(100.0::DOUBLE * count(*) FILTER (size = 50) / count(*), 6) AS clamp_low_pct,
+  round(100.0::DOUBLE * count(*) FILTER (pano_y + size / 2 > pano_height) / count(*), 6) AS bottom_pct, round(100.0::DOUBLE * count(*) FILTER (pano_y - size / 2 < 0) / count(*), 6) AS top_pct,
+  round(quantile_cont(dep, 0.1), 6) AS dep_p10, round(quantile_cont(dep, 0.5), 6) AS dep_p50, round(quantile_cont(dep, 0.9), 6) AS dep_p90, round(quantile_cont(dep, 0.99), 6) AS dep_p99,
+  round(quantile_cont(gap, 0.5), 6) AS gap_p50, round(quantile_cont(gap, 0.9), 6) AS gap_p90 FROM gapped {{group}}"""
+
+
+@query(_CENSUS.format(by="", group=""))
+def clamp_census(spark, sf_dir):
+    return lb.clamps(views.labels(spark, sf_dir))
+
+
+@query(_CENSUS.format(by="label_type,", group="GROUP BY label_type"))
+def clamp_by_type(spark, sf_dir):
+    return lb.clamps(views.labels(spark, sf_dir), "label_type")
+
+
+@query(f"WITH {duck.LABELS}, r AS (SELECT pano_height, {_v1('pano_y', 'pano_height')} / pano_height / ({_SIZE.format('(pano_height / 2 - pano_y) * (6656::DOUBLE / pano_height)')} / 6656) AS ratio FROM labels WHERE pano_height > 0 AND pano_y BETWEEN 0 AND pano_height), by_h AS (SELECT pano_height, count(*) AS n, round(quantile_cont(ratio, 0.5), 6) AS ratio_p50, round(quantile_cont(ratio, 0.9), 6) AS ratio_p90 FROM r GROUP BY pano_height HAVING count(*) >= 50) SELECT *, round(100.0::DOUBLE * n / sum(n) OVER (), 6) AS share_pct, round((19.8054639 - pow(1500 / 8725.6, 1 / -1.192)) * 180 / (0.01523952 * pano_height), 6) AS onset FROM by_h")
+def resolution_dependence(spark, sf_dir):
+    return lb.resolution(views.labels(spark, sf_dir))
+
+
+def _box(w: str, h: str, x: str, y: str, pw: str, ph: str) -> str:
+    top = f"round_even({y} - {h} / 2, 0)"
+    return f"CAST({duck.floored(f'round_even({x} - {w} / 2, 0)', pw)} AS BIGINT) AS left_, CAST(least(greatest({top}, 0), {ph} - {h}) AS BIGINT) AS top, CAST({w} AS BIGINT) AS width, CAST({h} AS BIGINT) AS height, least(greatest({top}, 0), {ph} - {h}) <> {top} AS shifted"
+
+
+@query(f"WITH b AS (SELECT {', '.join(views.BOX)} FROM part), s AS (SELECT *, least(round_even({_v1('y', 'pano_h')}, 0), pano_w, pano_h) AS side FROM b) SELECT box_id, {_box('side', 'side', 'x', 'y', 'pano_w', 'pano_h')} FROM s")
+def crop_box_v1(spark, sf_dir):
+    own = boxes(spark, sf_dir).select("box_id", sizing.box_v1(c("x"), c("y"), sizing.size_v1(c("y"), c("pano_h")), c("pano_w"), c("pano_h")).alias("w"))
+    return own.select("box_id", c("w.left").alias("left_"), "w.top", "w.width", "w.height", "w.shifted")
+
+
+_V2 = f"b AS (SELECT {', '.join(views.BOX)} FROM part), s AS (SELECT *, round_even(least({_v2('y', 'pano_h')}, pano_w, pano_h * 1.5), 0) AS ww FROM b), t AS (SELECT *, round_even(ww / 1.5::DOUBLE, 0) AS hh FROM s)"
+
+
+@query(f"WITH {_V2} SELECT box_id, {_box('ww', 'hh', 'x', 'y', 'pano_w', 'pano_h')}, CAST(least(ww, 1440) AS BIGINT) AS stored FROM t")
+def crop_box_v2(spark, sf_dir):
+    own = boxes(spark, sf_dir).select("box_id", sizing.box_v2(c("x"), c("y"), sizing.width_v2(c("y"), c("pano_h")), c("pano_w"), c("pano_h")).alias("w"))
+    return own.select("box_id", c("w.left").alias("left_"), "w.top", "w.width", "w.height", "w.shifted", sizing.stored_width(c("w.width")).cast("bigint").alias("stored"))
+
+
+@query(f"""WITH {duck.LABELS}, w AS (SELECT *, round_even({_v1('pano_y', 'pano_height')}, 0) AS want FROM labels WHERE pano_width > 0 AND pano_height > 0 AND pano_x IS NOT NULL AND pano_y IS NOT NULL),
+s AS (SELECT *, least(want, pano_width, pano_height) AS size FROM w), t AS (SELECT *, round_even(pano_x - size / 2, 0) AS l, round_even(pano_y - size / 2, 0) AS t, pano_y >= 0 AND pano_y < pano_height AS inner_ FROM s)
+SELECT label_type, count(*) AS n, round(100.0::DOUBLE * count(*) FILTER (l < 0 OR l + size > pano_width) / count(*), 6) AS wraps_pct, round(100.0::DOUBLE * count(*) FILTER (t < 0 OR t > pano_height - size) / count(*), 6) AS shifts_pct,
+count(*) FILTER (want > least(pano_width, pano_height)) AS capped, count(*) FILTER (pano_x < 0 OR pano_x >= pano_width) AS x_outside, count(*) FILTER (NOT inner_) AS y_outside,
+{', '.join(f"round(quantile_cont(pano_y / pano_height, {q}) FILTER (inner_), 6) AS y_p{int(q * 100)}" for q in (0.0, 0.01, 0.5, 0.99, 1.0))} FROM t GROUP BY label_type""")
+def crop_geometry_flags(spark, sf_dir):
+    return lb.geometry_flags(views.labels(spark, sf_dir), "label_type")
+
+
+@query(f"""WITH {_V2}, u AS (SELECT *, least(round_even({_v1('y', 'pano_h')}, 0), pano_w, pano_h) AS side FROM t),
+v AS (SELECT *, {duck.floored('round_even(x - side / 2, 0)', 'pano_w')} AS l1, least(greatest(round_even(y - side / 2, 0), 0), pano_h - side) AS t1, {duck.floored('round_even(x - ww / 2, 0)', 'pano_w')} AS l2, least(greatest(round_even(y - hh / 2, 0), 0), pano_h - hh) AS t2 FROM u),
+i AS (SELECT *, {duck.floored('box_cx - box_w / 2 - l1', 'pano_w')} + box_w <= side AND t1 <= box_cy - box_h / 2 AND box_cy + box_h / 2 <= t1 + side AS in1, {duck.floored('box_cx - box_w / 2 - l2', 'pano_w')} + box_w <= ww AND t2 <= box_cy - box_h / 2 AND box_cy + box_h / 2 <= t2 + hh AS in2 FROM v)
+SELECT city, count(*) AS n, round(100.0::DOUBLE * count(*) FILTER (in1) / count(*), 6) AS v1_inside_pct, round(100.0::DOUBLE * count(*) FILTER (in2) / count(*), 6) AS v2_inside_pct, count(*) FILTER (box_w <= side AND box_h <= side) AS v1_fits, count(*) FILTER (box_w <= ww AND box_h <= hh) AS v2_fits FROM i GROUP BY city""")
+def crop_containment_score(spark, sf_dir):
+    return pn.sizing_scores(boxes(spark, sf_dir), "city")
+
+
+@query(f"WITH h AS (SELECT DISTINCT CAST(CASE WHEN p_partkey % 3 = 0 THEN 6656 WHEN p_partkey % 3 = 1 THEN 8192 ELSE 3328 END AS DOUBLE) AS height FROM part), d AS (SELECT height, dep::DOUBLE AS dep, height / 2 + dep::DOUBLE / 180 * height AS y FROM h, (VALUES (5), (10), (20)) t(dep)), v AS (SELECT dep, {_v1('y', 'height')} / height * 180 AS v1, {_v2('y', 'height')} / height * 180 AS v2 FROM d) SELECT dep, count(*) AS heights, round(max(v1) / min(v1), 6) AS v1_spread, round(max(v2) / min(v2), 6) AS v2_spread FROM v GROUP BY dep")
+def sizing_invariance(spark, sf_dir):
+    part = views.table(spark, sf_dir, "part")
+    return pn.invariance(part.select(F.expr("CAST(CASE WHEN p_partkey % 3 = 0 THEN 6656 WHEN p_partkey % 3 = 1 THEN 8192 ELSE 3328 END AS DOUBLE)").alias("height")).distinct())
+
+
+@query(f"WITH {duck.LABELS}, per AS (SELECT pano_id, count(DISTINCT pano_width) AS w, count(DISTINCT pano_height) AS h, count(*) AS n, floor((epoch(max(time_created)::TIMESTAMP(0)) - epoch(min(time_created)::TIMESTAMP(0))) / 86400) AS days FROM (SELECT * REPLACE (date_trunc('second', time_created) AS time_created) FROM labels) GROUP BY pano_id) SELECT count(*) AS panos, count(*) FILTER (w > 1 OR h > 1) AS multi, count(*) FILTER (n > 1 AND days > 14) AS long_panos, CAST(coalesce(sum(n) FILTER (n > 1 AND days > 14), 0) AS BIGINT) AS long_labels, count(*) FILTER (n > 1 AND days > 14 AND h > 1) AS long_multi FROM per")
+def dims_per_pano(spark, sf_dir):
+    return lb.dims_per_pano(views.labels(spark, sf_dir))
+
+
+# Cascade
+
+@query(f"WITH {duck.CLASSES} SELECT klass, count(*) AS n, round(sum(CASE WHEN klass = 'zoom_desync' THEN by_zoom END), 6) AS zooms FROM classed GROUP BY klass")
+def cascade_class_counts(spark, sf_dir):
+    return classed(spark, sf_dir).groupBy("klass").agg(F.count("*").alias("n"), F.round(F.sum("fitted_zoom"), 6).alias("zooms"))
+
+
+@query(f"WITH {duck.CLASSES}, p AS (SELECT *, {_PX} AS px FROM classed WHERE replayable_x AND replayable_y) SELECT klass, count(*) AS n, {', '.join(f'round(100.0::DOUBLE * count(*) FILTER (px >= {t}) / count(*), 6) AS ge_{t}px_pct' for t in (4, 10, 30))}, round(quantile_cont(px, 0.99), 6) AS p99_px, round(max(px), 6) AS max_px FROM p GROUP BY klass")
+def visibility_tiers(spark, sf_dir):
+    return lb.visibility(classed(spark, sf_dir), "klass")
+
+
+@query(f"WITH {duck.CLASSES}, per AS (SELECT count(*) AS n, count(DISTINCT canvas_x) AS clicks, max(dx_deg) - min(dx_deg) AS spread FROM classed WHERE klass IN ('x_only', 'xy_small', 'multi_field') GROUP BY pano_id, heading, pitch, zoom HAVING count(*) >= 2 AND count(DISTINCT canvas_x) > 1) SELECT count(*) AS n_groups, CAST(coalesce(sum(n), 0) AS BIGINT) AS n_labels, round(100.0::DOUBLE * count(*) FILTER (spread <= 0.05) / nullif(count(*), 0), 6) AS shared_pct FROM per")
+def stale_x_groups(spark, sf_dir):
+    return lb.stale_groups(classed(spark, sf_dir))
+
+
+@query(f"WITH {duck.CLASSES}, per AS (SELECT max(dx_deg) - min(dx_deg) AS spread FROM classed WHERE klass = 'x_only' GROUP BY pano_id HAVING count(*) >= 2) SELECT count(*) AS n_panos, round(100.0::DOUBLE * count(*) FILTER (spread <= 0.05) / nullif(count(*), 0), 6) AS constant_pct FROM per")
+def stale_x_panos(spark, sf_dir):
+    return lb.stale_panos(classed(spark, sf_dir))
+
+
+# Clusters
+
+def _clustered(radius: float) -> str:
+    d_az = "((({0}.az - {1}.az + 180) % 360 + 360) % 360 - 180) * cos(radians(({0}.el + {1}.el) / 2))".format("p", "q")
+    return f"""RECURSIVE {duck.CLUSTERS}, e AS (SELECT p.label_id AS a, q.label_id AS b FROM pts p JOIN pts q USING (city, pano_id, label_type) WHERE sqrt(pow({d_az}, 2) + pow(p.el - q.el, 2)) <= {radius}),
+reach(node, root) AS (SELECT label_id, label_id FROM pts UNION SELECT e.b, reach.root FROM reach JOIN e ON e.a = reach.node WHERE e.b > reach.root),
+cl AS (SELECT pts.*, r.root AS cluster_id FROM pts JOIN (SELECT node, min(root) AS root FROM reach GROUP BY node) r ON r.node = pts.label_id)"""
+
+
+def _pairs(radius: float) -> str:
+    return f"""{_clustered(radius)}, one AS (SELECT *, row_number() OVER (PARTITION BY cluster_id ORDER BY time_created, label_id) AS place FROM (SELECT *, row_number() OVER (PARTITION BY cluster_id, user_id ORDER BY time_created, label_id) AS rn FROM cl) WHERE rn = 1),
+two AS (SELECT a.cluster_id, a.label_type, (((a.az - b.az + 180) % 360 + 360) % 360 - 180) * cos(radians((a.el + b.el) / 2)) AS d_az, a.el - b.el AS d_el FROM one a JOIN one b ON a.cluster_id = b.cluster_id AND a.place < b.place), pairs AS (SELECT *, sqrt(d_az * d_az + d_el * d_el) AS d_total FROM two)"""
+
+
+_SIGMA = "count(*) AS n_pairs, count(DISTINCT cluster_id) AS n_clusters, round(1.4826 / sqrt(2) * median(abs(d_az)), 6) AS sigma_az, round(1.4826 / sqrt(2) * median(abs(d_el)), 6) AS sigma_el, round(median(d_total), 6) AS p50, round(quantile_cont(d_total, 0.9), 6) AS p90"
+
+
+@query(f"WITH {_clustered(1.5)} SELECT label_id, cluster_id FROM cl")
+def proximity_clusters(spark, sf_dir):
+    return cl.clusters(cluster_points(spark, sf_dir)).select("label_id", "cluster_id")
+
+
+@query(f"WITH {_pairs(1.5)} SELECT cluster_id, label_type, count(*) AS n, round(sum(abs(d_az)), 5) AS az, round(sum(abs(d_el)), 5) AS el, round(sum(d_az), 5) AS signed_az FROM pairs GROUP BY ALL")
+def cross_user_pairs(spark, sf_dir):
+    pairs = cl.cross_user_pairs(cl.clusters(cluster_points(spark, sf_dir)))
+    return pairs.groupBy("cluster_id", "label_type").agg(F.count("*").alias("n"), F.round(F.sum(F.abs("d_az")), 5).alias("az"), F.round(F.sum(F.abs("d_el")), 5).alias("el"), F.round(F.sum("d_az"), 5).alias("signed_az"))
+
+
+@query(f"WITH {_pairs(1.5)} SELECT {_SIGMA} FROM pairs")
+def sigma_overall(spark, sf_dir):
+    return cl.sigma(cl.cross_user_pairs(cl.clusters(cluster_points(spark, sf_dir))))
+
+
+@query(f"WITH {_pairs(1.5)} SELECT label_type, {_SIGMA} FROM pairs GROUP BY label_type")
+def sigma_by_type(spark, sf_dir):
+    return cl.sigma(cl.cross_user_pairs(cl.clusters(cluster_points(spark, sf_dir))), "label_type")
+
+
+@query(" UNION ALL ".join(f"SELECT * FROM (WITH {_pairs(r)} SELECT {r}::DOUBLE AS radius, {_SIGMA} FROM pairs)" for r in cl.RADII))
+def sigma_radius_sweep(spark, sf_dir):
+    points = cluster_points(spark, sf_dir)
+    made = [cl.sigma(cl.cross_user_pairs(cl.clusters(points, r))).select(F.lit(r).alias("radius"), "*") for r in cl.RADII]
+    return made[0].union(made[1]).union(made[2]).union(made[3])
+
+
+@query(f"WITH {duck.CLUSTERS} SELECT city, pano_id, count(DISTINCT user_id) AS users FROM pts GROUP BY ALL HAVING count(DISTINCT user_id) >= 2")
+def shared_panos(spark, sf_dir):
+    return cluster_points(spark, sf_dir).groupBy("city", "pano_id").agg(F.count_distinct("user_id").alias("users")).where("users >= 2")
+
+
+@query(f"WITH {duck.CLUSTERS}, d AS (SELECT a.city, a.pano_id, abs(((a.az - b.az + 180) % 360 + 360) % 360 - 180) AS sep FROM pts a JOIN pts b ON a.city = b.city AND a.pano_id = b.pano_id AND a.label_id < b.label_id) SELECT city, pano_id, round(max(sep), 6) AS widest, count(*) FILTER (sep >= 60) AS pairs_apart FROM d GROUP BY ALL")
+def within_pano_separation(spark, sf_dir):
+    return cl.wide_apart(cluster_points(spark, sf_dir))
+
+
+@query(f"WITH {duck.CLUSTERS}, o AS (SELECT city, pano_id, (az % 360 + 360) % 360 AS az FROM pts), gp AS (SELECT *, az - lag(az) OVER (PARTITION BY city, pano_id ORDER BY az) AS gap FROM o), w AS (SELECT city, pano_id, count(*) AS n, greatest(coalesce(max(gap), 0), min(az) + 360 - max(az)) AS widest FROM gp GROUP BY ALL HAVING count(*) > 1) SELECT city, pano_id, n, round(360 - widest, 6) AS span, 360 - widest >= 60 AS separated FROM w")
+def circular_span(spark, sf_dir):
+    return cl.separated_panos(cluster_points(spark, sf_dir))
+
+
+@query()
+def matched_assignment(spark, sf_dir):
+    return cl.matched_pairs(cluster_points(spark, sf_dir))
+
+
+@query()
+def near_duplicate_drop(spark, sf_dir):
+    return cl.without_repeats(cluster_points(spark, sf_dir))
+
+
+@query()
+def greedy_leader(spark, sf_dir):
+    points = cluster_points(spark, sf_dir).select("city", "label_id", (c("az") / 10000).alias("lat"), (c("el") / 1000).alias("lng"))
+    return cl.leaders(points.withColumn("city", F.concat_ws("-", "city", F.col("label_id") % 40)))
+
+
+# Referents, sources, strata
+
+_TAGGED = f"t AS (SELECT {', '.join(views.TAGGED)} FROM events), s AS (SELECT *, list_distinct(list_filter(list_transform(string_split(regexp_replace(trim(coalesce(tags, '')), '^\\[(.*)\\]$', '\\1'), ','), lambda x: trim(x)), lambda x: x <> '')) AS ts FROM t)"
+_REGION = " OR ".join(f"(label_type = '{k}' AND list_has_any(ts, [{', '.join(repr(x) for x in v)}]))" for k, v in strata.REGION_TAGS.items())
+_NONE = ", ".join(repr(x) for x in strata.NO_REFERENT_TYPES)
+
+
+@query("WITH t AS (SELECT " + ", ".join(views.TAGGED) + " FROM events), s AS (SELECT pano_source, CASE WHEN regexp_matches(pano_id, '^[0-9]+$') THEN 'mapillary' WHEN length(pano_id) = 22 THEN 'gsv' WHEN starts_with(pano_id, 'CAoS') THEN 'gsv_photosphere' ELSE 'unknown' END AS shape FROM t) SELECT shape, count(*) AS n, count(*) FILTER (CASE WHEN shape = 'gsv_photosphere' THEN 'gsv' ELSE shape END <> pano_source) AS disagree FROM s GROUP BY shape")
+def id_shape_mix(spark, sf_dir):
+    own = tagged(spark, sf_dir).withColumn("shape", strata.id_shape(c("pano_id")))
+    plain = F.when(c("shape") == "gsv_photosphere", "gsv").otherwise(c("shape"))
+    return own.groupBy("shape").agg(F.count("*").alias("n"), F.count_if(plain != c("pano_source")).alias("disagree"))
+
+
+@query(f"WITH {_TAGGED}, r AS (SELECT city, label_type IN ({_NONE}) AS by_type, {_REGION} AS by_tag FROM s) SELECT coalesce(city, 'all') AS scope, count(*) AS n, count(*) FILTER (by_type) AS excluded_by_type, count(*) FILTER (by_tag AND NOT by_type) AS excluded_by_tag, count(*) FILTER (by_type OR by_tag) AS excluded FROM r GROUP BY GROUPING SETS ((city), ())")
+def referent_exclusion(spark, sf_dir):
+    own = tagged(spark, sf_dir).withColumn("t", strata.tags(c("tags"))).withColumns({"by_type": c("label_type").isin(strata.NO_REFERENT_TYPES), "by_tag": strata.region_tagged(c("label_type"), c("t"))})
+    made = own.groupingSets([["city"], []], "city").agg(F.coalesce("city", F.lit("all")).alias("scope"), F.count("*").alias("n"), F.count_if("by_type").alias("excluded_by_type"), F.count_if(c("by_tag") & ~c("by_type")).alias("excluded_by_tag"), F.count_if(c("by_type") | c("by_tag")).alias("excluded"))
+    return made.select("scope", "n", "excluded_by_type", "excluded_by_tag", "excluded")
+
+
+@query(f"WITH {_TAGGED} SELECT label_type, tag, count(*) AS n FROM (SELECT label_type, unnest(ts) AS tag FROM s) GROUP BY ALL")
+def tag_explode_counts(spark, sf_dir):
+    return tagged(spark, sf_dir).select("label_type", F.explode(strata.tags(c("tags"))).alias("tag")).groupBy("label_type", "tag").agg(F.count("*").alias("n"))
+
+
+_BLANK = "CASE WHEN event_id % 31 = 0 THEN NULL ELSE ts END AS time_created"
+
+
+@query(f"WITH e AS (SELECT {_BLANK} FROM events) SELECT {_era(E1, E2)} AS era, CASE WHEN time_created < TIMESTAMP '{E1}' THEN 'legacy' WHEN time_created < TIMESTAMP '{E2}' THEN 'mid' WHEN time_created < TIMESTAMP '{E3}' THEN 'window' WHEN time_created IS NOT NULL THEN 'post_fix' END AS quality, count(*) AS n FROM e GROUP BY ALL")
+def era_quality_buckets(spark, sf_dir):
+    own = views.table(spark, sf_dir, "events").selectExpr(_BLANK)
+    return own.groupBy(strata.era(c("time_created"), E1, E2).alias("era"), strata.quality(c("time_created"), E1, E2, E3).alias("quality")).agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {duck.LABELS}, b AS (SELECT label_type, pano_id, pano_y, CASE pano_height WHEN 8192 THEN 2560 WHEN 6656 THEN 2048 END AS top_, CASE pano_height WHEN 8192 THEN 5632 WHEN 6656 THEN 4608 END AS bot FROM labels WHERE pano_y IS NOT NULL AND pano_height IS NOT NULL) SELECT label_type, CASE WHEN top_ IS NULL THEN 'unswept geometry' WHEN pano_y >= bot THEN 'bottom band' WHEN pano_y < top_ THEN 'top band' ELSE 'full resolution' END AS zone, count(*) AS n, count(DISTINCT pano_id) AS panos, CAST(max(floor((pano_y - bot) / 512)) AS BIGINT) AS furthest_row FROM b GROUP BY ALL")
+def polar_bands(spark, sf_dir):
+    return lb.polar_bands(views.labels(spark, sf_dir))
+
+
+@query("WITH l AS (SELECT concat('c', CAST(event_id % 7 AS VARCHAR)) AS city, event_id % 997 AS pano_id FROM events) SELECT coalesce(city, 'all') AS scope, count(*) AS n, count(DISTINCT pano_id) AS panos FROM l GROUP BY GROUPING SETS ((city), ())")
+def city_and_all(spark, sf_dir):
+    return lb.by_city_and_all(views.view(spark, sf_dir, "events", views.LABEL))
+
+
+# Sampling
+
+_CELLS = f"WITH {duck.STUDY}, pop AS (SELECT *, label_id % 5 < 3 AS ref FROM study WHERE eligible)"
+
+
+def _population(spark, sf_dir):
+    return study(spark, sf_dir).where("eligible")
+
+
+@query(f"{_CELLS} SELECT band, label_type, count(*) AS n, round(count(*)::DOUBLE / sum(count(*)) OVER (), 9) AS weight FROM pop GROUP BY band, label_type")
+def population_weights(spark, sf_dir):
+    return sm.weights(_population(spark, sf_dir), "band", "label_type")
+
+
+@query(f"{_CELLS}, w AS (SELECT band, label_type, city, count(*) AS n, round(count(*)::DOUBLE / sum(count(*)) OVER (), 9) AS weight FROM pop GROUP BY band, label_type, city) SELECT count(*) AS cells, CAST(coalesce(sum(n), 0) AS BIGINT) AS labels, round(coalesce(sum(weight), 0) * 100, 6) AS share_pct FROM w WHERE NOT EXISTS (SELECT 1 FROM pop p WHERE p.label_id % 97 = 3 AND p.band = w.band AND p.label_type = w.label_type AND p.city = w.city)")
+def weight_coverage(spark, sf_dir):
+    own = _population(spark, sf_dir)
+    return sm.undrawn_share(own, own.where("label_id % 97 = 3"), "band", "label_type", "city")
+
+
+def _tv(cell: str) -> str:
+    return f"a AS (SELECT {cell}, 100.0::DOUBLE * count(*) / sum(count(*)) OVER () AS p FROM pop GROUP BY ALL), b AS (SELECT {cell}, 100.0::DOUBLE * count(*) / sum(count(*)) OVER () AS q FROM pop WHERE ref GROUP BY ALL) SELECT round(sum(abs(coalesce(p, 0) - coalesce(q, 0))) / 2, 6) AS tv_pct, count(*) FILTER (q IS NULL) AS only_left, count(*) FILTER (p IS NULL) AS only_right FROM a FULL JOIN b USING ({cell})"
+
+
+@query(f"{_CELLS}, {_tv('band, label_type')}")
+def total_variation(spark, sf_dir):
+    own = _population(spark, sf_dir)
+    return sm.total_variation(own, own.where("label_id % 5 < 3"), "band", "label_type")
+
+
+@query(" UNION ALL ".join(f"SELECT * FROM ({_CELLS}, {_tv(cell).replace('SELECT round(sum', chr(39).join(['SELECT ', cell.replace(', ', '_x_'), ' AS keys, round(sum']))})" for cell in ("label_type", "band", "city", "band, label_type")))
+def frame_comparison(spark, sf_dir):
+    own = _population(spark, sf_dir)
+    parts = [sm.total_variation(own, own.where("label_id % 5 < 3"), *cell).select(F.lit("_x_".join(cell)).alias("keys"), "*") for cell in (("label_type",), ("band",), ("city",), ("band", "label_type"))]
+    return parts[0].union(parts[1]).union(parts[2]).union(parts[3])
+
+
+@query(f"{_CELLS}, k AS (SELECT city || '-' || label_type AS cell, count(*) AS n FROM pop GROUP BY ALL), q AS (SELECT *, n * 100 / sum(n) OVER () AS quota FROM (SELECT cell, n::DOUBLE AS n FROM k)), r AS (SELECT *, floor(quota) AS base, row_number() OVER (ORDER BY round(quota - floor(quota), 9) DESC, cell DESC) AS rk FROM q) SELECT cell, CAST(n AS BIGINT) AS n, CAST(base + CASE WHEN rk <= 100 - sum(base) OVER () THEN 1 ELSE 0 END AS BIGINT) AS allotted FROM r")
+def largest_remainder(spark, sf_dir):
+    own = _population(spark, sf_dir).groupBy(F.concat_ws("-", "city", "label_type").alias("cell")).agg(F.count("*").alias("n"))
+    return sm.largest_remainder(own, 100)
+
+
+@query(f"WITH {duck.LABELS}, e AS (SELECT *, {_era(E1, E2)} AS era FROM labels), p AS (SELECT *, row_number() OVER (PARTITION BY city, era ORDER BY (label_id * 7919 + 20260812) % 10007, label_id) AS pick FROM e) SELECT city, era, label_id, CAST(pick AS INT) AS pick FROM p WHERE pick <= 5")
+def stratified_sample(spark, sf_dir):
+    own = views.labels(spark, sf_dir).withColumn("era", strata.era(c("time_created"), E1, E2))
+    return sm.stratified(own, "label_id", 5, 20260812, "city", "era").select("city", "era", "label_id", "pick")
+
+
+@query(f"WITH {duck.LABELS}, p AS (SELECT *, row_number() OVER (PARTITION BY pano_id ORDER BY (label_id * 7919 + 7) % 10007, label_id) AS pick FROM labels) SELECT pano_id, label_id FROM p WHERE pick <= 3")
+def pano_cap(spark, sf_dir):
+    return sm.capped(views.labels(spark, sf_dir), "label_id", 3, 7, "pano_id").select("pano_id", "label_id")
+
+
+@query(f"WITH b AS (SELECT {', '.join(views.BOX)} FROM part), i AS (SELECT *, row_number() OVER (PARTITION BY city ORDER BY box_w) - 1 AS i, count(*) OVER (PARTITION BY city) AS n FROM b) SELECT city, max(n) AS n, max(box_w) FILTER (i = round_even(0.1::DOUBLE * (n - 1), 0)) AS p10, max(box_w) FILTER (i = round_even(0.5::DOUBLE * (n - 1), 0)) AS p50, max(box_w) FILTER (i = round_even(0.9::DOUBLE * (n - 1), 0)) AS p90 FROM i GROUP BY city")
+def nearest_rank_percentiles(spark, sf_dir):
+    return sm.nearest_rank(boxes(spark, sf_dir), "box_w", "city")
+
+
+@query(f"WITH {duck.LABELS}, p AS (SELECT *, row_number() OVER (PARTITION BY user_id, pano_id ORDER BY time_created, label_id) AS rn FROM labels) SELECT user_id, pano_id, label_id FROM p WHERE rn = 1")
+def label_dedupe_first(spark, sf_dir):
+    return sm.first_per(views.labels(spark, sf_dir), "user_id", "pano_id", order=("time_created", "label_id")).select("user_id", "pano_id", "label_id")
+
+
+@query(f"WITH {duck.CLASSES}, m AS (SELECT city, klass, label_id, row_number() OVER (PARTITION BY city ORDER BY time_created, label_id) - 1 AS i, count(*) OVER (PARTITION BY city) AS n FROM classed WHERE klass NOT IN ('exact', 'unreplayable')) SELECT city, label_id, klass FROM m WHERE i % ceil(n / 40) = 0")
+def systematic_sample(spark, sf_dir):
+    own = classed(spark, sf_dir).where("klass NOT IN ('exact', 'unreplayable')")
+    return sm.decimated(own, ("time_created", "label_id"), 40, "city").select("city", "label_id", "klass")
+
+
+@query(f"WITH {duck.CLASSES}, m AS (SELECT city, label_id, row_number() OVER (PARTITION BY city ORDER BY round({_PX}, 4) DESC, label_id) AS turn FROM classed WHERE klass IN ('x_only', 'y_only', 'multi_field')) SELECT city, label_id, CAST(turn AS INT) AS turn FROM m WHERE turn <= 4")
+def worst_by_city(spark, sf_dir):
+    from gnomon.operators.replay import visible_px
+
+    own = classed(spark, sf_dir).where("klass IN ('x_only', 'y_only', 'multi_field')").withColumn("px", F.round(visible_px(c("dx_deg"), c("dy_deg"), c("zoom")), 4))
+    return sm.round_robin(own, "px", "label_id", "city", 4).select("city", "label_id", "turn")
+
+
+@query()
+def pano_split(spark, sf_dir):
+    return sm.split_groups(views.labels(spark, sf_dir), "pano_id", 20260812)
+
+
+# Joins and ledgers
+
+_P = f"p AS (SELECT {', '.join(views.PANO)} FROM customer), l AS (SELECT {', '.join(views.LEDGER)} FROM orders)"
+
+
+@query(f"WITH {duck.CLASSES}, fix AS (SELECT city, label_id, klass FROM classed WHERE klass IN ('x_only', 'dpr2', 'zoom_desync')) SELECT labels.city, klass, count(*) AS n, round(avg(heading), 6) AS mean_heading FROM labels JOIN fix ON labels.city = fix.city AND labels.label_id = fix.label_id GROUP BY ALL")
+def repair_join(spark, sf_dir):
+    fixes = classed(spark, sf_dir).where("klass IN ('x_only', 'dpr2', 'zoom_desync')").select("city", "label_id", "klass")
+    return views.labels(spark, sf_dir).join(fixes, ["city", "label_id"]).groupBy("city", "klass").agg(F.count("*").alias("n"), F.round(F.avg("heading"), 6).alias("mean_heading"))
+
+
+@query(f"WITH {_P} SELECT pano_id, city FROM p WHERE coalesce(has_labels, true) AND source IN ('gsv', 'mapillary') AND pano_id NOT IN (SELECT pano_id FROM l)")
+def ledger_anti_join(spark, sf_dir):
+    return pn.unresolved(pn.supported(pn.image_panos(panos(spark, sf_dir))), ledger(spark, sf_dir)).select("pano_id", "city")
+
+
+@query(f"WITH {_P} SELECT city, count(*) AS panos, count(*) FILTER (pano_id NOT IN (SELECT pano_id FROM l)) AS backlog, count(*) FILTER (coalesce(width, 0) = 0 OR coalesce(height, 0) = 0) AS no_dims FROM p WHERE source = 'gsv' GROUP BY city")
+def depth_backlog(spark, sf_dir):
+    own = panos(spark, sf_dir).where("source = 'gsv'")
+    left = pn.unresolved(own, ledger(spark, sf_dir)).groupBy("city").agg(F.count("*").alias("backlog"))
+    bare = pn.missing_dims(own).groupBy("city").agg(F.count("*").alias("no_dims"))
+    return own.groupBy("city").agg(F.count("*").alias("panos")).join(left, "city", "left").join(bare, "city", "left").na.fill(0, ["backlog", "no_dims"])
+
+
+@query(f"WITH {_P}, k AS (SELECT city, count(*) FILTER (pano_id NOT IN (SELECT pano_id FROM l)) AS backlog FROM p GROUP BY city) SELECT city, backlog, 360.0::DOUBLE - CASE WHEN backlog > 100 THEN 60.0::DOUBLE ELSE 0 END AS image_minutes, CASE WHEN backlog > 100 THEN 60.0::DOUBLE ELSE 0 END AS depth_minutes FROM k")
+def budget_split(spark, sf_dir):
+    own = panos(spark, sf_dir)
+    left = own.select("city").distinct().join(pn.unresolved(own, ledger(spark, sf_dir)).groupBy("city").agg(F.count("*").alias("backlog")), "city", "left").na.fill(0, ["backlog"])
+    image, depth = pn.budget(g.d(360), g.d(60), c("backlog") - 100)
+    return left.select("city", "backlog", image.alias("image_minutes"), depth.alias("depth_minutes"))
+
+
+@query(f"WITH {_P}, s AS (SELECT DISTINCT pano_id FROM l WHERE status = 'saved') SELECT p.source, count(*) AS n, count(s.pano_id) AS on_store, round(100.0::DOUBLE * count(s.pano_id) / count(*), 6) AS hit_pct FROM p LEFT JOIN s ON s.pano_id = p.pano_id GROUP BY p.source")
+def store_coverage(spark, sf_dir):
+    return pn.coverage(panos(spark, sf_dir), ledger(spark, sf_dir).where("status = 'saved'"), "source")
+
+
+@query(f"WITH {_P}, a AS (SELECT DISTINCT city, source FROM p WHERE has_labels), b AS (SELECT DISTINCT city, source FROM p WHERE NOT has_labels) SELECT 'both' AS side, city, source FROM (SELECT * FROM a INTERSECT SELECT * FROM b) UNION ALL SELECT 'left' AS side, city, source FROM (SELECT * FROM a EXCEPT SELECT * FROM b)")
+def cell_sets(spark, sf_dir):
+    own = panos(spark, sf_dir)
+    a, b = own.where("has_labels").select("city", "source").distinct(), own.where("NOT has_labels").select("city", "source").distinct()
+    return a.intersect(b).select(F.lit("both").alias("side"), "*").union(a.subtract(b).select(F.lit("left").alias("side"), "*"))
+
+
+@query(f"WITH {_P}, n AS (SELECT *, row_number() OVER (PARTITION BY pano_id ORDER BY entry DESC) AS rn FROM l) SELECT pano_id, status, entry FROM n WHERE rn = 1")
+def ledger_latest(spark, sf_dir):
+    return ledger(spark, sf_dir).groupBy("pano_id").agg(F.max(F.struct("entry", "status")).alias("x")).select("pano_id", "x.status", "x.entry")
+
+
+@query(f"WITH {_P}, z AS (SELECT pano_id, width, height, pow(2, greatest(0, ceil(log2(width / 512.0)) - 3)) AS s FROM p WHERE width > 0 AND height > 0), t AS (SELECT pano_id, CAST(ceil(ceil(width / s) / 512) AS INT) AS nx, CAST(ceil(ceil(height / s) / 512) AS INT) AS ny FROM z) SELECT pano_id, nx AS across, ny AS down, count(*) AS tiles, CAST(sum(x * 100 + y) AS BIGINT) AS key FROM t, range(0, 64) a(x), range(0, 64) b(y) WHERE x < nx AND y < ny GROUP BY ALL")
+def tile_grid_explode(spark, sf_dir):
+    own = pn.tiles(panos(spark, sf_dir), 3)
+    return own.groupBy("pano_id", "across", "down").agg(F.count("*").alias("tiles"), F.sum((c("x") * 100 + c("y")).cast("bigint")).alias("key"))
+
+
+@query(f"WITH b AS (SELECT {', '.join(views.BOX)} FROM part), e AS (SELECT *, 2 * round_even(60 / 360.0::DOUBLE * pano_w / 2, 0) AS ww, 2 * round_even(60 / 180.0::DOUBLE * pano_h / 2, 0) AS hh, x + box_id % 17 - 8 AS jx, y + box_id % 13 - 6 AS jy FROM b) SELECT box_id, {_box('ww', 'hh', 'jx', 'jy', 'pano_w', 'pano_h')} FROM e")
+def tile_windows(spark, sf_dir):
+    own = boxes(spark, sf_dir).select("box_id", sizing.tile_window(c("x"), c("y"), c("pano_w"), c("pano_h"), c("box_id") % 17 - 8, c("box_id") % 13 - 6).alias("w"))
+    return own.select("box_id", c("w.left").alias("left_"), "w.top", "w.width", "w.height", "w.shifted")
+
+
+@query(f"WITH b AS (SELECT {', '.join(views.BOX)} FROM part) SELECT box_id, CAST(least(greatest(floor(y * 256 / pano_h), 0), 255) * 512 + {duck.floored('floor(x * 512 / pano_w)', '512::DOUBLE')} AS BIGINT) AS cell FROM b")
+def depth_sample(spark, sf_dir):
+    return boxes(spark, sf_dir).select("box_id", pn.depth_at(c("x"), c("y"), c("pano_w"), c("pano_h"), F.lit(512), F.lit(256)).alias("cell"))
+
+
+@query(f"WITH {duck.LABELS} SELECT CASE WHEN pano_width IS NULL OR pano_height IS NULL THEN 'no_dims' WHEN pano_x IS NULL OR pano_y IS NULL THEN 'no_pixel' WHEN pano_y < 0 OR pano_y >= pano_height THEN 'outside' WHEN {duck.DEPRESSION} < 0 THEN 'above_horizon' ELSE 'cropped' END AS outcome, count(*) AS n FROM labels GROUP BY 1")
+def crop_outcomes(spark, sf_dir):
+    return pn.crop_outcomes(views.labels(spark, sf_dir))
+
+
+# Runs
+
+@query(f"WITH {duck.RUNS}, d AS (SELECT *, image_fail - lag(image_fail) OVER (PARTITION BY city ORDER BY start_time, run_id) AS delta, row_number() OVER (PARTITION BY city ORDER BY start_time DESC, run_id DESC) AS back FROM runs), a AS (SELECT city, count(*) AS n, round(avg(CASE WHEN delta < 0 THEN 0 ELSE delta END) FILTER (back <= 7), 6) AS avg_new FROM d GROUP BY city HAVING count(*) > 1) SELECT city, avg_new, coalesce(avg_new >= 20, false) AS warns FROM a")
+def run_trailing_fail_avg(spark, sf_dir):
+    return rn.trailing_failures(runs(spark, sf_dir))
+
+
+@query(f"WITH {duck.NEWEST}, d AS (SELECT *, image_success + image_fallback_success AS done FROM ranked), a AS (SELECT city, count(*) AS n, max(start_time) FILTER (done > 0) AS last_success, bool_and(coalesce(done = 0, false)) FILTER (back <= 30) AS zero, bool_or(coalesce(done > 0, false)) FILTER (back > 30 AND back <= 120) AS any_before FROM d GROUP BY city) SELECT city, n, last_success, n > 120 AND zero AND coalesce(any_before, false) AS warns FROM a")
+def run_zero_progress(spark, sf_dir):
+    return rn.zero_progress(runs(spark, sf_dir))
+
+
+@query(f"WITH {duck.NEWEST}, a AS (SELECT city, median(total_minutes) AS med, max(total_minutes) FILTER (back <= 7) AS worst FROM ranked GROUP BY city) SELECT city, round(med, 6) AS median, worst, coalesce(med > 0 AND worst > med * 3, false) AS warns FROM a")
+def run_long_runtime(spark, sf_dir):
+    return rn.long_runtime(runs(spark, sf_dir))
+
+
+@query(f"WITH {duck.NEWEST} SELECT city, count(*) AS recent, count(*) FILTER ({' OR '.join(f'{x} IS NULL' for x in views.COUNTS)}) AS blank, count(*) FILTER ({' OR '.join(f'{x} IS NULL' for x in views.COUNTS)}) >= 3 AS warns FROM ranked WHERE back <= 7 GROUP BY city")
+def run_incomplete(spark, sf_dir):
+    return rn.incomplete(runs(spark, sf_dir))
+
+
+@query(f"WITH {duck.NEWEST} SELECT city, strftime(start_time, '%Y-%m-%d') AS day, count(*) AS n FROM ranked WHERE back <= 30 GROUP BY ALL HAVING count(*) > 1")
+def run_duplicate_days(spark, sf_dir):
+    return rn.duplicate_days(runs(spark, sf_dir))
+
+
+@query(f"WITH {duck.RUNS} SELECT city, max(start_time) AS last, CAST(floor((epoch(TIMESTAMP '{NOW}') - epoch(max(start_time))) / 86400) AS BIGINT) AS days, floor((epoch(TIMESTAMP '{NOW}') - epoch(max(start_time))) / 86400) > 3 AS critical FROM runs GROUP BY city")
+def run_staleness(spark, sf_dir):
+    return rn.staleness(runs(spark, sf_dir), NOW)
+
+
+@query(f"WITH {duck.RUNS} SELECT city, {', '.join(f'arg_max({x}, (start_time, run_id)) FILTER ({x} IS NOT NULL) AS {x}' for x in ('image_fail', 'depth_total', 'total_minutes'))} FROM runs GROUP BY city")
+def run_last_values(spark, sf_dir):
+    return rn.last_values(runs(spark, sf_dir))
+
+
+@query()
+def run_issues(spark, sf_dir):
+    return rn.issues(runs(spark, sf_dir), NOW)
+
+
+@query(f"WITH l AS (SELECT o_custkey % 20 AS city, o_orderkey AS entry, o_orderkey % 3 = 0 AS ok FROM orders), s AS (SELECT *, sum(ok::INT) OVER (PARTITION BY city ORDER BY entry) AS k FROM l), f AS (SELECT city, min(entry) AS first, count(*) AS length FROM s WHERE NOT ok GROUP BY city, k) SELECT city, first, length, length >= 25 AS trips, CASE WHEN length >= 15 THEN 300 WHEN length >= 10 THEN 120 WHEN length >= 5 THEN 30 ELSE 0 END AS pause_s FROM f")
+def failure_streaks(spark, sf_dir):
+    log = views.table(spark, sf_dir, "orders").select((c("o_custkey") % 20).alias("city"), c("o_orderkey").alias("entry"), (c("o_orderkey") % 3 == 0).alias("ok"))
+    return rn.failure_streaks(log, "city")
