@@ -72,3 +72,30 @@ def classify(replayed: DataFrame) -> DataFrame:
 def visible_px(dx_deg: Column, dy_deg: Column, zoom: Column) -> Column:
     """How far off a marker stands on the canvas."""
     return F.sqrt(dx_deg * dx_deg + dy_deg * dy_deg) / g.viewer_fov(zoom) * 720.0
+
+
+def solve_record(classed: DataFrame, steps: int = 25) -> DataFrame:
+    """Adds new_heading and new_pitch, the view that would put the click on the stored pixel, rounded
+    to 4 places, and what is then left on either axis. Each row stops on its own once it is within
+    half a pixel, so its answer does not depend on the rows beside it."""
+    c = F.col
+    x, y, zoom, w, h = (c(k) for k in ("canvas_x", "canvas_y", "zoom", "pano_width", "pano_height"))
+
+    def left(heading: Column, pitch: Column) -> tuple[Column, Column]:
+        pov = g.click_direction(x, y, heading, pitch, zoom, c("canvas_width"), c("canvas_height"))
+        zero = F.pmod(c("camera_heading") + 180, g.d(360))
+        px, py = w * F.pmod(pov[0] + 360 - zero, g.d(360)) / 360, h / 2 - h / 2 * (pov[1] / 90)
+        return g.wrapped_offset(c("pano_x"), px, w), c("pano_y") - py
+
+    def step(state: Column, _: Column) -> Column:
+        dx, dy = left(state["heading"], state["pitch"])
+        done = (F.abs(dx) <= 0.5) & (F.abs(dy) <= 0.5)
+        moved = F.struct((state["heading"] + dx * 360.0 / w).alias("heading"), g.clipped(state["pitch"] - dy * 180.0 / h, g.d(-90), g.d(90)).alias("pitch"))
+        return F.when(done, state).otherwise(moved)
+
+    start = F.struct(c("heading").alias("heading"), c("pitch").alias("pitch"))
+    df = classed.withColumn("_view", F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, step))
+    df = df.withColumns({"new_heading": F.round(c("_view.heading"), 4), "new_pitch": F.round(c("_view.pitch"), 4)}).drop("_view")
+    dx, dy = left(c("new_heading"), c("new_pitch"))
+    df = df.withColumns({"post_x": F.abs(dx), "post_y": F.abs(dy)})
+    return df.withColumn("repaired", F.coalesce((c("post_x") <= TOLERANCE_PX) & (c("post_y") <= TOLERANCE_PX), F.lit(False)))

@@ -14,7 +14,7 @@ from gnomon.operators import labels as lb
 from gnomon.operators import panos as pn
 from gnomon.operators import runs as rn
 from gnomon.operators import sampling as sm
-from gnomon.operators.replay import classify, covariates, replay
+from gnomon.operators.replay import classify, covariates, replay, solve_record
 from gnomon.plans import duck
 from gnomon.sources import views
 
@@ -259,6 +259,12 @@ def stale_x_panos(spark, sf_dir):
     return lb.stale_panos(classed(spark, sf_dir))
 
 
+@query()
+def record_repair(spark, sf_dir):
+    wrong = classed(spark, sf_dir).where("klass NOT IN ('exact', 'unreplayable', 'frame_change')")
+    return solve_record(wrong).select("label_id", "klass", "heading", "pitch", "new_heading", "new_pitch", F.round("post_x", 4).alias("post_x"), F.round("post_y", 4).alias("post_y"), "repaired")
+
+
 # Clusters
 
 def _clustered(radius: float) -> str:

@@ -89,12 +89,16 @@ def view(spark: SparkSession, sf_dir: str, name: str, columns: list[str]) -> Dat
     return table(spark, sf_dir, name).selectExpr(*(re.sub(r"VARCHAR\(\d+\)", "STRING", c) for c in columns))
 
 
-def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stored(inputs: DataFrame) -> DataFrame:
     """Labels with stored pixels: the replay of what they were made with, moved by an offset."""
     c = F.col
-    df = view(spark, sf_dir, "events", LABEL).selectExpr("*", *MADE)
+    df = inputs.selectExpr("*", *MADE)
     heading, pitch = g.click_direction(c("made_x"), c("made_y"), c("heading"), c("pitch"), c("made_zoom"), c("canvas_width"), c("canvas_height"))
     df = df.withColumns({"made_heading": heading, "made_pitch": pitch})
     x, y = g.panorama_pixel(c("made_heading"), c("made_pitch"), c("camera_heading"), c("made_h") * 2, c("made_h"))
     df = df.withColumns({"pano_x": F.pmod(x + c("off_x"), c("pano_width")), "pano_y": y + c("off_y")})
     return df.drop("made_x", "made_y", "made_zoom", "made_h", "off_x", "off_y", "made_heading", "made_pitch")
+
+
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored(view(spark, sf_dir, "events", LABEL))

@@ -99,3 +99,27 @@ def test_falling_failures_count_as_none(spark):
     rows = [("c", i, f"2024-01-{i + 1:02d} 00:00:00", v) for i, v in enumerate([0.0, 30.0, 10.0, None, 50.0])]
     runs = spark.createDataFrame(rows, "city string, run_id bigint, start_time string, image_fail double")
     assert trailing_failures(runs).first()["avg_new"] == 15.0
+
+
+def labels(spark, n=600):
+    """Labels as in the views, from numbers instead of a table."""
+    import re
+
+    from gnomon.sources import views
+
+    events = spark.range(1, n).selectExpr("id AS event_id", "id % 50 AS user_id", "concat('t', id % 3) AS event_type", "timestamp_seconds(1704067200 + id * 60) AS ts")
+    made = events.selectExpr(*(re.sub(r"VARCHAR\(\d+\)", "STRING", x) for x in views.LABEL))
+    return views.stored(made)
+
+
+def test_cascade_finds_what_was_done(spark):
+    from gnomon.operators.replay import classify, replay, solve_record
+
+    got = classify(replay(labels(spark)))
+    by = {}
+    for r in got.select("k", "klass").collect():
+        by.setdefault(r["k"], []).append(r["klass"])
+    most = {k: max(set(v), key=v.count) for k, v in by.items()}
+    assert [most[k] for k in (0, 1, 2, 3, 4, 5, 6, 7, 8, 9)] == ["exact", "dpr2", "zoom_desync", "frame_change", "x_only", "y_only", "xy_small", "multi_field", "unreplayable", "unreplayable"]
+    solved = solve_record(got.where("klass IN ('x_only', 'y_only', 'xy_small')")).agg(F.avg(F.col("repaired").cast("int")).alias("share")).first()
+    assert solved["share"] > 0.95
