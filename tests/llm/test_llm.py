@@ -237,3 +237,12 @@ def test_pipeline_keeps_clean_documents(spark, tmp_path, rows):
     spark.createDataFrame([(1, " ".join(text[5].split()[10:30]))], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     got = {r["doc_id"] for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
     assert got == {1, 2, 3, 4, 6, 7, 8, 9, 10, 11, 12, 15}
+
+
+def test_exact_stage_tells_texts_of_one_id_apart(spark):
+    import corpus_pipeline
+
+    rows = [(None, "One"), (None, "two"), (None, "two"), (7, "Three"), (7, "four"), (9, "three"), (9, "three"), (1, None), (2, "")]
+    got = corpus_pipeline.exact_dedup(spark, frame(spark, rows), "").collect()
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in got) == [(0, "One"), (0, "two"), (2, ""), (7, "four"), (9, "three")]
+    assert got[0].asDict().keys() == {"doc_id", "text", "extra"}
