@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gnomon.llm import op3_language, op6_exact, op7_decontaminate, op10_near
-from gnomon.llm.common import durable, fold, table
+from gnomon.llm.common import ascii_lower, durable, fold, table
 from gnomon.llm.op1_pieces import encode
 
 #: A document goes if fewer of its words lie in spans of its language.
@@ -28,10 +28,11 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that are equal after lower-casing A-Z, the one with the largest doc_id; of rows
-    repeated with that doc_id, one."""
-    kept = op6_exact.exact_groups(docs).where("kept").select("doc_id").distinct()
-    own = docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
-    return own.dropDuplicates(["doc_id"])
+    repeated with that doc_id and text, one. Different texts under one doc_id, or none, all stay."""
+    kept = op6_exact.exact_groups(docs).where("kept").select("doc_id", "text_sha256").distinct()
+    marked = docs.withColumn("_sha", F.sha2(ascii_lower(F.col("text")).cast("binary"), 256))
+    same = marked["doc_id"].eqNullSafe(kept["doc_id"]) & (marked["_sha"] == kept["text_sha256"])
+    return marked.join(kept, same, "left_semi").dropDuplicates(["doc_id", "_sha"]).drop("_sha")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
