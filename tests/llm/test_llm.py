@@ -246,3 +246,17 @@ def test_exact_stage_tells_texts_of_one_id_apart(spark):
     got = corpus_pipeline.exact_dedup(spark, frame(spark, rows), "").collect()
     assert sorted((r["doc_id"] or 0, r["text"]) for r in got) == [(0, "One"), (0, "two"), (2, ""), (7, "four"), (9, "three")]
     assert got[0].asDict().keys() == {"doc_id", "text", "extra"}
+
+
+def test_near_copies_that_only_the_original_links_are_one_class(spark):
+    from gnomon.llm.op10_near import near_groups
+
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(7))
+    base = [word() for _ in range(1000)]
+    rows = [(99, " ".join(base))]
+    for i in range(10):
+        at = 50 + 90 * i
+        rows.append((i, " ".join(base[:at] + [word() for _ in range(200)] + base[at:])))
+    got = near_groups(frame(spark, rows)).collect()
+    assert {r["class_id"] for r in got} == {0} and {r["class_size"] for r in got} == {11}
