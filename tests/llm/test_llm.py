@@ -260,3 +260,23 @@ def test_near_copies_that_only_the_original_links_are_one_class(spark):
         rows.append((i, " ".join(base[:at] + [word() for _ in range(200)] + base[at:])))
     got = near_groups(frame(spark, rows)).collect()
     assert {r["class_id"] for r in got} == {0} and {r["class_size"] for r in got} == {11}
+
+
+def test_copies_with_a_few_words_in_a_hundred_changed_meet_as_by_brute_force(spark):
+    from gnomon.llm.op10_near import aligned, near_groups, word_ids
+
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    rows, n = [], 120
+    for i in range(120):
+        base = [word() for _ in range(n)]
+        copy = list(base)
+        for k in rng.sample(range(n), rng.randint(n * 5 // 100, n * 10 // 100)):
+            copy[k] = word()
+        rows += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(copy))]
+    got = {r["doc_id"]: r["class_id"] for r in near_groups(frame(spark, rows)).collect()}
+    true = [i for i in range(0, 240, 2) if aligned(word_ids(rows[i][1].encode()), word_ids(rows[i + 1][1].encode()))]
+    found = sum(got[i] == got[i + 1] for i in true) / len(true)
+    print(f"recall {found:.3f} of {len(true)}")
+    assert len(true) == 120 and found >= 0.95
+    assert all(got[i] in (i, i - 1) for i in got)
