@@ -280,3 +280,27 @@ def test_copies_with_a_few_words_in_a_hundred_changed_meet_as_by_brute_force(spa
     print(f"recall {found:.3f} of {len(true)}")
     assert len(true) == 120 and found >= 0.95
     assert all(got[i] in (i, i - 1) for i in got)
+
+
+def test_short_texts_meet_as_by_brute_force(spark):
+    from gnomon.llm.op10_near import aligned, near_groups, word_ids
+
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    made = []
+    for n in range(1, 13):
+        for _ in range(3):
+            base = [word() for _ in range(n)]
+            made += [base, [*base, word()], [word(), *base]]
+            for k in {0, n // 2, n - 1}:
+                made += [[*base[:k], word(), *base[k + 1 :]], [*base[:k], *base[k + 1 :]], [*base[:k], word(), word(), *base[k:]]]
+    made = [w for w in made if 1 <= len(w) <= 12]
+    ids = [word_ids(" ".join(w).encode()) for w in made]
+    true = list(range(len(made)))
+    for i in range(len(made)):
+        for j in range(i):
+            if true[i] != true[j] and aligned(ids[i], ids[j]):
+                low, high = sorted((true[i], true[j]))
+                true = [low if x == high else x for x in true]
+    got = {r["doc_id"]: r["class_id"] for r in near_groups(frame(spark, [(i, " ".join(w)) for i, w in enumerate(made)])).collect()}
+    assert [got[i] for i in range(len(made))] == true
