@@ -337,8 +337,7 @@ def near_duplicate_drop(spark, sf_dir):
 
 @query()
 def greedy_leader(spark, sf_dir):
-    points = cluster_points(spark, sf_dir).select("city", "label_id", (c("az") / 10000).alias("lat"), (c("el") / 1000).alias("lng"))
-    return cl.leaders(points.withColumn("city", F.concat_ws("-", "city", F.col("label_id") % 40)))
+    return cl.leaders(cluster_points(spark, sf_dir).select("city", "label_id", (c("az") / 10000).alias("lat"), (c("el") / 1000).alias("lng")))
 
 
 # Referents, sources, strata

@@ -123,3 +123,20 @@ def test_cascade_finds_what_was_done(spark):
     assert [most[k] for k in (0, 1, 2, 3, 4, 5, 6, 7, 8, 9)] == ["exact", "dpr2", "zoom_desync", "frame_change", "x_only", "y_only", "xy_small", "multi_field", "unreplayable", "unreplayable"]
     solved = solve_record(got.where("klass IN ('x_only', 'y_only', 'xy_small')")).agg(F.avg(F.col("repaired").cast("int")).alias("share")).first()
     assert solved["share"] > 0.95
+
+
+def test_leaders_of_a_whole_city_equal_the_sequential_rule(spark):
+    from math import cos, hypot, radians
+
+    from gnomon.plans.catalog import QUERIES, cluster_points
+
+    places = [(r["city"], r["label_id"], r["az"] / 10000, r["el"] / 1000) for r in cluster_points(spark, "/root/testdata/sf0.001").collect()]
+    high = [("north", 10 + i * 37 % 101, 60 + i * 37 % 101 % 9 * 0.00004, 5 + i % 12 * 0.00005) for i in range(101)]
+    for rows, got in ((places, QUERIES["greedy_leader"](spark, "/root/testdata/sf0.001")), (high, clusters.leaders(spark.createDataFrame(high, "city string, label_id bigint, lat double, lng double")))):
+        want, leading = {}, {}
+        for city, n, lat, lng in sorted(rows, key=lambda r: r[1]):
+            near = [i for i, y, x in leading.get(city, []) if hypot(radians(lng - x) * 6371000.0 * cos(radians(y)), radians(lat - y) * 6371000.0) <= 8]
+            want[city, n] = min(near, default=n)
+            if not near:
+                leading.setdefault(city, []).append((n, lat, lng))
+        assert {(r["city"], r["label_id"]): r["leader"] for r in got.collect()} == want
