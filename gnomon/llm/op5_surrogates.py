@@ -31,7 +31,8 @@ ENTITY = re.compile(
     r"|(?P<phone>(?<![\d+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}(?!\d)|(?<!\d)(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]\d{4}(?!\d))"
     r"|\b(?P<title>Mr|Mrs|Ms|Miss|Dr|Prof|Sir|Lady|Herr|Frau|Monsieur|Madame|Mme|Mlle|Señora|Señor|Sra|Sr|Don|Doña|Господин|Госпожа)\b\.? (?P<name>[^\W\d_]+(?:[ -][^\W\d_]+)?)"
 )
-_HINT = re.compile(r"[0-9@]|\b(?:Mr|Mrs|Ms|Miss|Dr|Prof|Sir|Lady|Herr|Frau|Monsieur|Madame|Mme|Mlle|Señora|Señor|Sra|Sr|Don|Doña|Господин|Госпожа)\b")
+#: A superset of ENTITY: whatever has an entity has one of these.
+_HINT = re.compile(r"[0-9@]|(?:password|passwd|api_key|secret|token)=|\b(?:AKIA|(?:ghp|gho|sk|pk|xox[abp])[_-])|[a-f]{32}|\b(?:Mr|Mrs|Ms|Miss|Dr|Prof|Sir|Lady|Herr|Frau|Monsieur|Madame|Mme|Mlle|Señora|Señor|Sra|Sr|Don|Doña|Господин|Госпожа)\b")
 FEMALE = {"Mrs", "Ms", "Miss", "Lady", "Frau", "Madame", "Mme", "Mlle", "Señora", "Sra", "Doña", "Госпожа"}
 NEUTRAL = {"Dr", "Prof"}
 LOWER, UPPER, DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"

@@ -304,3 +304,16 @@ def test_short_texts_meet_as_by_brute_force(spark):
                 true = [low if x == high else x for x in true]
     got = {r["doc_id"]: r["class_id"] for r in near_groups(frame(spark, [(i, " ".join(w)) for i, w in enumerate(made)])).collect()}
     assert [got[i] for i in range(len(made))] == true
+
+
+def test_secrets_are_found_in_texts_without_digits(spark):
+    from gnomon.llm.op5_surrogates import pseudonymise
+
+    letters = "abcdefghijklmnopqrst"
+    secrets = ["correcthorse"] * 5 + [f"{k}{letters}" for k in ("ghp_", "gho_", "sk-", "pk_", "xoxa-", "xoxb-", "xoxp-")] + ["AKIA" + "QWERTYUIOPASDFGH", "abcdef" * 6]
+    before = ["password=", "passwd=", "api_key=", "secret=", "token="] + ["with "] * 9
+    rows = [(i, f"login {b}{x} now") for i, (b, x) in enumerate(zip(before, secrets, strict=True))]
+    rows += [(20, "Mail ab@example.com"), (21, "Herr Schmidt")]
+    got = {r["doc_id"]: r for r in pseudonymise(frame(spark, rows)).collect()}
+    assert all(got[i]["n_entities"] == 1 and got[i]["new_text"] != rows[k][1] for k, (i, _) in enumerate(rows))
+    assert all(x not in got[i]["new_text"] for i, x in enumerate(secrets))
