@@ -36,9 +36,12 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates, the one with the smallest doc_id."""
-    kept = op10_near.near_groups(docs).where("kept").select("doc_id").distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
+    """One document of each class of near duplicates, the one with the smallest doc_id; of different
+    texts under one doc_id each is decided on its own. Documents without doc_id stay."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    marked = docs.withColumn("_id", F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", F.sha2(text.cast("binary"), 256).alias("sha"))))
+    kept = op10_near.near_groups(marked, doc_id="_id").where("kept").select("doc_id").distinct()
+    return marked.join(kept, marked["_id"].eqNullSafe(kept["doc_id"]), "left_semi").drop("_id")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -317,3 +317,13 @@ def test_secrets_are_found_in_texts_without_digits(spark):
     got = {r["doc_id"]: r for r in pseudonymise(frame(spark, rows)).collect()}
     assert all(got[i]["n_entities"] == 1 and got[i]["new_text"] != rows[k][1] for k, (i, _) in enumerate(rows))
     assert all(x not in got[i]["new_text"] for i, x in enumerate(secrets))
+
+
+def test_near_stage_tells_texts_of_one_id_apart(spark):
+    import corpus_pipeline
+
+    rng = random.Random(8)
+    one, other = ([f"{rng.choice('abcdef')}{rng.randint(0, 10**6)}" for _ in range(60)] for _ in range(2))
+    rows = [(1, " ".join(one)), (2, " ".join([*one, "more"])), (2, " ".join(other)), (None, "nobody's text"), (3, None)]
+    got = corpus_pipeline.near_dedup(spark, frame(spark, rows), "")
+    assert {(r["doc_id"], r["text"]) for r in got.collect()} == {rows[i] for i in (0, 2, 3, 4)}
