@@ -65,6 +65,11 @@ def wrapped_offset(stored: Column, replayed: Column, width: Column) -> Column:
     return F.when(off == -width / 2, width / 2).otherwise(off)
 
 
+def panorama_angles(x: Column, y: Column, width: Column, height: Column) -> tuple[Column, Column]:
+    """Azimuth from the frame's left edge in [0, 360), and elevation, of a pixel."""
+    return F.pmod(x / width * 360.0, d(360)), (height / 2 - y) * 90.0 / (height / 2)
+
+
 def depression(y: Column, height: Column) -> Column:
     return (y - height / 2) * 180.0 / height
 

@@ -2,28 +2,71 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gnomon.operators.tables import written
+
+#: Edges that a task contracts at a time.
+EDGES = 1 << 20
+
+
+def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes of the edges (a, b), and the smallest node of each one's component among these edges."""
+    nodes, ends = np.unique(np.concatenate((a, b)), return_inverse=True)
+    x, y = ends[: len(a)], ends[len(a) :]
+    root = np.arange(len(nodes))
+    while (root[x] != root[y]).any():
+        low, high = np.minimum(root[x], root[y]), np.maximum(root[x], root[y])
+        np.minimum.at(root, high, low)
+        while (root != root[root]).any():
+            root = root[root]
+    return nodes, nodes[root]
+
+
+def contracted(pairs: DataFrame) -> DataFrame:
+    """Edges (a, b) of the same components, fewer and shorter: of each EDGES edges of a partition, those from a node
+    to the smallest of its component among them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held.append(batch)
+            if sum(x.num_rows for x in held) >= EDGES:
+                yield out(held)
+                held = []
+        if held:
+            yield out(held)
+
+    def out(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        a, b = (np.concatenate([x.column(k).to_numpy() for x in held]) for k in (0, 1))
+        nodes, root = stars(a, b)
+        inner = nodes != root
+        return pa.RecordBatch.from_arrays([pa.array(root[inner]), pa.array(nodes[inner])], ["a", "b"])
+
+    return pairs.select("a", "b").mapInArrow(run, "a bigint, b bigint")
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """df written to the shared checkpoint folder; a local one is set only where there is none."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or "/tmp/gnomon-checkpoints")
-    return df.checkpoint()
 
+def smallest_reachable(pairs: DataFrame, *keys: str) -> DataFrame:
+    """node and root, the smallest node of its component, of the nodes in pairs (a, b, and keys that are the same
+    all over a component, if known; a and b are different bigints).
 
-def smallest_reachable(pairs: DataFrame) -> DataFrame:
-    """node and root, the smallest node of its component, of the nodes in pairs (a, b). Labels run to
-    neighbours and jump to the label of their label, so the rounds grow with the log of the paths."""
-    edges = checkpointed(pairs.select("a", "b").union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    label = checkpointed(edges.groupBy(F.col("a").alias("node")).agg(F.least(F.min("a"), F.min("b")).alias("root")))
+    Each task first contracts the edges that it holds to stars. Dealt by keys these are whole components, and one
+    round of joins finds nothing left to do. Components that are larger than a task's share go on by rounds, in
+    which labels run to neighbours and jump to the label of their label.
+    """
+    short = contracted(pairs.repartition(*keys) if keys else pairs)
+    edges = written(short.union(short.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    label = written(edges.groupBy(F.col("a").alias("node")).agg(F.least(F.min("a"), F.min("b")).alias("root")))
     while True:
         near = edges.join(label.select(F.col("node").alias("b"), "root"), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near"))
         step = label.join(near, "node").select("node", "root", F.least("root", "near").alias("next"))
         jump = label.select(F.col("node").alias("next"), F.col("root").alias("beyond"))
-        step = checkpointed(step.join(jump, "next").select("node", "root", F.least("next", "beyond").alias("new")))
+        step = written(step.join(jump, "next").select("node", "root", F.least("next", "beyond").alias("new")))
         moved = step.where("new < root").limit(1).count()
         label = step.select("node", F.col("new").alias("root"))
         if not moved:

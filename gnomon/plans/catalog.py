@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,30 +12,17 @@ from gnomon.operators import labels as lb
 from gnomon.operators import panos as pn
 from gnomon.operators import runs as rn
 from gnomon.operators import sampling as sm
-from gnomon.operators.replay import classify, covariates, replay, solve_record
+from gnomon.operators.replay import classify, covariates, repair_summary, replay, solve_record, zoom_overlap
 from gnomon.plans import duck
+from gnomon.plans.registry import ORACLES, QUERIES, query
 from gnomon.sources import views
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
 c = F.col
 #: Bounds of eras for the events, which span one month.
 E1, E2, E3 = "2024-01-08", "2024-01-16", "2024-01-24"
 NOW = "1998-08-05 12:00:00"
 
 
-def query(sql: str | None = None):
-    """Registers a function (spark, sf_dir) under its name, with the SQL it must agree with."""
-
-    def add(f: Callable[[SparkSession, str], DataFrame]):
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLES[f.__name__] = sql
-        return f
-
-    return add
-
-
 def replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replay(views.labels(spark, sf_dir))
 
@@ -51,7 +36,7 @@ def classed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cluster_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views.view(spark, sf_dir, "events", views.CLUSTER)
+    return cl.located(views.view(spark, sf_dir, "events", views.CLUSTER))
 
 
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -259,10 +244,36 @@ def stale_x_panos(spark, sf_dir):
     return lb.stale_panos(classed(spark, sf_dir))
 
 
-@query()
+REPAIRED = ("dpr2", "zoom_desync", "x_only", "y_only", "xy_small", "multi_field")
+_STEP = f"""{duck.direction('solve', 'turned', 'canvas_x', 'canvas_y', 'zoom', 's_')},
+off AS (SELECT *, {duck.offset('pano_x', duck.pixel_x('s_h', 'pano_width'), 'pano_width')} AS dx, pano_y - {duck.pixel_y('s_p', 'pano_height')} AS dy FROM turned)"""
+_SOLVED = f"""RECURSIVE {duck.CLASSES}, scope AS (SELECT label_id, klass, heading AS old_heading, pitch AS old_pitch, heading, pitch, CASE WHEN klass = 'zoom_desync' THEN by_zoom ELSE zoom END AS zoom,
+  CASE WHEN klass = 'dpr2' THEN round_even(canvas_width / 2 + (canvas_x - canvas_width / 2) * 0.5::DOUBLE, 0) ELSE canvas_x END AS canvas_x, CASE WHEN klass = 'dpr2' THEN round_even(canvas_height / 2 + (canvas_y - canvas_height / 2) * 0.5::DOUBLE, 0) ELSE canvas_y END AS canvas_y,
+  canvas_width, canvas_height, camera_heading, pano_width, pano_height, pano_x, pano_y FROM classed WHERE klass IN {REPAIRED}),
+solve AS (SELECT *, 0 AS step FROM scope UNION ALL (WITH {_STEP}
+  SELECT label_id, klass, old_heading, old_pitch, {duck.floored('heading + dx * 360 / pano_width', '360::DOUBLE')} AS heading, greatest(-90::DOUBLE, least(90::DOUBLE, pitch - dy * 180 / pano_height)) AS pitch, zoom, canvas_x, canvas_y,
+    canvas_width, canvas_height, camera_heading, pano_width, pano_height, pano_x, pano_y, step + 1 AS step FROM off WHERE step < 25 AND NOT (abs(dx) <= 1 AND abs(dy) <= 1))),
+ended AS (SELECT * REPLACE (round(heading, 4) AS heading, round(pitch, 4) AS pitch) FROM solve QUALIFY row_number() OVER (PARTITION BY label_id ORDER BY step DESC) = 1),
+solved AS (WITH {_STEP.replace('FROM solve)', 'FROM ended)')} SELECT *, abs(dx) AS post_x, abs(dy) AS post_y, coalesce(abs(dx) <= 1 AND abs(dy) <= 1, false) AS repaired FROM off)"""
+
+
+def solved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return solve_record(classed(spark, sf_dir).where(c("klass").isin(*REPAIRED)))
+
+
+@query(f"WITH {_SOLVED} SELECT label_id, klass, old_heading, old_pitch, round(heading, 3) AS new_heading, round(pitch, 3) AS new_pitch, zoom AS new_zoom, canvas_x AS new_canvas_x, canvas_y AS new_canvas_y, post_x, post_y, repaired FROM solved")
 def record_repair(spark, sf_dir):
-    wrong = classed(spark, sf_dir).where("klass NOT IN ('exact', 'unreplayable', 'frame_change')")
-    return solve_record(wrong).select("label_id", "klass", "heading", "pitch", "new_heading", "new_pitch", F.round("post_x", 4).alias("post_x"), F.round("post_y", 4).alias("post_y"), "repaired")
+    return solved(spark, sf_dir).select("label_id", "klass", c("heading").alias("old_heading"), c("pitch").alias("old_pitch"), F.round("new_heading", 3).alias("new_heading"), F.round("new_pitch", 3).alias("new_pitch"), "new_zoom", "new_canvas_x", "new_canvas_y", "post_x", "post_y", "repaired")
+
+
+@query(f"WITH {_SOLVED} SELECT klass, count(*) AS n, round(100.0::DOUBLE * count(*) FILTER (repaired) / count(*), 2) AS repaired_pct FROM solved GROUP BY ROLLUP (klass)")
+def repair_summary_by_class(spark, sf_dir):
+    return repair_summary(solved(spark, sf_dir))
+
+
+@query(f"WITH {duck.CLASSES}, {duck.direction('classed', 'nexted', 'canvas_x', 'canvas_y', '(zoom + 1)', 'n_')} SELECT count(*) AS n_dpr2, round(100.0::DOUBLE * count(*) FILTER ({duck.met('pano_width', 'pano_height', 'n_h', 'n_p')}) / nullif(count(*), 0), 2) AS also_next_zoom_pct FROM nexted WHERE klass = 'dpr2'")
+def dpr2_zoom_overlap(spark, sf_dir):
+    return zoom_overlap(classed(spark, sf_dir))
 
 
 # Clusters

@@ -65,7 +65,7 @@ study AS (SELECT * EXCLUDE (cos_), degrees(acos(CASE WHEN cos_ > 1 THEN 1 WHEN c
   exact_y AND {BAND.format('depression')} IS NOT NULL AS eligible FROM tilted)"""
 
 
-def _met(w: str, h: str, ph: str, pp: str) -> str:
+def met(w: str, h: str, ph: str, pp: str) -> str:
     return f"coalesce(abs({offset('pano_x', pixel_x(ph, w), w)}) <= 1 AND abs(pano_y - {pixel_y(pp, h)}) <= 1, false)"
 
 
@@ -76,16 +76,16 @@ CLASSES = (
     + direction("replayed", "halved", "(canvas_width / 2 + (canvas_x - canvas_width / 2) * 0.5::DOUBLE)", "(canvas_height / 2 + (canvas_y - canvas_height / 2) * 0.5::DOUBLE)", "zoom", "a")
     + "".join(", " + direction("halved" if not i else f"zoomed{i - 1}", f"zoomed{i}", "canvas_x", "canvas_y", f"{z}::DOUBLE", f"z{i}") for i, z in enumerate(_ZOOMS))
     + ", tried AS (SELECT *, 2 * pano_y / (1 - pov_p / 90) AS implied FROM zoomed4), hit AS (SELECT *, "
-    + f"{_met('pano_width', 'pano_height', 'ah', 'ap')} AS by_half, "
-    + " OR ".join(f"(coalesce(abs(implied - {h}) <= 2 AND pano_height <> {h}, false) AND {_met(f'{2 * h}::DOUBLE', f'{h}::DOUBLE', 'pov_h', 'pov_p')})" for h in (1664, 3328, 6656, 8192))
+    + f"{met('pano_width', 'pano_height', 'ah', 'ap')} AS by_half, "
+    + " OR ".join(f"(coalesce(abs(implied - {h}) <= 2 AND pano_height <> {h}, false) AND {met(f'{2 * h}::DOUBLE', f'{h}::DOUBLE', 'pov_h', 'pov_p')})" for h in (1664, 3328, 6656, 8192))
     + " AS by_frame, CASE "
-    + " ".join(f"WHEN abs(zoom - {z}) > 1e-8 + 1e-5 * {z} AND {_met('pano_width', 'pano_height', f'z{i}h', f'z{i}p')} THEN {z}::DOUBLE" for i, z in enumerate(_ZOOMS))
+    + " ".join(f"WHEN abs(zoom - {z}) > 1e-8 + 1e-5 * {z} AND {met('pano_width', 'pano_height', f'z{i}h', f'z{i}p')} THEN {z}::DOUBLE" for i, z in enumerate(_ZOOMS))
     + """ END AS by_zoom FROM tried),
 classed AS (SELECT *, CASE WHEN NOT (replayable_x AND replayable_y) THEN 'unreplayable' WHEN abs(dx) <= 1 AND abs(dy) <= 1 THEN 'exact' WHEN by_half THEN 'dpr2'
   WHEN by_frame THEN 'frame_change' WHEN by_zoom IS NOT NULL THEN 'zoom_desync' WHEN abs(dy) <= 1 THEN 'x_only' WHEN abs(dx) <= 1 THEN 'y_only'
   WHEN abs(dx) <= 10 AND abs(dy) <= 10 THEN 'xy_small' ELSE 'multi_field' END AS klass FROM hit)"""
 )
 
-CLUSTERS = f"""pts AS (SELECT {', '.join(views.CLUSTER)} FROM events)"""
+CLUSTERS = f"""pts AS (SELECT *, (pano_x / pano_width * 360) % 360 AS az, (pano_height / 2 - pano_y) * 90 / (pano_height / 2) AS el FROM (SELECT {', '.join(views.CLUSTER)} FROM events))"""
 RUNS = f"""runs AS (SELECT {', '.join(views.RUN)} FROM orders)"""
 NEWEST = f"{RUNS}, ranked AS (SELECT *, row_number() OVER (PARTITION BY city ORDER BY start_time DESC, run_id DESC) AS back FROM runs)"

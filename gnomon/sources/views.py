@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gnomon.functions import geometry as g
+from gnomon.operators.tables import once
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,8 +44,9 @@ MADE = [
 CLUSTER = [
     "event_id AS label_id", "user_id", "ts AS time_created", "concat('c', CAST(event_id % 5 AS VARCHAR(9))) AS city",
     "CAST(event_id % 53 AS VARCHAR(9)) AS pano_id", "event_type AS label_type",
-    "CAST((event_id % 53 % 13) * 27 AS DOUBLE) + CAST((event_id * 7919) % 10007 AS DOUBLE) / CAST(900 AS DOUBLE) AS az",
-    "CAST(-10 AS DOUBLE) - CAST((event_id * 104729) % 10007 AS DOUBLE) / CAST(900 AS DOUBLE) AS el",
+    "CAST(16384 AS DOUBLE) AS pano_width", "CAST(8192 AS DOUBLE) AS pano_height",
+    "floor((CAST((event_id % 53 % 13) * 27 AS DOUBLE) + CAST((event_id * 7919) % 10007 AS DOUBLE) / CAST(900 AS DOUBLE)) * CAST(16384 AS DOUBLE) / CAST(360 AS DOUBLE)) AS pano_x",
+    "floor(CAST(4096 AS DOUBLE) + (CAST(10 AS DOUBLE) + CAST((event_id * 104729) % 10007 AS DOUBLE) / CAST(900 AS DOUBLE)) * CAST(8192 AS DOUBLE) / CAST(180 AS DOUBLE)) AS pano_y",
 ]
 COUNTS = ["xml_success", "xml_fail", "xml_skip", "xml_total", "xml_minutes", "image_success", "image_fallback_success", "image_fail", "image_skip", "image_total", "image_minutes", "depth_success", "depth_fail", "depth_skip", "depth_total", "depth_minutes", "total_minutes"]
 #: Runs of 50 cities from orders. Some cities stop making progress, some counts are blank.
@@ -94,9 +96,9 @@ def stored(inputs: DataFrame) -> DataFrame:
     c = F.col
     df = inputs.selectExpr("*", *MADE)
     heading, pitch = g.click_direction(c("made_x"), c("made_y"), c("heading"), c("pitch"), c("made_zoom"), c("canvas_width"), c("canvas_height"))
-    df = df.withColumns({"made_heading": heading, "made_pitch": pitch})
+    df = once(df, {"made_heading": heading, "made_pitch": pitch})
     x, y = g.panorama_pixel(c("made_heading"), c("made_pitch"), c("camera_heading"), c("made_h") * 2, c("made_h"))
-    df = df.withColumns({"pano_x": F.pmod(x + c("off_x"), c("pano_width")), "pano_y": y + c("off_y")})
+    df = once(df, {"pano_x": F.pmod(x + c("off_x"), c("pano_width")), "pano_y": y + c("off_y")})
     return df.drop("made_x", "made_y", "made_zoom", "made_h", "off_x", "off_y", "made_heading", "made_pitch")
 
 
