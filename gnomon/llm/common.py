@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import atexit
-import contextlib
-import uuid
-
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gnomon.operators.tables import written as durable
+
+__all__ = ["ASCII_UPPER", "LOWER", "ascii_lower", "durable", "fold", "only", "table", "texts"]
+
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: For bytes.translate: lower-cases A-Z and nothing else.
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -34,34 +34,6 @@ def only(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*(F.col(f"`{c}`") for c in columns))
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """df written once, as a table in the folder that all executors share, and read from there.
-
-    On a cluster spark.checkpoint.dir names the folder. Only where it is unset, as in tests, a local
-    one is used. The tables of a session are removed when the driver ends.
-    """
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or "/tmp/gnomon-checkpoints"
-    path = f"{folder}/gnomon-{uuid.uuid4().hex}"
-    if not _WRITTEN:
-        atexit.register(_remove, spark)
-    _WRITTEN.append(path)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-_WRITTEN: list[str] = []
-
-
-def _remove(spark: SparkSession) -> None:
-    """Remove the session's own tables, if its JVM still runs."""
-    with contextlib.suppress(Exception):
-        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-        for path in _WRITTEN:
-            at = jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(conf).delete(at, True)
-
-
 def texts(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of each text, null as empty."""
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]
