@@ -4,7 +4,8 @@ A page is read as words and tags. Words score by where they stand: what their ne
 is, and whether they are in a link; tags score too. The weights are log-odds learned from pages that
 label themselves, by one article element: how much commoner each kind is inside than outside. A
 linear scan keeps the best sum so far and finds the region with the largest. Words of the region are
-kept unless an element over them is never article text.
+kept unless an element over them is never article text: by its name, or because all words of one of its
+classes, its id or its role say so. A header goes, unless it is the article's own, which holds its title.
 """
 
 from __future__ import annotations
@@ -12,7 +13,8 @@ from __future__ import annotations
 import html
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 from math import log
 
 import pyarrow as pa
@@ -31,82 +33,115 @@ BLOCK = {
     "h1", "h2", "h3", "h4", "h5", "h6", "head", "header", "hr", "html", "li", "main", "menu", "nav", "ol", "p", "pre", "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul",
 }
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr", "keygen", "param"}
-#: Words in a class, id or role that tell what an element is not.
-ASIDE = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookie\w*|consent|notice|popup|modal|newsletter|subscribe|signup|share|social|related|recommend\w*|sidebar|side|menu|nav|navbar|navigation|breadcrumbs?|footer|header|masthead|comments?|respond|replies|disqus|widget|toolbar|login|search|pagination|pager|complementary|contentinfo)(?:$|[\s_-])", re.I)
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
-ATTRIBUTE = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+#: Words of a class, id or role that tell what an element is not, and words that only tell where it
+#: stands or how it looks. "side-effects" and "share-price" have others, and tell nothing.
+ASIDE = re.compile(r"ads?|advert\w*|sponsor\w*|promo\w*|banner|cookie\w*|consent|notice|popup|modal|newsletter|subscribe|signup|share|sharing|social|related|recommend\w*|sidebar|side|menu|nav|navbar|navigation|breadcrumbs?|footer|header|masthead|comments?|respond|replies|disqus|widgets?|toolbar|login|search|pagination|pager|complementary|contentinfo")
+LAYOUT = re.compile(r"|post|page|site|main|content|top|bottom|left|right|inner|outer|box|bar|block|slot|unit|list|item|links?|wrap|wrapper|container|area|section|panel|group|row|col|column|form|field|buttons?|icons?|text|title|js|ui|primary|secondary|global|mobile|desktop|sticky|fixed|\d+")
+_ATTRIBUTE = r"""([^\s/>=]++)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>]*+)))?+"""
+ATTRIBUTE = re.compile(_ATTRIBUTE)
+#: An attribute's value is quoted only where a quote follows the equals sign and is closed; other quotes are letters.
+TAG = re.compile(r"<!--.*?(?:--!?>|\Z)|<!(?!--)[^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|</[^a-zA-Z>][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[\s/=]++|" + re.sub(r"\((?=[^?])", "(?:", _ATTRIBUTE) + r")*+)(?:>|\Z)", re.S)
+#: An element that is no article text costs the region so much at most, however long it is.
+ASIDE_COST = 2.0
 SPACE = re.compile(r"\s+")
 #: Elements that close when one of these opens.
 _ENDS_P = BLOCK - {"br"}
 
 
-def pieces(page: str) -> list[tuple[str, str, tuple[str, ...], bool]]:
-    """Text runs and tags in order: (kind, text or tag name, names of open elements, whether aside).
+@dataclass(slots=True)
+class Open:
+    """An open element, and what those over it say of its text."""
+
+    name: str
+    over: Open | None
+    aside: bool = False
+    link: bool = False
+    article: bool = False
+    near: str = "none"
+
+    @property
+    def kind(self) -> str:
+        """What kind of place a word stands in."""
+        return "aside" if self.aside else "link" if self.link else self.near
+
+
+#: Elements that tell what their text is.
+TELLING = {"p", "li", "td", "th", "dd", "dt", "blockquote", "pre", "figcaption", "h1", "h2", "h3", "h4", "h5", "h6", "div", "section", "body"}
+
+
+def is_aside(name: str, attributes: str, over: Open) -> bool:
+    """Whether an element is no article text."""
+    if name in NEVER:
+        return not (name == "header" and over.article)
+    if name in ("html", "body", "article", "main"):
+        return False
+    for found in ATTRIBUTE.finditer(attributes):
+        if found[1].lower() in ("class", "id", "role"):
+            for said in (found[2] or found[3] or found[4] or "").lower().split():
+                parts = re.split("[-_]+", said)
+                if any(ASIDE.fullmatch(x) for x in parts) and all(ASIDE.fullmatch(x) or LAYOUT.fullmatch(x) for x in parts):
+                    return True
+    return False
+
+
+def pieces(page: str) -> list[tuple[str, str, Open]]:
+    """Text runs and tags in order: (kind, text or tag name, innermost open element).
 
     kind is "t" for text and "b" for a block edge, "i" for an inline tag. Text of raw elements and
     comments is left out. End tags close what they name, if it is open; a block closes an open
-    paragraph; elements that an enclosing end tag closes go too.
+    paragraph; elements that an enclosing end tag closes go too. Each tag is opened and closed once, so
+    the time is that of the page's length, however deep its elements lie.
     """
-    out: list[tuple[str, str, tuple[str, ...], bool]] = []
-    stack: list[tuple[str, bool]] = []
+    out: list[tuple[str, str, Open]] = []
+    top = Open("", None)
+    open_: Counter[str] = Counter()
     at, n = 0, len(page)
 
-    def text(raw: str) -> None:
-        if raw:
-            out.append(("t", html.unescape(raw), tuple(x for x, _ in stack), any(a for _, a in stack)))
+    def close(name: str) -> None:
+        nonlocal top
+        while open_[name]:
+            open_[top.name] -= 1
+            done, top = top.name == name, top.over
+            if done:
+                break
 
     while at < n:
         m = TAG.search(page, at)
+        raw = page[at : m.start()] if m else page[at:]
+        if raw:
+            out.append(("t", html.unescape(raw), top))
         if not m:
-            text(page[at:])
             break
-        text(page[at : m.start()])
         at = m.end()
         if not m[2]:
             continue
         name = m[2].lower()
         if m[1]:
-            if any(x == name for x, _ in stack):
-                while stack.pop()[0] != name:
-                    pass
+            close(name)
         else:
-            if name in _ENDS_P and stack and any(x == "p" for x, _ in stack):
-                while stack.pop()[0] != "p":
-                    pass
-            said = " ".join(x for found in ATTRIBUTE.findall(m[3]) for x in found if x) if m[3] else ""
-            aside = name in NEVER or bool(said and name not in ("html", "body", "article", "main") and ASIDE.search(said))
+            if name in _ENDS_P:
+                close("p")
             if name in RAW:
                 end = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(page, at)
                 at = end.end() if end else n
             elif name not in VOID and not m[3].endswith("/"):
-                stack.append((name, aside))
-        out.append(("b" if name in BLOCK else "i", name, tuple(x for x, _ in stack), any(a for _, a in stack)))
+                article = top.article or name in ("article", "main")
+                top = Open(name, top, top.aside or is_aside(name, m[3], top), top.link or name == "a", article, name if name in TELLING else top.near)
+                open_[name] += 1
+        out.append(("b" if name in BLOCK else "i", name, top))
     return out
 
 
-def kind(open_: tuple[str, ...], aside: bool) -> str:
-    """What kind of place a word stands in."""
-    if aside:
-        return "aside"
-    if "a" in open_:
-        return "link"
-    for name in reversed(open_):
-        if name in ("p", "li", "td", "th", "dd", "dt", "blockquote", "pre", "figcaption", "h1", "h2", "h3", "h4", "h5", "h6", "div", "section", "article", "main", "body"):
-            return name
-    return "none"
-
-
 def evidence(page: str) -> tuple[Counter[str], Counter[str]]:
     """Kinds of words and tags inside and outside of the page's one article element, if it has one."""
-    found = pieces(page)
     inside, outside = Counter(), Counter()
-    if sum(1 for k, name, open_, _ in found if k == "b" and name == "article" and open_ and open_[-1] == "article") != 1:
+    found = pieces(page)
+    if sum(1 for k, name, top in found if k == "b" and name == "article" and top.name == "article") != 1:
         return inside, outside
-    for k, x, open_, aside in found:
-        to = inside if "article" in open_ else outside
-        where = tuple(name for name in open_ if name not in ("article", "main"))
+    for k, x, top in found:
+        to = inside if top.article else outside
         if k == "t":
-            to["w:" + kind(where, aside)] += len(x.split())
+            to["w:" + top.kind] += len(x.split())
         elif x != "article":
             to["t:" + x] += 1
     return inside, outside
@@ -130,28 +165,46 @@ def weights(inside: Counter[str], outside: Counter[str]) -> dict[str, float]:
     return out
 
 
-def extract(page: str, weight: dict[str, float]) -> str:
-    """The article's blocks, one a line."""
-    found = pieces(page)
-    best, run, start, region = 0.0, 0.0, 0, (0, 0)
-    for i, (k, x, open_, aside) in enumerate(found):
+def values(found: list[tuple[str, str, Open]], weight: dict[str, float]) -> Iterator[float]:
+    """The score of every piece."""
+    paid = 0.0
+    for k, x, top in found:
         if k == "t":
-            where = kind(tuple(name for name in open_ if name not in ("article", "main")), aside)
             # Words straight in an article count as text, whatever holds the article.
-            value = len(x.split()) * (weight.get("w:p", 0.5) if not aside and where in ("div", "section", "body", "none") and ("article" in open_ or "main" in open_) else weight.get("w:" + where, -0.2))
+            plain = top.article and top.kind in ("div", "section", "body", "none")
+            value = len(x.split()) * (weight.get("w:p", 0.5) if plain else weight.get("w:" + top.kind, -0.2))
         else:
             value = weight.get("t:" + x, -0.2)
+        if top.aside:
+            value = max(value, paid - ASIDE_COST)
+            paid -= value
+        else:
+            paid = 0.0
+        yield value
+
+
+def best_region(scores: Iterable[float]) -> tuple[int, int]:
+    """First and end of the contiguous run with the largest sum, the first of equals; none if no sum is above 0."""
+    best, run, start, region = 0.0, 0.0, 0, (0, 0)
+    for i, value in enumerate(scores):
         if run <= 0:
             run, start = 0.0, i
         run += value
         if run > best:
             best, region = run, (start, i + 1)
+    return region
+
+
+def extract(page: str, weight: dict[str, float]) -> str:
+    """The article's blocks, one a line."""
+    found = pieces(page)
+    first, end = best_region(values(found, weight))
     blocks, line = [], []
-    for k, x, _, aside in found[region[0] : region[1]]:
+    for k, x, top in found[first:end]:
         if k == "b":
             blocks.append("".join(line))
             line = []
-        elif k == "t" and not aside:
+        elif k == "t" and not top.aside:
             line.append(x)
     blocks.append("".join(line))
     clean = (SPACE.sub(" ", b).strip() for b in blocks)
@@ -161,7 +214,7 @@ def extract(page: str, weight: dict[str, float]) -> str:
 def fit(pages: DataFrame, page: str = "html", key: str = "page_id", count: int = FIT_PAGES) -> dict[str, float]:
     """Weights from about `count` pages, drawn by a hash of the key."""
     n = pages.count()
-    own = pages.select(F.col(key).alias("key"), F.col(page).alias("page")).where("page IS NOT NULL")
+    own = only(pages, key, page).toDF("key", "page").where("page IS NOT NULL")
     drawn = own.where(F.pmod(F.xxhash64("key", F.lit("pages")), F.lit(1_000_000)) < min(1.0, count / max(1, n)) * 1_000_000).select("page")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,7 +238,8 @@ def main_text(pages: DataFrame, weight: dict[str, float], page: str = "html", ke
     """keys and text of every whole page; blocks are joined by a line feed.
 
     White space within a block is one space. A null or empty page, and one without any article words,
-    has an empty text. Repeated rows and null keys stay; an empty table gives an empty one.
+    has an empty text. Repeated rows and null keys stay, very long pages are read whole, other columns are not
+    read, and an empty table gives an empty one.
     """
     own, n = only(pages, *keys, page), len(keys)
     schema = ", ".join([*(f"`{k}` {own.schema[k].dataType.simpleString()}" for k in keys), "text string"])
@@ -201,6 +255,6 @@ def main_text(pages: DataFrame, weight: dict[str, float], page: str = "html", ke
 
 
 def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Main text of every page."""
+    """Main text of every page, null, empty and repeated ones too; an empty table gives an empty one."""
     pages = table(spark, sf_dir, "pages")
     return main_text(pages, fit(pages)).select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
