@@ -10,6 +10,8 @@ the language with most words is the document's.
 from __future__ import annotations
 
 import re
+import sys
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -35,7 +37,10 @@ SCRIPTS = [
 SCRIPT_NAMES = ["other", *dict.fromkeys(name for name, _, _ in SCRIPTS)]
 _EDGES = np.array([x for _, a, b in SCRIPTS for x in (a, b + 1)])
 _SCRIPT_OF = np.array([0] + [x for name, _, _ in SCRIPTS for x in (SCRIPT_NAMES.index(name), 0)])
-WORD = re.compile(r"[^\W\d_]+")
+#: Letters only: of the characters that the expression below counts as part of a word, numbers such as a half or a
+#: Roman four are none.
+_NUMBERS = "".join(chr(x) for x in range(sys.maxunicode + 1) if unicodedata.category(chr(x)) in ("Nl", "No"))
+WORD = re.compile(rf"[^\W\d_{_NUMBERS}]+")
 
 
 def words(text: str) -> list[str]:
@@ -144,7 +149,7 @@ class Model:
 def fit(df: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", documents: int = FIT_DOCUMENTS) -> Model:
     """A model from about `documents` rows of each language, drawn by a hash of the key; rows without
     text or language are left out. What comes to the driver is bounded by languages x buckets."""
-    own = df.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang")).where("text IS NOT NULL AND lang IS NOT NULL")
+    own = only(df, key, text, lang).toDF("key", "text", "lang").where("text IS NOT NULL AND lang IS NOT NULL")
     sizes = {r["lang"]: r["n"] for r in own.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not sizes:
         return Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros((len(SCRIPT_NAMES), 0), bool), 0)
@@ -183,7 +188,8 @@ def identify(df: DataFrame, model: Model, text: str = "text", keys: tuple[str, .
     lang_pred is `und` with score 0 and no spans if the text is null or has no letter, or if the model
     knows no language. score is the share of words of known scripts that lie in spans of lang_pred; a
     text without any such word gets the likeliest language with score 0. Of languages with equally
-    many words the first by name wins. Repeated rows and null keys stay; empty tables stay empty.
+    many words the first by name wins. Repeated rows and null keys stay, very long texts are read whole, other
+    columns are not read; empty tables stay empty.
     """
     own, n = only(df, *keys, text), len(keys)
     shared = df.sparkSession.sparkContext.broadcast((model.langs, model.weights, model.uses, model.likeliest))
@@ -217,7 +223,8 @@ def identify(df: DataFrame, model: Model, text: str = "text", keys: tuple[str, .
 
 
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Predicted language and score of every document; documents of fold 0 of 5 are never learned from."""
+    """Predicted language and score of every document; documents of fold 0 of 5 are never learned from. Null and
+    empty texts, and those without a letter, are `und`; repeated rows stay; an empty table gives an empty one."""
     documents = table(spark, sf_dir, "documents")
     model = fit(documents.where(fold(F.col("doc_id"), 5) != 0))
     return identify(documents, model).select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "lang_pred", "score", F.size("spans").cast("bigint").alias("n_spans"))
