@@ -40,7 +40,10 @@ WIDTH = 24
 #: (letters, offsets after the first), by the longest span.
 PATTERNS = [(0, *c) for c in combinations(range(1, 5), 2)] + [(0, *c) for c in combinations(range(1, 6), 3)]
 PAIRS = 32**3
-CODES = PAIRS + 32**4
+EXACT = PAIRS + 32**4
+#: Letters beyond a-z have no symbol of their own: subsequences with them fall by hash on so many further codes.
+HASHED = 1 << 19
+CODES = EXACT + HASHED
 MEMO = 300_000
 #: The symbol of a word's beginning and end, which take part in subsequences.
 EDGE = 31
@@ -49,6 +52,11 @@ _SPLIT = re.compile(r"[\W_]+")
 _PLAIN = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "ß": "s", "æ": "a", "ø": "o", "œ": "o", "đ": "d", "ł": "l"}
 
 
+#: Scripts written without spaces, of which neighbouring letters are words: kana, Han, Thai, Lao,
+#: Khmer, Myanmar.
+_DENSE = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\U00020000-\U0003ffff]{2,}")
+
+
 def _alphabet() -> np.ndarray:
     import unicodedata
 
@@ -56,7 +64,7 @@ def _alphabet() -> np.ndarray:
     for cp in range(0x10000):
         c = chr(cp)
         base = _PLAIN.get(c) or (unicodedata.normalize("NFKD", c)[0] if not 0xD800 <= cp < 0xE000 else c)
-        out[cp] = ord(base) - 96 if "a" <= base <= "z" else 27 + cp % 4
+        out[cp] = ord(base) - 96 if "a" <= base <= "z" else 27 + cp % 4 if cp < 128 else 32 + cp
     out[0] = 0
     return out
 
@@ -65,38 +73,64 @@ _SYMBOL: list[np.ndarray] = []
 
 
 def units(text: str) -> list[str]:
-    """Words in lower case without marks inside; letters standing alone in a row make one word."""
+    """Words in lower case without marks inside; more than two letters standing alone in a row make one word.
+    Where a script has no spaces each two neighbouring letters are one."""
     out, alone = [], []
     for raw in text.lower().split():
         w = _SPLIT.sub("", raw) if not raw.isalnum() else raw
         if len(w) == 1:
             alone.append(w)
             continue
-        if len(alone) > 2:
-            out.append("".join(alone))
+        out += ["".join(alone)] if len(alone) > 2 else alone
         alone = []
-        if len(w) > 2:
+        if w:
             out.append(w)
-    if len(alone) > 2:
-        out.append("".join(alone))
+    out += ["".join(alone)] if len(alone) > 2 else alone
+    if not text.isascii():
+        out = [x for w in out for x in ([w] if w.isascii() or not _DENSE.search(w) else _dense(w))]
     if any(len(w) > WIDTH for w in out):
         step = WIDTH // 2
         out = [w[i : i + WIDTH] for w in out for i in range(0, max(1, len(w) - step), step)]
     return out
 
 
+def _dense(word: str) -> list[str]:
+    out, at = [], 0
+    for m in _DENSE.finditer(word):
+        out += [word[at : m.start()]] * (at < m.start()) + [m[0][i : i + 2] for i in range(len(m[0]) - 1)]
+        at = m.end()
+    return out + [word[at:]] * (at < len(word))
+
+
 def symbols(words: list[str]) -> np.ndarray:
-    """Letters as 1 to 30, one word a row, with a mark on either side and 0 to the right."""
+    """Letters as 1 to 30, those beyond a-z and ASCII as 32 and more, one word a row, with a mark on either side
+    and 0 to the right."""
     if not _SYMBOL:
         _SYMBOL.append(_alphabet())
     width = max(map(len, words))
-    flat = np.array(words, f"<U{width}").view(np.uint32).reshape(len(words), width)
+    flat = np.array(words, f"<U{width}").view(np.uint32).reshape(len(words), width).astype(np.int64)
     out = np.zeros((len(words), width + 2), np.int64)
-    out[:, 1:-1] = _SYMBOL[0][np.minimum(flat, 0xFFFF)]
+    out[:, 1:-1] = np.where(flat < 0x10000, _SYMBOL[0][np.minimum(flat, 0xFFFF)], flat + 32)
     out[:, 0] = out[np.arange(len(words)), (flat > 0).sum(1) + 1] = EDGE
     return out
 
 
+def coded(columns: list[np.ndarray]) -> np.ndarray:
+    """The code of three or four symbols, one of them in each column."""
+    code = np.zeros_like(columns[0])
+    for c in columns:
+        code = code * 32 + c
+    code = code + (PAIRS if len(columns) == 4 else 0)
+    beyond = np.any([c >= 32 for c in columns], 0)
+    if beyond.any():
+        mixed = np.full(int(beyond.sum()), len(columns), np.uint64)
+        for c in columns:
+            mixed = (mixed ^ c[beyond].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+            mixed ^= mixed >> np.uint64(29)
+        code[beyond] = EXACT + (mixed % np.uint64(HASHED)).astype(np.int64)
+    return code
+
+
 def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Codes and weights of every word's subsequences, one word a row; weight 0 where there is none."""
     s = symbols(words)
@@ -104,12 +138,11 @@ def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     s = np.concatenate((s, np.zeros((n, 6), np.int64)), 1)
     codes, weights = [], []
     for p in PATTERNS:
-        code, whole = np.zeros((n, width), np.int64), np.ones((n, width), bool)
-        for o in p:
-            c = s[:, o : o + width]
-            code = code * 32 + c
+        columns = [s[:, o : o + width] for o in p]
+        whole = np.ones((n, width), bool)
+        for c in columns:
             whole &= c > 0
-        codes.append(code + (PAIRS if len(p) == 4 else 0))
+        codes.append(coded(columns))
         weights.append(whole * DECAY ** (p[-1] + 1 - len(p)))
     return np.concatenate(codes, 1), np.concatenate(weights, 1)
 
@@ -129,8 +162,7 @@ def runs(words: list[str]) -> np.ndarray:
     s = symbols(words)
     s = np.concatenate((s, np.zeros((len(s), 3), np.int64)), 1)
     a, b, c, d = (s[:, k : s.shape[1] - 3 + k] for k in range(4))
-    three = (a * 32 + b) * 32 + c
-    return np.concatenate((three[c > 0], (three * 32 + d)[d > 0] + PAIRS))
+    return np.concatenate((coded([a, b, c])[c > 0], coded([a, b, c, d])[d > 0]))
 
 
 @dataclass
@@ -292,14 +324,15 @@ def train(toxic: list[list[str]], clean: list[list[str]], rates: tuple[float, fl
 def fit(df: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "toxic", documents: int = FIT_DOCUMENTS, chars: int = FIT_CHARS) -> Machine:
     """A machine from about `documents` labelled rows of each class, drawn by a hash of the key, with
     texts of up to `chars` characters. Rows without key, label or text are left out."""
-    marked = labels.select(F.col(key).alias("key"), F.col(label).cast("int").alias("y")).where("key IS NOT NULL AND y IN (0, 1)").groupBy("key").agg(F.max("y").alias("y"))
-    own = df.select(F.col(key).alias("key"), F.col(text).alias("text")).where("text IS NOT NULL").where(F.length("text") <= chars)
-    sizes = {r["y"]: r["n"] for r in own.select("key").join(marked, "key").groupBy("y").agg(F.count("*").alias("n")).collect()}
+    marked = only(labels, key, label).toDF("key", "y").select("key", F.col("y").cast("int").alias("y")).where("key IS NOT NULL AND y IN (0, 1)").groupBy("key").agg(F.max("y").alias("y"))
+    own = only(df, key, text).toDF("key", "text").where("text IS NOT NULL").where(F.length("text") <= chars)
+    marked = marked.join(own.select("key").distinct(), "key", "left_semi")
+    sizes = {r["y"]: r["n"] for r in marked.groupBy("y").agg(F.count("*").alias("n")).collect()}
     share = F.when(F.col("y") == 1, F.lit(min(1.0, documents / sizes.get(1, 1)))).otherwise(F.lit(min(1.0, documents / sizes.get(0, 1))))
     drawn = marked.where(F.pmod(F.xxhash64("key", F.lit("toxicity")), F.lit(1_000_000)) < share * 1_000_000)
-    # About 2 * documents keys by the rates above, and never more than the limit: small enough to send
-    # to every executor, so that no text is shuffled.
-    sample = own.join(F.broadcast(drawn.limit(8 * documents)), "key").select("y", "text")
+    # About `documents` keys of either class by the rates above, whatever the tables' sizes: few enough to send to
+    # every executor, so that no text is shuffled.
+    sample = own.join(F.broadcast(drawn), "key").select("y", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -315,7 +348,8 @@ def rate(df: DataFrame, machine: Machine, text: str = "text", keys: tuple[str, .
     """keys, score (0 to 1) and predicted (1 from 0.5) of every whole text.
 
     A null or empty text, or one without words, has the score of a text without any bad word.
-    Repeated rows and null keys stay; an empty table gives an empty one.
+    Very long texts are read whole; other columns are not read. Repeated rows and null keys stay; an empty table
+    gives an empty one.
     """
     own, n = only(df, *keys, text), len(keys)
     shared = df.sparkSession.sparkContext.broadcast((machine.beta, machine.bias, machine.logistic))
@@ -333,7 +367,8 @@ def rate(df: DataFrame, machine: Machine, text: str = "text", keys: tuple[str, .
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Score of every document; labels of fold 0 of 5 are never learned from."""
+    """Score of every document; labels of fold 0 of 5 are never learned from. Null and empty texts score as texts
+    without any bad word; repeated rows stay; an empty table gives an empty one."""
     documents = table(spark, sf_dir, "documents")
     machine = fit(documents.where(fold(F.col("doc_id"), 5) != 0), table(spark, sf_dir, "labels"))
     return rate(documents, machine).select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")
