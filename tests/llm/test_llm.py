@@ -97,6 +97,58 @@ def test_repeats_equal_brute_force(spark):
     assert op.remove_repeats(frame(spark, [])).count() == 0
 
 
+def removed_by_brute_force(rows):
+    """Kept bytes of each (doc_id, text), in the given order of rows."""
+    seen, want = set(), []
+    for _, t in rows:
+        b = (t or "").encode()
+        gone = bytearray(len(b))
+        for k in range(len(b) - 99):
+            if b[k : k + 100] in seen:
+                gone[k : k + 100] = b"\1" * 100
+            seen.add(b[k : k + 100])
+        want.append(bytes(x for x, y in zip(b, gone, strict=True) if not y))
+    return want
+
+
+def test_longest_previous_factors_equal_brute_force():
+    from gnomon.llm.op4_substrings import LENGTH, longest_previous
+
+    rng = np.random.default_rng(3)
+    for _ in range(20):
+        parts = [rng.integers(1, 3, rng.integers(100, 160)) for _ in range(4)]
+        parts.append(parts[0][:140])
+        text = np.concatenate([np.append(x, 0) for x in parts]).astype(np.int64)
+        begin = np.cumsum([0, *(len(x) + 1 for x in parts)])[:-1]
+        starts = np.concatenate([b + np.arange(len(x) - LENGTH + 1) for b, x in zip(begin, parts, strict=True)])
+        got = longest_previous(text, starts)
+        for k, i in enumerate(starts):
+            best = 0
+            for j in starts[starts < i]:
+                same = text[i : i + 112][: len(text) - i] == text[j : j + 112][: len(text[i : i + 112])]
+                best = max(best, len(same) if same.all() else int(same.argmin()))
+            assert min(got[k], LENGTH) == min(best, LENGTH)
+
+
+def test_texts_without_id_are_told_apart_and_long_ones_read_whole(spark):
+    from gnomon.llm.op4_substrings import remove_repeats
+
+    rng = random.Random(4)
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(400))
+    texts = ["".join(rng.choice("abcdefgh ") for _ in range(rng.randint(0, 300))) + (passage[rng.randint(0, 200) :] if i % 3 else "") for i in range(400)]
+    long = "".join(rng.choice("abcdefgh ") for _ in range(1_300_000))
+    rows = [(None, t) for t in texts] + [(1, long), (2, "x" + long[600_000:700_000] + "y" + long[-500:]), (3, passage), (3, passage)]
+    got = remove_repeats(frame(spark, rows)).collect()
+    by = {r["doc_id"]: bytes(r["kept"]) for r in got if r["doc_id"]}
+    assert by == {1: long.encode(), 2: b"xy", 3: b""} and len(got) == 404
+    # The order of the texts without id is by their content's hash; whatever it is, the result is that of one order.
+    kept = [(r["n_bytes"], bytes(r["kept"])) for r in got if r["doc_id"] is None]
+    whole = sum(n == len(k) for n, k in kept)
+    joined = b"\n".join(k for _, k in kept)
+    assert joined.count(passage[300:].encode()) == 1 and whole >= sum(i % 3 == 0 for i in range(400))
+    assert sum(len(k) for _, k in kept) >= sum(len(t) for i, t in enumerate(texts) if not i % 3)
+
+
 def test_phrases_equal_brute_force(spark, rows):
     from gnomon.llm.op7_decontaminate import find, words
 
@@ -212,6 +264,45 @@ def test_main_text():
     assert extract("", {}) == "" and extract("<script>x</script>", {}) == ""
 
 
+def test_main_text_of_odd_pages():
+    import time
+
+    from gnomon.llm.op2_html import best_region, extract, pieces, weights
+
+    learned = weights(Counter(), Counter())
+    said = lambda page: extract(page, learned)
+    assert said("<p title=it's>First of them all</p><p>Second para isn't long</p><p>Third para</p>") == "First of them all\nSecond para isn't long\nThird para"
+    assert "<" not in said('<p>Hello there my friend and all<a href="x>link</a> more of it comes here</p>')
+    assert said('<article><p>Some words are here for all</p><p class="share-price">Shares rose nine percent today</p></article>') == "Some words are here for all\nShares rose nine percent today"
+    assert said('<p>Alpha beta gamma</p><div id="side-effects"><p>Side effects of the drug are many</p></div><p>Delta and more of it</p>') == "Alpha beta gamma\nSide effects of the drug are many\nDelta and more of it"
+    advert = "buy this now " * 50
+    for box in ("ad-slot", "post comments", "sidebar", "cookie-notice", "social-share"):
+        assert said(f'<article><p>One two three four five six</p><div class="{box}">{advert}</div><p>Seven eight nine ten eleven twelve</p></article>') == "One two three four five six\nSeven eight nine ten eleven twelve"
+    assert said("<header><h1>Site of all sites</h1></header><article><header><h1>Title of the text</h1></header><p>Body of the text is here</p></article>") == "Title of the text\nBody of the text is here"
+    rng = random.Random(9)
+    for _ in range(200):
+        x = [rng.choice((-2, -1, -0.5, 0.5, 1, 3)) for _ in range(rng.randint(0, 12))]
+        first, end = best_region(x)
+        assert sum(x[first:end]) == max([0.0, *(sum(x[i:j]) for i in range(len(x)) for j in range(i + 1, len(x) + 1))])
+    begun = time.time()
+    deep = extract("<p>" + "<b>" * 100_000 + "words of a deep page stand here and go on for long " * 1000, learned)
+    assert deep.startswith("words of") and time.time() - begun < 20
+    assert len(pieces("<div>" * 3000 + "</section>" * 3000)) == 6000
+
+
+def test_pages_without_rows_text_or_key(spark):
+    from gnomon.llm.op2_html import fit, main_text
+
+    schema = "page_id bigint, url string, html string, text string, key string, _row string"
+    empty = spark.createDataFrame([], schema)
+    assert main_text(empty, fit(empty)).count() == 0
+    page = "<article><p>Some words are here for all of you to read</p></article>"
+    some = spark.createDataFrame([(1, "u", page, "t", "k", "r"), (None, None, None, None, None, None), (1, "u", page, "t", "k", "r"), (2, "v", "", "t", "k", "r")], schema)
+    got = sorted((r["page_id"] or 0, r["text"]) for r in main_text(some, fit(some)).collect())
+    said = "Some words are here for all of you to read"
+    assert got == [(0, ""), (1, said), (1, said), (2, "")]
+
+
 def test_surrogates_keep_type_and_identity(spark):
     from gnomon.llm.op5_surrogates import luhn, permuted, pseudonymise
 
@@ -327,3 +418,76 @@ def test_near_stage_tells_texts_of_one_id_apart(spark):
     rows = [(1, " ".join(one)), (2, " ".join([*one, "more"])), (2, " ".join(other)), (None, "nobody's text"), (3, None)]
     got = corpus_pipeline.near_dedup(spark, frame(spark, rows), "")
     assert {(r["doc_id"], r["text"]) for r in got.collect()} == {rows[i] for i in (0, 2, 3, 4)}
+
+
+def test_units_of_short_words_and_dense_scripts():
+    from gnomon.llm.op8_toxicity import CODES, subsequences, units
+
+    assert units("go to hell you ass an id 12") == ["go", "to", "hell", "you", "ass", "an", "id", "12"]
+    assert units("a b c d of e") == ["abcd", "of", "e"]
+    assert units("傻瓜们 ok傻瓜") == ["傻瓜", "瓜们", "ok", "傻瓜"]
+    codes, weights = subsequences(["дурак", "мирно", "idiot", "傻瓜"])
+    seen = [set(c[w > 0].tolist()) for c, w in zip(codes, weights, strict=True)]
+    assert codes.max() < CODES and not seen[0] & seen[1] and all(seen)
+
+
+def test_kernel_equals_brute_force():
+    from itertools import combinations
+
+    from gnomon.llm.op8_toxicity import DECAY, PATTERNS, norms, subsequences
+
+    def brute(word):
+        found = Counter()
+        s = "^" + word + "$"
+        for size, span in ((3, 5), (4, 6)):
+            for places in combinations(range(len(s)), size):
+                if places[-1] - places[0] < span:
+                    found["".join(s[i] for i in places)] += DECAY ** (places[-1] - places[0] + 1 - size)
+        return found
+
+    assert len(PATTERNS) == 6 + 10
+    words = ["idiot", "idxiot", "id", "moron", "a", "banana"]
+    codes, weights = subsequences(words)
+    sparse = [Counter() for _ in words]
+    for own, c, w in zip(sparse, codes, weights, strict=True):
+        for code, value in zip(c.tolist(), w.tolist(), strict=True):
+            if value:
+                own[code] += value
+    dot = lambda a, b: sum(v * b[k] for k, v in a.items())
+    for i, a in enumerate(words):
+        assert abs(norms(codes, weights)[i] - dot(brute(a), brute(a)) ** 0.5) < 1e-9
+        for j, b in enumerate(words):
+            assert abs(dot(sparse[i], sparse[j]) - dot(brute(a), brute(b))) < 1e-9
+
+
+def test_toxicity_of_held_out_documents(spark):
+    from gnomon.llm.op8_toxicity import fit, rate
+
+    rng = random.Random(10)
+    clean = ["".join(rng.choice("abcdefghilmnorstu") for _ in range(rng.randint(2, 8))) for _ in range(400)]
+    bad = ["blorkex", "дурачина", "傻瓜", "vrumpit"]
+    rows, marks = [], []
+    for i in range(600):
+        words = [rng.choice(clean) for _ in range(30)]
+        if i % 3 == 0:
+            w = rng.choice(bad)
+            at = rng.randint(1, len(w) - 1)
+            words[rng.randint(0, 29)] = w if len(w) < 3 or i % 2 else w[:at] + rng.choice("*.xq") + w[at:]
+        rows.append((i, " ".join(words)))
+        marks.append((i, int(i % 3 == 0)))
+    labels = spark.createDataFrame(marks, "doc_id bigint, toxic int")
+    docs = frame(spark, rows)
+    machine = fit(docs.where("doc_id < 400"), labels)
+    got = {r["doc_id"]: r["predicted"] for r in rate(docs, machine).collect()}
+    held = range(400, 600)
+    assert sum(got[i] == (i % 3 == 0) for i in held) / len(held) >= 0.95
+    empty = rate(frame(spark, []), fit(frame(spark, []), labels.limit(0)))
+    assert empty.count() == 0
+    odd = rate(frame(spark, [(None, None), (1, ""), (1, ""), (2, "clean " * 200_000)]), machine).collect()
+    assert len(odd) == 4 and all(0 <= r["score"] < 0.5 for r in odd)
+
+
+def test_numbers_are_no_letters(spark):
+    from gnomon.llm.op3_language import words
+
+    assert words("½ ² ① Ⅳ 12 _") == [] and words("x² Straße Ⅳth") == ["x", "straße", "th"]
