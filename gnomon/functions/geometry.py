@@ -30,6 +30,11 @@ def wrap180(a: Column) -> Column:
     return F.pmod(a + 180.0, d(360)) - 180.0
 
 
+def turned(a: Column) -> Column:
+    """An angle in (-180, 180]."""
+    return 180.0 - F.pmod(180.0 - a, d(360))
+
+
 def separation(a: Column, b: Column) -> Column:
     """Bearings' difference the short way round."""
     return F.abs(wrap180(a - b))

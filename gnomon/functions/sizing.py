@@ -54,6 +54,16 @@ def tile_window(x: Column, y: Column, pano_w: Column, pano_h: Column, jitter_x:
     return _window(x + jitter_x, y + jitter_y, w, h, pano_w, pano_h)
 
 
+def tile_to_pano(window: Column, x: Column, y: Column, pano_w: Column) -> tuple[Column, Column]:
+    """Panorama pixel of a tile's pixel."""
+    return F.pmod(window["left"] + x.cast("bigint"), pano_w.cast("bigint")), window["top"] + y.cast("bigint")
+
+
+def pano_to_tile(window: Column, x: Column, y: Column, pano_w: Column) -> tuple[Column, Column]:
+    """Tile pixel of a panorama's pixel, the inverse inside the window, across the seam too."""
+    return F.pmod(F.rint(x).cast("bigint") - window["left"], pano_w.cast("bigint")), F.rint(y).cast("bigint") - window["top"]
+
+
 def inside(window: Column, cx: Column, cy: Column, w: Column, h: Column, pano_w: Column) -> Column:
     """Whether a box lies in a window, across the seam too."""
     from_left, top = F.pmod(cx - w / 2 - window["left"], pano_w), cy - h / 2
@@ -73,3 +83,17 @@ def margins(fraction: Column) -> tuple[Column, Column, Column]:
     """Of a fraction that an object takes of its crop: the ratio, and the margin over half and full extent."""
     ratio = F.try_divide(d(1), fraction)
     return ratio, ratio - 1, (ratio - 1) / 2
+
+
+def truncation_onset(height: Column, steps: int = 27) -> Column:
+    """Shallowest depression at which the crop of the first rule runs off the bottom, halving the range to 1e-6 of a
+    degree; 0 if it does so at the horizon already, null if it never does."""
+    y = lambda dep: height / 2 + dep / 90.0 * (height / 2)
+    over = lambda dep: y(dep) + size_v1(y(dep), height) / 2 > height
+    state = F.struct(d(0).alias("low"), d(90).alias("high"))
+
+    def step(s: Column, _: Column) -> Column:
+        mid = (s["low"] + s["high"]) / 2
+        return F.when(over(mid), F.struct(s["low"].alias("low"), mid.alias("high"))).otherwise(F.struct(mid.alias("low"), s["high"].alias("high")))
+
+    return F.when(over(d(90)), F.when(over(d(0)), d(0)).otherwise(F.aggregate(F.sequence(F.lit(1), F.lit(steps)), state, step)["high"]))

@@ -75,3 +75,22 @@ def wide_pair(first_w: Column, first_h: Column, w: Column, h: Column) -> tuple[C
     good = lambda a, b: (a > 0) & (b > 0)
     use = F.when(good(first_w, first_h), 1).when(good(w, h), 2)
     return F.when(use == 1, first_w.cast("int")).when(use == 2, w.cast("int")), F.when(use == 1, first_h.cast("int")).when(use == 2, h.cast("int"))
+
+
+def display_tags(text: Column) -> Column:
+    """Tags in order of their names, so that the order says nothing of where a label came from."""
+    return F.array_sort(tags(text))
+
+
+def label_uid(city: Column, label_id: Column) -> Column:
+    """A label's identity over all cities: ids start anew in each."""
+    return F.concat_ws(":", city, label_id.cast("string"))
+
+
+def tile_name(uid: Column) -> Column:
+    return F.concat(F.translate(uid, ":", "_"), F.lit(".jpg"))
+
+
+def shard(pano_id: Column) -> Column:
+    """Folder of a panorama in the store."""
+    return F.substring(pano_id, 1, 2)

@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from gnomon.functions import geometry as g
 from gnomon.functions import sizing, strata
+from gnomon.operators.quantiles import percentiles
 from gnomon.operators.replay import visible_px
 
 c = F.col
@@ -43,7 +44,8 @@ def drift(replayed: DataFrame) -> DataFrame:
     """Spread of the x misses within panoramas, and of their means between panoramas."""
     missed = replayed.where(~c("exact_x") & c("dx_deg").isNotNull())
     per = missed.groupBy("pano_id").agg(F.count("*").alias("n"), F.stddev_samp("dx_deg").alias("sd"), F.avg("dx_deg").alias("mean")).where("n >= 2")
-    return per.agg(F.count("*").alias("n_panos"), F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n_labels"), r6(F.percentile("sd", 0.5)).alias("median_within"), r6(F.stddev_samp("mean")).alias("sd_across"))
+    made = per.agg(F.count("*").alias("n_panos"), F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n_labels"), r6(F.stddev_samp("mean")).alias("sd_across"))
+    return made.join(percentiles(per, "sd", {"median_within": 0.5})).withColumn("median_within", r6(c("median_within")))
 
 
 def offaxis_by_band(study: DataFrame) -> DataFrame:
@@ -65,6 +67,44 @@ def identification(study: DataFrame, *by: str) -> DataFrame:
     return own.groupBy(*by).agg(F.count("*").alias("n"), r6(sd).alias("sd_overall"), r6(within).alias("sd_within"), r6(F.when(known, F.try_divide(100 * within, sd))).alias("surviving_pct"), r6(corr).alias("corr"))
 
 
+def eligibility(study: DataFrame, *by: str) -> DataFrame:
+    """How many rows an exact y keeps, and how many of them an exact x as well would have lost."""
+    both = c("exact_x") & c("exact_y")
+    return study.groupBy(*by).agg(F.count("*").alias("n_labels"), F.count_if("replayable_y").alias("replayable_y"), F.count_if("exact_y").alias("exact_y"), F.count_if(both).alias("exact_x_and_y"), F.count_if("eligible").alias("eligible"), F.count_if(c("eligible") & ~both).alias("kept_by_y_only"))
+
+
+def floor_census(study: DataFrame, *by: str) -> DataFrame:
+    """Least pitch of all rows, and of the eligible ones their pitches and share at the floor, also by band."""
+    ok = c("eligible")
+    names = ("floor_under_5_pct", "floor_5_15_pct", "floor_15_30_pct", "floor_over_30_pct")
+    return study.groupBy(*by).agg(
+        F.count("*").alias("n_all_labels"), r6(F.min("pitch")).alias("min_pitch_all"), F.count_if(ok).alias("n"), r6(F.min(F.when(ok, c("pitch")))).alias("min_pitch"), r6(F.max(F.when(ok, c("pitch")))).alias("max_pitch"),
+        share(ok & c("at_floor"), ok).alias("at_floor_pct"), share(ok & (c("pitch") == strata.PITCH_FLOOR), ok).alias("exactly_floor_pct"),
+        *(share(ok & c("at_floor") & (c("band") == b), ok & (c("band") == b)).alias(name) for b, name in zip(strata.BANDS, names, strict=True)),
+    )
+
+
+def city_study(replayed: DataFrame, *by: str) -> DataFrame:
+    """Span of time, eras, what is missing, and frames and canvases other than the usual."""
+    day = lambda x: F.date_format(x, "yyyy-MM-dd")
+    usual = F.coalesce((c("canvas_width") == g.CANVAS_W) & (c("canvas_height") == g.CANVAS_H), F.lit(False))
+    missing = {"no_dims": "pano_width", "no_camera_heading": "camera_heading", "no_camera_pitch": "camera_pitch", "no_camera_roll": "camera_roll", "no_pixel": "pano_x"}
+    return replayed.groupBy(*by).agg(
+        F.count("*").alias("n_labels"), day(F.min("time_created")).alias("first_day"), day(F.max("time_created")).alias("last_day"), *(F.count_if(c("era") == k).alias(f"n_{k}") for k in ("legacy", "mid", "post179")),
+        *(F.count_if(c(x).isNull()).alias(name) for name, x in missing.items()), F.count_if((c("pano_width") == 13312) & (c("pano_height") == 6656)).alias("fixed_frame"), F.count_if(~usual).alias("other_canvas"),
+    )
+
+
+def histogram(df: DataFrame, key: Column, name: str, *by: str) -> DataFrame:
+    """Rows by key, keys that come out equal together."""
+    return df.groupBy(*by, key.alias(name)).agg(F.count("*").alias("n"))
+
+
+def spread(df: DataFrame, value: str, *by: str) -> DataFrame:
+    """Extremes, deviation and the 90th percentile of the size of a value."""
+    return df.groupBy(*by).agg(F.count(value).alias("n"), r6(F.min(value)).alias("min"), r6(F.max(value)).alias("max"), r6(F.stddev_samp(value)).alias("sd"), r6(F.percentile(F.abs(value), 0.9)).alias("abs_p90"))
+
+
 def floor_by_type(study: DataFrame) -> DataFrame:
     return study.where("eligible").groupBy("label_type").agg(F.count("*").alias("n"), share(c("at_floor")).alias("at_floor_pct"), share(c("pitch") == strata.PITCH_FLOOR).alias("exactly_floor_pct"), r6(F.min("pitch")).alias("min_pitch"), r6(F.max("pitch")).alias("max_pitch"))
 

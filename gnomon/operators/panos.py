@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,7 +11,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gnomon.functions import sizing
-from gnomon.functions.geometry import d, depression, tile_grid
+from gnomon.functions.geometry import d, tile_grid
+from gnomon.functions.strata import absent
+from gnomon.operators.quantiles import at_ranks
 
 c = F.col
 
@@ -69,10 +72,78 @@ def invariance(heights: DataFrame) -> DataFrame:
     return own.groupBy("dep").agg(F.count("*").alias("heights"), *(F.round(F.max(k) / F.min(k), 6).alias(f"{k}_spread") for k in ("v1", "v2")))
 
 
-def crop_outcomes(labels: DataFrame) -> DataFrame:
-    """One outcome for each label, so that outcomes add up to the labels."""
-    what = F.when(c("pano_width").isNull() | c("pano_height").isNull(), "no_dims").when(c("pano_x").isNull() | c("pano_y").isNull(), "no_pixel").when((c("pano_y") < 0) | (c("pano_y") >= c("pano_height")), "outside").otherwise(F.when(depression(c("pano_y"), c("pano_height")) < 0, "above_horizon").otherwise("cropped"))
-    return labels.groupBy(what.alias("outcome")).agg(F.count("*").alias("n"))
+#: Disjoint outcomes, which add up to the labels.
+OUTCOMES = ("success", "skipped_existing", "missing_pano", "dims_mismatch", "out_of_frame", "errors")
+
+
+def crop_outcomes(labels: DataFrame, store: DataFrame, there: DataFrame, *by: str) -> DataFrame:
+    """What becomes of each label's crop, given the store's panoramas (pano_id, readable, width, height) and the
+    crops that are there already (label_type, label_id).
+
+    A row without id, label or finite pixel is an error, as is an image that cannot be read; metadata without
+    dimensions are not compared. shifted_vertically counts successes whose window had to move."""
+    held = store.select(c("pano_id").alias("_id"), "readable", c("width").alias("_w"), c("height").alias("_h"))
+    done = there.select(c("label_type").alias("_type"), c("label_id").alias("_label"), F.lit(True).alias("_done")).distinct()
+    finite = lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) != float("inf"))
+    sound = ~absent(c("pano_id")) & c("label_type").isNotNull() & c("label_id").isNotNull() & finite(c("pano_x")) & finite(c("pano_y"))
+    own = labels.join(held, F.trim("pano_id") == c("_id"), "left").join(done, (c("label_type") == c("_type")) & (c("label_id") == c("_label")), "left")
+    known = (c("pano_width") > 0) & (c("pano_height") > 0)
+    what = (
+        F.when(~sound, "errors").when(c("_id").isNull(), "missing_pano").when(~c("readable"), "errors")
+        .when(F.coalesce(known & ((c("pano_width") != c("_w")) | (c("pano_height") != c("_h"))), F.lit(False)), "dims_mismatch")
+        .when(~((c("pano_y") >= 0) & (c("pano_y") < c("_h"))), "out_of_frame").when(c("_done"), "skipped_existing").otherwise("success")
+    )
+    window = sizing.box_v2(c("pano_x"), c("pano_y"), sizing.width_v2(c("pano_y"), c("_h").cast("double")), c("_w").cast("double"), c("_h").cast("double"))
+    own = own.withColumns({"_what": what, "_shifted": F.coalesce(window["shifted"], F.lit(False))})
+    return own.groupBy(*by).agg(F.count("*").alias("total"), *(F.count_if(c("_what") == k).alias(k) for k in OUTCOMES), F.count_if((c("_what") == "success") & c("_shifted")).alias("shifted_vertically"))
+
+
+def pct(flag: Column, of: Column) -> Column:
+    return F.round(F.try_divide(100.0 * F.count_if(flag), F.count_if(of)), 6)
+
+
+def by_scopes(df: DataFrame, scopes: dict[str, str], made: list[Column]) -> DataFrame:
+    """The measures over all rows and by each scope's column, as (scope, value), in one pass."""
+    named = df.select("*", *(c(x).cast("string").alias(f"_{k}") for k, x in scopes.items()))
+    keys = [f"_{k}" for k in scopes]
+    sets = named.groupingSets([[], *([k] for k in keys)], *keys).agg(F.grouping_id(*keys).alias("_set"), *made)
+    full = 2 ** len(keys) - 1
+    scope, value = F.when(c("_set") == full, F.lit("all")), F.when(c("_set") == full, F.lit("all"))
+    for i, k in enumerate(scopes):
+        mine = c("_set") == full - 2 ** (len(keys) - 1 - i)
+        scope, value = scope.when(mine, k), value.when(mine, c(f"_{k}"))
+    return sets.select(scope.alias("scope"), value.alias("value"), *(x for x in sets.columns if x not in (*keys, "_set")))
+
+
+def alive_census(records: DataFrame) -> DataFrame:
+    """Of sampled panoramas: the share still served, whether dimensions drifted (where both are known), depth and
+    errors, over all and by era and city. A request that failed counts as not served."""
+    seen, known = c("found") & c("served_width").isNotNull(), c("stored_width").isNotNull() & c("stored_height").isNotNull()
+    differ = (c("served_width") != c("stored_width")) | (c("served_height") != c("stored_height"))
+    made = [
+        F.count("*").alias("n_sampled"), pct(c("found"), F.lit(True)).alias("alive_pct"), F.count_if(seen & known).alias("dims_comparable"), F.count_if(seen & ~known).alias("dims_unknown_stored"),
+        pct(seen & known & differ, seen & known).alias("dims_drift_pct"), pct(seen & F.coalesce("has_depth", F.lit(False)), seen).alias("depth_pct"), F.count("error").alias("errors"),
+    ]
+    return by_scopes(records, {"era": "era", "city": "city"}, made)
+
+
+def store_census(records: DataFrame) -> DataFrame:
+    """How many sampled panoramas are in the store, how many headers were read, and whether frames agree with those
+    stored and served: over all, by whether the source still serves them, and of those it does not by era and city."""
+    read = c("on_store") & (F.coalesce("store_width", F.lit(0)) > 0) & (F.coalesce("store_height", F.lit(0)) > 0)
+    agrees = lambda k: F.coalesce(read & (c(f"{k}_width") > 0) & (c("store_width") == c(f"{k}_width")) & (c("store_height") == c(f"{k}_height")), F.lit(False))
+    made = [
+        F.count("*").alias("n"), F.count_if("on_store").alias("on_store"), pct(c("on_store"), F.lit(True)).alias("on_store_pct"), F.count_if(read).alias("headers_read"), F.count_if(c("on_store") & ~read).alias("headers_unreadable"),
+        F.count_if(agrees("stored")).alias("match_stored"), F.count_if(agrees("served")).alias("match_served"),
+    ]
+    dead = by_scopes(records.where("NOT found"), {"dead_by_era": "era", "dead_by_city": "city"}, made).where("scope <> 'all'")
+    return by_scopes(records, {"alive": "found"}, made).union(dead)
+
+
+def file_sizes(records: DataFrame) -> DataFrame:
+    """Megabytes at the ranks n // 10, n // 2 and 9 n // 10 of the stored files."""
+    found = at_ranks(records.where("on_store AND file_bytes > 0"), "file_bytes", {"p10_mb": lambda n: F.floor(n / 10), "p50_mb": lambda n: F.floor(n / 2), "p90_mb": lambda n: F.floor(9 * n / 10)})
+    return found.select(*(F.round(c(x) / 1048576, 6).alias(x) for x in ("p10_mb", "p50_mb", "p90_mb")))
 
 
 def depth_planes(payloads: DataFrame) -> DataFrame:
@@ -84,20 +155,24 @@ def depth_planes(payloads: DataFrame) -> DataFrame:
         import base64
         import struct
 
-        raw = base64.urlsafe_b64decode((text or "") + "=" * (-len(text or "") % 4))
+        try:
+            raw = base64.urlsafe_b64decode((text or "") + "=" * (-len(text or "") % 4))
+        except ValueError:
+            return None, None, None, None, "bad base64"
         if len(raw) < 8:
             return None, None, None, None, "short header"
         size, n, w, h, at = struct.unpack("<BHHHB", raw[:8])
-        if size != 8 or w == 0 or h == 0:
+        if size != 8 or at < 8:
             return None, None, None, None, "bad header"
+        if w == 0 or h == 0:
+            return None, None, None, None, "no area"
         if len(raw) < at + w * h + 16 * n:
             return None, None, None, None, "short body"
         index = np.frombuffer(raw, np.uint8, w * h, at)
-        if n and index.max(initial=0) >= n:
+        # Index 0 says that there is no plane, and needs none.
+        if index.max() and index.max() >= n:
             return None, None, None, None, "unknown plane"
         planes = np.frombuffer(raw, "<f4", 4 * n, at + w * h).reshape(n, 4)
-        if not np.isfinite(planes).all():
-            return None, None, None, None, "bad plane"
         return w, h, index.tolist(), planes.astype(float).tolist(), None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,6 +185,18 @@ def depth_planes(payloads: DataFrame) -> DataFrame:
     return payloads.select("pano_id", "payload").mapInArrow(run, "pano_id string, width int, height int, indices array<int>, planes array<array<double>>, error string")
 
 
+def depth_cells(planes: DataFrame) -> DataFrame:
+    """pano_id, row, column, plane and distance of every cell of decoded rasters; -1 where there is no plane. A cell's
+    ray meets its plane at the distance |d / (ray . n)|; one that runs along the plane never does, and has infinity."""
+    cells = planes.where("error IS NULL").select("pano_id", "width", "height", "planes", F.posexplode("indices").alias("cell", "plane"))
+    own = cells.select("pano_id", F.floor(c("cell") / c("width")).cast("int").alias("row"), (c("cell") % c("width")).cast("int").alias("column"), "width", "height", "plane", F.get("planes", c("plane")).alias("p"))
+    theta = (c("height") - c("row") - 0.5) / c("height") * math.pi
+    phi = (c("width") - c("column") - 0.5) / c("width") * 2.0 * math.pi + math.pi / 2.0
+    along = F.sin(theta) * F.cos(phi) * c("p")[0] + F.sin(theta) * F.sin(phi) * c("p")[1] + F.cos(theta) * c("p")[2]
+    distance = F.when(c("plane") == 0, -1.0).when(along == 0, float("inf")).otherwise(F.abs(c("p")[3] / along))
+    return own.select("pano_id", "row", "column", "plane", distance.cast("float").alias("distance"))
+
+
 def depth_at(x: Column, y: Column, pano_w: Column, pano_h: Column, width: Column, height: Column) -> Column:
     """Cell, from 0, of a depth raster under a pixel; columns wrap, rows stop at the edge."""
     col = F.pmod(F.floor(x * width / pano_w), width)
@@ -118,9 +205,12 @@ def depth_at(x: Column, y: Column, pano_w: Column, pano_h: Column, width: Column
 
 
 def ground_plane(planes: DataFrame, least_vertical: float = 0.7) -> DataFrame:
-    """The plane, index 0 left out, with most cells in the lower half of the raster, and the camera's
-    height over it; a plane has to be near level."""
-    cells = planes.where("error IS NULL").select("pano_id", "width", "height", "planes", F.posexplode("indices").alias("cell", "plane")).where("cell >= width * CAST(height / 2 AS INT) AND plane > 0")
-    support = cells.groupBy("pano_id", "plane").agg(F.count("*").alias("support"), F.first(F.element_at("planes", c("plane") + 1)).alias("p"))
-    level = support.withColumn("vertical", F.abs(c("p")[2])).where(c("vertical") >= least_vertical)
-    return level.groupBy("pano_id").agg(F.max_by(F.struct("plane", F.abs(c("p")[3]).alias("camera_height")), F.struct("support", "vertical", -c("plane"))).alias("x")).select("pano_id", "x.plane", "x.camera_height")
+    """The plane, index 0 left out, with most cells below the horizon, and the camera's height over it. A plane has
+    to be near level; ties go to the more level one, then the smaller index. The middle row of an odd height lies
+    on the horizon and belongs to neither half."""
+    below = planes.where("error IS NULL").select("pano_id", "planes", F.explode(F.slice("indices", c("width") * F.ceil(c("height") / 2).cast("int") + 1, c("width") * F.floor(c("height") / 2).cast("int"))).alias("plane")).where("plane > 0")
+    support = below.groupBy("pano_id", "plane").agg(F.count("*").alias("support"), F.first(F.get("planes", c("plane"))).alias("p"))
+    long = F.sqrt(c("p")[0] * c("p")[0] + c("p")[1] * c("p")[1] + c("p")[2] * c("p")[2])
+    level = support.withColumn("long", long).where("long > 0").withColumn("vertical", F.abs(c("p")[2]) / c("long")).where(c("vertical") >= least_vertical)
+    best = F.max_by(F.struct("plane", (F.abs(c("p")[3]) / c("long")).alias("camera_height")), F.struct("support", "vertical", -c("plane")))
+    return level.groupBy("pano_id").agg(best.alias("x")).select("pano_id", "x.plane", "x.camera_height")

@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections import Counter
+
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from gnomon.functions import strata
+from gnomon.functions.geometry import delta_bearing, separation
+
 c = F.col
+#: Fixed values of the corpus draw.
+CELL, PER_PANO, STANDARD_H, OTHER_FRAMES, MISMATCHES, CONTRAST_PANOS, APART_DEG = 6, 3, 8192.0, 60, 30, 80, 60.0
 
 
 def seeded(key: Column, seed: int) -> Column:
@@ -88,3 +95,116 @@ def round_robin(df: DataFrame, metric: str, key: str, by: str, k: int) -> DataFr
     """The k worst rows of each group, the worst of all groups first, then the next of each."""
     turn = F.row_number().over(Window.partitionBy(by).orderBy(F.desc(metric), key))
     return df.withColumn("turn", turn).where(c("turn") <= k)
+
+
+def corpus_frame(study: DataFrame, legacy_end: str = strata.LEGACY_END, live_from: str = strata.LIVE_FROM, fixed_from: str = strata.FIXED_FROM) -> DataFrame:
+    """Labels that a corpus can be drawn from, with their identity over all cities, strata, bearing and marks."""
+    own = study.withColumns({
+        "label_uid": F.concat_ws(":", "city", c("label_id").cast("string")), "quality": strata.quality(c("time_created"), legacy_end, live_from, fixed_from), "bearing": delta_bearing(c("pano_x"), c("pano_width")),
+        "replay_mismatch": c("exact_y") & ~c("exact_x"), "disputed": F.coalesce("disagree_count", F.lit(0)) > F.coalesce("agree_count", F.lit(0)),
+        "referent": strata.has_referent(c("label_type"), c("tags") if "tags" in study.columns else F.array().cast("array<string>")),
+    })
+    return own.where(c("eligible") & c("quality").isNotNull() & (c("pano_id") != "tutorial") & ~c("label_type").isin("Occlusion"))
+
+
+def strata_table(corpus: DataFrame) -> DataFrame:
+    """What each cell of band, quality and type holds."""
+    return corpus.groupBy("band", "quality", "label_type").agg(F.count("*").alias("n"), F.count_distinct("city", "pano_id").alias("panos"), F.count_if("replay_mismatch").alias("mismatches"), F.count_if("disputed").alias("disputed"), F.count_if("referent").alias("measurable"), F.count_if(c("pano_height") != STANDARD_H).alias("other_frames"))
+
+
+def contrast_pairs(pool: DataFrame) -> DataFrame:
+    """Of every panorama with two labels at least APART_DEG apart: the first label in order that has another so far
+    off, the first such other, and the place of the panorama's first label. The first label with any partner is
+    the first of the first pair, as its partner has one too, so sorted bearings do and no pairs are made."""
+    turned = pool.select("city", "pano_id", "label_uid", "order", F.pmod("bearing", F.lit(360.0)).alias("at"), F.explode(F.array(F.lit(0), F.lit(360))).alias("turn"))
+    micro = F.rint((c("at") + c("turn")) * 1e6).cast("bigint")
+    reach = int(APART_DEG * 1e6)
+    w = Window.partitionBy("city", "pano_id").orderBy(micro).rangeBetween(reach, 360 * 10**6 - reach)
+    seen = turned.withColumn("far", F.count("*").over(w)).where("turn = 0")
+    one = F.struct("order", "label_uid", "at")
+    first = seen.groupBy("city", "pano_id").agg(F.min("order").alias("place"), F.min(F.when(c("far") > 0, one)).alias("one")).where("one IS NOT NULL")
+    other = seen.join(first, ["city", "pano_id"]).where(F.rint(separation(c("at"), c("one")["at"]) * 1e6) >= reach)
+    return other.groupBy("city", "pano_id", "place", c("one")["label_uid"].alias("first")).agg(F.min(one)["label_uid"].alias("second"))
+
+
+def draw(corpus: DataFrame, seed: int, cell: int = CELL) -> DataFrame:
+    """A stratified draw, with the roles for which each label is in: contrast (two labels of a panorama far apart, for
+    CONTRAST_PANOS panoramas), resolution (OTHER_FRAMES of other heights), mismatch (MISMATCHES), and then cells
+    of band, quality and type filled up to `cell`. No panorama gives more than PER_PANO labels. What an earlier
+    stratum took counts in a later one.
+
+    Labels stand in a seeded order. A refusal means a full panorama, and only quotas fill panoramas, so the
+    first labels of each stratum, PER_PANO of a panorama and as many as its quota and all quotas together, are all
+    that the draw can come to. These few are what the driver decides over, whatever the corpus's size."""
+    pool = corpus.withColumn("order", F.xxhash64("label_uid", F.lit(seed)))
+    cells = corpus.select("band", "quality", "label_type").distinct().count()
+    quota = 2 * CONTRAST_PANOS + OTHER_FRAMES + MISMATCHES + cell * cells
+    pairs = contrast_pairs(pool).orderBy("place", "city", "pano_id").limit(CONTRAST_PANOS)
+    keys = ("label_uid", "city", "pano_id", "band", "quality", "label_type", "pano_height", "replay_mismatch", "order")
+
+    def first(rows: DataFrame, n: int, *strata_: str) -> list:
+        own = Window.partitionBy(*strata_, "city", "pano_id").orderBy("order", "label_uid")
+        few = rows.select(*keys).withColumn("turn", F.row_number().over(own)).where(c("turn") <= PER_PANO).drop("turn")
+        if not strata_:
+            return few.orderBy("order", "label_uid").limit(n).collect()
+        place = F.row_number().over(Window.partitionBy(*strata_).orderBy("order", "label_uid"))
+        return few.withColumn("place", place).where(c("place") <= n).orderBy("order", "label_uid").collect()
+
+    chosen = pairs.select("place", F.explode(F.array("first", "second")).alias("label_uid"), F.col("first"))
+    contrast = {r["label_uid"]: r for r in pool.select(*keys).join(F.broadcast(chosen.select("label_uid").distinct()), "label_uid").collect()}
+    took = Draw()
+    for r in pairs.orderBy("place", "city", "pano_id").collect():
+        for uid in (r["first"], r["second"]):
+            took.take(contrast[uid], "contrast")
+    for r in first(pool.where(c("pano_height") != STANDARD_H), OTHER_FRAMES + quota):
+        if took.n["resolution"] >= OTHER_FRAMES:
+            break
+        took.take(r, "resolution")
+    for r in first(pool.where("replay_mismatch"), MISMATCHES + quota):
+        if took.n["mismatch"] >= MISMATCHES:
+            break
+        took.take(r, "mismatch")
+    by_cell: dict[tuple, list] = {}
+    for r in first(pool, cell + quota, "band", "quality", "label_type"):
+        by_cell.setdefault((r["band"], r["quality"], r["label_type"]), []).append(r)
+    # Cells come in the order of their first labels.
+    for key in by_cell:
+        have = took.n[key]
+        for r in by_cell[key]:
+            if have >= cell:
+                break
+            if r["label_uid"] not in took.roles and took.take(r, "cell"):
+                have += 1
+    rows = [(uid, ",".join(sorted(x))) for uid, x in took.roles.items()]
+    found = corpus.sparkSession.createDataFrame(rows, "label_uid string, roles string")
+    return corpus.join(F.broadcast(found), "label_uid").select("label_uid", "city", "pano_id", "band", "quality", "label_type", "pano_height", "bearing", "replay_mismatch", "roles")
+
+
+class Draw:
+    """Labels taken, why, and how many of each panorama, stratum and cell."""
+
+    def __init__(self) -> None:
+        self.roles: dict[str, set[str]] = {}
+        self.n: Counter = Counter()
+
+    def take(self, row: Row, role: str) -> bool:
+        uid, pano = row["label_uid"], ("pano", row["city"], row["pano_id"])
+        if uid not in self.roles:
+            if self.n[pano] >= PER_PANO:
+                return False
+            self.roles[uid] = set()
+            self.n.update([pano, (row["band"], row["quality"], row["label_type"])] + ["resolution"] * (row["pano_height"] != STANDARD_H) + ["mismatch"] * bool(row["replay_mismatch"]))
+        self.roles[uid].add(role)
+        return True
+
+
+def shortfalls(drawn: DataFrame) -> DataFrame:
+    """What the frame could not supply, by stratum."""
+    pairs = contrast_pairs(drawn.withColumn("order", F.xxhash64("label_uid"))).agg(F.count("*").alias("n"))
+    other = drawn.agg(F.count_if(c("pano_height") != STANDARD_H).alias("resolution"), F.count_if("replay_mismatch").alias("mismatch"))
+    wanted = {"contrast_panos": CONTRAST_PANOS, "resolution": OTHER_FRAMES, "mismatch": MISMATCHES}
+    made = pairs.select(F.lit("contrast_panos").alias("stratum"), c("n").alias("achieved"))
+    for k in ("resolution", "mismatch"):
+        made = made.union(other.select(F.lit(k), c(k)))
+    required = F.coalesce(*(F.when(c("stratum") == k, F.lit(v)) for k, v in wanted.items()))
+    return made.select("stratum", "achieved", required.alias("required"), F.greatest(F.lit(0), required - c("achieved")).alias("shortfall"))

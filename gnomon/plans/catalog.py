@@ -13,7 +13,7 @@ from gnomon.operators import panos as pn
 from gnomon.operators import runs as rn
 from gnomon.operators import sampling as sm
 from gnomon.operators.replay import classify, covariates, repair_summary, replay, solve_record, zoom_overlap
-from gnomon.plans import duck
+from gnomon.plans import duck, studies  # noqa: F401  (registers its queries)
 from gnomon.plans.registry import ORACLES, QUERIES, query
 from gnomon.sources import views
 
@@ -336,16 +336,6 @@ def circular_span(spark, sf_dir):
     return cl.separated_panos(cluster_points(spark, sf_dir))
 
 
-@query()
-def matched_assignment(spark, sf_dir):
-    return cl.matched_pairs(cluster_points(spark, sf_dir))
-
-
-@query()
-def near_duplicate_drop(spark, sf_dir):
-    return cl.without_repeats(cluster_points(spark, sf_dir))
-
-
 @query()
 def greedy_leader(spark, sf_dir):
     return cl.leaders(cluster_points(spark, sf_dir).select("city", "label_id", (c("az") / 10000).alias("lat"), (c("el") / 1000).alias("lng")))
@@ -545,11 +535,6 @@ def depth_sample(spark, sf_dir):
     return boxes(spark, sf_dir).select("box_id", pn.depth_at(c("x"), c("y"), c("pano_w"), c("pano_h"), F.lit(512), F.lit(256)).alias("cell"))
 
 
-@query(f"WITH {duck.LABELS} SELECT CASE WHEN pano_width IS NULL OR pano_height IS NULL THEN 'no_dims' WHEN pano_x IS NULL OR pano_y IS NULL THEN 'no_pixel' WHEN pano_y < 0 OR pano_y >= pano_height THEN 'outside' WHEN {duck.DEPRESSION} < 0 THEN 'above_horizon' ELSE 'cropped' END AS outcome, count(*) AS n FROM labels GROUP BY 1")
-def crop_outcomes(spark, sf_dir):
-    return pn.crop_outcomes(views.labels(spark, sf_dir))
-
-
 # Runs
 
 @query(f"WITH {duck.RUNS}, d AS (SELECT *, image_fail - lag(image_fail) OVER (PARTITION BY city ORDER BY start_time, run_id) AS delta, row_number() OVER (PARTITION BY city ORDER BY start_time DESC, run_id DESC) AS back FROM runs), a AS (SELECT city, count(*) AS n, round(avg(CASE WHEN delta < 0 THEN 0 ELSE delta END) FILTER (back <= 7), 6) AS avg_new FROM d GROUP BY city HAVING count(*) > 1) SELECT city, avg_new, coalesce(avg_new >= 20, false) AS warns FROM a")

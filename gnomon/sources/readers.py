@@ -49,6 +49,21 @@ def label_export(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return own.withColumn("era", era(F.col("time_created")))
 
 
+#: The few columns that a census of crop geometry reads.
+NARROW_TEXT, NARROW_REAL = ["pano_id", "label_type"], ["pano_x", "pano_y", "pano_width", "pano_height"]
+
+
+def narrow_export(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Seven columns of a label export, without era; others need not be there."""
+    df = need(raw_csv(spark, path), [*NARROW_TEXT, *NARROW_REAL, "time_created"])
+    return df.select(*NARROW_TEXT, *(number(x) for x in NARROW_REAL), F.timestamp_millis(number("time_created", "bigint")).alias("time_created"))
+
+
+def cities(spark: SparkSession, path: str) -> DataFrame:
+    """City ids and the names to show."""
+    return need(raw_csv(spark, path), ["city_id", "display_name"]).select(F.trim("city_id").alias("city_id"), "display_name")
+
+
 def one_rig(labels: DataFrame, source: str) -> tuple[DataFrame, DataFrame]:
     """Labels of cities with only the wanted source, and the cities left out with the reason. A city
     with several sources raises when its rows are read."""
@@ -57,16 +72,21 @@ def one_rig(labels: DataFrame, source: str) -> tuple[DataFrame, DataFrame]:
     return labels.join(per.where("reason IS NULL").select("city"), "city", "left_semi"), per.where("reason IS NOT NULL").select("city", "reason")
 
 
-def label_intake(spark: SparkSession, path: str) -> DataFrame:
-    """Labels to crop, from CSV or JSON by extension, the first by order of pixel and id of each label_id."""
+def label_intake(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Labels to crop, from CSV or JSON by extension, and how often each repeated label_id came. Of repeated ids the
+    first row of the file stays; rows without a readable id are kept, for the crop run to count as errors."""
     if path.endswith(".json"):
         df = spark.read.json(path, multiLine=True, primitivesAsString=True)
     elif path.endswith((".csv", ".csv.gz")):
         df = raw_csv(spark, path)
     else:
         raise ValueError(f"neither CSV nor JSON: {path}")
-    own = need(df, REQUIRED_LABEL).select(number("label_id", "bigint"), "pano_id", number("label_type_id", "int"), number("pano_x"), number("pano_y"))
-    return first_per(own, "label_id", order=("pano_id", "pano_x", "pano_y"))
+    optional = [number(x) for x in ("pano_width", "pano_height") if x in df.columns]
+    own = need(df, REQUIRED_LABEL).withColumn("_row", F.monotonically_increasing_id())
+    own = own.select(number("label_id", "bigint"), "pano_id", number("label_type_id", "int"), number("pano_x"), number("pano_y"), *optional, "_row")
+    known = own.where("label_id IS NOT NULL")
+    kept = first_per(known, "label_id", order=("_row",)).union(own.where("label_id IS NULL")).drop("_row")
+    return kept, known.groupBy("label_id").agg(F.count("*").alias("rows")).where(F.col("rows") > 1)
 
 
 def pano_list(spark: SparkSession, path: str) -> DataFrame:
@@ -100,8 +120,11 @@ def ledger(spark: SparkSession, path: str, known: tuple[str, ...] = ("0", "1"))
 
 
 def provenance(spark: SparkSession, path: str) -> DataFrame:
-    """Name, bytes and SHA-256 of each file."""
-    return spark.read.format("binaryFile").load(path).select(F.element_at(F.split("path", "/"), -1).alias("file"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    """Name, bytes, SHA-256 and rows of each CSV file; the header is no row."""
+    name = F.element_at(F.split("_metadata.file_path", "/"), -1).alias("file")
+    rows = spark.read.csv(path, header=True, multiLine=True, escape='"', inferSchema=False).select(name).groupBy("file").agg(F.count("*").alias("rows"))
+    files = spark.read.format("binaryFile").load(path).select(F.element_at(F.split("path", "/"), -1).alias("file"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    return files.join(rows, "file", "left").withColumn("rows", F.coalesce("rows", F.lit(0).cast("bigint")))
 
 
 def bundle(spark: SparkSession, boxes_path: str, records_path: str) -> DataFrame:

@@ -19,13 +19,22 @@ def strict_json(summary: DataFrame, rows: int = 10_000) -> str:
     return json.dumps([r.asDict(recursive=True) for r in found], allow_nan=False, sort_keys=True, default=str, indent=1) + "\n"
 
 
-def csv_by_city(df: DataFrame, path: str) -> None:
-    """One folder of compressed CSV for each city."""
-    df.write.mode("overwrite").partitionBy("city").option("header", True).option("compression", "gzip").csv(path)
+def records(df: DataFrame) -> DataFrame:
+    """Rows as strict JSON texts with sorted keys; a NaN is null."""
+    kind = dict(df.dtypes)
+    clean = lambda x: F.when(~F.isnan(x), F.col(x)) if kind[x] in ("double", "float") else F.col(x)
+    return df.select(F.to_json(F.struct(*(clean(x).alias(x) for x in sorted(df.columns))), {"ignoreNullFields": "false"}).alias("value"))
+
+
+def csv_by_city(df: DataFrame, path: str, key: str = "city") -> None:
+    """One folder of compressed CSV for each city, or value of another key."""
+    df.write.mode("overwrite").partitionBy(key).option("header", True).option("compression", "gzip").csv(path)
 
 
 def append_runs(runs: DataFrame, path: str) -> None:
-    """Runs added to a log; counts that a run does not have are blank."""
+    """Runs added to a log; counts that a run does not have are blank, and others than the log's are refused."""
+    if more := set(runs.columns) - {"start_time", *COUNTS}:
+        raise ValueError(f"not in the log: {', '.join(sorted(more))}")
     more = {x: F.lit(None).cast("double") for x in COUNTS if x not in runs.columns}
     runs.withColumns(more).select("start_time", *COUNTS).write.mode("append").csv(path)
 

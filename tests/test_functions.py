@@ -144,3 +144,161 @@ def test_leaders_of_a_whole_city_equal_the_sequential_rule(spark):
             if not near:
                 leading.setdefault(city, []).append((n, lat, lng))
         assert {(r["city"], r["label_id"]): r["leader"] for r in got.collect()} == want
+
+
+def test_percentiles_of_ranges_are_exact(spark):
+    import numpy as np
+
+    from gnomon.operators.quantiles import at_ranks, percentiles
+
+    rng = np.random.default_rng(2)
+    values = {"a": rng.normal(size=3000), "b": np.round(rng.normal(size=500), 1), "c": np.array([4.0])}
+    rows = [(k, float(x)) for k, v in values.items() for x in v] + [("a", None), ("d", None), ("b", float("nan"))]
+    df = spark.createDataFrame(rows, "k string, x double")
+    got = {r["k"]: r for r in percentiles(df, "x", {"p10": 0.1, "p50": 0.5, "top": 1.0}, "k").collect()}
+    assert set(got) == {"a", "b", "c"}
+    for k, v in values.items():
+        for name, q in (("p10", 0.1), ("p50", 0.5), ("top", 1.0)):
+            assert abs(got[k][name] - np.quantile(v, q)) < 1e-12
+    every = np.sort(np.concatenate(list(values.values())))
+    ranks = at_ranks(df, "x", {"low": lambda n: F.floor(n / 10), "last": lambda n: n - 1}).first()
+    assert (ranks["low"], ranks["last"]) == (every[len(every) // 10], every[-1])
+    assert percentiles(df.limit(0), "x", {"p50": 0.5}).first()["p50"] is None
+
+
+def test_components_of_any_shape(spark, monkeypatch):
+    import random
+
+    from gnomon.operators import graph
+
+    rng = random.Random(3)
+    nodes = list(range(600))
+    rng.shuffle(nodes)
+    edges = [(nodes[i], nodes[i + 1]) for i in range(0, 200)] + [(nodes[210], nodes[i]) for i in range(211, 300)] + [(nodes[i], nodes[i + 1]) for i in range(300, 500, 2)]
+    root = {x: x for e in edges for x in e}
+    for _ in range(600):
+        for a, b in edges:
+            root[a] = root[b] = min(root[a], root[b])
+    monkeypatch.setattr(graph, "EDGES", 7)
+    df = spark.createDataFrame(edges, "a bigint, b bigint").repartition(5)
+    assert {r["node"]: r["root"] for r in graph.smallest_reachable(df).collect()} == root
+
+
+def test_assignment_is_of_least_cost():
+    from itertools import permutations
+
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    for _ in range(300):
+        n = int(rng.integers(1, 6))
+        m = int(rng.integers(n, 7))
+        cost = rng.random((n, m)) if rng.random() < 0.7 else rng.integers(0, 3, (n, m)).astype(float)
+        to = clusters.assignment(cost)
+        assert len(set(to.tolist())) == n
+        assert abs(cost[np.arange(n), to].sum() - min(sum(cost[i, p[i]] for i in range(n)) for p in permutations(range(m), n))) < 1e-9
+
+
+def test_draw_equals_the_sequential_rule(spark, monkeypatch):
+    from gnomon.operators import sampling
+    from gnomon.plans.studies import corpus
+
+    monkeypatch.setattr(sampling, "CONTRAST_PANOS", 9)
+    monkeypatch.setattr(sampling, "OTHER_FRAMES", 25)
+    monkeypatch.setattr(sampling, "MISMATCHES", 12)
+    monkeypatch.setattr(sampling, "PER_PANO", 2)
+    pool = corpus(spark, "/root/testdata/sf0.001").withColumn("pano_id", (F.col("label_id") % 90).cast("string")).withColumn("city", F.lit("c"))
+    pool = spark.createDataFrame(pool.select("label_uid", "city", "pano_id", "band", "quality", "label_type", "pano_height", "bearing", "replay_mismatch").where("bearing IS NOT NULL").collect())
+    rows = [r.asDict() for r in pool.withColumn("order", F.xxhash64("label_uid", F.lit(5))).collect()]
+    rows.sort(key=lambda r: (r["order"], r["label_uid"]))
+    roles, per = {}, {}
+
+    def take(r, role):
+        if r["label_uid"] not in roles:
+            if per.get(r["pano_id"], 0) >= 2:
+                return False
+            per[r["pano_id"]] = per.get(r["pano_id"], 0) + 1
+        roles.setdefault(r["label_uid"], set()).add(role)
+        return True
+
+    panos: dict = {}
+    for r in rows:
+        panos.setdefault(r["pano_id"], []).append(r)
+    n = 0
+    for own in panos.values():
+        far = next(((a, b) for i, a in enumerate(own) for b in own[i + 1 :] if abs((a["bearing"] - b["bearing"] + 180) % 360 - 180) >= 60), None)
+        if far and n < 9:
+            n += take(far[0], "contrast") and take(far[1], "contrast")
+    by = {r["label_uid"]: r for r in rows}
+    for flag, role, quota in ((lambda r: r["pano_height"] != 8192, "resolution", 25), (lambda r: r["replay_mismatch"], "mismatch", 12)):
+        for r in filter(flag, rows):
+            if sum(bool(flag(by[u])) for u in roles) >= quota:
+                break
+            take(r, role)
+    cells: dict = {}
+    for r in rows:
+        cells.setdefault((r["band"], r["quality"], r["label_type"]), []).append(r)
+    for own in cells.values():
+        for r in own:
+            if sum(x["label_uid"] in roles for x in own) >= 3:
+                break
+            if r["label_uid"] not in roles:
+                take(r, "cell")
+    drawn = sampling.draw(pool, 5, 3)
+    assert {r["label_uid"]: r["roles"] for r in drawn.collect()} == {k: ",".join(sorted(v)) for k, v in roles.items()}
+    short = {r["stratum"]: (r["achieved"], r["shortfall"]) for r in sampling.shortfalls(drawn).collect()}
+    assert short["contrast_panos"][0] >= 9 and short["resolution"] == (sum(by[u]["pano_height"] != 8192 for u in roles), 0)
+
+
+def test_depth_payloads(spark):
+    import base64
+    import struct
+
+    import numpy as np
+
+    from gnomon.operators import panos
+
+    def payload(w, h, index, planes, size=8, at=8, n=None):
+        head = struct.pack("<BHHHB", size, len(planes) if n is None else n, w, h, at)
+        return base64.urlsafe_b64encode(head + bytes(index) + b"".join(struct.pack("<4f", *p) for p in planes)).decode().rstrip("=")
+
+    ground, tilted = (0.0, 0.0, -2.0, 5.0), (0.6, 0.0, 0.8, 3.0)
+    good = payload(2, 3, [0, 0, 1, 2, 2, 2], [(0, 0, 0, 0), ground, tilted])
+    rows = [("ok", good), ("none", payload(2, 1, [0, 0], [])), ("header", payload(1, 1, [0], [], at=3)), ("size", payload(1, 1, [0], [], size=9)), ("area", payload(0, 1, [], [])), ("cut", good[:-8]), ("plane", payload(1, 1, [3], [ground])), ("text", "%%%=%%"), ("null", None)]
+    decoded = panos.depth_planes(spark.createDataFrame(rows, "pano_id string, payload string"))
+    got = {r["pano_id"]: r for r in decoded.collect()}
+    assert [got[k]["error"] for k in ("ok", "none", "header", "size", "area", "cut", "plane", "null")] == [None, None, "bad header", "bad header", "no area", "short body", "unknown plane", "short header"]
+    assert got["text"]["error"]
+    cells = {(r["row"], r["column"]): r["distance"] for r in panos.depth_cells(decoded.where("pano_id = 'ok'")).collect()}
+    for row in range(3):
+        for column in range(2):
+            theta, phi = (3 - row - 0.5) / 3 * np.pi, (2 - column - 0.5) / 2 * 2 * np.pi + np.pi / 2
+            p = [None, ground, tilted][[0, 0, 1, 2, 2, 2][row * 2 + column]]
+            want = -1 if p is None else abs(p[3] / np.dot(p[:3], (np.sin(theta) * np.cos(phi), np.sin(theta) * np.sin(phi), np.cos(theta))))
+            assert np.isclose(cells[row, column], want, rtol=1e-4) or want > 1e6
+    planes = {r["pano_id"]: (r["plane"], round(r["camera_height"], 4)) for r in panos.ground_plane(decoded).collect()}
+    assert planes == {"ok": (2, 3.0)}
+
+
+def test_small_functions(spark):
+    from gnomon.functions import geometry, sizing, strata
+
+    one = lambda **k: spark.range(1).select(*(v.alias(x) for x, v in k.items())).first()
+    lit = lambda x: F.lit(float(x))
+    got = one(a=geometry.turned(lit(180)), b=geometry.turned(lit(-180)), c=geometry.turned(lit(540.5)), d=geometry.turned(lit(-190)))
+    assert tuple(got) == (180.0, 180.0, -179.5, 170.0)
+    got = one(t=strata.display_tags(F.lit("[steep,bumpy, steep]")), u=strata.label_uid(F.lit("c"), F.lit(7)), n=strata.tile_name(F.lit("c:7")), s=strata.shard(F.lit("AbCd")), k=strata.frame_key(lit(2), lit(1)), e=strata.frame_key(F.lit(None).cast("double"), lit(1)))
+    assert (got["t"], got["u"], got["n"], got["s"], got["k"], got["e"]) == (["bumpy", "steep"], "c:7", "c_7.jpg", "Ab", "2x1", "unresolved")
+    w, h = strata.wide_pair(lit(0), lit(5), lit(7), lit(8))
+    r, full, half = sizing.margins(lit(0.25))
+    got = one(w=w, h=h, r=r, full=full, half=half, m=geometry.ground_metres(lit(0), lit(0), lit(0), lit(1)), f=strata.in_frame(F.lit("taipei")), g=strata.in_frame(F.lit(None).cast("string")))
+    assert (got["w"], got["h"], got["r"], got["full"], got["half"], got["f"], got["g"]) == (7, 8, 4.0, 3.0, 1.5, False, True)
+    assert abs(got["m"] - 111194.93) < 0.01
+    window = sizing.tile_window(lit(10), lit(4000), lit(16384), lit(8192), lit(3), lit(-2))
+    x, y = sizing.pano_to_tile(window, lit(5), lit(4010), lit(16384))
+    back = spark.range(1).select(window.alias("w"), x.alias("x"), y.alias("y")).select(*(v.alias(k) for k, v in zip("ab", sizing.tile_to_pano(F.col("w"), F.col("x"), F.col("y"), lit(16384)), strict=True))).first()
+    assert tuple(back) == (5, 4010)
+    for height in (2048.0, 6656.0, 8192.0):
+        onset = one(x=sizing.truncation_onset(lit(height)))["x"]
+        over = lambda dep, height=height: one(x=height / 2 + lit(dep) / 90 * (height / 2) + sizing.size_v1(height / 2 + lit(dep) / 90 * (height / 2), lit(height)) / 2 > height)["x"]
+        assert over(onset) and not over(onset - 1e-5)
