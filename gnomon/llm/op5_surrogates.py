@@ -1,15 +1,18 @@
 """Personal data replaced by keyed surrogates of the same type and format.
 
-Numbers, addresses and keys go through a keyed permutation of all values of their format, so two of
-them never share a surrogate and one has the same everywhere. Names are drawn by a keyed hash from
-names built for their script and gender; the distinct names of the corpus are checked for surrogates
-that meet, and those draw again until none do.
+Numbers, dates, addresses and keys go through a keyed permutation of all values of their format, so two of
+them never share a surrogate and one has the same everywhere; check digits are made anew. Names are drawn
+by a keyed hash from names built for their script, given names also for their gender. Family names know no
+gender, so that Mr. and Mrs. Smith stay one family. The distinct names of the corpus are checked for
+surrogates that meet each other or a real name, and those draw again until none do.
 """
 
 from __future__ import annotations
 
+import datetime
 import hashlib
 import re
+import secrets
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -18,23 +21,34 @@ from pyspark.sql import functions as F
 
 from gnomon.llm.common import durable, only, table
 
-KEY = "surrogates of this corpus"
+#: Setting of the session that holds the key of the query; where it is unset a new one is made for the run.
+KEY_SETTING = "spark.gnomon.surrogates.key"
 #: Names whose first surrogate met another's and that are broadcast; beyond, all names get longer.
 EXCEPTIONS = 50_000
+#: Common given names, which tell a name without a title, and its gender.
+MALE_GIVEN = "James John Robert Michael William David Richard Joseph Thomas Charles Daniel Matthew Anthony Paul Steven Andrew Kenneth George Edward Brian Kevin Hans Peter Klaus Jürgen Wolfgang Stefan Andreas Jean Pierre Michel François Jacques Luis José Juan Carlos Miguel Javier Antonio Manuel Pedro Ivan Sergei Dmitri".split()
+FEMALE_GIVEN = "Mary Patricia Jennifer Linda Elizabeth Barbara Susan Jessica Sarah Karen Nancy Lisa Margaret Sandra Jane Emily Anna Maria Ursula Monika Sabine Petra Claudia Marie Sophie Camille Isabelle Nathalie Carmen Isabel Ana Lucía Elena Olga Natalia Tatiana".split()
+_GIVEN = rf"\b(?:{'|'.join([*MALE_GIVEN, *FEMALE_GIVEN])}) "
 ENTITY = re.compile(
     r"(?P<email>[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})"
     r"|(?P<secret>\bAKIA[0-9A-Z]{16}\b|\b(?:ghp|gho|sk|pk|xox[abp])[_-][A-Za-z0-9_-]{16,}|\b[0-9a-f]{32,64}\b|(?<=password=)\S+|(?<=passwd=)\S+|(?<=api_key=)\S+|(?<=secret=)\S+|(?<=token=)\S+)"
     r"|(?P<iban>\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b)"
     r"|(?P<ip>(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d))"
+    r"|(?:\b(?:[Bb]orn(?: on)?|DOB|[Dd]ate of [Bb]irth|[Gg]eboren(?: am)?|[Nn]ée? le|[Nn]acid[oa] el)[: ]+(?P<birth>\d{4}-\d{2}-\d{2}|\d{1,2}[./-]\d{1,2}[./-]\d{4})(?!\d))"
+    r"|(?:\b[Pp]as(?:sport|seport|aporte|s)\b(?: ?(?:[Nn]o|[Nn]umber|[Nn]umero|[Nn]úmero|[Nn]r)\b\.?)?[:# ]+(?P<passport>[A-Z]{0,2}\d{6,9})\b)"
+    r"|(?:\b(?:[Tt]el|[Pp]hone|[Cc]all|[Ff]ax|[Mm]obile)\b[.:]? ?(?P<local>\d{3}[ .-]\d{4})(?![\d-]))"
     r"|(?P<ssn>(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-]))"
     r"|(?P<card>(?<![\d-])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3})(?![\d-]))"
     r"|(?P<phone>(?<![\d+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}(?!\d)|(?<!\d)(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]\d{4}(?!\d))"
     r"|\b(?P<title>Mr|Mrs|Ms|Miss|Dr|Prof|Sir|Lady|Herr|Frau|Monsieur|Madame|Mme|Mlle|Señora|Señor|Sra|Sr|Don|Doña|Господин|Госпожа)\b\.? (?P<name>[^\W\d_]+(?:[ -][^\W\d_]+)?)"
+    rf"|(?P<person>{_GIVEN}[A-ZÀ-ÖØ-Þ][^\W\d_]+)"
 )
 #: A superset of ENTITY: whatever has an entity has one of these.
-_HINT = re.compile(r"[0-9@]|(?:password|passwd|api_key|secret|token)=|\b(?:AKIA|(?:ghp|gho|sk|pk|xox[abp])[_-])|[a-f]{32}|\b(?:Mr|Mrs|Ms|Miss|Dr|Prof|Sir|Lady|Herr|Frau|Monsieur|Madame|Mme|Mlle|Señora|Señor|Sra|Sr|Don|Doña|Господин|Госпожа)\b")
+_HINT = re.compile(r"[0-9@]|(?:password|passwd|api_key|secret|token)=|\b(?:AKIA|(?:ghp|gho|sk|pk|xox[abp])[_-])|[a-f]{32}|\b(?:Mr|Mrs|Ms|Miss|Dr|Prof|Sir|Lady|Herr|Frau|Monsieur|Madame|Mme|Mlle|Señora|Señor|Sra|Sr|Don|Doña|Господин|Госпожа)\b|" + _GIVEN)
 FEMALE = {"Mrs", "Ms", "Miss", "Lady", "Frau", "Madame", "Mme", "Mlle", "Señora", "Sra", "Doña", "Госпожа"}
 NEUTRAL = {"Dr", "Prof"}
+#: Titles that stand before a given name.
+BEFORE_GIVEN = {"Sir", "Lady", "Don", "Doña"}
 LOWER, UPPER, DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 #: Parts of made names by script: beginnings and middles, then endings of male and of female names.
 PARTS = {
@@ -92,8 +106,46 @@ def refilled(text: str, digits: str) -> str:
     return "".join(next(it) if c in DIGITS else c for c in text)
 
 
+def iban_check(country: str, body: str) -> str:
+    """The two check digits of an IBAN."""
+    return f"{98 - int(''.join(str(int(c, 36)) for c in body + country + '00')) % 97:02d}"
+
+
+def dated(text: str, key: str) -> str:
+    """Another day of the two centuries from 1900 in the same format; other digits where it is no such day."""
+    parts = re.split("([./-])", text)
+    year_first = len(parts[0]) == 4
+    y, m, d = (int(parts[k]) for k in ((0, 2, 4) if year_first else (4, 2, 0)))
+    first, end = datetime.date(1900, 1, 1).toordinal(), datetime.date(2100, 1, 1).toordinal()
+    american = not year_first and m > 12 >= d
+    try:
+        day = datetime.date(y, d, m) if american else datetime.date(y, m, d)
+    except ValueError:
+        return reshaped(text, "no day", key)
+    if not first <= day.toordinal() < end:
+        return reshaped(text, "no day", key)
+    new = datetime.date.fromordinal(first + permuted(day.toordinal() - first, end - first, hashlib.blake2b(f"{key}|day".encode(), digest_size=32).digest()))
+    values = (new.year, new.month, new.day) if year_first else (new.month, new.day, new.year) if american else (new.day, new.month, new.year)
+    return "".join(x if i % 2 else f"{values[i // 2]:0{len(x)}d}" for i, x in enumerate(parts))
+
+
 def surrogate(what: str, text: str, key: str) -> str:
     """The surrogate of anything but a name."""
+    if what == "birth":
+        return dated(text, key)
+    if what == "iban":
+        bare = text.replace(" ", "")
+        country, check, body = bare[:2], bare[2:4], bare[4:]
+        valid = check == iban_check(country, body)
+        if valid:
+            body = reshaped(body, f"iban{country}", key)
+            new = country + iban_check(country, body) + body
+        else:
+            new = country + reshaped(check + body, f"iban-{country}", key)
+            while new[2:4] == iban_check(country, new[4:]):  # still a permutation of those that fail the check
+                new = country + reshaped(new[2:], f"iban-{country}", key)
+        it = iter(new)
+        return "".join(c if c == " " else next(it) for c in text)
     if what == "email":
         local, _, host = text.partition("@")
         labels = host.split(".")
@@ -115,7 +167,7 @@ def surrogate(what: str, text: str, key: str) -> str:
             return refilled(text, changed)
         body = reshaped(digits[:-1], "card", key, 1)
         return refilled(text, body + next(d for d in DIGITS if luhn(body + d)))
-    if what == "phone":
+    if what in ("phone", "local"):
         digits = "".join(c for c in text if c in DIGITS)
         own = digits[-10:]
         # The first digit of the national number stays, so that it remains one that can be dialled.
@@ -123,7 +175,7 @@ def surrogate(what: str, text: str, key: str) -> str:
     if what == "secret" and re.fullmatch("[0-9a-f]+", text):
         value = permuted(int(text, 16), 16 ** len(text), hashlib.blake2b(f"{key}|hex{len(text)}".encode(), digest_size=32).digest())
         return f"{value:0{len(text)}x}"
-    return reshaped(text, what, key, {"iban": 4, "secret": 4 if text.startswith("AKIA") else 0}.get(what, 0))
+    return reshaped(text, what, key, 4 if what == "secret" and text.startswith("AKIA") else 0)
 
 
 def script(word: str) -> str:
@@ -131,23 +183,36 @@ def script(word: str) -> str:
     return "cyrillic" if 0x400 <= c < 0x530 else "greek" if 0x370 <= c < 0x400 else "han" if 0x3400 <= c < 0xA000 else "latin"
 
 
-def name_surrogate(word: str, gender: str, turn: int, key: str, length: int = 3) -> str:
-    """A made name for a lower-case word; other turns give other names."""
+def name_surrogate(word: str, kind: str, turn: int, key: str, length: int = 3) -> str:
+    """A made name for a lower-case word that is a male ("m") or female ("f") given name or a family name ("s");
+    other turns give other names."""
     parts, male, female = PARTS[script(word)]
-    value = int.from_bytes(hashlib.blake2b(f"{gender}|{turn}|{word}".encode(), key=hashlib.blake2b(key.encode(), digest_size=32).digest(), digest_size=16).digest(), "big")
+    value = int.from_bytes(hashlib.blake2b(f"{kind}|{turn}|{word}".encode(), key=hashlib.blake2b(key.encode(), digest_size=32).digest(), digest_size=16).digest(), "big")
     out = ""
     for _ in range(length):
         value, k = divmod(value, len(parts))
         out += parts[k]
-    ends = female if gender == "f" else male
+    ends = female if kind == "f" else male
     return out + ends[value % len(ends)]
 
 
+_MALE, _FEMALE = ({x.lower() for x in names} for names in (MALE_GIVEN, FEMALE_GIVEN))
+
+
 def names_in(m: re.Match[str]) -> list[tuple[str, str]]:
-    """Lower-case name words of a match and their genders. A word in small letters is no name."""
+    """Words of a matched name in order, and what each is: "m", "f", "s", or "" for a word in small letters, which
+    is no name. The last of several words, and a word alone but for a few titles, is a family name."""
     title = m["title"]
-    gender = "f" if title in FEMALE or title in NEUTRAL and m["name"].split()[0][-1:] in "aа" else "m"
-    return [(w.lower(), gender) for w in re.split("[ -]", m["name"]) if w[:1].isupper() or script(w) == "han"]
+    words = re.split("[ -]", m["name"] if title else m["person"])
+    named = [w[:1].isupper() or script(w) == "han" for w in words]
+    last = max((i for i, x in enumerate(named) if x), default=0)
+    out = []
+    for i, (w, is_name) in enumerate(zip(words, named, strict=True)):
+        low = w.lower()
+        given = "f" if title in FEMALE else "m" if title and title not in NEUTRAL else "f" if low in _FEMALE or low not in _MALE and low[-1:] in "aа" else "m"
+        family = i == last and not (sum(named) == 1 and title in BEFORE_GIVEN)
+        out.append((w, "" if not is_name else "s" if family else given))
+    return out
 
 
 def in_text(text: str) -> Iterator[re.Match[str]]:
@@ -159,21 +224,27 @@ def replaced(text: str, key: str, turns: dict[tuple[str, str], int], length: int
     """The text with surrogates, and type, start and end of each entity in the text as it was."""
     out, spans, at = [], [], 0
     for m in in_text(text):
-        what = m.lastgroup if m.lastgroup != "title" else "name"
-        if m["name"] is not None:
-            what, start, end = "name", m.start("name"), m.end("name")
-            known = dict(names_in(m))
-            if not known:
+        where = "name" if m["name"] is not None else "person" if m["person"] is not None else ""
+        if where:
+            what, (start, end) = "name", m.span(where)
+            known = names_in(m)
+            if not any(kind for _, kind in known):
                 continue
-            new = ""
-            for w in re.split("([ -])", m["name"]):
-                if w.lower() in known and w not in " -":
-                    made = name_surrogate(w.lower(), known[w.lower()], turns.get((known[w.lower()], w.lower()), 0), key, length)
+            while not known[-1][1]:
+                end -= len(known.pop()[0]) + 1
+            new = []
+            for w, kind in known:
+                if kind:
+                    made = name_surrogate(w.lower(), kind, turns.get((kind, w.lower()), 0), key, length)
                     w = made.upper() if w.isupper() and len(w) > 1 else made.capitalize()
-                new += w
+                new.append(w)
+            between = re.findall("[ -]", m[where])[: len(known) - 1]
+            new = "".join(x for pair in zip(new, [*between, ""], strict=True) for x in pair)
         else:
+            what = m.lastgroup
             start, end = m.span(what)
             new = surrogate(what, m[what], key)
+            what = "phone" if what == "local" else what
         out += [text[at:start], new]
         spans.append((what, start, end))
         at = end
@@ -181,12 +252,12 @@ def replaced(text: str, key: str, turns: dict[tuple[str, str], int], length: int
 
 
 def names_that_meet(df: DataFrame, text: str, key: str) -> tuple[dict[tuple[str, str], int], int]:
-    """Turns of the names whose surrogates met, and the length of made names. All names are
+    """Turns of the names whose surrogates met another or a real name, and the length of made names. All names are
     checked; only those that have to draw again come to the driver, EXCEPTIONS at most."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = {x for t in batch.column(0).to_pylist() for m in in_text(t or "") if m["name"] is not None for x in names_in(m)}
+            found = {(w.lower(), kind) for t in batch.column(0).to_pylist() for m in in_text(t or "") if m["name"] is not None or m["person"] is not None for w, kind in names_in(m) if kind}
             rows = sorted(found)
             yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in rows], pa.string()), pa.array([g for _, g in rows], pa.string())], ["word", "gender"])
 
@@ -201,7 +272,10 @@ def names_that_meet(df: DataFrame, text: str, key: str) -> tuple[dict[tuple[str,
                     yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made, pa.string())], ["word", "gender", "turn", "made"])
 
             drawn = state.mapInArrow(make, "word string, gender string, turn int, made string")
-            first = drawn.groupBy("made").agg(F.min(F.struct("turn", "word", "gender")).alias("first"), F.count("*").alias("n")).where("n > 1").select("made", "first")
+            first = drawn.groupBy("made").agg(F.min(F.struct("turn", "word", "gender")).alias("first"), F.count("*").alias("n"))
+            real = names.select(F.col("word").alias("made"), F.lit(True).alias("real")).distinct()
+            # A real name is nobody's surrogate, so even the first that drew it draws again.
+            first = first.join(real, "made", "left").where("n > 1 OR real").select("made", F.when(F.col("real").isNull(), F.col("first")).otherwise(F.struct(F.lit(-1).alias("turn"), F.lit("").alias("word"), F.lit("").alias("gender"))).alias("first"))
             again = drawn.join(first, "made", "left").select("word", "gender", F.when(F.col("first").isNotNull() & ((F.col("first.word") != F.col("word")) | (F.col("first.gender") != F.col("gender"))), F.col("turn") + 1).otherwise(F.col("turn")).alias("turn"), F.col("first").isNotNull().alias("met"))
             state = durable(again)
             meeting = state.where("met").limit(1).count()
@@ -215,11 +289,14 @@ def names_that_meet(df: DataFrame, text: str, key: str) -> tuple[dict[tuple[str,
     raise ValueError("too many names meet")
 
 
-def pseudonymise(df: DataFrame, text: str = "text", keys: tuple[str, ...] = ("doc_id",), key: str = KEY) -> DataFrame:
+def pseudonymise(df: DataFrame, key: str, text: str = "text", keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """keys, text with surrogates, n_entities and entities (type, start, end in the text as it was).
 
-    A null text counts as empty. Repeated rows and null keys stay; an empty table gives an empty one.
-    One entity has one surrogate in all rows, and two entities never share one.
+    A null text counts as empty; very long texts are read whole, other columns are not read. Repeated rows and null
+    keys stay; an empty table gives an empty one. One entity has one surrogate in all rows, and two entities never
+    share one; no made name is a name of the corpus. Whoever has the key can undo the permutations: it is the
+    caller's to choose and to keep. What is found are the formats and titles of ENTITY and names that begin with
+    one of the common given names; it is no general recogniser of names.
     """
     own, n = only(df, *keys, text), len(keys)
     shared = df.sparkSession.sparkContext.broadcast(names_that_meet(df, text, key))
@@ -239,5 +316,7 @@ def pseudonymise(df: DataFrame, text: str = "text", keys: tuple[str, ...] = ("do
 
 
 def op5_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document with its personal data replaced."""
-    return pseudonymise(table(spark, sf_dir, "documents")).select("doc_id", F.col("new_text").alias("text"), "n_entities", "entities")
+    """Every document with its personal data replaced, under the key that the session's KEY_SETTING holds. Null and
+    empty texts are empty, repeated rows stay and are changed alike, an empty table gives an empty one."""
+    key = spark.conf.get(KEY_SETTING, None) or secrets.token_hex(16)
+    return pseudonymise(table(spark, sf_dir, "documents"), key).select("doc_id", F.col("new_text").alias("text"), "n_entities", "entities")
