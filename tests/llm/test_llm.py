@@ -308,7 +308,7 @@ def test_surrogates_keep_type_and_identity(spark):
 
     assert sorted(permuted(i, 100, b"k") for i in range(100)) == list(range(100))
     rows = [(1, "Mail a.b@x.example.com or call +1 (743) 555-3824; Mrs. Anna Smith"), (2, "A.B@x.example.com 4539578763621486 10.0.0.1 Frau Smith"), (3, None)]
-    got = {r["doc_id"]: r for r in pseudonymise(frame(spark, rows)).collect()}
+    got = {r["doc_id"]: r for r in pseudonymise(frame(spark, rows), "a key").collect()}
     one, two = got[1]["new_text"], got[2]["new_text"]
     assert re.findall(r"\S+@\S+", one)[0].lower() == re.findall(r"\S+@\S+", two)[0].lower() != "a.b@x.example.com"
     assert luhn(re.search(r"\d{16}", two)[0]) and "10.0.0.1" not in two and "Smith" not in one + two
@@ -405,7 +405,7 @@ def test_secrets_are_found_in_texts_without_digits(spark):
     before = ["password=", "passwd=", "api_key=", "secret=", "token="] + ["with "] * 9
     rows = [(i, f"login {b}{x} now") for i, (b, x) in enumerate(zip(before, secrets, strict=True))]
     rows += [(20, "Mail ab@example.com"), (21, "Herr Schmidt")]
-    got = {r["doc_id"]: r for r in pseudonymise(frame(spark, rows)).collect()}
+    got = {r["doc_id"]: r for r in pseudonymise(frame(spark, rows), "a key").collect()}
     assert all(got[i]["n_entities"] == 1 and got[i]["new_text"] != rows[k][1] for k, (i, _) in enumerate(rows))
     assert all(x not in got[i]["new_text"] for i, x in enumerate(secrets))
 
@@ -491,3 +491,107 @@ def test_numbers_are_no_letters(spark):
     from gnomon.llm.op3_language import words
 
     assert words("½ ² ① Ⅳ 12 _") == [] and words("x² Straße Ⅳth") == ["x", "straße", "th"]
+
+
+def test_surrogates_keep_families_formats_and_check_digits(spark):
+    import datetime
+
+    from gnomon.llm.op5_surrogates import iban_check, luhn, names_that_meet, pseudonymise
+
+    rows = [
+        (1, "Dr. Smith met Mrs. Smith and Mr. Smith, then Jane Smith and Dr. Jane Smith"), (2, "IBAN GB82 WEST 1234 5698 7654 32 and GB83 WEST 1234 5698 7654 32"), (3, "born 1999-12-31, DOB: 4.5.1987, geboren am 31.02.1990"),
+        (4, "passport no. C01234567, call 555-0199, range 555-0199"), (5, "card 4111 1111 1111 1111"), (6, None), (6, None), (7, ""), (None, "John Public"),
+    ]
+    got = {r["doc_id"]: r for r in pseudonymise(frame(spark, rows), "a key").collect()}
+    words = re.findall(r"[^\W\d_]+", got[1]["new_text"])
+    family = words[1]
+    assert words == ["Dr", family, "met", "Mrs", family, "and", "Mr", family, "then", words[9], family, "and", "Dr", words[9], family] and "Smith" not in words and "Jane" not in words
+    assert words[9][-1] == "a" and got[1]["n_entities"] == 5
+    one, other = got[2]["new_text"].removeprefix("IBAN ").split(" and ")
+    for text, valid in ((one, True), (other, False)):
+        bare = text.replace(" ", "")[:22]
+        assert (bare[2:4] == iban_check(bare[:2], bare[4:])) == valid and bare[:2] == "GB"
+    first, second, third = (x["start"] for x in got[3]["entities"])
+    datetime.date.fromisoformat(got[3]["new_text"][first : first + 10])
+    assert got[3]["n_entities"] == 3 and "1999-12-31" not in got[3]["new_text"] and "31.02.1990" not in got[3]["new_text"]
+    assert got[4]["n_entities"] == 2 and got[4]["new_text"].endswith("range 555-0199") and "C01234567" not in got[4]["new_text"]
+    assert luhn("".join(c for c in got[5]["new_text"] if c.isdigit())) and "4111 1111" not in got[5]["new_text"]
+    assert got[6]["new_text"] == "" == got[7]["new_text"] and "Public" not in got[None]["new_text"]
+    assert pseudonymise(frame(spark, []), "a key").count() == 0
+    names = [(i, f"Mr. {''.join(random.Random(i).choice('abcdefghijklmnop') for _ in range(6)).capitalize()}") for i in range(4000)]
+    docs = frame(spark, names)
+    turns, length = names_that_meet(docs, "text", "a key")
+    made = [r["new_text"] for r in pseudonymise(docs, "a key").collect()]
+    assert len(set(made)) == len({x for _, x in names}) and not {m.lower() for m in made} & {x.lower() for _, x in names}
+
+
+def test_recall_at_the_similarity_that_makes_a_link(spark):
+    from gnomon.llm.op10_near import aligned, near_groups, word_ids
+
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    rows, kinds = [], []
+    for n in (60, 150, 400):
+        for changed in (0.12, 0.16, 0.2):
+            for _ in range(25):
+                base = [word() for _ in range(n)]
+                copy = list(base)
+                for k in rng.sample(range(n), int(n * changed)):
+                    copy[k] = word()
+                i = len(rows)
+                rows += [(i, " ".join(base)), (i + 1, " ".join(copy))]
+                kinds.append((i, n, changed))
+    got = {r["doc_id"]: r["class_id"] for r in near_groups(frame(spark, rows)).collect()}
+    ids = [word_ids(t.encode().split()) for _, t in rows]
+    assert all(aligned(ids[i], ids[i + 1]) for i, _, _ in kinds)
+    for changed in (0.12, 0.16, 0.2):
+        mine = [got[i] == got[i + 1] for i, _, x in kinds if x == changed]
+        print(f"edit similarity {1 - changed:.2f}: recall {sum(mine) / len(mine):.3f} of {len(mine)}")
+    assert sum(got[i] == got[i + 1] for i, _, _ in kinds) / len(kinds) >= 0.9
+    assert all(got[i] in (i, i - i % 2) for i in got)
+
+
+def test_copies_around_a_common_passage_meet_as_by_brute_force(spark, monkeypatch):
+    from gnomon.llm import op10_near as op
+
+    rng = random.Random(13)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    passage = [word() for _ in range(50)]
+    made = []
+    for i in range(80):
+        own = [word() for _ in range(60)]
+        made.append(own[:30] + passage + own[30:])
+        if i % 2:
+            made.append([word() if rng.random() < 0.08 else w for w in made[-1]])
+    made += [["short", "words", "of", "one", "kind", str(i)] for i in range(30)]
+    docs = frame(spark, [(i, " ".join(w)) for i, w in enumerate(made)])
+    ids = [op.word_ids([x.encode() for x in w]) for w in made]
+    true = list(range(len(made)))
+    for i in range(len(made)):
+        for j in range(i):
+            if true[i] != true[j] and op.aligned(ids[i], ids[j]):
+                low, high = sorted((true[i], true[j]))
+                true = [low if x == high else x for x in true]
+    assert len(set(true)) == 81
+    # The usual way, sketches of single words, and blocks of what they leave.
+    for small, block in ((op.SMALL, op.BLOCK), (10, op.BLOCK), (1, 7)):
+        monkeypatch.setattr(op, "SMALL", small)
+        monkeypatch.setattr(op, "BLOCK", block)
+        got = {r["doc_id"]: r["class_id"] for r in op.near_groups(docs).collect()}
+        assert [got[i] for i in range(len(made))] == true
+
+
+def test_odd_tables_of_near_duplicates(spark):
+    from gnomon.llm.op10_near import aligned, near_groups
+
+    assert near_groups(frame(spark, [])).count() == 0
+    schema = "doc_id bigint, text string, _wanted bigint, node bigint, at string, keys string, content string"
+    text = " ".join(f"w{i}" for i in range(40))
+    docs = spark.createDataFrame([(1, text, 5, 1, "a", "k", "c"), (1, text, 5, 1, "a", "k", "c"), (2, text + " more", 6, 2, "b", "k", "c"), (3, None, None, None, None, None, None), (None, text, 1, 1, "a", "k", "c"), (4, "", 1, 1, "a", "k", "c")], schema)
+    got = sorted((r["doc_id"] or 0, r["class_id"] or 0, r["class_size"]) for r in near_groups(docs).collect())
+    assert got == [(0, 0, 1), (1, 1, 3), (1, 1, 3), (2, 1, 3), (3, 3, 1), (4, 4, 1)]
+    rng = np.random.default_rng(1)
+    long = rng.integers(0, 5000, 100_000).astype(np.uint32)
+    copy = long.copy()
+    copy[::9] += 1
+    assert aligned(long, copy) and not aligned(long, rng.integers(0, 5000, 100_000).astype(np.uint32))
