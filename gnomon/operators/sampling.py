@@ -17,8 +17,11 @@ CELL, PER_PANO, STANDARD_H, OTHER_FRAMES, MISMATCHES, CONTRAST_PANOS, APART_DEG
 
 
 def seeded(key: Column, seed: int) -> Column:
-    """An order by key and seed that any engine can repeat."""
-    return (key * 7919 + seed) % 10007
+    """An order by key and seed, mixed by products and shifts of 31 bits that any engine can repeat."""
+    bits = F.lit(1 << 31)
+    x = (F.pmod(key.cast("bigint"), bits) * 2654435761 + seed) % bits
+    x = (x.bitwiseXOR(F.shiftright(x, 15)) * 2246822519) % bits
+    return x.bitwiseXOR(F.shiftright(x, 13))
 
 
 def weights(df: DataFrame, *cell: str) -> DataFrame:

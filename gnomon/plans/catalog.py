@@ -429,13 +429,13 @@ def largest_remainder(spark, sf_dir):
     return sm.largest_remainder(own, 100)
 
 
-@query(f"WITH {duck.LABELS}, e AS (SELECT *, {_era(E1, E2)} AS era FROM labels), p AS (SELECT *, row_number() OVER (PARTITION BY city, era ORDER BY (label_id * 7919 + 20260812) % 10007, label_id) AS pick FROM e) SELECT city, era, label_id, CAST(pick AS INT) AS pick FROM p WHERE pick <= 5")
+@query(f"WITH {duck.LABELS}, e AS (SELECT *, {_era(E1, E2)} AS era FROM labels), p AS (SELECT *, row_number() OVER (PARTITION BY city, era ORDER BY {duck.seeded('label_id', 20260812)}, label_id) AS pick FROM e) SELECT city, era, label_id, CAST(pick AS INT) AS pick FROM p WHERE pick <= 5")
 def stratified_sample(spark, sf_dir):
     own = views.labels(spark, sf_dir).withColumn("era", strata.era(c("time_created"), E1, E2))
     return sm.stratified(own, "label_id", 5, 20260812, "city", "era").select("city", "era", "label_id", "pick")
 
 
-@query(f"WITH {duck.LABELS}, p AS (SELECT *, row_number() OVER (PARTITION BY pano_id ORDER BY (label_id * 7919 + 7) % 10007, label_id) AS pick FROM labels) SELECT pano_id, label_id FROM p WHERE pick <= 3")
+@query(f"WITH {duck.LABELS}, p AS (SELECT *, row_number() OVER (PARTITION BY pano_id ORDER BY {duck.seeded('label_id', 7)}, label_id) AS pick FROM labels) SELECT pano_id, label_id FROM p WHERE pick <= 3")
 def pano_cap(spark, sf_dir):
     return sm.capped(views.labels(spark, sf_dir), "label_id", 3, 7, "pano_id").select("pano_id", "label_id")
 

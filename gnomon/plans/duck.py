@@ -43,6 +43,14 @@ def offset(stored: str, got: str, w: str) -> str:
     return f"(CASE WHEN {off} = -{w} / 2 THEN {w} / 2 ELSE {off} END)"
 
 
+def seeded(key: str, seed: int) -> str:
+    """An order by key and seed, as the sampling operators take it."""
+    bits = 1 << 31
+    once = f"(({key} % {bits} * 2654435761 + {seed}) % {bits})"
+    twice = f"((xor({once}, {once} >> 15) * 2246822519) % {bits})"
+    return f"xor({twice}, {twice} >> 13)"
+
+
 LABELS = f"""raw AS (SELECT {', '.join(views.LABEL)} FROM events), made AS (SELECT *, {', '.join(views.MADE)} FROM raw),
 {direction('made', 'aimed', 'made_x', 'made_y', 'made_zoom', 'm')},
 labels AS (SELECT * EXCLUDE (made_x, made_y, made_zoom, made_h, off_x, off_y, mh, mp),
