@@ -100,10 +100,11 @@ class PieceCoder:
         longest = [-1] * n
         for end, i in self.automaton.iter(text):
             longest[end + 1 - length[i]] = i
-        failed, at, out, last, piece = 0, 0, [], -1, longest[0]
+        # A bit for each position from which the rest cannot be split.
+        failed, at, out, last, piece = bytearray((n >> 3) + 1), 0, [], -1, longest[0]
         while True:
             to = at + length[piece]
-            if not failed >> to & 1:
+            if not failed[to >> 3] >> (to & 7) & 1:
                 fit = fits.get((last + 1) * size + piece)
                 if self.neighbours(last, piece) if fit is None else fit:
                     out.append(piece)
@@ -113,7 +114,7 @@ class PieceCoder:
                     continue
             piece = self.shorter[piece]
             while piece < 0:
-                failed |= 1 << at
+                failed[at >> 3] |= 1 << (at & 7)
                 piece = out.pop()
                 at -= length[piece]
                 last = out[-1] if out else -1
