@@ -37,15 +37,17 @@ SCRIPTS = [
 SCRIPT_NAMES = ["other", *dict.fromkeys(name for name, _, _ in SCRIPTS)]
 _EDGES = np.array([x for _, a, b in SCRIPTS for x in (a, b + 1)])
 _SCRIPT_OF = np.array([0] + [x for name, _, _ in SCRIPTS for x in (SCRIPT_NAMES.index(name), 0)])
-#: Letters only: of the characters that the expression below counts as part of a word, numbers such as a half or a
-#: Roman four are none.
+WORD = re.compile(r"[^\W\d_]+")
+#: Numbers such as a half or a Roman four, which WORD takes for letters; a text that may have some is looked at closely.
 _NUMBERS = "".join(chr(x) for x in range(sys.maxunicode + 1) if unicodedata.category(chr(x)) in ("Nl", "No"))
-WORD = re.compile(rf"[^\W\d_{_NUMBERS}]+")
+_ODD = re.compile(f"[{''.join(c for c in _NUMBERS if c < chr(0x10000))}\U00010000-\U0010ffff]")
+LETTERS = re.compile(rf"[^\W\d_{_NUMBERS}]+")
 
 
 def words(text: str) -> list[str]:
     """Runs of letters in lower case, cut into parts of WIDTH letters at most."""
-    found = WORD.findall(text.lower())
+    text = text.lower()
+    found = (LETTERS if not text.isascii() and _ODD.search(text) else WORD).findall(text)
     if any(len(w) > WIDTH for w in found):
         found = [w[i : i + WIDTH] for w in found for i in range(0, len(w), WIDTH)]
     return found
