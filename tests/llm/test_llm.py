@@ -44,6 +44,8 @@ def test_pieces_equal_the_library(spark, rows):
         text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 25)))
         ids = lib.encode(text, add_bos=True, add_eos=True)
         assert coder.encode(text) == ids and coder.decode(ids) == lib.decode(ids)
+    for text in ("".join(rng.choice("abcdefghij") for _ in range(100_000)), "ab" * 20_000):
+        assert coder.encode(text) == lib.encode(text, add_bos=True, add_eos=True)
     got = encode(frame(spark, rows), decoded=True).collect()
     assert len(got) == len(rows)
     assert {r["doc_id"]: r["decoded"] for r in got}[60] == ""
@@ -595,3 +597,53 @@ def test_odd_tables_of_near_duplicates(spark):
     copy = long.copy()
     copy[::9] += 1
     assert aligned(long, copy) and not aligned(long, rng.integers(0, 5000, 100_000).astype(np.uint32))
+
+
+def test_odd_rows_and_clashing_names_in_every_operator(spark, tmp_path):
+    """Nulls in every column, empty and very long texts, repeated rows and columns named like an operator's own."""
+    import corpus_pipeline
+    from gnomon.llm import op1_pieces, op3_language, op4_substrings, op5_surrogates, op6_exact, op7_decontaminate, op9_score
+
+    extra = ["row", "_row", "_sha", "key", "id", "fp", "norm", "tag", "pos", "node", "word", "_block", "_text", "score", "sha", "n_hit", "keep", "start"]
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint, " + ", ".join(f"`{x}` string" for x in extra)
+    more = ["x"] * len(extra)
+    rng = random.Random(14)
+    prose_ = [" ".join("".join(rng.choice("abcdefghilmnorstu") for _ in range(5)) for _ in range(40)) for _ in range(5)]
+    long = " ".join("".join(rng.choice("abcdefghilmnorstu") for _ in range(6)) for _ in range(60_000))
+    rows = [(i, t, "en", "s", 1, *more) for i, t in enumerate(prose_)] + [(1, prose_[1], "en", "s", 1, *more), (None, prose_[2], None, None, None, *[None] * len(extra)), (7, None, None, None, None, *more), (8, "", "en", "s", 0, *more), (9, long, "en", "s", 1, *more)]
+    docs = spark.createDataFrame(rows, schema)
+    empty = docs.limit(0)
+    items = spark.createDataFrame([(1, " ".join(prose_[3].split()[5:20]), "x"), (None, None, None)], "item_id bigint, text string, n_hit string")
+    model = op3_language.fit(docs)
+    runs = {
+        "op1": lambda d: op1_pieces.encode(d, decoded=True), "op3": lambda d: op3_language.identify(d, model), "op4": op4_substrings.remove_repeats, "op5": lambda d: op5_surrogates.pseudonymise(d, "k"),
+        "op6": op6_exact.exact_groups, "op7": lambda d: op7_decontaminate.find(d, items), "op9": lambda d: op9_score.score(d, d),
+    }
+    for name, run in runs.items():
+        assert run(docs).count() == len(rows), name
+        assert run(empty).count() == 0, name
+    assert op7_decontaminate.find(docs, items.limit(0)).where("n_hit > 0").count() == 0
+    assert {r["doc_id"] for r in op7_decontaminate.find(docs, items).where("n_hit > 0").collect()} == {3}
+    assert op3_language.identify(docs, op3_language.fit(empty)).where("lang_pred <> 'und'").count() == 0
+    items.drop("n_hit").write.parquet(f"{tmp_path}/benchmark.parquet")
+    kept = {"language": {0, 1, 2, 3, 4, 9, None}, "exact_dedup": {0, 1, 2, 3, 4, 8, 9}, "near_dedup": {0, 1, 2, 3, 4, 7, 8, 9, None}, "decontaminate": {0, 1, 2, 4, 7, 8, 9, None}}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, docs, str(tmp_path))
+        assert got.columns == docs.columns
+        # Of equal texts under two ids the exact stage keeps one; a null text is an empty one.
+        assert {r["doc_id"] for r in got.collect()} == kept[name], name
+        assert stage(spark, empty, str(tmp_path)).count() == 0
+    assert corpus_pipeline.pieces(spark, docs, "").count() == len(rows)
+
+
+def test_scores_mix_the_share_of_a_word_with_the_lattice(spark):
+    from gnomon.llm.op9_score import score
+
+    docs = frame(spark, [(1, "one two two"), (2, "two three"), (3, "unseen"), (4, None)])
+    got = {r["doc_id"]: r for r in score(docs, docs.where("doc_id < 3")).collect()}
+    assert got[1]["n_tokens"] == 4 and got[1]["n_known"] == 4 and got[3]["n_known"] == 1 and got[4]["n_tokens"] == 1
+    # An end alone is the likeliest text; what is common is likelier than what was never seen.
+    assert max(got[2]["score"], got[3]["score"]) < got[4]["score"] < 0 and got[1]["score"] > 3 * got[3]["score"]
+    n, v = 7, 4
+    base = lambda c: math.log10((c + 0.1) / (n + 0.1 * (v + 1)))
+    assert abs(got[1]["base_score"] - (base(1) + 2 * base(3) + base(2))) < 1e-9
