@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gnomon.functions import strata
+from gnomon.functions.geometry import depression
 from gnomon.operators import clusters as cl
 from gnomon.operators import labels as lb
 from gnomon.operators import panos as pn
 from gnomon.operators import sampling as sm
+from gnomon.operators import tasks as tk
 from gnomon.operators.replay import covariates, replay
 from gnomon.plans import duck
 from gnomon.plans.registry import query
@@ -203,3 +205,37 @@ def corpus_draw(spark, sf_dir):
 @query()
 def corpus_shortfalls(spark, sf_dir):
     return sm.shortfalls(sm.draw(corpus(spark, sf_dir), seed=20260812))
+
+
+# Annotation tasks
+
+_TASKS = f"tagged AS (SELECT {', '.join(views.TAGGED)} FROM events), corpus AS (SELECT *, city || ':' || CAST(label_id AS VARCHAR) AS label_uid FROM tagged), tasks AS (SELECT label_uid, replace(label_uid, ':', '_') || '.jpg' AS tile FROM corpus WHERE label_id % 3 = 0)"
+
+
+def tasks(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Tasks, and the labels that they come from."""
+    corpus_ = views.view(spark, sf_dir, "events", views.TAGGED).withColumn("label_uid", strata.label_uid(c("city"), c("label_id")))
+    return corpus_.where("label_id % 3 = 0").select("label_uid", strata.tile_name(c("label_uid")).alias("tile")), corpus_
+
+
+@query(f"WITH {_TASKS} SELECT 'label_type' AS axis, label_type AS value, count(*) AS n FROM tasks JOIN corpus USING (label_uid) GROUP BY label_type UNION ALL SELECT 'pano_source', pano_source, count(*) FROM tasks JOIN corpus USING (label_uid) GROUP BY pano_source")
+def task_composition(spark, sf_dir):
+    return tk.composition(*tasks(spark, sf_dir), "label_type", "pano_source")
+
+
+@query(f"WITH {_TASKS} SELECT t.label_uid, tile, array_to_string(list_sort(coalesce(list_distinct(list_filter(list_transform(string_split(regexp_replace(trim(coalesce(tags, '')), '^\\[(.*)\\]$', '\\1'), ','), lambda x: trim(x)), lambda x: x <> '')), [])), '|') AS tags FROM tasks t LEFT JOIN (SELECT * FROM corpus WHERE label_id % 2 = 0) c ON c.label_uid = t.label_uid")
+def task_tags(spark, sf_dir):
+    own, corpus_ = tasks(spark, sf_dir)
+    return tk.with_tags(tk.blind(own), corpus_.where("label_id % 2 = 0")).select("label_uid", "tile", F.array_join("tags", "|").alias("tags"))
+
+
+@query(f"WITH {_TASKS} SELECT label_uid, tile FROM tasks WHERE label_uid IN (SELECT label_uid FROM corpus WHERE label_type = 'CurbRamp')")
+def task_subset(spark, sf_dir):
+    own, corpus_ = tasks(spark, sf_dir)
+    return tk.subset(own, corpus_.where("label_type = 'CurbRamp'"))
+
+
+@query(f"WITH b AS (SELECT {', '.join(views.BOX)} FROM part), d AS (SELECT city, (y - pano_h / 2) * 180 / pano_h AS depression FROM b), r AS (SELECT *, row_number() OVER (PARTITION BY city ORDER BY depression) - 1 AS i, count(*) OVER (PARTITION BY city) AS n FROM d) SELECT DISTINCT city, round(depression, 6) AS depression FROM r WHERE i IN (n // 6, n - 1 - n // 8)")
+def example_ranks(spark, sf_dir):
+    own = views.view(spark, sf_dir, "part", views.BOX).withColumn("depression", depression(c("y"), c("pano_h")))
+    return tk.picked(own, "depression", "city").select("city", F.round("depression", 6).alias("depression"))

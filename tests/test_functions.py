@@ -302,3 +302,23 @@ def test_small_functions(spark):
         onset = one(x=sizing.truncation_onset(lit(height)))["x"]
         over = lambda dep, height=height: one(x=height / 2 + lit(dep) / 90 * (height / 2) + sizing.size_v1(height / 2 + lit(dep) / 90 * (height / 2), lit(height)) / 2 > height)["x"]
         assert over(onset) and not over(onset - 1e-5)
+
+
+def test_annotations_are_checked(spark):
+    from gnomon.operators import tasks
+
+    rows = [
+        ("ok", [], (1.0, 2.0), (0.0, 0.0, 5.0, 5.0)), ("absent", ["object-absent"], None, None), ("flag", ["lost"], (1.0, 2.0), (0.0, 0.0, 5.0, 5.0)), ("no point", ["ambiguous"], None, (0.0, 0.0, 5.0, 5.0)),
+        ("no box", None, (1.0, 2.0), None), ("off", [], (11.0, 2.0), (0.0, 0.0, 5.0, 5.0)), ("flat", [], (1.0, 2.0), (0.0, 0.0, 0.0, 5.0)), ("out", [], (1.0, 2.0), (8.0, 0.0, 5.0, 5.0)),
+    ]
+    df = spark.createDataFrame([(*r, 10, 10) for r in rows], "k string, flags array<string>, point struct<x:double,y:double>, box struct<x:double,y:double,w:double,h:double>, tile_width int, tile_height int")
+    assert {r["k"]: r["error"] for r in tasks.validated(df).collect()} == {"ok": None, "absent": None, "flag": "unknown flag", "no point": "no point", "no box": "no box", "off": "point outside", "flat": "no area", "out": "box outside"}
+    with pytest.raises(ValueError, match="pano_x"):
+        tasks.blind(spark.createDataFrame([(1, 2.0)], "label_uid int, pano_x double"))
+    asked = spark.createDataFrame([("me", "a.jpg"), ("../me", "a.jpg"), ("me", "geometry.json")], "annotator string, tile string")
+    assert [tuple(r) for r in tasks.allowed(asked, asked.where("tile = 'a.jpg'")).select("annotator", "tile").collect()] == [("me", "a.jpg")]
+    own = spark.createDataFrame([("c:1",), ("c:2",)], "label_uid string")
+    corpus = spark.createDataFrame([("c:1", "x")], "label_uid string, kind string")
+    assert tasks.looked_up(own.limit(1), corpus, "kind").count() == 1
+    with pytest.raises(Exception, match="no such label: c:2"):
+        tasks.looked_up(own, corpus, "kind").collect()
