@@ -322,3 +322,11 @@ def test_annotations_are_checked(spark):
     assert tasks.looked_up(own.limit(1), corpus, "kind").count() == 1
     with pytest.raises(Exception, match="no such label: c:2"):
         tasks.looked_up(own, corpus, "kind").collect()
+
+
+def test_objects_seen_from_several_panoramas(spark):
+    near, far = 0.00002, 0.01
+    rows = [("c", 1, "p1", 7, 10.0, 5.0), ("c", 2, "p2", 7, 10.0 + near, 5.0), ("c", 3, "p2", 8, 10.0, 5.0 + near), ("c", 4, "p3", 8, 10.0 + far, 5.0), ("c", 5, "p4", 9, None, 5.0), ("d", 1, "q", 1, 10.0, 5.0)]
+    points = spark.createDataFrame(rows, "city string, label_id bigint, pano_id string, user_id bigint, lat double, lng double")
+    got = {r["city"]: tuple(r)[1:] for r in clusters.multi_perspective(points).collect()}
+    assert got == {"c": (4, 2, 1, 1, 2), "d": (1, 1, 0, 0, 1)}
