@@ -30,13 +30,18 @@ def shared_folder(spark: SparkSession) -> str:
 def written(df: DataFrame) -> DataFrame:
     """df written once as Parquet in the shared folder, and read from there: the plan starts anew, and a lost
     executor costs a reread. Tables of a session are removed when the driver ends."""
-    spark = df.sparkSession
+    spark, path = df.sparkSession, place(df.sparkSession)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def place(spark: SparkSession) -> str:
+    """A new path in the shared folder, which goes when the driver ends."""
     path = f"{shared_folder(spark)}/gnomon-{uuid.uuid4().hex}"
     if not _WRITTEN:
         atexit.register(_remove, spark)
     _WRITTEN.append(path)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return path
 
 
 def _remove(spark: SparkSession) -> None:
