@@ -39,9 +39,9 @@ VOCABULARY = "byte_bpe_50k.json"
 #: The id that closes every document.
 END = 2
 #: Pieces remembered within a worker before it starts anew, and the longest that is.
-MEMO, LONGEST = 500_000, 64
-#: Ids handed on at once, about.
-BATCH_IDS = 2_000_000
+MEMO, LONGEST = 200_000, 64
+#: Bytes of text that are encoded at once, and ids that are read at once, about.
+BATCH_BYTES, BATCH_IDS = 2_000_000, 1_000_000
 #: How the vocabulary cuts text, for characters up to U+024F, whose classes are the same in every library.
 PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
 USUAL = re.compile("[\\n\\r\\t -~À-ɏ]*")
@@ -79,7 +79,7 @@ class Coder:
     def forget(self) -> None:
         """Start with no pieces known."""
         self.known: dict[str, int] = {}
-        self.pieces: dict[str, list[int]] = {}
+        self.pieces: dict[str, tuple[int, ...]] = {}
         self.start, self.size, self.pool, self.used = np.zeros(1024, np.int64), np.zeros(1024, np.int64), np.zeros(1 << 16, np.uint32), 0
 
     def encode(self, text: str) -> list[int]:
@@ -104,10 +104,9 @@ class Coder:
         for at in range(0, len(new), 5000):
             some = new[at : at + 5000]
             found = self.model.encode(" ".join(p.encode().decode("latin-1").translate(self.letters) for p in some), add_special_tokens=False)
-            for p in some:
-                self.pieces[p] = []
-            for i, k in zip(found.ids, found.word_ids, strict=True):
-                self.pieces[some[k]].append(i)
+            ids, ends = found.ids, np.searchsorted(found.word_ids, np.arange(len(some)), "right").tolist()
+            for p, begin, end in zip(some, [0, *ends], ends, strict=False):
+                self.pieces[p] = tuple(ids[begin:end])
         other = [x for x in keys if x not in cut]
         for x, e in zip(other, self.library.encode_batch_fast(other, add_special_tokens=False), strict=True):
             self.add(x, e.ids)
@@ -121,7 +120,7 @@ class Coder:
             return np.array([i for x in found for i in (*x, END)], np.uint32), np.array([len(x) + 1 for x in found], np.int64)
         if len(self.known) > MEMO:
             self.forget()
-        parts = pc.split_pattern(texts, " ").combine_chunks() if isinstance(texts, pa.ChunkedArray) else pc.split_pattern(texts, " ")
+        parts = pc.split_pattern(texts, " ")
         edges, coded = parts.offsets.to_numpy() - parts.offsets[0].as_py(), parts.flatten().dictionary_encode()
         code, words = coded.indices.to_numpy(), coded.dictionary.to_pylist()
         first = np.zeros(len(code), bool)
@@ -178,29 +177,6 @@ def coder(path: str) -> Coder:
     return _CODERS[path]
 
 
-def tokenized(df: DataFrame, vocabulary: str = VOCABULARY, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """doc_id and ids, packed as unsigned little-endian integers of the vocabulary's width, END the last, of every
-    row in its order. A null text is an empty one and has END alone; other columns are not read."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = coder(vocabulary if "/" in vocabulary else public_tokenizers.path(vocabulary))
-        kind = np.dtype(f"<u{own.width}")
-        for whole_ in batches:
-            text_bytes = np.cumsum(pc.fill_null(pc.binary_length(whole_.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
-            at = 0
-            while at < whole_.num_rows:
-                # About a megabyte of ids for each four of text.
-                n = max(1, int(np.searchsorted(text_bytes, (text_bytes[at - 1] if at else 0) + 4 * BATCH_IDS)) - at)
-                some = whole_.slice(at, n)
-                at += n
-                ids, n_ids = own.batch(pc.fill_null(some.column(1), ""))
-                edges = np.concatenate(([0], np.cumsum(n_ids))) * own.width
-                packed = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(n_ids), [None, pa.py_buffer(edges.astype(np.int64)), pa.py_buffer(ids.astype(kind))])
-                yield pa.RecordBatch.from_arrays([some.column(0), packed.cast(pa.binary())], ["doc_id", "ids"])
-
-    return only(df, doc_id, text).select(F.col(f"`{doc_id}`").cast("bigint"), F.col(f"`{text}`").cast("string")).mapInArrow(run, "doc_id bigint, ids binary")
-
-
 @dataclass
 class Shard(WriterCommitMessage):
     """What a task has written."""
@@ -210,10 +186,11 @@ class Shard(WriterCommitMessage):
     docs: int
     nulls: int
     tokens: int
+    width: int
 
 
 class TokenFiles(DataSource):
-    """Files of token ids. Options: path; to write, width (bytes of an id); to read, columns of COLUMNS."""
+    """Files of token ids. Options: path; to write, vocabulary; to read, columns of COLUMNS."""
 
     COLUMNS = {"doc_id": "bigint", "start": "bigint", "n_tokens": "bigint", "ids": "array<int>", "ids_crc32": "bigint"}
 
@@ -231,44 +208,54 @@ class TokenFiles(DataSource):
         return TokenReader(self.options["path"], self.asked())
 
     def writer(self, schema: StructType, overwrite: bool) -> DataSourceArrowWriter:
-        return TokenWriter(self.options["path"], int(self.options.get("width", 4)))
+        return TokenWriter(self.options["path"], self.options.get("vocabulary", VOCABULARY))
 
 
 class TokenWriter(DataSourceArrowWriter):
-    """One shard from each task, named anew by each attempt; the manifest names those of the attempts that count."""
+    """Tokenizes rows of doc_id and text in the order in which they come. One shard from each task, named anew by each
+    attempt; the manifest names those of the attempts that count."""
 
-    def __init__(self, path: str, width: int):
-        self.path, self.width = path, width
+    def __init__(self, path: str, vocabulary: str):
+        self.path, self.vocabulary = path, vocabulary
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Shard:
         part = TaskContext.get().partitionId()
         name = f"part-{part:05d}-{os.urandom(8).hex()}"
+        own = coder(self.vocabulary if "/" in self.vocabulary else public_tokenizers.path(self.vocabulary))
         docs = nulls = tokens = 0
         with replaced(f"{self.path}/{name}.ids") as ids, replaced(f"{self.path}/{name}.off") as offsets, replaced(f"{self.path}/{name}.doc") as doc_ids:
             offsets.write(np.zeros(1, "<u8").tobytes())
             for batch in iterator:
-                packed = batch.column(1).cast(pa.large_binary())
-                edges = np.frombuffer(packed.buffers()[1], np.int64)[packed.offset : packed.offset + len(packed) + 1]
-                if len(packed):
-                    ids.write(memoryview(packed.buffers()[2])[edges[0] : edges[-1]] if edges[-1] > edges[0] else b"")
-                    n = (edges[1:] - edges[0]) // self.width
-                    offsets.write((tokens + n).astype("<u8").tobytes())
-                    doc_ids.write(pc.fill_null(batch.column(0), 0).to_numpy(zero_copy_only=False).astype("<i8").tobytes())
-                    docs, nulls, tokens = docs + len(packed), nulls + batch.column(0).null_count, tokens + int(n[-1])
-        return Shard(part, name, docs, nulls, tokens)
+                for some in slices(batch):
+                    made, n = own.batch(pc.fill_null(some.column(1), ""))
+                    ids.write(made.astype(f"<u{own.width}").tobytes())
+                    offsets.write((tokens + np.cumsum(n)).astype("<u8").tobytes())
+                    doc_ids.write(pc.fill_null(some.column(0), 0).to_numpy(zero_copy_only=False).astype("<i8").tobytes())
+                    docs, nulls, tokens = docs + some.num_rows, nulls + some.column(0).null_count, tokens + len(made)
+        return Shard(part, name, docs, nulls, tokens, own.width)
 
     def commit(self, messages: list[Shard | None]) -> None:
         """Bases by prefix sums over the shards in order, one row a task; then the manifest appears."""
         shards = sorted((x for x in messages if x and x.docs), key=lambda x: x.part)
         docs, tokens = (np.concatenate(([0], np.cumsum([getattr(x, k) for x in shards], dtype=np.int64))).tolist() for k in ("docs", "tokens"))
-        rows = [{"name": x.name, "docs": x.docs, "nulls": x.nulls, "tokens": x.tokens, "first_doc": d, "base": t} for x, d, t in zip(shards, docs, tokens, strict=False)]
+        rows = [{"name": x.name, "docs": x.docs, "nulls": x.nulls, "tokens": x.tokens, "width": x.width, "first_doc": d, "base": t} for x, d, t in zip(shards, docs, tokens, strict=False)]
         with replaced(f"{self.path}/manifest.json") as out:
-            out.write(json.dumps({"version": 1, "width": self.width, "docs": docs[-1], "tokens": tokens[-1], "shards": rows}).encode())
+            out.write(json.dumps({"version": 1, "docs": docs[-1], "tokens": tokens[-1], "shards": rows}).encode())
 
     def abort(self, messages: list[Shard | None]) -> None:
         """Shards without a manifest are never read."""
 
 
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with about BATCH_BYTES of text, each of a row at least."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < batch.num_rows:
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + BATCH_BYTES)))
+        yield batch.slice(at, to - at)
+        at = to
+
+
 @dataclass
 class Part(InputPartition):
     """A shard to read."""
@@ -288,7 +275,7 @@ class TokenReader(DataSourceReader):
 
     def partitions(self) -> list[Part]:
         manifest = json.loads(bytes(whole(f"{self.path}/manifest.json")))
-        return [Part(x["name"], x["docs"], x["nulls"], x["base"], manifest["width"]) for x in manifest["shards"]] or [Part("", 0, 0, 0, 4)]
+        return [Part(x["name"], x["docs"], x["nulls"], x["base"], x["width"]) for x in manifest["shards"]] or [Part("", 0, 0, 0, 4)]
 
     def read(self, partition: Part) -> Iterator[pa.RecordBatch]:
         if not partition.docs:
@@ -316,11 +303,10 @@ def write_tokens(df: DataFrame, path: str, vocabulary: str = VOCABULARY, text: s
     are documents like any other, an empty table gives a manifest without shards, and other columns are not read."""
     spark = df.sparkSession
     spark.dataSource.register(TokenFiles)
-    own = only(df, doc_id, text).toDF("doc_id", "text")
+    own = only(df, doc_id, text).select(F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
     by = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
     dealt = own.repartitionByRange(*by).sortWithinPartitions(*by, "text")
-    width = coder(vocabulary if "/" in vocabulary else public_tokenizers.path(vocabulary)).width
-    tokenized(dealt, vocabulary).write.format("token_files").option("width", width).mode("append").save(path)
+    dealt.write.format("token_files").option("vocabulary", vocabulary).mode("append").save(path)
 
 
 def read_tokens(spark: SparkSession, path: str, *columns: str) -> DataFrame:
