@@ -44,13 +44,17 @@ def place(spark: SparkSession) -> str:
     return path
 
 
+def drop(spark: SparkSession, path: str) -> None:
+    """Remove a file or a folder with all that it holds."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def _remove(spark: SparkSession) -> None:
     """Remove the session's own tables, if its JVM still runs."""
     with contextlib.suppress(Exception):
-        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
         for path in [*_WRITTEN, *_LOCAL]:
-            at = jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(conf).delete(at, True)
+            drop(spark, path)
 
 
 def once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:

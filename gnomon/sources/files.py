@@ -82,3 +82,36 @@ def removed(path: str) -> None:
     fs, inner = _store(path)
     with contextlib.suppress(FileNotFoundError):
         fs.delete_file(inner)
+
+
+def children(path: str) -> list[tuple[str, bool, int]]:
+    """Name, whether it is a folder, and bytes of everything straight in a folder; nothing where there is none."""
+    at = local(path)
+    if at is not None:
+        with contextlib.suppress(FileNotFoundError, NotADirectoryError), os.scandir(at) as found:
+            return sorted((x.name, x.is_dir(), x.stat().st_size) for x in found if x.is_dir() or x.is_file())
+        return []
+    from pyarrow.fs import FileSelector, FileType
+
+    fs, inner = _store(path)
+    return sorted((x.base_name, x.type == FileType.Directory, x.size or 0) for x in fs.get_file_info(FileSelector(inner, allow_not_found=True)))
+
+
+def opened(path: str) -> IO[bytes]:
+    """A file to seek and read in."""
+    at = local(path)
+    if at is not None:
+        return open(at, "rb", buffering=1 << 16)
+    fs, inner = _store(path)
+    return fs.open_input_file(inner)
+
+
+def moved(old: str, new: str) -> None:
+    """Give a file another name in the same store; what had that name is replaced."""
+    at = local(new)
+    if at is not None:
+        os.makedirs(os.path.dirname(at), exist_ok=True)
+        os.replace(local(old), at)
+        return
+    fs, inner = _store(new)
+    fs.move(_store(old)[1], inner)
