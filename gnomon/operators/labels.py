@@ -8,8 +8,9 @@ from pyspark.sql.window import Window
 
 from gnomon.functions import geometry as g
 from gnomon.functions import sizing, strata
-from gnomon.operators.quantiles import percentiles
+from gnomon.operators.quantiles import percentiles, several
 from gnomon.operators.replay import visible_px
+from gnomon.operators.tables import joined, written
 
 c = F.col
 
@@ -26,12 +27,19 @@ def share(flag: Column, of: Column | None = None) -> Column:
 
 def exactness(replayed: DataFrame, *by: str) -> DataFrame:
     """How many labels replay, exactly, and how far the others are off."""
-    miss_x, miss_y = F.when(~c("exact_x"), F.abs("dx")), F.when(~c("exact_y"), F.abs("dy"))
-    return replayed.groupBy(*by).agg(
+    flags = ("replayable_x", "replayable_y", "exact_x", "exact_y")
+    own = written(replayed.select(*by, *flags, F.when(~c("exact_x"), F.abs("dx")).alias("miss_x"), F.when(~c("exact_y"), F.abs("dy")).alias("miss_y")))
+    made = own.groupBy(*by).agg(
         F.count("*").alias("n"), F.count_if("replayable_x").alias("replayable_x"), F.count_if("replayable_y").alias("replayable_y"),
         share(c("exact_x"), c("replayable_x")).alias("exact_x_pct"), share(c("exact_y"), c("replayable_y")).alias("exact_y_pct"),
-        r6(F.percentile(miss_x, 0.5)).alias("dx_p50"), r6(F.percentile(miss_x, 0.9)).alias("dx_p90"), r6(F.percentile(miss_y, 0.5)).alias("dy_p50"), r6(F.percentile(miss_y, 0.9)).alias("dy_p90"),
     )
+    return with_percentiles(made, own, {f"d{k}_p{q}": (f"miss_{k}", q / 100) for k in "xy" for q in (50, 90)}, *by)
+
+
+def with_percentiles(made: DataFrame, rows: DataFrame, wanted: dict[str, tuple[str, float]], *by: str) -> DataFrame:
+    """made (a row a group) with percentiles of the groups' rows, rounded."""
+    found = several(rows, wanted, *by)
+    return joined(made, found.select(*by, *(r6(c(x)).alias(x) for x in wanted)), list(by))
 
 
 def monthly(replayed: DataFrame) -> DataFrame:
@@ -51,10 +59,9 @@ def drift(replayed: DataFrame) -> DataFrame:
 def offaxis_by_band(study: DataFrame) -> DataFrame:
     """Spread of the off-axis offset in each band; a band without labels has its row too."""
     bands = study.sparkSession.createDataFrame([(b,) for b in strata.BANDS], "band string")
-    made = study.where("eligible").groupBy("band").agg(
-        F.count("*").alias("n"), *(r6(F.percentile("offaxis_v", q)).alias(f"p{int(q * 100)}") for q in (0.05, 0.5, 0.95)),
-        r6(F.stddev_samp("offaxis_v")).alias("sd"), r6(F.percentile("offaxis_r", 0.95)).alias("radial_p95"), share(c("at_floor")).alias("floor_pct"),
-    )
+    own = written(study.where("eligible").select("band", "offaxis_v", "offaxis_r", "at_floor"))
+    made = own.groupBy("band").agg(F.count("*").alias("n"), r6(F.stddev_samp("offaxis_v")).alias("sd"), share(c("at_floor")).alias("floor_pct"))
+    made = with_percentiles(made, own, {**{f"p{q}": ("offaxis_v", q / 100) for q in (5, 50, 95)}, "radial_p95": ("offaxis_r", 0.95)}, "band")
     return F.broadcast(bands).join(made, "band", "left").withColumn("n", F.coalesce("n", F.lit(0)))
 
 
@@ -102,7 +109,9 @@ def histogram(df: DataFrame, key: Column, name: str, *by: str) -> DataFrame:
 
 def spread(df: DataFrame, value: str, *by: str) -> DataFrame:
     """Extremes, deviation and the 90th percentile of the size of a value."""
-    return df.groupBy(*by).agg(F.count(value).alias("n"), r6(F.min(value)).alias("min"), r6(F.max(value)).alias("max"), r6(F.stddev_samp(value)).alias("sd"), r6(F.percentile(F.abs(value), 0.9)).alias("abs_p90"))
+    own = written(df.select(*by, value, F.abs(value).alias("_size")))
+    made = own.groupBy(*by).agg(F.count(value).alias("n"), r6(F.min(value)).alias("min"), r6(F.max(value)).alias("max"), r6(F.stddev_samp(value)).alias("sd"))
+    return with_percentiles(made, own, {"abs_p90": ("_size", 0.9)}, *by)
 
 
 def floor_by_type(study: DataFrame) -> DataFrame:
@@ -118,9 +127,10 @@ def zoom_ladder(study: DataFrame) -> DataFrame:
 
 def tail_bands(study: DataFrame) -> DataFrame:
     """Labels outside the 5th to 95th percentile of their band, by band and side."""
-    edges = study.where("eligible").groupBy("band").agg(F.percentile("offaxis_v", 0.05).alias("low"), F.percentile("offaxis_v", 0.95).alias("high"))
+    own = written(study.where("eligible").select("band", "offaxis_v"))
+    edges = several(own, {"low": ("offaxis_v", 0.05), "high": ("offaxis_v", 0.95)}, "band")
     side = F.when(c("offaxis_v") < c("low"), "low").when(c("offaxis_v") > c("high"), "high")
-    return study.where("eligible").join(F.broadcast(edges), "band").select("band", side.alias("side")).where("side IS NOT NULL").groupBy("band", "side").agg(F.count("*").alias("n"))
+    return own.join(F.broadcast(edges), "band").select("band", side.alias("side")).where("side IS NOT NULL").groupBy("band", "side").agg(F.count("*").alias("n"))
 
 
 def tilt(df: DataFrame, sigma: float = 0.59) -> DataFrame:
@@ -136,18 +146,21 @@ def clamps(df: DataFrame, *by: str) -> DataFrame:
     """How often the first sizing rule clamps or runs off the frame, with depressions and distances."""
     own = df.where("pano_width > 0 AND pano_height > 0 AND pano_y BETWEEN 0 AND pano_height").withColumns({"size": sizing.size_v1(c("pano_y"), c("pano_height")), "dep": g.depression(c("pano_y"), c("pano_height"))})
     gap = F.abs(sizing.distance_m(c("pano_height") / 2 - c("pano_y")) - g.blended_distance(c("dep")))
-    return own.groupBy(*by).agg(
+    own = written(own.select(*by, "size", "dep", gap.alias("gap"), "pano_y", "pano_height"))
+    made = own.groupBy(*by).agg(
         F.count("*").alias("n"), share(c("size") == 1500).alias("clamp_high_pct"), share(c("size") == 50).alias("clamp_low_pct"),
         share(c("pano_y") + c("size") / 2 > c("pano_height")).alias("bottom_pct"), share(c("pano_y") - c("size") / 2 < 0).alias("top_pct"),
-        *(r6(F.percentile("dep", q)).alias(f"dep_p{int(q * 100)}") for q in (0.1, 0.5, 0.9, 0.99)), r6(F.percentile(gap, 0.5)).alias("gap_p50"), r6(F.percentile(gap, 0.9)).alias("gap_p90"),
     )
+    return with_percentiles(made, own, {f"{k}_p{q}": (k, q / 100) for k, qs in (("dep", (10, 50, 90, 99)), ("gap", (50, 90))) for q in qs}, *by)
 
 
 def resolution(df: DataFrame, least: int = 50) -> DataFrame:
     """Crop size against the reference frame's, by frame height with enough labels."""
     own = df.where("pano_height > 0 AND pano_y BETWEEN 0 AND pano_height")
     ratio = F.try_divide(sizing.size_v1(c("pano_y"), c("pano_height")) / c("pano_height"), sizing.size_by_offset((c("pano_height") / 2 - c("pano_y")) * (6656.0 / c("pano_height"))) / 6656.0)
-    made = own.groupBy("pano_height").agg(F.count("*").alias("n"), r6(F.percentile(ratio, 0.5)).alias("ratio_p50"), r6(F.percentile(ratio, 0.9)).alias("ratio_p90")).where(c("n") >= least)
+    own = written(own.select("pano_height", ratio.alias("ratio")))
+    made = own.groupBy("pano_height").agg(F.count("*").alias("n")).where(c("n") >= least)
+    made = with_percentiles(made, own, {"ratio_p50": ("ratio", 0.5), "ratio_p90": ("ratio", 0.9)}, "pano_height")
     return made.withColumns({"share_pct": r6(100.0 * c("n") / F.sum("n").over(Window.partitionBy())), "onset": r6(sizing.clamp_onset(c("pano_height")))})
 
 
@@ -156,12 +169,12 @@ def geometry_flags(df: DataFrame, *by: str) -> DataFrame:
     x, y, w, h = (c(k) for k in ("pano_x", "pano_y", "pano_width", "pano_height"))
     own = df.where("pano_width > 0 AND pano_height > 0 AND pano_x IS NOT NULL AND pano_y IS NOT NULL").withColumns({"want": F.rint(sizing.size_v1(y, h)), "inner": (y >= 0) & (y < h)})
     own = own.withColumn("size", F.least("want", w, h)).withColumns({"left": F.rint(x - c("size") / 2), "top": F.rint(y - c("size") / 2)})
-    ratio = F.when(c("inner"), y / h)
-    return own.groupBy(*by).agg(
+    own = written(own.select(*by, "want", "inner", "size", "left", "top", "pano_x", "pano_width", "pano_height", F.when(c("inner"), y / h).alias("ratio")))
+    made = own.groupBy(*by).agg(
         F.count("*").alias("n"), share((c("left") < 0) | (c("left") + c("size") > w)).alias("wraps_pct"), share((c("top") < 0) | (c("top") > h - c("size"))).alias("shifts_pct"),
         F.count_if(c("want") > F.least(w, h)).alias("capped"), F.count_if((x < 0) | (x >= w)).alias("x_outside"), F.count_if(~c("inner")).alias("y_outside"),
-        *(r6(F.percentile(ratio, q)).alias(f"y_p{int(q * 100)}") for q in (0.0, 0.01, 0.5, 0.99, 1.0)),
     )
+    return with_percentiles(made, own, {f"y_p{q}": ("ratio", q / 100) for q in (0, 1, 50, 99, 100)}, *by)
 
 
 def dims_per_pano(df: DataFrame, long_days: int = 14) -> DataFrame:
@@ -171,8 +184,9 @@ def dims_per_pano(df: DataFrame, long_days: int = 14) -> DataFrame:
 
 
 def visibility(classed: DataFrame, *by: str) -> DataFrame:
-    own = classed.where("replayable_x AND replayable_y").withColumn("px", visible_px(c("dx_deg"), c("dy_deg"), c("zoom")))
-    return own.groupBy(*by).agg(F.count("*").alias("n"), *(share(c("px") >= t).alias(f"ge_{t}px_pct") for t in (4, 10, 30)), r6(F.percentile("px", 0.99)).alias("p99_px"), r6(F.max("px")).alias("max_px"))
+    own = written(classed.where("replayable_x AND replayable_y").select(*by, visible_px(c("dx_deg"), c("dy_deg"), c("zoom")).alias("px")))
+    made = own.groupBy(*by).agg(F.count("*").alias("n"), *(share(c("px") >= t).alias(f"ge_{t}px_pct") for t in (4, 10, 30)), r6(F.max("px")).alias("max_px"))
+    return with_percentiles(made, own, {"p99_px": ("px", 0.99)}, *by)
 
 
 def stale_groups(classed: DataFrame) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Exact order statistics of any number of rows."""
+"""Exact order statistics and running totals of any number of rows, without bringing a group into one task."""
 
 from __future__ import annotations
 
@@ -8,46 +8,73 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from gnomon.operators.tables import joined, written
+
 c = F.col
 #: Ranges that the values of a group are dealt into.
 RANGES = 256
 
 
-def ranked(df: DataFrame, value: str, *by: str) -> DataFrame:
-    """Distinct values (by, _v) of each group with the ranks from _first to before _end that they take, of _n from 0.
+def ranked(df: DataFrame, values: str | list[str], *by: str) -> DataFrame:
+    """Distinct values (by, _m, _v) of each group and each named column with the ranks from _first to before _end that
+    they take, of _n from 0. Nulls and NaNs take no rank.
 
-    Equal values are counted where they are read. Values are dealt into ranges of about equal numbers, by an
-    approximate sketch that says where to cut and nothing else; each range is sorted on its own, from the rank
-    that the counts of the ranges before it give. So no group comes together in one task."""
-    same = [*by, "_all"]
-    own = df.select(*by, F.lit(0).alias("_all"), c(value).cast("double").alias("_v")).where("_v IS NOT NULL AND NOT isnan(_v)")
-    cuts = own.groupBy(*same).agg(F.percentile_approx("_v", [i / RANGES for i in range(1, RANGES)], 10 * RANGES).alias("_cuts"))
-    counted = own.groupBy(*same, "_v").agg(F.count("*").alias("_k"))
-    dealt = counted.join(cuts, same).select(*same, "_v", "_k", F.size(F.filter("_cuts", lambda x: x < c("_v"))).alias("_part"))
+    All columns go in one pass, each value with its column's name. Equal values are counted where they are read, and
+    what is left is written once. Values are dealt into ranges of about equal numbers, by an approximate sketch that
+    says where to cut and nothing else; each range is sorted on its own, from the rank that the counts of the ranges
+    before it give. So no group comes together in one task."""
+    names = [values] if isinstance(values, str) else values
+    same = [*by, "_m"]
+    pairs = F.inline(F.array(*(F.struct(F.lit(x).alias("_m"), c(x).cast("double").alias("_v")) for x in names)))
+    counted = written(df.select(*by, pairs).where("_v IS NOT NULL AND NOT isnan(_v)").groupBy(*same, "_v").agg(F.count("*").alias("_k")))
+    cuts = counted.groupBy(*same).agg(F.percentile_approx("_v", [i / RANGES for i in range(1, RANGES)], 10 * RANGES).alias("_cuts"))
+    dealt = joined(counted, cuts, same).select(*same, "_v", "_k", F.size(F.filter("_cuts", lambda x: x < c("_v"))).alias("_part"))
     sizes = dealt.groupBy(*same, "_part").agg(F.sum("_k").alias("_size"))
     before = Window.partitionBy(*same).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.select(*same, "_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"), F.sum("_size").over(Window.partitionBy(*same)).alias("_n"))
     inner = Window.partitionBy(*same, "_part").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     end = c("_before") + F.sum("_k").over(inner)
-    return dealt.join(sizes, [*same, "_part"]).select(*by, "_v", (end - c("_k")).alias("_first"), end.alias("_end"), "_n")
+    return joined(dealt, sizes, [*same, "_part"]).select(*same, "_v", (end - c("_k")).alias("_first"), end.alias("_end"), "_n")
 
 
-def held(rank: Column) -> Column:
-    """The value that takes a rank."""
-    return F.max(F.when((c("_first") <= rank) & (rank < c("_end")), c("_v")))
+def held(rank: Column, of: Column | None = None) -> Column:
+    """The value that takes a rank, among rows of a condition."""
+    takes = (c("_first") <= rank) & (rank < c("_end"))
+    return F.max(F.when(takes if of is None else takes & of, c("_v")))
 
 
-def percentiles(df: DataFrame, value: str, wanted: dict[str, float], *by: str) -> DataFrame:
-    """Percentiles (name: from 0 to 1) of a value in each group, interpolated between neighbours; null where there
-    are no values."""
+def several(df: DataFrame, wanted: dict[str, tuple[str, float]], *by: str) -> DataFrame:
+    """Percentiles (name: column and share from 0 to 1) in each group, interpolated between neighbours; null where
+    there are no values, as long as the group has a value of any column."""
     made = []
-    for name, q in wanted.items():
-        at = q * (c("_n") - 1)
-        made += [held(F.floor(at)).alias(f"{name}_low"), held(F.ceil(at)).alias(f"{name}_high"), F.max(at - F.floor(at)).alias(f"{name}_part")]
-    found = ranked(df, value, *by).groupBy(*by).agg(*made)
+    for name, (value, q) in wanted.items():
+        at, of = q * (c("_n") - 1), c("_m") == value
+        made += [held(F.floor(at), of).alias(f"{name}_low"), held(F.ceil(at), of).alias(f"{name}_high"), F.max(F.when(of, at - F.floor(at))).alias(f"{name}_part")]
+    found = ranked(df, [*dict.fromkeys(v for v, _ in wanted.values())], *by).groupBy(*by).agg(*made)
     return found.select(*by, *((c(f"{name}_low") + (c(f"{name}_high") - c(f"{name}_low")) * c(f"{name}_part")).alias(name) for name in wanted))
 
 
-def at_ranks(df: DataFrame, value: str, wanted: dict[str, Callable[[Column], Column]]) -> DataFrame:
-    """Values at ranks, from 0, that are functions of the number of values, in one row."""
-    return ranked(df, value).agg(*(held(rank(c("_n"))).alias(name) for name, rank in wanted.items()))
+def percentiles(df: DataFrame, value: str, wanted: dict[str, float], *by: str) -> DataFrame:
+    """Percentiles (name: from 0 to 1) of one column in each group."""
+    return several(df, {name: (value, q) for name, q in wanted.items()}, *by)
+
+
+def at_ranks(df: DataFrame, value: str, wanted: dict[str, Callable[[Column], Column]], *by: str) -> DataFrame:
+    """Values at ranks, from 0, that are functions of the number of values, and that number as _count."""
+    return ranked(df, value, *by).groupBy(*by).agg(F.max("_n").alias("_count"), *(held(rank(c("_n"))).alias(name) for name, rank in wanted.items()))
+
+
+def running(df: DataFrame, by: tuple[str, ...], order: tuple[str, ...], totals: dict[str, Column]) -> DataFrame:
+    """df with the running total of each expression in order within each group, its own row included, and the group's
+    whole total as <name>_all. Nulls add nothing.
+
+    Rows are dealt into ranges of (by, order) and kept so; each range adds up its own rows, from what the ranges before
+    it add up to. `order` has to tell rows apart where their place matters."""
+    own = written(df.withColumns({f"_x_{k}": x.cast("bigint") for k, x in totals.items()}).repartitionByRange(*by, *order).withColumn("_range", F.spark_partition_id()))
+    sums = own.groupBy(*by, "_range").agg(*(F.coalesce(F.sum(f"_x_{k}"), F.lit(0)).alias(k) for k in totals))
+    group = Window.partitionBy(*by)
+    before = group.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    carried = sums.select(*by, "_range", *(F.coalesce(F.sum(k).over(before), F.lit(0)).alias(f"_b_{k}") for k in totals), *(F.sum(k).over(group).alias(f"{k}_all") for k in totals))
+    inner = Window.partitionBy(*by, "_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    made = {k: c(f"_b_{k}") + F.coalesce(F.sum(f"_x_{k}").over(inner), F.lit(0)) for k in totals}
+    return joined(own, carried, [*by, "_range"]).withColumns(made).drop("_range", *(f"_x_{k}" for k in totals), *(f"_b_{k}" for k in totals))

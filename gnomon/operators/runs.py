@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from gnomon.operators.quantiles import running
 from gnomon.sources.views import COUNTS
 
 #: Fixed values of the rules.
@@ -84,7 +85,7 @@ def issues(runs: DataFrame, now: str) -> DataFrame:
 
 
 def failure_streaks(log: DataFrame, *by: str) -> DataFrame:
-    """Runs of consecutive failures in an outcome log (entry, ok), with whether a breaker at 25 trips."""
-    w = Window.partitionBy(*by).orderBy("entry")
-    own = log.withColumn("streak", F.sum(c("ok").cast("int")).over(w)).where("NOT ok")
+    """Runs of consecutive failures in an outcome log (entry, ok), with whether a breaker at 25 trips. What succeeded
+    before an entry numbers its streak, and is counted by ranges of the log."""
+    own = running(log, by, ("entry",), {"streak": c("ok").cast("int")}).where("NOT ok")
     return own.groupBy(*by, "streak").agg(F.count("*").alias("length"), F.min("entry").alias("first")).select(*by, "first", "length", (c("length") >= 25).alias("trips"), F.when(c("length") >= 15, 300).when(c("length") >= 10, 120).when(c("length") >= 5, 30).otherwise(0).alias("pause_s"))

@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 
 from gnomon.functions import strata
 from gnomon.functions.geometry import delta_bearing, separation
+from gnomon.operators.quantiles import at_ranks, running
 
 c = F.col
 #: Fixed values of the corpus draw.
@@ -81,17 +82,15 @@ def split_groups(groups: DataFrame, key: str, seed: int) -> DataFrame:
 
 
 def nearest_rank(df: DataFrame, value: str, *by: str, percents: tuple[int, ...] = (10, 50, 90)) -> DataFrame:
-    """Order statistics at rint(q / 100 * (n - 1)), not interpolated."""
-    w = Window.partitionBy(*by)
-    own = df.where(c(value).isNotNull()).withColumns({"_i": F.row_number().over(w.orderBy(value)) - 1, "_n": F.count("*").over(w)})
-    return own.groupBy(*by).agg(F.count("*").alias("n"), *(F.max(F.when(c("_i") == F.rint(q / 100.0 * (c("_n") - 1)), c(value))).alias(f"p{q}") for q in percents))
+    """Order statistics at rint(q / 100 * (n - 1)), not interpolated, of each group's values by ranges."""
+    found = at_ranks(df, value, {f"p{q}": lambda n, q=q: F.rint(q / 100.0 * (n - 1)) for q in percents}, *by)
+    return found.select(*by, c("_count").alias("n"), *(f"p{q}" for q in percents))
 
 
 def decimated(df: DataFrame, order: tuple[str, ...], cap: int, *by: str) -> DataFrame:
-    """Every ceil(n / cap)-th row of each group in order."""
-    w = Window.partitionBy(*by)
-    own = df.withColumns({"_i": F.row_number().over(w.orderBy(*order)) - 1, "_n": F.count("*").over(w)})
-    return own.where(c("_i") % F.ceil(c("_n") / cap) == 0).drop("_i", "_n")
+    """Every ceil(n / cap)-th row of each group in order, by ranges of the order."""
+    own = running(df, by, order, {"_i": F.lit(1)})
+    return own.where((c("_i") - 1) % F.ceil(c("_i_all") / cap) == 0).drop("_i", "_i_all")
 
 
 def round_robin(df: DataFrame, metric: str, key: str, by: str, k: int) -> DataFrame:

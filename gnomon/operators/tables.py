@@ -61,3 +61,12 @@ def once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """Adds columns that later ones use many times. The optimizer copies an expression into each of its uses,
     and a long one into copies of copies, but it does not carry one through a Generate."""
     return df.select("*", F.inline(F.array(F.struct(*(x.alias(name) for name, x in columns.items())))))
+
+
+def joined(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+    """left with the other columns of right; a null key meets a null one. Without keys right is one row."""
+    if not keys:
+        return left.crossJoin(F.broadcast(right.limit(1)))
+    other = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    on = [left[k].eqNullSafe(other[f"_right_{k}"]) for k in keys]
+    return left.join(other, on, how).drop(*(f"_right_{k}" for k in keys))

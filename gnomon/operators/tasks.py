@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gnomon.functions.strata import display_tags
+from gnomon.functions import sizing
+from gnomon.functions.strata import display_tags, tile_name
+from gnomon.operators.jitter import with_jitter
 from gnomon.operators.quantiles import ranked
 
 c = F.col
@@ -75,3 +77,31 @@ def picked(rows: DataFrame, value: str, *by: str) -> DataFrame:
     low, high = F.floor(c("_n") / 6), c("_n") - 1 - F.floor(c("_n") / 8)
     takes = lambda rank: (c("_first") <= rank) & (rank < c("_end"))
     return ranked(rows, value, *by).where(takes(low) | takes(high)).select(*by, c("_v").alias(value))
+
+
+#: Fixed values of the protocol: what to mark, by type of label.
+RUBRIC = {
+    "CurbRamp": "Mark the centre of the ramp where it meets the gutter line.",
+    "NoCurbRamp": "Mark the centre of the would-be ramp where it would meet the gutter line.",
+    "Obstacle": "Mark the centroid of the obstruction at its point of ground contact.",
+    "SurfaceProblem": "Mark the centroid of the surface defect.",
+    "Crosswalk": "Mark the centre of the marked crosswalk area.",
+    "Signal": "Mark the centre of the pedestrian signal head.",
+    "NoSidewalk": "Mark the point on the roadway edge where the sidewalk is absent.",
+    "Other": "Mark the centroid of the feature at its point of ground contact.",
+}
+
+
+def built(corpus: DataFrame, seed: int) -> tuple[DataFrame, DataFrame]:
+    """Tasks that annotators see, and the geometry that only the analysis does: windows, offsets and stored points.
+
+    Whoever knows a tile's place can work out the stored point, so no column of the geometry is among those of the
+    tasks. Tasks stand in an order drawn by the seed (place), not by stratum. A type without rubric stops the job."""
+    own = with_jitter(corpus, seed)
+    own = own.withColumn("window", sizing.tile_window(c("pano_x"), c("pano_y"), c("pano_width"), c("pano_height"), c("jitter_x"), c("jitter_y")))
+    rubric = F.coalesce(*(F.when(c("label_type") == k, F.lit(v)) for k, v in RUBRIC.items()), F.raise_error(F.concat(F.lit("no rubric for "), F.coalesce("label_type", F.lit("null")))).cast("string"))
+    place = F.xxhash64("label_uid", F.lit(seed), F.lit("place"))
+    tasks = own.select("label_uid", tile_name(c("label_uid")).alias("tile"), c("window.width").alias("tile_width"), c("window.height").alias("tile_height"), "label_type", display_tags(c("tags")).alias("tags"), rubric.alias("rubric"), place.alias("place"))
+    wraps = c("window.left") + c("window.width") > c("pano_width")
+    geometry = own.select("label_uid", "city", "pano_id", "label_type", "window.left", "window.top", "window.width", "window.height", "window.shifted", wraps.alias("wraps"), "jitter_x", "jitter_y", "pano_width", "pano_height", "pano_x", "pano_y")
+    return blind(tasks), geometry

@@ -316,9 +316,7 @@ def sigma_by_type(spark, sf_dir):
 
 @query(" UNION ALL ".join(f"SELECT * FROM (WITH {_pairs(r)} SELECT {r}::DOUBLE AS radius, {_SIGMA} FROM pairs)" for r in cl.RADII))
 def sigma_radius_sweep(spark, sf_dir):
-    points = cluster_points(spark, sf_dir)
-    made = [cl.sigma(cl.cross_user_pairs(cl.clusters(points, r))).select(F.lit(r).alias("radius"), "*") for r in cl.RADII]
-    return made[0].union(made[1]).union(made[2]).union(made[3])
+    return cl.sigma_sweep(cluster_points(spark, sf_dir))
 
 
 @query(f"WITH {duck.CLUSTERS} SELECT city, pano_id, count(DISTINCT user_id) AS users FROM pts GROUP BY ALL HAVING count(DISTINCT user_id) >= 2")
