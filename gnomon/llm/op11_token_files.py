@@ -7,9 +7,9 @@ shards hold is known only when all are written, so the bases of their documents
 over the tasks' messages at commit, and stand in the manifest, which makes the files visible all at once. The
 reader maps shards into memory; a document is the slice between two offsets, and starts at its shard's base.
 
-Tokenizing is the library's. Text is cut at single spaces between words, where no token of a byte-level
-vocabulary can reach across, each distinct piece of a batch is looked up once, and pieces not seen before are
-cut as the vocabulary's pattern cuts them and given to the library's model.
+Tokenizing is the library's. Texts of usual characters are cut into pieces as the vocabulary's pattern cuts them, no
+token reaches from one piece into the next, each distinct piece of a batch is looked up once, and those not seen before
+are given to the library's model. Other texts are given to the library whole.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -38,23 +39,55 @@ from gnomon.sources.files import replaced, whole
 VOCABULARY = "byte_bpe_50k.json"
 #: The id that closes every document.
 END = 2
-#: Pieces remembered within a worker before it starts anew, and the longest that is.
-MEMO, LONGEST = 200_000, 64
+#: Pieces remembered within a worker before it starts anew, and how many the library's model gets at once.
+MEMO, ASKED = 600_000, 5_000
 #: Bytes of text that are encoded at once, and ids that are read at once, about.
 BATCH_BYTES, BATCH_IDS = 2_000_000, 1_000_000
-#: How the vocabulary cuts text, for characters up to U+024F, whose classes are the same in every library.
-PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
-USUAL = re.compile("[\\n\\r\\t -~À-ɏ]*")
-#: A single space with no white space beside it.
-BETWEEN = re.compile("(?<=[^\\s᠎]) (?=[^\\s᠎])")
+#: A mark between pieces that the library's model gets; it is a byte that no usual text has.
+MARK = "\x01"
+#: Classes of characters: blanks (a space apart from others), letters, numbers, all else, and what is not cut here.
+SPACE, BLANK, LETTER, NUMBER, OTHER, UNUSUAL = range(6)
+#: Characters whose classes have been the same in all versions: Latin, general punctuation, currency.
+STABLE = (range(0x250), range(0x2010, 0x2028), range(0x2030, 0x205F), range(0x20A0, 0x20BB))
+#: Contractions that the pattern cuts off, after their apostrophe.
+SHORT, LONG = "stmd", ("re", "ve", "ll")
+
+
+def classes() -> np.ndarray:
+    """The class of each code point; the last one stands for all beyond."""
+    out = np.full(0x20BC, UNUSUAL, np.uint8)
+    for x in (x for some in STABLE for x in some):
+        kind, blank = unicodedata.category(chr(x)), chr(x).isspace()
+        if x == ord(MARK) or 0x1C <= x <= 0x1F or kind == "Cn":
+            continue
+        out[x] = SPACE if x == 32 else BLANK if blank else LETTER if kind[0] == "L" else NUMBER if kind[0] == "N" else OTHER
+    return out
+
+
+def cut(codes: np.ndarray, kind: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Where pieces begin: at each blank, and where the class changes, a single space going with what follows it.
+    After an apostrophe that begins a piece, a contraction is a piece. codes are the characters of all texts and
+    first says which of them begin one."""
+    before = np.concatenate((np.array([UNUSUAL], np.uint8), kind[:-1]))
+    begins = first | (kind <= BLANK) | ((kind != before) & (before != SPACE))
+    quote = np.flatnonzero((codes == 39) & begins)
+    padded, edge = np.concatenate((codes, np.zeros(3, codes.dtype))), np.concatenate((first, np.ones(3, bool)))
+    one, two = padded[quote + 1], padded[quote + 2]
+    inside = ~edge[quote + 1]
+    short = quote[inside & np.isin(one, [ord(x) for x in SHORT])]
+    long = quote[inside & ~edge[quote + 2] & np.logical_or.reduce([(one == ord(x[0])) & (two == ord(x[1])) for x in LONG])]
+    begins = np.concatenate((begins, np.ones(3, bool)))
+    begins[short + 1] = begins[long + 1] = begins[long + 2] = False
+    begins[short + 2] = begins[long + 3] = True
+    return begins[: len(codes)]
 
 
 def byte_letters() -> dict[int, str]:
     """The letter that a byte-level vocabulary writes for each byte: printable ones stand for themselves, the
-    others for letters from U+0100 on."""
+    others for letters from U+0100 on. MARK becomes a blank."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     rest = [b for b in range(256) if b not in plain]
-    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)} | {ord(MARK): " "}
 
 
 class Coder:
@@ -67,106 +100,87 @@ class Coder:
         self.library = Tokenizer.from_file(path)
         self.width = 2 if self.library.get_vocab_size() <= 1 << 16 else 4
         kind = json.loads(self.library.to_str())
-        byte_level = (kind["pre_tokenizer"] or {}).get("type") == "ByteLevel" and kind["model"]["type"] == "BPE" and not kind["normalizer"] and kind["pre_tokenizer"]["use_regex"] and not kind["pre_tokenizer"]["add_prefix_space"]
+        before = kind["pre_tokenizer"] or {}
+        self.by_piece = before.get("type") == "ByteLevel" and before["use_regex"] and not before["add_prefix_space"] and kind["model"]["type"] == "BPE" and not kind["normalizer"]
         # Special tokens in a text would be ids of their own; texts with one go to the library whole.
-        self.special = re.compile("|".join(re.escape(x["content"]) for x in kind["added_tokens"])) if kind["added_tokens"] else None
-        self.by_piece = byte_level
+        self.special = "|".join(re.escape(x["content"]) for x in kind["added_tokens"])
+        self.classes = classes()
         self.model = Tokenizer(self.library.model)
         self.model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         self.letters = byte_letters()
         self.forget()
 
     def forget(self) -> None:
-        """Start with no pieces known."""
-        self.known: dict[str, int] = {}
-        self.pieces: dict[str, tuple[int, ...]] = {}
-        self.start, self.size, self.pool, self.used = np.zeros(1024, np.int64), np.zeros(1024, np.int64), np.zeros(1 << 16, np.uint32), 0
-
-    def encode(self, text: str) -> list[int]:
-        return self.library.encode(text, add_special_tokens=False).ids
-
-    def add(self, key: str, ids: list[int]) -> int:
-        """Keep the ids of a key; its place."""
-        k, n = len(self.known), len(ids)
-        if k == len(self.start):
-            self.start, self.size = (np.concatenate((x, np.zeros(len(x), np.int64))) for x in (self.start, self.size))
-        while self.used + n > len(self.pool):
-            self.pool = np.concatenate((self.pool, np.zeros(len(self.pool), np.uint32)))
-        self.pool[self.used : self.used + n] = ids
-        self.known[key], self.start[k], self.size[k] = k, self.used, n
-        self.used += n
-        return k
-
-    def learn(self, keys: list[str]) -> None:
-        """Ids of keys that are not known. Usual characters are cut here, others by the library."""
-        cut = {x: PIECE.findall(x) for x in keys if len(x) <= LONGEST and USUAL.fullmatch(x) and not (self.special and self.special.search(x))}
-        new = [*dict.fromkeys(p for ps in cut.values() for p in ps if p not in self.pieces)]
-        for at in range(0, len(new), 5000):
-            some = new[at : at + 5000]
-            found = self.model.encode(" ".join(p.encode().decode("latin-1").translate(self.letters) for p in some), add_special_tokens=False)
-            ids, ends = found.ids, np.searchsorted(found.word_ids, np.arange(len(some)), "right").tolist()
-            for p, begin, end in zip(some, [0, *ends], ends, strict=False):
-                self.pieces[p] = tuple(ids[begin:end])
-        other = [x for x in keys if x not in cut]
-        for x, e in zip(other, self.library.encode_batch_fast(other, add_special_tokens=False), strict=True):
-            self.add(x, e.ids)
-        for x, ps in cut.items():
-            self.add(x, [i for p in ps for i in self.pieces[p]])
+        """Start with no pieces known but the empty one, which closes a document."""
+        self.known: dict[str, int] = {"": 0}
+        self.ends, self.ids = [np.array([0, 1])], [np.array([END], np.uint32)]
+
+    def learn(self, pieces: list[str]) -> None:
+        """Ids of pieces that are not known, from the library's model."""
+        for at in range(0, len(pieces), ASKED):
+            some = pieces[at : at + ASKED]
+            found = self.model.encode(MARK.join(some).encode().decode("latin-1").translate(self.letters), add_special_tokens=False)
+            self.ends.append(self.ends[-1][-1] + np.searchsorted(found.word_ids, np.arange(len(some)), "right"))
+            self.ids.append(np.array(found.ids, np.uint32))
+            self.known.update(zip(some, range(len(self.known), len(self.known) + len(some)), strict=True))
+
+    def whole(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of texts as the library cuts them."""
+        return [np.array([*x.ids, END], np.uint32) for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def pieces(self, texts: pa.Array) -> tuple[pa.Array | None, np.ndarray, np.ndarray]:
+        """The pieces of all texts, how many each text has, and which texts have to go to the library instead."""
+        edges, data = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1], texts.buffers()[2]
+        content = memoryview(data)[edges[0] : edges[-1]] if data else b""
+        codes = np.frombuffer(bytes(content).decode().encode("utf-32-le"), np.uint32)
+        kind = self.classes[np.minimum(codes, len(self.classes) - 1)]
+        at = np.cumsum(1 + (codes >= 0x80).astype(np.int8) + (codes >= 0x800) + (codes >= 0x10000), dtype=np.int64)
+        starts = np.concatenate(([0], np.searchsorted(at, edges[1:] - edges[0], "right")))
+        first = np.zeros(len(codes) + 1, bool)
+        first[starts] = True
+        first, full = first[:-1], np.flatnonzero(np.diff(starts))
+        odd = np.zeros(len(texts), bool)
+        # The pattern looks ahead where three blanks stand together, or two at the end.
+        blank = kind <= BLANK
+        two = np.concatenate(([False], blank[1:] & blank[:-1] & ~first[1:]))
+        bad = (kind == UNUSUAL) | (two & np.concatenate(([False], two[:-1])) & ~first)
+        if len(full):
+            odd[full] = np.logical_or.reduceat(bad, starts[full]) | two[starts[full + 1] - 1]
+        if self.special:
+            odd |= pc.match_substring_regex(texts, self.special).to_numpy(zero_copy_only=False)
+        if odd.any():
+            return None, starts, odd
+        begins = np.flatnonzero(cut(codes, kind, first))
+        offsets = np.concatenate((np.concatenate(([0], at))[begins], [len(content)])).astype(np.int32)
+        cut_ = pa.StringArray.from_buffers(len(begins), pa.py_buffer(offsets), pa.py_buffer(content)) if len(begins) else pa.array([], pa.string())
+        return cut_, np.diff(np.searchsorted(begins, starts)), odd
 
     def batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts (strings without nulls) one after the other, each closed by END, and how many each has."""
-        if not self.by_piece:
-            found = [x.ids for x in self.library.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)]
-            return np.array([i for x in found for i in (*x, END)], np.uint32), np.array([len(x) + 1 for x in found], np.int64)
+        pieces, n_pieces, alone = self.pieces(texts) if self.by_piece else (None, None, np.ones(len(texts), bool))
+        if alone.any():
+            each = iter(self.whole(texts.filter(pa.array(alone)).to_pylist()))
+            ids, n = self.batch(texts.filter(pa.array(~alone))) if not alone.all() else (np.zeros(0, np.uint32), np.zeros(0, np.int64))
+            plain = iter(np.split(ids, np.cumsum(n)[:-1]))
+            made = [next(each) if x else next(plain) for x in alone.tolist()]
+            return np.concatenate([*made, np.zeros(0, np.uint32)]), np.array([len(x) for x in made], np.int64)
+        coded = pieces.dictionary_encode()
+        words = coded.dictionary.to_pylist()
         if len(self.known) > MEMO:
             self.forget()
-        parts = pc.split_pattern(texts, " ")
-        edges, coded = parts.offsets.to_numpy() - parts.offsets[0].as_py(), parts.flatten().dictionary_encode()
-        code, words = coded.indices.to_numpy(), coded.dictionary.to_pylist()
-        first = np.zeros(len(code), bool)
-        first[edges[:-1]] = True
-        # Where a part is empty or has white space at an end, its space may belong to a longer token.
-        odd = np.fromiter((not w or w[0] in ODD or w[-1] in ODD or w[0].isspace() or w[-1].isspace() for w in words), bool, len(words))
-        strange = np.add.reduceat(odd[code].astype(np.int64), edges[:-1]) > 0 if len(code) else np.zeros(0, bool)
-        if self.special:
-            strange |= pc.match_substring_regex(texts, self.special.pattern).to_numpy(zero_copy_only=False)
-        alone = np.flatnonzero(strange)
-        plain = ~np.repeat(strange, np.diff(edges))
-        met = np.zeros(len(words), bool)
-        met[code[plain & ~first]] = True
-        starts = {int(d): words[code[edges[d]]] for d in np.flatnonzero(~strange)}
-        spread = {int(d): self.parts(texts[int(d)].as_py()) for d in alone}
-        keys = [" " + w if m else None for w, m in zip(words, met, strict=True)]
-        wanted = dict.fromkeys(k for k in (*keys, *starts.values(), *(p for ps in spread.values() for p in ps)) if k is not None and k not in self.known)
-        self.learn([*wanted])
-        get = self.known.__getitem__
-        at = np.fromiter((get(k) if k is not None else -1 for k in keys), np.int64, len(keys))[code]
-        for d, w in starts.items():
-            at[edges[d]] = get(w)
-        flat, n_of = [], np.diff(edges).copy()
-        begun = 0
-        for d in alone.tolist():
-            flat += [at[begun : edges[d]], np.fromiter(map(get, spread[d]), np.int64, len(spread[d]))]
-            begun, n_of[d] = edges[d + 1], len(spread[d])
-        which = np.concatenate((*flat, at[begun:]))
-        size = self.size[which]
-        ends = np.cumsum(size)
-        doc_ends = np.concatenate(([0], ends))[np.cumsum(n_of)]
-        n_ids = np.diff(np.concatenate(([0], doc_ends)))
-        # Every id's place in the pool: its piece's start, and how far it is into the piece.
-        ids = self.pool[np.repeat(self.start[which] - (ends - size), size) + np.arange(int(ends[-1]) if len(ends) else 0)]
-        return np.insert(ids, doc_ends, END), n_ids + 1
-
-    def parts(self, text: str) -> list[str]:
-        """A text with unusual white space, cut where that is safe; one with a special token stays whole."""
-        if self.special and self.special.search(text):
-            return [text]
-        head, *rest = BETWEEN.split(text)
-        return [head, *(" " + x for x in rest)]
-
-
-#: White space to some libraries only.
-ODD = frozenset("᠎​﻿\x1c\x1d\x1e\x1f\x85")
+        self.learn([x for x in words if x not in self.known])
+        self.ends, self.ids = [np.concatenate(self.ends)], [np.concatenate(self.ids)]
+        which = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))[coded.indices.to_numpy()] if len(words) else np.zeros(0, np.int64)
+        # The empty piece, which is END, after the last piece of each text.
+        closes = np.cumsum(n_pieces)
+        which = np.insert(which, closes, 0)
+        starts, sizes = self.ends[0][which], self.ends[0][which + 1] - self.ends[0][which]
+        ends = np.cumsum(sizes)
+        # Every id's place: its piece's start, and how far it is into the piece.
+        ids = self.ids[0][np.repeat(starts - ends + sizes, sizes) + np.arange(int(ends[-1]) if len(ends) else 0)]
+        return ids, np.diff(ends[closes + np.arange(len(closes))], prepend=0)
+
+
 _CODERS: dict[str, Coder] = {}
 
 
@@ -297,15 +311,15 @@ class TokenReader(DataSourceReader):
             at = end
 
 
-def write_tokens(df: DataFrame, path: str, vocabulary: str = VOCABULARY, text: str = "text", doc_id: str = "doc_id") -> None:
-    """Files of the ids of every row's whole text in ascending order of doc_id, a null id before all others; rows
+def write_tokens(df: DataFrame, path: str, vocabulary: str = VOCABULARY, text: str = "text", doc_id: str = "doc_id", shards: int | None = None) -> None:
+    """Files (so many shards, or as many as Spark deals) of the ids of every row's whole text in ascending order of doc_id, a null id before all others; rows
     with one id follow each other by their texts. A null text is an empty one, repeated rows all stay, very long texts
     are documents like any other, an empty table gives a manifest without shards, and other columns are not read."""
     spark = df.sparkSession
     spark.dataSource.register(TokenFiles)
     own = only(df, doc_id, text).select(F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
     by = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
-    dealt = own.repartitionByRange(*by).sortWithinPartitions(*by, "text")
+    dealt = own.repartitionByRange(*([shards] if shards else []), *by).sortWithinPartitions(*by, "text")
     dealt.write.format("token_files").option("vocabulary", vocabulary).mode("append").save(path)
 
 
