@@ -40,9 +40,9 @@ VOCABULARY = "byte_bpe_50k.json"
 #: The id that closes every document.
 END = 2
 #: Pieces remembered within a worker before it starts anew, and how many the library's model gets at once.
-MEMO, ASKED = 600_000, 5_000
+MEMO, ASKED = 250_000, 5_000
 #: Bytes of text that are encoded at once, and ids that are read at once, about.
-BATCH_BYTES, BATCH_IDS = 2_000_000, 1_000_000
+BATCH_BYTES, BATCH_IDS = 500_000, 250_000
 #: A mark between pieces that the library's model gets; it is a byte that no usual text has.
 MARK = "\x01"
 #: Classes of characters: blanks (a space apart from others), letters, numbers, all else, and what is not cut here.

@@ -39,8 +39,9 @@ POSITIVES, NEGATIVES, LOW, HIGH = 5, 3, 50, 95
 PIVOTS, SAMPLE, SAMPLE_VALUES = 48, 4096, 4_000_000
 #: Rows of a block, rows of a part of the index about, its fewest and most parts, and queries in a block.
 BLOCK, PART, PARTS, QUERIES = 256, 200_000, (16, 4096), 512
-#: Share of the squared lengths by which a bound may be off.
-SLACK = 1e-9
+#: Share of the squared lengths by which a bound may be off. A distance near 0 is the root of a difference of squares,
+#: so it is only good to the root of a double's precision.
+SLACK = 1e-6
 #: Beyond any score.
 EDGE = (1 << 63) - 1025
 c = F.col
