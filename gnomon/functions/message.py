@@ -18,8 +18,14 @@ def parsed(text: Column) -> Column:
 
 
 def path(*hops: int | str) -> str:
-    """The path of list places (from 0) and keys."""
-    return "$" + "".join(f"[{x}]" if isinstance(x, int) else "['" + x.replace("\\", "\\\\").replace("'", "\\'") + "']" for x in hops)
+    """The path of list places (from 0) and keys; a key can hold one kind of quotes, not both."""
+    out = "$"
+    for x in hops:
+        quote = '"' if isinstance(x, str) and "'" in x else "'"
+        if isinstance(x, str) and quote in x:
+            raise ValueError(f"no path can name the key {x}")
+        out += f"[{x}]" if isinstance(x, int) else f"[{quote}{x}{quote}]"
+    return out
 
 
 def field(message: Column, *hops: int | str, kind: str = "string") -> Column:

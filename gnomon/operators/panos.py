@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from gnomon.functions import sizing
 from gnomon.functions.geometry import d, tile_grid
 from gnomon.functions.strata import absent
-from gnomon.operators.quantiles import at_ranks
+from gnomon.operators.quantiles import at_ranks, several
 
 c = F.col
 
@@ -127,6 +127,14 @@ def alive_census(records: DataFrame) -> DataFrame:
     return by_scopes(records, {"era": "era", "city": "city"}, made)
 
 
+def census_tilt(records: DataFrame) -> DataFrame:
+    """Percentiles of the tilt of panoramas still served, without sign; 359.9 degrees are a tenth of one."""
+    turned = lambda x: F.abs(180.0 - F.pmod(180.0 - c(x), F.lit(360.0)))
+    own = records.where(c("found") & c("served_width").isNotNull()).select(turned("pitch_deg").alias("pitch"), turned("roll_deg").alias("roll"))
+    found = several(own, {f"abs_{k}_p{q}_deg": (k, q / 100) for k in ("pitch", "roll") for q in (50, 90, 99)})
+    return own.agg(F.count("pitch").alias("n")).crossJoin(F.broadcast(found)).select("n", *(F.round(x, 6).alias(x) for x in found.columns))
+
+
 def store_census(records: DataFrame) -> DataFrame:
     """How many sampled panoramas are in the store, how many headers were read, and whether frames agree with those
     stored and served: over all, by whether the source still serves them, and of those it does not by era and city."""

@@ -13,7 +13,7 @@ from gnomon.operators import panos as pn
 from gnomon.operators import runs as rn
 from gnomon.operators import sampling as sm
 from gnomon.operators.replay import classify, covariates, repair_summary, replay, solve_record, zoom_overlap
-from gnomon.plans import duck, studies  # noqa: F401  (registers its queries)
+from gnomon.plans import duck, stores, studies  # noqa: F401  (register their queries)
 from gnomon.plans.registry import ORACLES, QUERIES, query
 from gnomon.sources import views
 
