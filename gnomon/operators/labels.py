@@ -142,6 +142,16 @@ def tilt(df: DataFrame, sigma: float = 0.59) -> DataFrame:
     return own.agg(F.count("*").alias("n"), F.count_distinct("pano_id").alias("panos"), r6(F.stddev_samp("tp")).alias("sd_pitch"), r6(F.stddev_samp("tr")).alias("sd_roll"), r6(F.stddev_samp(c("tp") + c("tr"))).alias("sd_both"), r6(se("tp")).alias("se_pitch"), r6(se("tr")).alias("se_roll"), (F.greatest(se("tp"), se("tr")) < 0.3 / 1.96).alias("reachable"))
 
 
+def tilt_by_pano(df: DataFrame) -> DataFrame:
+    """Spread of each panorama's first known pitch and roll of the camera, in order of label, and how many rows have
+    them: a row for each of the two."""
+    two = F.inline(F.array(*(F.struct(F.lit(k).alias("axis"), c(k).alias("tilt")) for k in ("camera_pitch", "camera_roll"))))
+    own = df.select("pano_id", "label_id", two)
+    here = own.groupBy("axis").agg(share(c("tilt").isNotNull()).alias("available_pct"))
+    first = own.groupBy("axis", "pano_id").agg(F.min_by("tilt", F.when(c("tilt").isNotNull(), c("label_id"))).alias("tilt"))
+    return joined(here, spread(first.where("tilt IS NOT NULL"), "tilt", "axis"), ["axis"])
+
+
 def clamps(df: DataFrame, *by: str) -> DataFrame:
     """How often the first sizing rule clamps or runs off the frame, with depressions and distances."""
     own = df.where("pano_width > 0 AND pano_height > 0 AND pano_y BETWEEN 0 AND pano_height").withColumns({"size": sizing.size_v1(c("pano_y"), c("pano_height")), "dep": g.depression(c("pano_y"), c("pano_height"))})
@@ -154,7 +164,7 @@ def clamps(df: DataFrame, *by: str) -> DataFrame:
     return with_percentiles(made, own, {f"{k}_p{q}": (k, q / 100) for k, qs in (("dep", (10, 50, 90, 99)), ("gap", (50, 90))) for q in qs}, *by)
 
 
-def resolution(df: DataFrame, least: int = 50) -> DataFrame:
+def resolution(df: DataFrame, least: int = 500) -> DataFrame:
     """Crop size against the reference frame's, by frame height with enough labels."""
     own = df.where("pano_height > 0 AND pano_y BETWEEN 0 AND pano_height")
     ratio = F.try_divide(sizing.size_v1(c("pano_y"), c("pano_height")) / c("pano_height"), sizing.size_by_offset((c("pano_height") / 2 - c("pano_y")) * (6656.0 / c("pano_height"))) / 6656.0)
@@ -177,10 +187,11 @@ def geometry_flags(df: DataFrame, *by: str) -> DataFrame:
     return with_percentiles(made, own, {f"y_p{q}": ("ratio", q / 100) for q in (0, 1, 50, 99, 100)}, *by)
 
 
-def dims_per_pano(df: DataFrame, long_days: int = 14) -> DataFrame:
-    per = df.groupBy("pano_id").agg(F.count_distinct("pano_width").alias("w"), F.count_distinct("pano_height").alias("h"), F.count("*").alias("n"), F.floor((F.unix_timestamp(F.max("time_created")) - F.unix_timestamp(F.min("time_created"))) / 86400).alias("days"))
+def dims_per_pano(df: DataFrame, long_days: int = 1460) -> DataFrame:
+    """Whether panoramas have one size, over all and over those whose labels span more than so many days."""
+    per = df.groupBy("pano_id").agg(F.count_distinct("pano_width").alias("w"), F.count_distinct("pano_height").alias("h"), F.count("*").alias("n"), F.min("time_created").alias("first"), F.max("time_created").alias("last"), F.floor((F.unix_timestamp(F.max("time_created")) - F.unix_timestamp(F.min("time_created"))) / 86400).alias("days"))
     wide = (c("n") > 1) & (c("days") > long_days)
-    return per.agg(F.count("*").alias("panos"), F.count_if((c("w") > 1) | (c("h") > 1)).alias("multi"), F.count_if(wide).alias("long_panos"), F.coalesce(F.sum(F.when(wide, c("n"))), F.lit(0)).cast("bigint").alias("long_labels"), F.count_if(wide & (c("h") > 1)).alias("long_multi"))
+    return per.agg(F.count("*").alias("panos"), F.count_if((c("w") > 1) | (c("h") > 1)).alias("multi"), F.count_if(wide).alias("long_panos"), F.coalesce(F.sum(F.when(wide, c("n"))), F.lit(0)).cast("bigint").alias("long_labels"), F.count_if(wide & (c("h") > 1)).alias("long_multi"), *(F.date_format(f(k), "yyyy-MM-dd").alias(f"{k}_day") for f, k in ((F.min, "first"), (F.max, "last"))))
 
 
 def visibility(classed: DataFrame, *by: str) -> DataFrame:

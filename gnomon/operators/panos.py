@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from gnomon.functions import sizing
 from gnomon.functions.geometry import d, tile_grid
 from gnomon.functions.strata import absent
-from gnomon.operators.quantiles import at_ranks, several
+from gnomon.operators.quantiles import at_ranks, held, ranked, several
+from gnomon.operators.tables import joined, written
 
 c = F.col
 
@@ -64,6 +65,27 @@ def sizing_scores(boxes: DataFrame, *by: str) -> DataFrame:
     return own.groupBy(*by).agg(F.count("*").alias("n"), *(F.round(100.0 * F.count_if(f"in_{k}") / F.count("*"), 6).alias(f"{k}_inside_pct") for k in ("v1", "v2")), *(F.count_if((c("box_w") <= c(k)["width"]) & (c("box_h") <= c(k)["height"])).alias(f"{k}_fits") for k in ("v1", "v2")))
 
 
+#: The width that the web page stores, and the share of its window that a box may take at most.
+PAGE_WIDTH, CLEARING = 1440.0, 0.49
+
+
+def sizing_spreads(boxes: DataFrame, *by: str) -> DataFrame:
+    """Of windows of either rule: order statistics of their angle, of the share that the box takes and of the width
+    stored (the first rule stores its window as it is), how many boxes leave room, and how far a page would have to
+    blow them up. A row for each rule."""
+    x, y, w, h = (c(k) for k in ("x", "y", "pano_w", "pano_h"))
+    first, second = sizing.box_v1(x, y, sizing.size_v1(y, h), w, h)["width"], sizing.box_v2(x, y, sizing.width_v2(y, h), w, h)["width"]
+    rules = F.inline(F.array(F.struct(F.lit("v1").alias("rule"), first.alias("wide"), first.alias("stored")), F.struct(F.lit("v2").alias("rule"), second.alias("wide"), sizing.stored_width(second).alias("stored"))))
+    own = boxes.select(*by, "box_w", "pano_h", rules).select(*by, "rule", (c("wide") / c("pano_h") * 180.0).alias("deg"), (c("box_w") / c("wide")).alias("fill"), c("stored").cast("double").alias("stored"))
+    own = written(own.withColumn("up", F.greatest(F.lit(1.0), F.lit(PAGE_WIDTH) / c("stored"))))
+    keys = [*by, "rule"]
+    made = own.groupBy(*keys).agg(F.count("*").alias("n"), pct(c("fill") <= CLEARING, F.lit(True)).alias("clearing_pct"), pct(c("up") > 2, F.lit(True)).alias("over_2x_pct"))
+    rank = lambda q: F.rint(q / 100.0 * (c("_n") - 1))
+    wanted = [(k, q) for k in ("deg", "fill", "stored") for q in (10, 50, 90)] + [("up", 50)]
+    found = ranked(own, ["deg", "fill", "stored", "up"], *keys).groupBy(*keys).agg(*(F.round(held(rank(q), c("_m") == k), 6).alias(f"{k}_p{q}") for k, q in wanted))
+    return joined(made, found, keys)
+
+
 def invariance(heights: DataFrame) -> DataFrame:
     """Spread of window angles over frame heights at three depressions, for either rule."""
     own = heights.select("height", F.explode(F.array(d(5), d(10), d(20))).alias("dep"))

@@ -137,3 +137,21 @@ def zoom_overlap(classed: DataFrame) -> DataFrame:
 def repair_summary(solved: DataFrame) -> DataFrame:
     """Rows and repaired share of each class, and of all (klass null)."""
     return solved.rollup("klass").agg(F.count("*").alias("n"), F.round(100.0 * F.count_if("repaired") / F.count("*"), 2).alias("repaired_pct"))
+
+
+def replay_point(heading: float, pitch: float, zoom: float, canvas_x: float, canvas_y: float, camera_heading: float, pano_width: float, pano_height: float, canvas_width: float = g.CANVAS_W, canvas_height: float = g.CANVAS_H) -> tuple[Column, Column]:
+    """The panorama pixel of one click, as columns of constants."""
+    d = g.d
+    toward, up = g.click_direction(d(canvas_x), d(canvas_y), d(heading), d(pitch), d(zoom), d(canvas_width), d(canvas_height))
+    return g.panorama_pixel(toward, up, d(camera_heading), d(pano_width), d(pano_height))
+
+
+def case_study(classed: DataFrame, city: str, label_id: int) -> DataFrame:
+    """All that is known of one label: class, stored view and pixel, what is left of its replay, and how far off its
+    marker is seen; no row where there is no such label."""
+    c = F.col
+    finite = lambda x: F.when(~F.isnan(x), x)
+    stored = F.struct("heading", "pitch", "zoom", "canvas_x", "canvas_y", "pano_x", "pano_y")
+    left = F.struct(finite(c("dx")).alias("dx"), finite(c("dy")).alias("dy"))
+    own = classed.where((c("city") == city) & (c("label_id") == label_id))
+    return own.select("label_id", "time_created", "klass", stored.alias("stored"), left.alias("residual_px"), F.round(finite(visible_px(c("dx_deg"), c("dy_deg"), c("zoom"))), 1).alias("marker_px"))

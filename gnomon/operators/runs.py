@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -89,3 +89,19 @@ def failure_streaks(log: DataFrame, *by: str) -> DataFrame:
     before an entry numbers its streak, and is counted by ranges of the log."""
     own = running(log, by, ("entry",), {"streak": c("ok").cast("int")}).where("NOT ok")
     return own.groupBy(*by, "streak").agg(F.count("*").alias("length"), F.min("entry").alias("first")).select(*by, "first", "length", (c("length") >= 25).alias("trips"), F.when(c("length") >= 15, 300).when(c("length") >= 10, 120).when(c("length") >= 5, 30).otherwise(0).alias("pause_s"))
+
+
+def shown(count: Column) -> Column:
+    """A whole number with commas between thousands, or ? where it is not known."""
+    return F.coalesce(F.format_number(F.floor(count).cast("bigint"), 0), F.lit("?"))
+
+
+def city_lines(runs: DataFrame) -> DataFrame:
+    """One line on each city's last run: its day, images of the last 7 runs (blanks count as none), and the newest
+    totals that are not blank."""
+    new = F.coalesce(c("image_success") + c("image_fallback_success"), F.lit(0.0))
+    when = F.struct("start_time", "run_id")
+    newest = lambda name: F.max_by(name, F.when(c(name).isNotNull(), when))
+    per = ranked(runs).groupBy("city").agg(F.max("start_time").alias("last"), F.sum(F.when(c("back") <= 7, new)).alias("new"), newest("image_total").alias("total"), newest("image_fail").alias("fails"))
+    line = F.format_string("last run %s | +%d images (7d) | %s total | %s permanent failures", F.date_format("last", "yyyy-MM-dd"), c("new").cast("bigint"), shown(c("total")), shown(c("fails")))
+    return per.select("city", line.alias("line"))

@@ -45,6 +45,21 @@ def total_variation(left: DataFrame, right: DataFrame, *cell: str) -> DataFrame:
     return both.agg(F.round(F.sum(gap) / 2, 6).alias("tv_pct"), F.count_if(c("q").isNull()).alias("only_left"), F.count_if(c("p").isNull()).alias("only_right"))
 
 
+def frame_ratios(reference: DataFrame, frame: DataFrame, *cell: str) -> DataFrame:
+    """Shares of each cell in per cent on either side, the frame's over the reference's (null where that has none), and
+    which side alone has the cell."""
+    share = lambda df, name: df.groupBy(*cell).agg(F.count("*").alias("n")).withColumn(name, 100.0 * c("n") / F.sum("n").over(Window.partitionBy())).drop("n")
+    both = share(reference, "p").join(share(frame, "q"), list(cell), "full")
+    only = F.when(c("p").isNull(), "frame").when(c("q").isNull(), "reference")
+    pct = lambda x: F.round(F.coalesce(x, F.lit(0.0)), 6)
+    return both.select(*cell, pct(c("p")).alias("reference_pct"), pct(c("q")).alias("frame_pct"), F.round(F.coalesce(c("q"), F.lit(0.0)) / c("p"), 6).alias("ratio"), only.alias("only_in"))
+
+
+def with_role(drawn: DataFrame, role: str) -> DataFrame:
+    """Drawn labels that have a role, as a whole word of their list."""
+    return drawn.where(F.array_contains(F.split("roles", ","), role))
+
+
 def largest_remainder(counts: DataFrame, n: int) -> DataFrame:
     """Whole numbers that add up to n, in proportion to counts (cell, n). Ties go to the later cell."""
     one = Window.partitionBy()
@@ -71,14 +86,14 @@ def first_per(df: DataFrame, *keys: str, order: tuple[str, ...]) -> DataFrame:
 
 
 def split_groups(groups: DataFrame, key: str, seed: int) -> DataFrame:
-    """Groups dealt evenly to two parts by seeded order, without bringing them together: each bucket
-    of the order alternates on its own, going on where the buckets before it stopped."""
-    own = groups.select(key).distinct().withColumn("h", F.pmod(F.xxhash64(c(key), F.lit(seed)), F.lit(1 << 30)))
-    own = own.withColumn("bucket", F.floor(c("h") / (1 << 22)))
+    """Groups dealt evenly to two parts by seeded order, the odd one to eval, without bringing them together: each
+    bucket of the order alternates on its own, going on where the buckets before it stopped."""
+    own = groups.select(key).distinct().withColumn("h", F.md5(F.concat(c(key).cast("string"), F.lit(f":{seed}")).cast("binary")))
+    own = own.withColumn("bucket", F.substring("h", 1, 3))
     sizes = own.groupBy("bucket").agg(F.count("*").alias("n"))
     before = sizes.withColumn("before", F.coalesce(F.sum("n").over(Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("bucket", "before")
     place = F.row_number().over(Window.partitionBy("bucket").orderBy("h", key)) + c("before")
-    return own.join(F.broadcast(before), "bucket").select(key, F.when(place % 2 == 1, "tune").otherwise("eval").alias("split"))
+    return own.join(F.broadcast(before), "bucket").select(key, F.when(place % 2 == 0, "tune").otherwise("eval").alias("split"))
 
 
 def nearest_rank(df: DataFrame, value: str, *by: str, percents: tuple[int, ...] = (10, 50, 90)) -> DataFrame:
@@ -132,12 +147,13 @@ def contrast_pairs(pool: DataFrame) -> DataFrame:
 def draw(corpus: DataFrame, seed: int, cell: int = CELL) -> DataFrame:
     """A stratified draw, with the roles for which each label is in: contrast (two labels of a panorama far apart, for
     CONTRAST_PANOS panoramas), resolution (OTHER_FRAMES of other heights), mismatch (MISMATCHES), and then cells
-    of band, quality and type filled up to `cell`. No panorama gives more than PER_PANO labels. What an earlier
-    stratum took counts in a later one.
+    of band, quality and type filled up to `cell`. No panorama (city and id) gives more than PER_PANO labels. What an
+    earlier stratum took counts in a later one, and has that one's role too where its turn comes before the quota is full.
 
     Labels stand in a seeded order. A refusal means a full panorama, and only quotas fill panoramas, so the
     first labels of each stratum, PER_PANO of a panorama and as many as its quota and all quotas together, are all
-    that the draw can come to. These few are what the driver decides over, whatever the corpus's size."""
+    that the draw can come to, besides the labels that are taken already. These few are what the driver decides over,
+    whatever the corpus's size."""
     pool = corpus.withColumn("order", F.xxhash64("label_uid", F.lit(seed)))
     cells = corpus.select("band", "quality", "label_type").distinct().count()
     quota = 2 * CONTRAST_PANOS + OTHER_FRAMES + MISMATCHES + cell * cells
@@ -148,7 +164,9 @@ def draw(corpus: DataFrame, seed: int, cell: int = CELL) -> DataFrame:
         own = Window.partitionBy(*strata_, "city", "pano_id").orderBy("order", "label_uid")
         few = rows.select(*keys).withColumn("turn", F.row_number().over(own)).where(c("turn") <= PER_PANO).drop("turn")
         if not strata_:
-            return few.orderBy("order", "label_uid").limit(n).collect()
+            have = corpus.sparkSession.createDataFrame([(x,) for x in took.roles], "label_uid string")
+            few = few.union(rows.select(*keys).join(F.broadcast(have), "label_uid", "left_semi").select(*keys)).distinct()
+            return few.orderBy("order", "label_uid").limit(n + len(took.roles)).collect()
         place = F.row_number().over(Window.partitionBy(*strata_).orderBy("order", "label_uid"))
         return few.withColumn("place", place).where(c("place") <= n).orderBy("order", "label_uid").collect()
 

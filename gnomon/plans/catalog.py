@@ -88,9 +88,9 @@ def replay_exactness_by_window(spark, sf_dir):
     return lb.exactness(replayed(spark, sf_dir).withColumn("era", strata.era(c("time_created"), E1, E2)), "era")
 
 
-@query(f"WITH {duck.REPLAY}, e AS (SELECT *, replayable_x AND replayable_y AS both_, {_PX} AS px FROM replayed) SELECT strftime(time_created, '%Y-%m') AS month, count(*) AS n, round(100.0::DOUBLE * count(*) FILTER (exact_x AND exact_y) / nullif(count(*) FILTER (both_), 0), 6) AS exact_pct, round(100.0::DOUBLE * count(*) FILTER (both_ AND px >= 10) / nullif(count(*) FILTER (both_), 0), 6) AS ge_10px_pct FROM e GROUP BY 1")
+@query(f"WITH {duck.REPLAY}, e AS (SELECT * REPLACE (time_created - to_days(CAST(label_id % 5 * 31 AS INTEGER)) AS time_created), replayable_x AND replayable_y AS both_, {_PX} AS px FROM replayed) SELECT strftime(time_created, '%Y-%m') AS month, count(*) AS n, round(100.0::DOUBLE * count(*) FILTER (exact_x AND exact_y) / nullif(count(*) FILTER (both_), 0), 6) AS exact_pct, round(100.0::DOUBLE * count(*) FILTER (both_ AND px >= 10) / nullif(count(*) FILTER (both_), 0), 6) AS ge_10px_pct FROM e GROUP BY 1")
 def replay_monthly(spark, sf_dir):
-    return lb.monthly(replayed(spark, sf_dir))
+    return lb.monthly(replayed(spark, sf_dir).withColumn("time_created", F.expr("time_created - make_dt_interval(CAST(label_id % 5 * 31 AS INT))")))
 
 
 @query(f"WITH {duck.REPLAY}, per AS (SELECT pano_id, count(*) AS n, stddev_samp(dx_deg) AS sd, avg(dx_deg) AS m FROM replayed WHERE NOT exact_x AND dx_deg IS NOT NULL GROUP BY pano_id HAVING count(*) >= 2) SELECT count(*) AS n_panos, CAST(coalesce(sum(n), 0) AS BIGINT) AS n_labels, round(median(sd), 6) AS median_within, round(stddev_samp(m), 6) AS sd_across FROM per")
@@ -171,7 +171,7 @@ def clamp_by_type(spark, sf_dir):
 
 @query(f"WITH {duck.LABELS}, r AS (SELECT pano_height, {_v1('pano_y', 'pano_height')} / pano_height / ({_SIZE.format('(pano_height / 2 - pano_y) * (6656::DOUBLE / pano_height)')} / 6656) AS ratio FROM labels WHERE pano_height > 0 AND pano_y BETWEEN 0 AND pano_height), by_h AS (SELECT pano_height, count(*) AS n, round(quantile_cont(ratio, 0.5), 6) AS ratio_p50, round(quantile_cont(ratio, 0.9), 6) AS ratio_p90 FROM r GROUP BY pano_height HAVING count(*) >= 50) SELECT *, round(100.0::DOUBLE * n / sum(n) OVER (), 6) AS share_pct, round((19.8054639 - pow(1500 / 8725.6, 1 / -1.192)) * 180 / (0.01523952 * pano_height), 6) AS onset FROM by_h")
 def resolution_dependence(spark, sf_dir):
-    return lb.resolution(views.labels(spark, sf_dir))
+    return lb.resolution(views.labels(spark, sf_dir), least=50)
 
 
 def _box(w: str, h: str, x: str, y: str, pw: str, ph: str) -> str:
@@ -211,15 +211,26 @@ def crop_containment_score(spark, sf_dir):
     return pn.sizing_scores(boxes(spark, sf_dir), "city")
 
 
+_RANK = "max({0}) FILTER (i_{0} = round_even({1} * (n_ - 1), 0))"
+
+
+@query(f"""WITH {_V2}, r AS (SELECT city, 'v1' AS rule, least(round_even({_v1('y', 'pano_h')}, 0), pano_w, pano_h) AS wide, least(round_even({_v1('y', 'pano_h')}, 0), pano_w, pano_h) AS stored, box_w, pano_h FROM t UNION ALL SELECT city, 'v2', ww, least(ww, 1440), box_w, pano_h FROM t),
+m AS (SELECT city, rule, wide / pano_h * 180 AS deg, box_w / wide AS fill, stored::DOUBLE AS stored, greatest(1, {pn.PAGE_WIDTH}::DOUBLE / stored) AS up FROM r), o AS (SELECT *, count(*) OVER (PARTITION BY city, rule) AS n_, {', '.join(f"row_number() OVER (PARTITION BY city, rule ORDER BY {k}) - 1 AS i_{k}" for k in ('deg', 'fill', 'stored', 'up'))} FROM m)
+SELECT city, rule, count(*) AS n, round(100.0::DOUBLE * count(*) FILTER (fill <= {pn.CLEARING}::DOUBLE) / count(*), 6) AS clearing_pct, round(100.0::DOUBLE * count(*) FILTER (up > 2) / count(*), 6) AS over_2x_pct,
+{', '.join(f"round({_RANK.format(k, f'{q / 100}::DOUBLE')}, 6) AS {k}_p{q}" for k, q in [*((k, q) for k in ('deg', 'fill', 'stored') for q in (10, 50, 90)), ('up', 50)])} FROM o GROUP BY city, rule""")
+def sizing_spreads(spark, sf_dir):
+    return pn.sizing_spreads(boxes(spark, sf_dir), "city")
+
+
 @query(f"WITH h AS (SELECT DISTINCT CAST(CASE WHEN p_partkey % 3 = 0 THEN 6656 WHEN p_partkey % 3 = 1 THEN 8192 ELSE 3328 END AS DOUBLE) AS height FROM part), d AS (SELECT height, dep::DOUBLE AS dep, height / 2 + dep::DOUBLE / 180 * height AS y FROM h, (VALUES (5), (10), (20)) t(dep)), v AS (SELECT dep, {_v1('y', 'height')} / height * 180 AS v1, {_v2('y', 'height')} / height * 180 AS v2 FROM d) SELECT dep, count(*) AS heights, round(max(v1) / min(v1), 6) AS v1_spread, round(max(v2) / min(v2), 6) AS v2_spread FROM v GROUP BY dep")
 def sizing_invariance(spark, sf_dir):
     part = views.table(spark, sf_dir, "part")
     return pn.invariance(part.select(F.expr("CAST(CASE WHEN p_partkey % 3 = 0 THEN 6656 WHEN p_partkey % 3 = 1 THEN 8192 ELSE 3328 END AS DOUBLE)").alias("height")).distinct())
 
 
-@query(f"WITH {duck.LABELS}, per AS (SELECT pano_id, count(DISTINCT pano_width) AS w, count(DISTINCT pano_height) AS h, count(*) AS n, floor((epoch(max(time_created)::TIMESTAMP(0)) - epoch(min(time_created)::TIMESTAMP(0))) / 86400) AS days FROM (SELECT * REPLACE (date_trunc('second', time_created) AS time_created) FROM labels) GROUP BY pano_id) SELECT count(*) AS panos, count(*) FILTER (w > 1 OR h > 1) AS multi, count(*) FILTER (n > 1 AND days > 14) AS long_panos, CAST(coalesce(sum(n) FILTER (n > 1 AND days > 14), 0) AS BIGINT) AS long_labels, count(*) FILTER (n > 1 AND days > 14 AND h > 1) AS long_multi FROM per")
+@query(f"WITH {duck.LABELS}, per AS (SELECT pano_id, count(DISTINCT pano_width) AS w, count(DISTINCT pano_height) AS h, count(*) AS n, min(time_created) AS first, max(time_created) AS last, floor((epoch(max(time_created)::TIMESTAMP(0)) - epoch(min(time_created)::TIMESTAMP(0))) / 86400) AS days FROM (SELECT * REPLACE (date_trunc('second', time_created) AS time_created) FROM labels) GROUP BY pano_id) SELECT count(*) AS panos, count(*) FILTER (w > 1 OR h > 1) AS multi, count(*) FILTER (n > 1 AND days > 14) AS long_panos, CAST(coalesce(sum(n) FILTER (n > 1 AND days > 14), 0) AS BIGINT) AS long_labels, count(*) FILTER (n > 1 AND days > 14 AND h > 1) AS long_multi, strftime(min(first), '%Y-%m-%d') AS first_day, strftime(max(last), '%Y-%m-%d') AS last_day FROM per")
 def dims_per_pano(spark, sf_dir):
-    return lb.dims_per_pano(views.labels(spark, sf_dir))
+    return lb.dims_per_pano(views.labels(spark, sf_dir), long_days=14)
 
 
 # Cascade
@@ -261,9 +272,9 @@ def solved(spark: SparkSession, sf_dir: str) -> DataFrame:
     return solve_record(classed(spark, sf_dir).where(c("klass").isin(*REPAIRED)))
 
 
-@query(f"WITH {_SOLVED} SELECT label_id, klass, old_heading, old_pitch, round(heading, 3) AS new_heading, round(pitch, 3) AS new_pitch, zoom AS new_zoom, canvas_x AS new_canvas_x, canvas_y AS new_canvas_y, post_x, post_y, repaired FROM solved")
+@query(f"WITH {_SOLVED} SELECT label_id, klass, old_heading, old_pitch, heading AS new_heading, pitch AS new_pitch, zoom AS new_zoom, canvas_x AS new_canvas_x, canvas_y AS new_canvas_y, post_x, post_y, repaired FROM solved")
 def record_repair(spark, sf_dir):
-    return solved(spark, sf_dir).select("label_id", "klass", c("heading").alias("old_heading"), c("pitch").alias("old_pitch"), F.round("new_heading", 3).alias("new_heading"), F.round("new_pitch", 3).alias("new_pitch"), "new_zoom", "new_canvas_x", "new_canvas_y", "post_x", "post_y", "repaired")
+    return solved(spark, sf_dir).select("label_id", "klass", c("heading").alias("old_heading"), c("pitch").alias("old_pitch"), "new_heading", "new_pitch", "new_zoom", "new_canvas_x", "new_canvas_y", "post_x", "post_y", "repaired")
 
 
 @query(f"WITH {_SOLVED} SELECT klass, count(*) AS n, round(100.0::DOUBLE * count(*) FILTER (repaired) / count(*), 2) AS repaired_pct FROM solved GROUP BY ROLLUP (klass)")
@@ -421,6 +432,12 @@ def frame_comparison(spark, sf_dir):
     return parts[0].union(parts[1]).union(parts[2]).union(parts[3])
 
 
+@query(f"{_CELLS}, a AS (SELECT city, label_type, 100.0::DOUBLE * count(*) / sum(count(*)) OVER () AS p FROM pop WHERE city <> 'c3' GROUP BY ALL), b AS (SELECT city, label_type, 100.0::DOUBLE * count(*) / sum(count(*)) OVER () AS q FROM pop WHERE label_type <> 'view' GROUP BY ALL) SELECT city, label_type, round(coalesce(p, 0), 6) AS reference_pct, round(coalesce(q, 0), 6) AS frame_pct, round(coalesce(q, 0) / p, 6) AS ratio, CASE WHEN p IS NULL THEN 'frame' WHEN q IS NULL THEN 'reference' END AS only_in FROM a FULL JOIN b USING (city, label_type)")
+def frame_ratios(spark, sf_dir):
+    own = _population(spark, sf_dir)
+    return sm.frame_ratios(own.where("city <> 'c3'"), own.where("label_type <> 'view'"), "city", "label_type")
+
+
 @query(f"{_CELLS}, k AS (SELECT city || '-' || label_type AS cell, count(*) AS n FROM pop GROUP BY ALL), q AS (SELECT *, n * 100 / sum(n) OVER () AS quota FROM (SELECT cell, n::DOUBLE AS n FROM k)), r AS (SELECT *, floor(quota) AS base, row_number() OVER (ORDER BY round(quota - floor(quota), 9) DESC, cell DESC) AS rk FROM q) SELECT cell, CAST(n AS BIGINT) AS n, CAST(base + CASE WHEN rk <= 100 - sum(base) OVER () THEN 1 ELSE 0 END AS BIGINT) AS allotted FROM r")
 def largest_remainder(spark, sf_dir):
     own = _population(spark, sf_dir).groupBy(F.concat_ws("-", "city", "label_type").alias("cell")).agg(F.count("*").alias("n"))
@@ -462,7 +479,7 @@ def worst_by_city(spark, sf_dir):
     return sm.round_robin(own, "px", "label_id", "city", 4).select("city", "label_id", "turn")
 
 
-@query()
+@query("WITH p AS (SELECT DISTINCT CAST(event_id % 997 AS VARCHAR) AS pano_id FROM events) SELECT pano_id, CASE WHEN row_number() OVER (ORDER BY md5(pano_id || ':20260812'), pano_id) % 2 = 0 THEN 'tune' ELSE 'eval' END AS split FROM p")
 def pano_split(spark, sf_dir):
     return sm.split_groups(views.labels(spark, sf_dir), "pano_id", 20260812)
 
@@ -570,11 +587,19 @@ def run_last_values(spark, sf_dir):
     return rn.last_values(runs(spark, sf_dir))
 
 
-@query()
+_ISSUES = [("run_staleness", "critical", "CRITICAL", "stale"), ("run_trailing_fail_avg", "warns", "WARNING", "failures"), ("run_zero_progress", "warns", "WARNING", "zero_progress"), ("run_long_runtime", "warns", "WARNING", "long_run"), ("run_incomplete", "warns", "WARNING", "incomplete"), ("run_duplicate_days", "true", "INFO", "same_day")]
+
+
+@query(" UNION ALL ".join(f"SELECT DISTINCT city, '{level}' AS level, '{rule}' AS rule FROM ({ORACLES[name]}) WHERE {flag}" for name, flag, level, rule in _ISSUES))
 def run_issues(spark, sf_dir):
     return rn.issues(runs(spark, sf_dir), NOW)
 
 
+@query(f"WITH {duck.NEWEST}, a AS (SELECT city, max(start_time) AS last, sum(coalesce(image_success + image_fallback_success, 0)) FILTER (back <= 7) AS new_, arg_max(image_total, (start_time, run_id)) FILTER (image_total IS NOT NULL) AS total, arg_max(image_fail, (start_time, run_id)) FILTER (image_fail IS NOT NULL) AS fails FROM ranked GROUP BY city) SELECT city, 'last run ' || strftime(last, '%Y-%m-%d') || ' | +' || CAST(CAST(new_ AS BIGINT) AS VARCHAR) || ' images (7d) | ' || coalesce(format('{{:,}}', CAST(floor(total) AS BIGINT)), '?') || ' total | ' || coalesce(format('{{:,}}', CAST(floor(fails) AS BIGINT)), '?') || ' permanent failures' AS line FROM a")
+def city_lines(spark, sf_dir):
+    return rn.city_lines(runs(spark, sf_dir))
+
+
 @query(f"WITH l AS (SELECT o_custkey % 20 AS city, o_orderkey AS entry, o_orderkey % 3 = 0 AS ok FROM orders), s AS (SELECT *, sum(ok::INT) OVER (PARTITION BY city ORDER BY entry) AS k FROM l), f AS (SELECT city, min(entry) AS first, count(*) AS length FROM s WHERE NOT ok GROUP BY city, k) SELECT city, first, length, length >= 25 AS trips, CASE WHEN length >= 15 THEN 300 WHEN length >= 10 THEN 120 WHEN length >= 5 THEN 30 ELSE 0 END AS pause_s FROM f")
 def failure_streaks(spark, sf_dir):
     log = views.table(spark, sf_dir, "orders").select((c("o_custkey") % 20).alias("city"), c("o_orderkey").alias("entry"), (c("o_orderkey") % 3 == 0).alias("ok"))

@@ -97,3 +97,6 @@ classed AS (SELECT *, CASE WHEN NOT (replayable_x AND replayable_y) THEN 'unrepl
 CLUSTERS = f"""pts AS (SELECT *, (pano_x / pano_width * 360) % 360 AS az, (pano_height / 2 - pano_y) * 90 / (pano_height / 2) AS el FROM (SELECT {', '.join(views.CLUSTER)} FROM events))"""
 RUNS = f"""runs AS (SELECT {', '.join(views.RUN)} FROM orders)"""
 NEWEST = f"{RUNS}, ranked AS (SELECT *, row_number() OVER (PARTITION BY city ORDER BY start_time DESC, run_id DESC) AS back FROM runs)"
+
+#: The study's labels with the types and tags that the referent rules know; ts are the tags.
+TAGGED = f"""tg AS (SELECT {', '.join(views.TAGGED)} FROM events), tagged AS (SELECT s.* REPLACE (tg.label_type AS label_type), list_filter(list_transform(string_split(regexp_replace(trim(coalesce(tg.tags, '')), '^\\[(.*)\\]$', '\\1'), ','), lambda x: trim(x)), lambda x: x <> '') AS ts FROM study s JOIN tg USING (label_id))"""

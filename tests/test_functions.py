@@ -330,3 +330,65 @@ def test_objects_seen_from_several_panoramas(spark):
     points = spark.createDataFrame(rows, "city string, label_id bigint, pano_id string, user_id bigint, lat double, lng double")
     got = {r["city"]: tuple(r)[1:] for r in clusters.multi_perspective(points).collect()}
     assert got == {"c": (4, 2, 1, 1, 2), "d": (1, 1, 0, 0, 1)}
+
+
+def test_chosen_labels_get_the_roles_of_later_strata(spark):
+    """Five labels of one panorama, none of the usual height: the pair far apart is not among the first three."""
+    uids = spark.createDataFrame([(f"c:{i}",) for i in range(5)], "label_uid string").withColumn("o", F.xxhash64("label_uid", F.lit(5))).orderBy("o").collect()
+    bearings = [0.0, 1.0, 2.0, -31.0, 31.0]
+    rows = [(r["label_uid"], "c", "p", "<5", "mid", "CurbRamp", 6656.0, b, True) for r, b in zip(uids, bearings, strict=True)]
+    pool = spark.createDataFrame(rows, "label_uid string, city string, pano_id string, band string, quality string, label_type string, pano_height double, bearing double, replay_mismatch boolean")
+    drawn = sampling.draw(pool, 5)
+    got = {r["bearing"]: r["roles"] for r in drawn.collect()}
+    assert got == {0.0: "mismatch,resolution", -31.0: "contrast,mismatch,resolution", 31.0: "contrast,mismatch,resolution"}
+    assert {r["bearing"] for r in sampling.with_role(drawn, "contrast").collect()} == {-31.0, 31.0}
+    assert sampling.with_role(drawn, "match").count() == 0
+
+
+def test_parts_of_an_odd_number_of_groups(spark):
+    parts = [r["split"] for r in sampling.split_groups(spark.range(997).withColumn("id", F.col("id").cast("string")), "id", 3).collect()]
+    assert (parts.count("tune"), parts.count("eval")) == (498, 499)
+
+
+def test_running_totals_of_groups_and_ranges(spark):
+    import random
+
+    from gnomon.operators.quantiles import running
+
+    rng = random.Random(4)
+    rows = [(rng.choice(["a", "a", "a", "b", None]), i, rng.choice([None, 0, 1, 2])) for i in range(400)]
+    rng.shuffle(rows)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = sorted(map(tuple, running(spark.createDataFrame(rows, "k string, at int, x int").repartition(7), ("k",), ("at",), {"sum": F.col("x"), "n": F.lit(1)}).collect()), key=repr)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    want, so_far, all_ = [], {}, {}
+    for k, _, x in rows:
+        all_[k] = (all_.get(k, (0, 0))[0] + (x or 0), all_.get(k, (0, 0))[1] + 1)
+    for k, at, x in sorted(rows, key=lambda r: r[1]):
+        s, n = so_far.get(k, (0, 0))
+        so_far[k] = (s + (x or 0), n + 1)
+        want.append((k, at, x, *all_[k], *so_far[k]))
+    assert got == sorted(want, key=repr)
+
+
+def test_one_point_and_one_label(spark):
+    from gnomon.operators import replay
+
+    x, y = replay.replay_point(77.0, -12.0, 2.0, 360.0, 240.0, 77.0, 16384.0, 8192.0)
+    got = spark.range(1).select(x.alias("x"), y.alias("y")).first()
+    assert (got["x"], got["y"]) == (8192.0, 4096.0 + round(4096 * 12 / 90))
+    rows = [("c", 1, "exact", 1.0, 2.0, 0.0, float("nan")), ("c", 2, "x_only", 1.0, 2.0, 37.0, 0.0), ("d", 1, "exact", 9.0, 9.0, 0.0, 0.0)]
+    own = spark.createDataFrame(rows, "city string, label_id bigint, klass string, heading double, pitch double, dx double, dy double")
+    own = own.withColumns({k: F.lit(1.0) for k in ("zoom", "canvas_x", "canvas_y", "pano_x", "pano_y")} | {"time_created": F.lit("t"), "dx_deg": F.col("dx") / 10, "dy_deg": F.col("dy") / 10})
+    got = replay.case_study(own, "c", 2).first()
+    assert (got["klass"], got["stored"]["heading"], got["residual_px"]["dx"], got["marker_px"]) == ("x_only", 1.0, 37.0, round(3.7 / 89.75 * 720, 1))
+    assert replay.case_study(own, "c", 1).first()["residual_px"]["dy"] is None and replay.case_study(own, "e", 1).count() == 0
+
+
+def test_counts_as_they_are_shown(spark):
+    from gnomon.operators.runs import shown
+
+    got = spark.createDataFrame([(1234567.9,), (12.0,), (None,)], "x double").select(shown(F.col("x")).alias("s")).collect()
+    assert [r["s"] for r in got] == ["1,234,567", "12", "?"]
