@@ -1,11 +1,16 @@
 """Main text of pages by the maximum-scoring contiguous region.
 
 A page is read as words and tags. Words score by where they stand: what their nearest telling element
-is, and whether they are in a link; tags score too. The weights are log-odds learned from pages that
-label themselves, by one article element: how much commoner each kind is inside than outside. A
-linear scan keeps the best sum so far and finds the region with the largest. Words of the region are
-kept unless an element over them is never article text: by its name, or because all words of one of its
-classes, its id or its role say so. A header goes, unless it is the article's own, which holds its title.
+is, and whether they are in a link; tags cost. The weights are log-odds learned from pages that
+label themselves, by one article element: how much commoner each kind is inside than outside. Elements that
+are never article text teach the weight of such elements and no other, so a list of an article does not pay for
+the lists of menus, and what was seen little stays near where it began. A linear scan keeps the best sum so far and
+finds the region with the largest. Where most words of the region are one article element's, the region is that
+element, from its first word to its last: a short last paragraph or a list of links does not have to earn its place.
+
+Words of the region are kept unless an element over them is never article text: by its name, because it is hidden,
+or because all words of one of its classes, its id or its role say so. A header goes, unless it is the article's own,
+which holds its title.
 """
 
 from __future__ import annotations
@@ -35,14 +40,22 @@ BLOCK = {
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr", "keygen", "param"}
 #: Words of a class, id or role that tell what an element is not, and words that only tell where it
 #: stands or how it looks. "side-effects" and "share-price" have others, and tell nothing.
-ASIDE = re.compile(r"ads?|advert\w*|sponsor\w*|promo\w*|banner|cookie\w*|consent|notice|popup|modal|newsletter|subscribe|signup|share|sharing|social|related|recommend\w*|sidebar|side|menu|nav|navbar|navigation|breadcrumbs?|footer|header|masthead|comments?|respond|replies|disqus|widgets?|toolbar|login|search|pagination|pager|complementary|contentinfo")
-LAYOUT = re.compile(r"|post|page|site|main|content|top|bottom|left|right|inner|outer|box|bar|block|slot|unit|list|item|links?|wrap|wrapper|container|area|section|panel|group|row|col|column|form|field|buttons?|icons?|text|title|js|ui|primary|secondary|global|mobile|desktop|sticky|fixed|\d+")
+ASIDE = re.compile(r"ads?|advert\w*|upsell\w*|paywall|teasers?|comment\w*|sponsor\w*|promo\w*|banner|cookie\w*|consent|notice|popup|modal|newsletter|subscribe|signup|share|sharing|social|related|recommend\w*|sidebar|side|menu|nav|navbar|navigation|breadcrumbs?|footer|header|masthead|comments?|respond|replies|disqus|widgets?|toolbar|login|search|pagination|pager|complementary|contentinfo")
+LAYOUT = re.compile(r"|premium|post|page|site|main|content|top|bottom|left|right|inner|outer|box|bar|block|slot|unit|list|item|links?|wrap|wrapper|container|area|section|panel|group|row|col|column|form|field|buttons?|icons?|text|title|js|ui|primary|secondary|global|mobile|desktop|sticky|fixed|\d+")
+#: Words that tell it of plain containers only: a paper's section may be its discussion.
+THREAD, CONTAINERS = re.compile(r"discussions?|thread|talk"), {"div", "ul", "ol", "dl"}
+#: A style that hides.
+HIDDEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\s*(?:!important\s*)?(?:;|$)")
 _ATTRIBUTE = r"""([^\s/>=]++)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>]*+)))?+"""
 ATTRIBUTE = re.compile(_ATTRIBUTE)
 #: An attribute's value is quoted only where a quote follows the equals sign and is closed; other quotes are letters.
 TAG = re.compile(r"<!--.*?(?:--!?>|\Z)|<!(?!--)[^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|</[^a-zA-Z>][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[\s/=]++|" + re.sub(r"\((?=[^?])", "(?:", _ATTRIBUTE) + r")*+)(?:>|\Z)", re.S)
 #: An element that is no article text costs the region so much at most, however long it is.
 ASIDE_COST = 2.0
+#: What a tag costs before anything was seen of it, and at most; how many sightings that is worth.
+TAG_COST, TAG_MOST, SEEN = -0.2, -0.6, 50.0
+#: The share of the region's words that one article element has to have for the region to become that element.
+MOSTLY = 0.6
 SPACE = re.compile(r"\s+")
 #: Elements that close when one of these opens.
 _ENDS_P = BLOCK - {"br"}
@@ -56,7 +69,8 @@ class Open:
     over: Open | None
     aside: bool = False
     link: bool = False
-    article: bool = False
+    #: The innermost article or main element, counted from 1; below 0 for a main one.
+    article: int = 0
     near: str = "none"
 
     @property
@@ -73,13 +87,18 @@ def is_aside(name: str, attributes: str, over: Open) -> bool:
     """Whether an element is no article text."""
     if name in NEVER:
         return not (name == "header" and over.article)
-    if name in ("html", "body", "article", "main"):
+    if name in ("html", "body"):
         return False
+    plain = name in ("article", "main")
     for found in ATTRIBUTE.finditer(attributes):
-        if found[1].lower() in ("class", "id", "role"):
-            for said in (found[2] or found[3] or found[4] or "").lower().split():
+        key, value = found[1].lower(), (found[2] or found[3] or found[4] or "").lower()
+        if key == "hidden" and value != "until-found" or key == "aria-hidden" and value == "true" or key == "style" and HIDDEN.search(value):
+            return True
+        if key in ("class", "id", "role") and not plain:
+            for said in value.split():
                 parts = re.split("[-_]+", said)
-                if any(ASIDE.fullmatch(x) for x in parts) and all(ASIDE.fullmatch(x) or LAYOUT.fullmatch(x) for x in parts):
+                told = [bool(ASIDE.fullmatch(x)) or name in CONTAINERS and bool(THREAD.fullmatch(x)) for x in parts]
+                if any(told) and all(t or LAYOUT.fullmatch(x) for t, x in zip(told, parts, strict=True)):
                     return True
     return False
 
@@ -95,7 +114,7 @@ def pieces(page: str) -> list[tuple[str, str, Open]]:
     out: list[tuple[str, str, Open]] = []
     top = Open("", None)
     open_: Counter[str] = Counter()
-    at, n = 0, len(page)
+    at, n, articles = 0, len(page), 0
 
     def close(name: str) -> None:
         nonlocal top
@@ -125,7 +144,10 @@ def pieces(page: str) -> list[tuple[str, str, Open]]:
                 end = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(page, at)
                 at = end.end() if end else n
             elif name not in VOID and not m[3].endswith("/"):
-                article = top.article or name in ("article", "main")
+                article = top.article
+                if name in ("article", "main"):
+                    articles += 1
+                    article = articles if name == "article" else article if article > 0 else -articles
                 top = Open(name, top, top.aside or is_aside(name, m[3], top), top.link or name == "a", article, name if name in TELLING else top.near)
                 open_[name] += 1
         out.append(("b" if name in BLOCK else "i", name, top))
@@ -139,23 +161,25 @@ def evidence(page: str) -> tuple[Counter[str], Counter[str]]:
     if sum(1 for k, name, top in found if k == "b" and name == "article" and top.name == "article") != 1:
         return inside, outside
     for k, x, top in found:
-        to = inside if top.article else outside
+        to = inside if top.article > 0 else outside
         if k == "t":
             to["w:" + top.kind] += len(x.split())
         elif x != "article":
-            to["t:" + x] += 1
+            to["t:aside" if top.aside else "t:" + x] += 1
     return inside, outside
 
 
 def weights(inside: Counter[str], outside: Counter[str]) -> dict[str, float]:
-    """Log-odds of every kind, cut to [-4, 4]. Words without evidence score as their kind should: a
-    little in text, against in links and asides; tags cost a little."""
+    """Log-odds of every kind. Words' are cut to [-4, 4], and score without evidence as their kind should: a
+    little in text, against in links and asides. Tags always cost, TAG_COST where little was seen of them and never more
+    than TAG_MOST, so that a few words pay for the element that they stand in."""
     total_in, total_out = sum(inside.values()) + 1, sum(outside.values()) + 1
     out = {"w:" + k: 0.5 for k in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "article", "main", "li", "td", "blockquote", "pre", "dd", "figcaption")} | {"w:aside": -2.0, "w:link": -1.0}
     for k in {*inside, *outside}:
         out[k] = max(-4.0, min(4.0, log((inside[k] + 1) / total_in) - log((outside[k] + 1) / total_out)))
         if k.startswith("t:"):
-            out[k] = min(out[k], -0.2)
+            n = inside[k] + outside[k]
+            out[k] = max(TAG_MOST, min(-0.1, (n * out[k] + SEEN * TAG_COST) / (n + SEEN)))
     # A word in plain text never counts against the region, a link or an aside never for it.
     for k in out:
         if k in ("w:link", "w:aside"):
@@ -171,10 +195,10 @@ def values(found: list[tuple[str, str, Open]], weight: dict[str, float]) -> Iter
     for k, x, top in found:
         if k == "t":
             # Words straight in an article count as text, whatever holds the article.
-            plain = top.article and top.kind in ("div", "section", "body", "none")
+            plain = bool(top.article) and top.kind in ("div", "section", "body", "none")
             value = len(x.split()) * (weight.get("w:p", 0.5) if plain else weight.get("w:" + top.kind, -0.2))
         else:
-            value = weight.get("t:" + x, -0.2)
+            value = weight.get("t:aside" if top.aside else "t:" + x, TAG_COST)
         if top.aside:
             value = max(value, paid - ASIDE_COST)
             paid -= value
@@ -195,10 +219,46 @@ def best_region(scores: Iterable[float]) -> tuple[int, int]:
     return region
 
 
+def whole_article(found: list[tuple[str, str, Open]], first: int, end: int) -> tuple[int, int]:
+    """The region, or the outermost article element that has most of its words; without a region the article
+    element with most words, if there is one. Words that are no article text do not count."""
+    over: dict[int, int] = {}
+    words: Counter[int] = Counter()
+    own: Counter[int] = Counter()
+    spans: dict[int, list[int]] = {}
+    for i, (k, x, top) in enumerate(found):
+        at = top.article
+        if at > 0:
+            if at not in over:
+                # The article that this one stands in, if any.
+                outer = top
+                while outer is not None and outer.article == at:
+                    outer = outer.over
+                over[at], spans[at] = outer.article if outer is not None and outer.article > 0 else 0, [i, i]
+            spans[at][1] = i + 1
+        if k == "t" and not top.aside:
+            n = len(x.split())
+            own[at] += n
+            if first <= i < end:
+                words[at] += n
+    counted = words if end > first else own
+    total, sums, best = sum(counted.values()), Counter(), 0
+    for at in sorted(over, reverse=True):
+        sums[at] += counted[at]
+        if over[at]:
+            sums[over[at]] += sums[at]
+            spans[over[at]] = [min(spans[over[at]][0], spans[at][0]), max(spans[over[at]][1], spans[at][1])]
+    if end > first:
+        best = next((at for at in sorted(over) if sums[at] >= MOSTLY * total > 0), 0)
+    elif sums:
+        best = max(over, key=lambda at: (sums[at], -at))
+    return (spans[best][0], spans[best][1]) if best and sums[best] else (first, end)
+
+
 def extract(page: str, weight: dict[str, float]) -> str:
     """The article's blocks, one a line."""
     found = pieces(page)
-    first, end = best_region(values(found, weight))
+    first, end = whole_article(found, *best_region(values(found, weight)))
     blocks, line = [], []
     for k, x, top in found[first:end]:
         if k == "b":
