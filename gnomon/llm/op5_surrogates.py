@@ -3,7 +3,8 @@
 Numbers, dates, addresses and keys go through a keyed permutation of all values of their format, so two of
 them never share a surrogate and one has the same everywhere; check digits are made anew. Names are drawn
 by a keyed hash from names built for their script, given names also for their gender. Family names know no
-gender, so that Mr. and Mrs. Smith stay one family. The distinct names of the corpus are checked for
+gender, so that Mr. and Mrs. Smith stay one family. Who is found by a full name or a title once is replaced wherever
+a part of that name stands in the document. The distinct names of the corpus are checked for
 surrogates that meet each other or a real name, and those draw again until none do.
 """
 
@@ -11,8 +12,10 @@ from __future__ import annotations
 
 import datetime
 import hashlib
+import ipaddress
 import re
 import secrets
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -29,9 +32,15 @@ EXCEPTIONS = 50_000
 MALE_GIVEN = "James John Robert Michael William David Richard Joseph Thomas Charles Daniel Matthew Anthony Paul Steven Andrew Kenneth George Edward Brian Kevin Hans Peter Klaus Jürgen Wolfgang Stefan Andreas Jean Pierre Michel François Jacques Luis José Juan Carlos Miguel Javier Antonio Manuel Pedro Ivan Sergei Dmitri".split()
 FEMALE_GIVEN = "Mary Patricia Jennifer Linda Elizabeth Barbara Susan Jessica Sarah Karen Nancy Lisa Margaret Sandra Jane Emily Anna Maria Ursula Monika Sabine Petra Claudia Marie Sophie Camille Isabelle Nathalie Carmen Isabel Ana Lucía Elena Olga Natalia Tatiana".split()
 _GIVEN = rf"\b(?:{'|'.join([*MALE_GIVEN, *FEMALE_GIVEN])}) "
+#: Words after a given name that make it a place or an institution, not a person.
+PLACES = "Street St Road Avenue Lane Square Bridge Church Hospital University College School Airport Station River Park Bay Island Hall Prize Award Foundation Institute".split()
+_TITLES = "Mr|Mrs|Ms|Miss|Dr|Prof|Sir|Lady|Herr|Frau|Monsieur|Madame|Mme|Mlle|Señora|Señor|Sra|Sr|Don|Doña|Господин|Госпожа"
+_LOUD = "MR|MRS|MS|MISS|DR|PROF|HERR|FRAU"
 ENTITY = re.compile(
     r"(?P<email>[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})"
     r"|(?P<secret>\bAKIA[0-9A-Z]{16}\b|\b(?:ghp|gho|sk|pk|xox[abp])[_-][A-Za-z0-9_-]{16,}|\b[0-9a-f]{32,64}\b|(?<=password=)\S+|(?<=passwd=)\S+|(?<=api_key=)\S+|(?<=secret=)\S+|(?<=token=)\S+)"
+    r"|(?:\b(?:password|passwd|api[_-]?key|secret|token)[\"']?\s?: ?[\"']?(?P<assigned>(?=[^\s\"',]*\d)[^\s\"',]{8,}))"
+    r"|(?P<ip6>(?<![\w:])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?=[0-9A-Fa-f:]{0,38}[0-9A-Fa-f])(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6})?::(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6})?)(?![\w:]))"
     r"|(?P<iban>\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b)"
     r"|(?P<ip>(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d))"
     r"|(?:\b(?:[Bb]orn(?: on)?|DOB|[Dd]ate of [Bb]irth|[Gg]eboren(?: am)?|[Nn]ée? le|[Nn]acid[oa] el)[: ]+(?P<birth>\d{4}-\d{2}-\d{2}|\d{1,2}[./-]\d{1,2}[./-]\d{4})(?!\d))"
@@ -40,11 +49,13 @@ ENTITY = re.compile(
     r"|(?P<ssn>(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-]))"
     r"|(?P<card>(?<![\d-])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3})(?![\d-]))"
     r"|(?P<phone>(?<![\d+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}(?!\d)|(?<!\d)(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]\d{4}(?!\d))"
-    r"|\b(?P<title>Mr|Mrs|Ms|Miss|Dr|Prof|Sir|Lady|Herr|Frau|Monsieur|Madame|Mme|Mlle|Señora|Señor|Sra|Sr|Don|Doña|Господин|Госпожа)\b\.? (?P<name>[^\W\d_]+(?:[ -][^\W\d_]+)?)"
-    rf"|(?P<person>{_GIVEN}[A-ZÀ-ÖØ-Þ][^\W\d_]+)"
+    rf"|\b(?P<title>{_TITLES})\b\.? (?P<name>[^\W\d_]+(?:[ -][^\W\d_]+)?)"
+    rf"|\b(?P<loud>{_LOUD})\b\.? (?P<shout>[A-ZÀ-ÖØ-Þ]{{2,}}(?:[ -][A-ZÀ-ÖØ-Þ]{{2,}})?)"
+    rf"|(?P<person>{_GIVEN}(?!(?:{'|'.join(PLACES)})\b)[A-ZÀ-ÖØ-Þ][^\W\d_]+)"
 )
 #: A superset of ENTITY: whatever has an entity has one of these.
-_HINT = re.compile(r"[0-9@]|(?:password|passwd|api_key|secret|token)=|\b(?:AKIA|(?:ghp|gho|sk|pk|xox[abp])[_-])|[a-f]{32}|\b(?:Mr|Mrs|Ms|Miss|Dr|Prof|Sir|Lady|Herr|Frau|Monsieur|Madame|Mme|Mlle|Señora|Señor|Sra|Sr|Don|Doña|Господин|Госпожа)\b|" + _GIVEN)
+_HINT = re.compile(rf"[0-9@]|::|(?:password|passwd|api_key|secret|token)=|\b(?:AKIA|(?:ghp|gho|sk|pk|xox[abp])[_-])|[a-f]{{32}}|\b(?:{_TITLES}|{_LOUD})\b|" + _GIVEN)
+_WORD = re.compile(r"[^\W\d_]+")
 FEMALE = {"Mrs", "Ms", "Miss", "Lady", "Frau", "Madame", "Mme", "Mlle", "Señora", "Sra", "Doña", "Госпожа"}
 NEUTRAL = {"Dr", "Prof"}
 #: Titles that stand before a given name.
@@ -158,6 +169,10 @@ def surrogate(what: str, text: str, key: str) -> str:
             value = value << 8 | int(x)
         value = permuted(value, 1 << 32, hashlib.blake2b(f"{key}|ip".encode(), digest_size=32).digest())
         return ".".join(str(value >> s & 255) for s in (24, 16, 8, 0))
+    if what == "ip6":
+        value = permuted(int(ipaddress.IPv6Address(text)), 1 << 128, hashlib.blake2b(f"{key}|ip6".encode(), digest_size=32).digest())
+        new = str(ipaddress.IPv6Address(value))
+        return new.upper() if text.upper() == text else new
     if what == "card":
         digits = "".join(c for c in text if c in DIGITS)
         if not luhn(digits):
@@ -202,8 +217,8 @@ _MALE, _FEMALE = ({x.lower() for x in names} for names in (MALE_GIVEN, FEMALE_GI
 def names_in(m: re.Match[str]) -> list[tuple[str, str]]:
     """Words of a matched name in order, and what each is: "m", "f", "s", or "" for a word in small letters, which
     is no name. The last of several words, and a word alone but for a few titles, is a family name."""
-    title = m["title"]
-    words = re.split("[ -]", m["name"] if title else m["person"])
+    title = m["title"] or (m["loud"] or "").capitalize() or None
+    words = re.split("[ -]", m[name_of(m)])
     named = [w[:1].isupper() or script(w) == "han" for w in words]
     last = max((i for i, x in enumerate(named) if x), default=0)
     out = []
@@ -215,16 +230,62 @@ def names_in(m: re.Match[str]) -> list[tuple[str, str]]:
     return out
 
 
+def name_of(m: re.Match[str]) -> str:
+    """The group that holds a name; empty where the entity is none."""
+    return next((k for k in ("name", "shout", "person") if m[k] is not None), "")
+
+
 def in_text(text: str) -> Iterator[re.Match[str]]:
+    """Entities in order. Six groups of digits and two colons may be no address, and are left."""
     if text and _HINT.search(text):
-        yield from ENTITY.finditer(text)
+        for m in ENTITY.finditer(text):
+            if m["ip6"] is None or is_address(m["ip6"]):
+                yield m
+
+
+def is_address(text: str) -> bool:
+    try:
+        return bool(ipaddress.IPv6Address(text))
+    except ValueError:
+        return False
+
+
+def parts_of_names(found: list[re.Match[str]]) -> dict[str, str]:
+    """Words in small letters of the names found in a text, and what each is there: what it is most often, a family
+    name where that is even."""
+    seen: Counter[tuple[str, str]] = Counter()
+    for m in found:
+        if name_of(m):
+            seen.update((w.lower(), kind) for w, kind in names_in(m) if kind and len(w) > 1)
+    out: dict[str, str] = {}
+    for (w, kind), _ in sorted(seen.items(), key=lambda x: (x[1], x[0][1] == "s", x[0][1])):
+        out[w] = kind
+    return out
 
 
 def replaced(text: str, key: str, turns: dict[tuple[str, str], int], length: int) -> tuple[str, list[tuple[str, int, int]]]:
     """The text with surrogates, and type, start and end of each entity in the text as it was."""
     out, spans, at = [], [], 0
-    for m in in_text(text):
-        where = "name" if m["name"] is not None else "person" if m["person"] is not None else ""
+    found = list(in_text(text))
+    parts = parts_of_names(found)
+
+    def cased(w: str, kind: str) -> str:
+        made = name_surrogate(w.lower(), kind, turns.get((kind, w.lower()), 0), key, length)
+        return made.upper() if w.isupper() and len(w) > 1 else made.capitalize()
+
+    def again(start: int, end: int) -> None:
+        """What stands between entities, with parts of the document's names replaced too."""
+        begun = start
+        for m in _WORD.finditer(text, start, end) if parts else ():
+            kind = parts.get(m[0].lower())
+            if kind and (m[0][:1].isupper() or script(m[0]) == "han"):
+                out.extend((text[begun : m.start()], cased(m[0], kind)))
+                spans.append(("name", *m.span()))
+                begun = m.end()
+        out.append(text[begun:end])
+
+    for m in found:
+        where = name_of(m)
         if where:
             what, (start, end) = "name", m.span(where)
             known = names_in(m)
@@ -234,21 +295,20 @@ def replaced(text: str, key: str, turns: dict[tuple[str, str], int], length: int
                 end -= len(known.pop()[0]) + 1
             new = []
             for w, kind in known:
-                if kind:
-                    made = name_surrogate(w.lower(), kind, turns.get((kind, w.lower()), 0), key, length)
-                    w = made.upper() if w.isupper() and len(w) > 1 else made.capitalize()
-                new.append(w)
+                new.append(cased(w, kind) if kind else w)
             between = re.findall("[ -]", m[where])[: len(known) - 1]
             new = "".join(x for pair in zip(new, [*between, ""], strict=True) for x in pair)
         else:
             what = m.lastgroup
             start, end = m.span(what)
-            new = surrogate(what, m[what], key)
-            what = "phone" if what == "local" else what
-        out += [text[at:start], new]
+            new = surrogate("secret" if what == "assigned" else what, m[what], key)
+            what = {"local": "phone", "assigned": "secret", "ip6": "ip"}.get(what, what)
+        again(at, start)
+        out.append(new)
         spans.append((what, start, end))
         at = end
-    return "".join([*out, text[at:]]), spans
+    again(at, len(text))
+    return "".join(out), spans
 
 
 def names_that_meet(df: DataFrame, text: str, key: str) -> tuple[dict[tuple[str, str], int], int]:
@@ -257,7 +317,7 @@ def names_that_meet(df: DataFrame, text: str, key: str) -> tuple[dict[tuple[str,
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = {(w.lower(), kind) for t in batch.column(0).to_pylist() for m in in_text(t or "") if m["name"] is not None or m["person"] is not None for w, kind in names_in(m) if kind}
+            found = {(w.lower(), kind) for t in batch.column(0).to_pylist() for m in in_text(t or "") if name_of(m) for w, kind in names_in(m) if kind}
             rows = sorted(found)
             yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in rows], pa.string()), pa.array([g for _, g in rows], pa.string())], ["word", "gender"])
 
@@ -295,7 +355,7 @@ def pseudonymise(df: DataFrame, key: str, text: str = "text", keys: tuple[str, .
     A null text counts as empty; very long texts are read whole, other columns are not read. Repeated rows and null
     keys stay; an empty table gives an empty one. One entity has one surrogate in all rows, and two entities never
     share one; no made name is a name of the corpus. Whoever has the key can undo the permutations: it is the
-    caller's to choose and to keep. What is found are the formats and titles of ENTITY and names that begin with
+    caller's to choose and to keep, and with another key all surrogates are others. What is found are the formats and titles of ENTITY and names that begin with
     one of the common given names; it is no general recogniser of names.
     """
     own, n = only(df, *keys, text), len(keys)
