@@ -13,6 +13,9 @@ from gnomon.operators.tables import joined, written
 c = F.col
 #: Ranges that the values of a group are dealt into.
 RANGES = 256
+#: Accuracy of the sketch that says where a percentile lies, how many of its errors the bounds are apart from it, and
+#: the largest group whose values between two bounds are ranked in one task: 8 of 10,000, two million at most.
+ACCURACY, MARGIN, LARGEST = 10_000, 4, 2_500_000_000
 
 
 def ranked(df: DataFrame, values: str | list[str], *by: str) -> DataFrame:
@@ -25,8 +28,7 @@ def ranked(df: DataFrame, values: str | list[str], *by: str) -> DataFrame:
     before it give. So no group comes together in one task."""
     names = [values] if isinstance(values, str) else values
     same = [*by, "_m"]
-    pairs = F.inline(F.array(*(F.struct(F.lit(x).alias("_m"), c(x).cast("double").alias("_v")) for x in names)))
-    counted = written(df.select(*by, pairs).where("_v IS NOT NULL AND NOT isnan(_v)").groupBy(*same, "_v").agg(F.count("*").alias("_k")))
+    counted = written(longer(df, names, *by).groupBy(*same, "_v").agg(F.count("*").alias("_k")))
     cuts = counted.groupBy(*same).agg(F.percentile_approx("_v", [i / RANGES for i in range(1, RANGES)], 10 * RANGES).alias("_cuts"))
     dealt = joined(counted, cuts, same).select(*same, "_v", "_k", F.size(F.filter("_cuts", lambda x: x < c("_v"))).alias("_part"))
     sizes = dealt.groupBy(*same, "_part").agg(F.sum("_k").alias("_size"))
@@ -43,15 +45,61 @@ def held(rank: Column, of: Column | None = None) -> Column:
     return F.max(F.when(takes if of is None else takes & of, c("_v")))
 
 
+def longer(df: DataFrame, names: list[str], *by: str) -> DataFrame:
+    """A row (by, _m, _v) for each value of the named columns; nulls and NaNs have none."""
+    pairs = F.inline(F.array(*(F.struct(F.lit(x).alias("_m"), c(x).cast("double").alias("_v")) for x in names)))
+    return df.select(*by, pairs).where("_v IS NOT NULL AND NOT isnan(_v)")
+
+
 def several(df: DataFrame, wanted: dict[str, tuple[str, float]], *by: str) -> DataFrame:
     """Percentiles (name: column and share from 0 to 1) in each group, interpolated between neighbours; null where
-    there are no values, as long as the group has a value of any column."""
+    there are no values, as long as the group has a value of any column.
+
+    A sketch gives bounds below and above each percentile. Values under the lower bound are counted where they are
+    read, and only the few between the bounds are ranked, so two passes without a shuffle of the values do. Where a
+    group is too large for that, or a bound turns out wrong, all values are ranked by ranges."""
+    names = [*dict.fromkeys(v for v, _ in wanted.values())]
+    same, off = [*by, "_m"], MARGIN / ACCURACY
+    rows = longer(df, names, *by)
+    cuts = [min(1.0, max(0.0, q + x)) for _, q in wanted.values() for x in (-off, off)]
+    known = written(rows.groupBy(*same).agg(F.count("*").alias("_n"), F.percentile_approx("_v", cuts, ACCURACY).alias("_cuts")))
+    if (known.agg(F.max("_n")).first()[0] or 0) > LARGEST:
+        return by_ranges(df, wanted, *by)
+    inf = F.lit(float("inf"))
+    # The outermost bounds are none.
+    low = [F.when(c("_m") == value, -inf if q <= off else c("_cuts")[2 * i]) for i, (value, q) in enumerate(wanted.values())]
+    high = [F.when(c("_m") == value, inf if q >= 1 - off else c("_cuts")[2 * i + 1]) for i, (value, q) in enumerate(wanted.values())]
+    own = joined(rows, known, same, "inner")
+    below = own.groupBy(*same).agg(F.array(*(F.count_if(c("_v") < x) for x in low)).alias("_below"))
+    each = F.filter(F.array(*(F.when((c("_v") >= a) & (c("_v") <= b), F.lit(i)) for i, (a, b) in enumerate(zip(low, high, strict=True)))), lambda x: x.isNotNull())
+    near = own.select(*same, "_n", "_v", F.explode(each).alias("_i")).groupBy(*same, "_n", "_i", "_v").agg(F.count("*").alias("_k"))
+    end = F.get("_below", c("_i")) + F.sum("_k").over(Window.partitionBy(*same, "_i").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
+    placed = joined(near, below, same, "inner").withColumn("_end", end).withColumn("_first", c("_end") - c("_k"))
+    made = []
+    for i, (name, (_, q)) in enumerate(wanted.items()):
+        at, of = q * (c("_n") - 1), c("_i") == i
+        made += [held(F.floor(at), of).alias(f"{name}_low"), held(F.ceil(at), of).alias(f"{name}_high"), F.max(F.when(of, at - F.floor(at))).alias(f"{name}_part")]
+    found = written(placed.groupBy(*by).agg(*made))
+    groups = joined(found, known.groupBy(*by).agg(F.collect_set("_m").alias("_has")), list(by), "full" if by else "left")
+    lost = [F.array_contains("_has", value) & (c(f"{name}_low").isNull() | c(f"{name}_high").isNull()) for name, (value, _) in wanted.items()]
+    if groups.where(F.coalesce(*(F.when(x, True) for x in lost), F.lit(False))).limit(1).count():
+        return by_ranges(df, wanted, *by)
+    return found.select(*by, *between(wanted))
+
+
+def between(wanted: dict[str, tuple[str, float]]) -> list[Column]:
+    """Values between those of two neighbouring ranks."""
+    return [(c(f"{name}_low") + (c(f"{name}_high") - c(f"{name}_low")) * c(f"{name}_part")).alias(name) for name in wanted]
+
+
+def by_ranges(df: DataFrame, wanted: dict[str, tuple[str, float]], *by: str) -> DataFrame:
+    """The same from the ranks of all values, for groups of any size."""
     made = []
     for name, (value, q) in wanted.items():
         at, of = q * (c("_n") - 1), c("_m") == value
         made += [held(F.floor(at), of).alias(f"{name}_low"), held(F.ceil(at), of).alias(f"{name}_high"), F.max(F.when(of, at - F.floor(at))).alias(f"{name}_part")]
     found = ranked(df, [*dict.fromkeys(v for v, _ in wanted.values())], *by).groupBy(*by).agg(*made)
-    return found.select(*by, *((c(f"{name}_low") + (c(f"{name}_high") - c(f"{name}_low")) * c(f"{name}_part")).alias(name) for name in wanted))
+    return found.select(*by, *between(wanted))
 
 
 def percentiles(df: DataFrame, value: str, wanted: dict[str, float], *by: str) -> DataFrame:

@@ -146,9 +146,10 @@ def test_leaders_of_a_whole_city_equal_the_sequential_rule(spark):
         assert {(r["city"], r["label_id"]): r["leader"] for r in got.collect()} == want
 
 
-def test_percentiles_of_ranges_are_exact(spark):
+def test_percentiles_of_ranges_are_exact(spark, monkeypatch):
     import numpy as np
 
+    from gnomon.operators import quantiles
     from gnomon.operators.quantiles import at_ranks, percentiles
 
     rng = np.random.default_rng(2)
@@ -160,6 +161,13 @@ def test_percentiles_of_ranges_are_exact(spark):
     for k, v in values.items():
         for name, q in (("p10", 0.1), ("p50", 0.5), ("top", 1.0)):
             assert abs(got[k][name] - np.quantile(v, q)) < 1e-12
+    # By ranges too, and where the bounds of the sketch are wrong.
+    for largest, accuracy, margin in ((1, 10_000, 4), (10**9, 10, 0)):
+        monkeypatch.setattr(quantiles, "LARGEST", largest)
+        monkeypatch.setattr(quantiles, "ACCURACY", accuracy)
+        monkeypatch.setattr(quantiles, "MARGIN", margin)
+        again = {r["k"]: r for r in percentiles(df, "x", {"p10": 0.1, "p50": 0.5, "top": 1.0}, "k").collect()}
+        assert again == got
     every = np.sort(np.concatenate(list(values.values())))
     ranks = at_ranks(df, "x", {"low": lambda n: F.floor(n / 10), "last": lambda n: n - 1}).first()
     assert (ranks["low"], ranks["last"]) == (every[len(every) // 10], every[-1])
