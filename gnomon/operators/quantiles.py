@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -71,8 +73,10 @@ def several(df: DataFrame, wanted: dict[str, tuple[str, float]], *by: str) -> Da
     high = [F.when(c("_m") == value, inf if q >= 1 - off else c("_cuts")[2 * i + 1]) for i, (value, q) in enumerate(wanted.values())]
     own = joined(rows, known, same, "inner")
     below = own.groupBy(*same).agg(F.array(*(F.count_if(c("_v") < x) for x in low)).alias("_below"))
-    each = F.filter(F.array(*(F.when((c("_v") >= a) & (c("_v") <= b), F.lit(i)) for i, (a, b) in enumerate(zip(low, high, strict=True)))), lambda x: x.isNotNull())
-    near = own.select(*same, "_n", "_v", F.explode(each).alias("_i")).groupBy(*same, "_n", "_i", "_v").agg(F.count("*").alias("_k"))
+    within = [(c("_v") >= a) & (c("_v") <= b) for a, b in zip(low, high, strict=True)]
+    each = F.filter(F.array(*(F.when(x, F.lit(i)) for i, x in enumerate(within))), lambda x: x.isNotNull())
+    # Most values are between no bounds, and go before lists are made.
+    near = own.where(reduce(or_, within)).select(*same, "_n", "_v", F.explode(each).alias("_i")).groupBy(*same, "_n", "_i", "_v").agg(F.count("*").alias("_k"))
     end = F.get("_below", c("_i")) + F.sum("_k").over(Window.partitionBy(*same, "_i").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
     placed = joined(near, below, same, "inner").withColumn("_end", end).withColumn("_first", c("_end") - c("_k"))
     made = []
@@ -94,12 +98,36 @@ def between(wanted: dict[str, tuple[str, float]]) -> list[Column]:
 
 def by_ranges(df: DataFrame, wanted: dict[str, tuple[str, float]], *by: str) -> DataFrame:
     """The same from the ranks of all values, for groups of any size."""
+    return found_at(ranked(df, [*dict.fromkeys(v for v, _ in wanted.values())], *by), wanted, *by)
+
+
+def found_at(ranks: DataFrame, wanted: dict[str, tuple[str, float]], *by: str) -> DataFrame:
+    """Percentiles from values with their ranks, at the least those of the wanted ranks."""
     made = []
     for name, (value, q) in wanted.items():
         at, of = q * (c("_n") - 1), c("_m") == value
         made += [held(F.floor(at), of).alias(f"{name}_low"), held(F.ceil(at), of).alias(f"{name}_high"), F.max(F.when(of, at - F.floor(at))).alias(f"{name}_part")]
-    found = ranked(df, [*dict.fromkeys(v for v, _ in wanted.values())], *by).groupBy(*by).agg(*made)
-    return found.select(*by, *between(wanted))
+    return ranks.groupBy(*by).agg(*made).select(*by, *between(wanted))
+
+
+def by_buckets(df: DataFrame, wanted: dict[str, tuple[str, float]], width: float, *by: str) -> DataFrame:
+    """The same in two passes over df, which may be made anew in each: values are counted by buckets of a width, and
+    those of the buckets that hold a wanted rank are ranked. For many values of a known, bounded range."""
+    names = [*dict.fromkeys(v for v, _ in wanted.values())]
+    same = [*by, "_m"]
+    rows = longer(df, names, *by).withColumn("_b", F.floor(c("_v") / width))
+    group = Window.partitionBy(*same)
+    counted = written(rows.groupBy(*same, "_b").agg(F.count("*").alias("_k")))
+    upto = F.sum("_k").over(group.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0))
+    placed = counted.select(*same, "_b", (upto - c("_k")).alias("_before"), upto.alias("_upto"), F.sum("_k").over(group).alias("_n"))
+    takes = []
+    for value, q in wanted.values():
+        at = q * (c("_n") - 1)
+        takes += [(c("_m") == value) & (c("_before") <= rank) & (rank < c("_upto")) for rank in (F.floor(at), F.ceil(at))]
+    holds = written(placed.where(reduce(or_, takes)).select(*same, "_b", "_before", "_n"))
+    near = joined(rows, F.broadcast(holds), [*same, "_b"], "inner").groupBy(*same, "_b", "_before", "_n", "_v").agg(F.count("*").alias("_k"))
+    end = c("_before") + F.sum("_k").over(Window.partitionBy(*same, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
+    return found_at(near.select(*same, "_v", "_n", (end - c("_k")).alias("_first"), end.alias("_end")), wanted, *by)
 
 
 def percentiles(df: DataFrame, value: str, wanted: dict[str, float], *by: str) -> DataFrame:
