@@ -3,9 +3,7 @@
 A sketch takes the smallest occurrence-labelled five-word shingles of a text under one hash and keeps
 them in the order in which they stand in the text, so two texts agree on it about as often as they
 would align. Texts with a sketch in common are candidates, and so are short texts that are equal once a few
-words are taken out of each. A sketch that very many texts have in common, such as one from a passage that
-runs through the corpus, says little: its texts meet by longer sketches of single words instead, which
-two texts that align have in common and strangers around one passage do not. Pairs that an exact bound on
+words are taken out of each. Buckets of any size are compared whole, large ones in blocks. Pairs that an exact bound on
 their edits rules out (lengths, counts of words by hash) go; the others are aligned, unless links already join
 them. A link holds when an alignment within a band matches words enough for an edit similarity of 0.8 or
 more. Equal word sequences are one text from the start. Classes are the connected components.
@@ -31,17 +29,11 @@ SIMILARITY = 0.8
 #: Two texts at the threshold whose edits are spread evenly share a fifth of their shingles or so, and one of
 #: so many sketches of two shingles with a probability of 0.95 at the least, whatever their length.
 SKETCHES = 112
-#: Sketches that send texts of crowded buckets on to sketches of single words; the others, of which a text with a
-#: crowded sketch has crowded ones too, only bring together those of small buckets.
-TELLING = 64
 KEPT = 2
 #: Sketches by which the first links are found; all others follow where components differ.
 FIRST = 8
-#: Texts of a larger bucket meet by sketches of single words, FINER of FINER_KEPT words each: two texts at the
-#: threshold share two thirds of their words at least, and one of these sketches with a probability of 0.97.
-SMALL, FINER, FINER_KEPT = 64, 96, 8
-#: What even these leave crowded is compared in blocks of so many texts.
-BLOCK = 1024
+#: Buckets of so many texts are compared where they lie; larger ones are dealt into blocks of so many, all pairs of them.
+SMALL, BLOCK = 64, 1024
 #: Two texts of so many words at most always meet: they share what is left of them after their edits.
 SHORT = 14
 #: Pairs of two components that are aligned before all others are.
@@ -125,22 +117,6 @@ def sketches(documents: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def finer(ids: np.ndarray) -> np.ndarray:
-    """FINER sketches of single words, each the FINER_KEPT smallest in text order, of a text of as many words."""
-    values = labelled(ids, np.zeros(len(ids), np.int64))
-    seeds = mixed(np.arange(1, FINER + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    out, at_once = [], max(1, (1 << 20) // len(ids))
-    for k in range(0, FINER, at_once):
-        seed = seeds[k : k + at_once, None]
-        least = np.argpartition(mixed(values[None, :] ^ seed), FINER_KEPT - 1, axis=1)[:, :FINER_KEPT]
-        least.sort(1)
-        total = seed[:, 0].copy()
-        for word in range(FINER_KEPT):
-            total = mixed(total * np.uint64(5) + values[least[:, word]])
-        out.append(total)
-    return np.concatenate(out)
-
-
 def shared_words(a: np.ndarray, b: np.ndarray) -> int:
     """Words that two texts have in common, repeats counted."""
     kinds, code = np.unique(np.concatenate((a, b)), return_inverse=True)
@@ -395,36 +371,13 @@ def in_blocks(rows: DataFrame, similarity: float) -> DataFrame:
     return dealt.groupBy("key", "x", "y").applyInArrow(run, PAIR)
 
 
-def finely_sketched(texts_: DataFrame) -> DataFrame:
-    """node and key for each sketch of single words of texts_ (node, packed)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                batch = whole.slice(at, 500)
-                keys = [finer(np.frombuffer(x.as_py(), np.uint32).astype(np.uint64)) for x in batch.column(1)]
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch.column(0).to_numpy(), FINER)), pa.array(np.concatenate(keys).view(np.int64))], ["node", "key"])
-
-    return texts_.mapInArrow(run, "node bigint, key bigint")
-
-
-def crossed(bucket: DataFrame, root: DataFrame, spoken: DataFrame, words_of: DataFrame, similarity: float) -> DataFrame:
-    """Pairs of nodes that share a key of bucket (key, node, short), are in different components and that no
-    bound rules out. Texts of large buckets meet by sketches of single words; large buckets of short texts, and
-    what these sketches leave crowded, are compared in blocks."""
-    own = durable(divided(bucket, root))
+def crossed(bucket: DataFrame, root: DataFrame, spoken: DataFrame, similarity: float) -> DataFrame:
+    """Pairs of nodes that share a key of bucket (key, node), are in different components and that no
+    bound rules out. Small buckets are compared whole in the tasks that hold them, all others in blocks."""
+    own = durable(divided(bucket, root).select("key", "node", "root", "n"))
     told = spoken.select("node", "n_words", "counts")
-    small, crowded = own.where(F.col("n") <= SMALL).select("key", "node", "root"), own.where(F.col("n") > SMALL)
-    blocks = crowded.where("short").select("key", "node", "root", "n")
-    # A text of SHORT words or fewer that can be like a longer one has nearly as many.
-    hot = crowded.where("NOT short").select("node").distinct().join(told.where(F.col("n_words") > SHORT * similarity).select("node"), "node")
-    if hot.limit(1).count():
-        fine = durable(finely_sketched(words_of.join(hot, "node", "left_semi")))
-        met = fine.groupBy("key").agg(F.count("*").alias("met")).where("met > 1").select("key")
-        fine = durable(divided(fine.join(met, "key", "left_semi"), root))
-        small = small.union(fine.where(F.col("n") <= SMALL).select("key", "node", "root"))
-        blocks = blocks.union(fine.where(F.col("n") > SMALL).select("key", "node", "root", "n"))
-    return in_small_buckets(small.join(told, "node"), similarity).union(in_blocks(blocks.join(told, "node"), similarity)).distinct()
+    small, crowded = own.where(F.col("n") <= SMALL).drop("n"), own.where(F.col("n") > SMALL)
+    return in_small_buckets(small.join(told, "node"), similarity).union(in_blocks(crowded.join(told, "node"), similarity)).distinct()
 
 
 def near_groups(df: DataFrame, text: str = "text", doc_id: str = "doc_id", similarity: float = SIMILARITY) -> DataFrame:
@@ -441,8 +394,7 @@ def near_groups(df: DataFrame, text: str = "text", doc_id: str = "doc_id", simil
     # One node for each word sequence: hot copies shrink before any pair is made.
     spoken = durable(real.groupBy("content").agg(F.min(F.struct("doc_id", "raw")).alias("rep"), F.first("keys").alias("keys"), F.first("n_words").alias("n_words"), F.first("counts").alias("counts")).withColumn("node", F.monotonically_increasing_id()))
     bucket = spoken.select("node", F.posexplode("keys").alias("sketch", "value")).withColumn("sketch", F.least("sketch", F.lit(SKETCHES))).select("node", "sketch", F.xxhash64("sketch", "value").alias("key"))
-    met = bucket.groupBy("key").agg(F.count("*").alias("n"), F.max("sketch").alias("sketch")).where("n > 1")
-    met = met.where(~F.col("sketch").between(TELLING, SKETCHES - 1) | (F.col("n") <= SMALL)).select("key")
+    met = bucket.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     bucket = durable(bucket.join(met, "key", "left_semi"))
     wanted = spoken.join(bucket.select("node").distinct(), "node", "left_semi").select("node", F.col("content").alias("wanted"), F.col("rep.doc_id").alias("at"), "rep.raw")
     # By id and text, so that many texts under one id do not meet.
@@ -463,8 +415,7 @@ def near_groups(df: DataFrame, text: str = "text", doc_id: str = "doc_id", simil
     # One member of each bucket meets all others.
     first = starred(bucket.where(F.col("sketch") < FIRST).select("key", "node"))
     linked(possible(first, spoken, similarity).select("a", "b", F.col("a").alias("root_a"), F.col("b").alias("root_b")))
-    sketch = bucket.select("key", "node", (F.col("sketch") == SKETCHES).alias("short"))
-    left = durable(crossed(sketch, root, spoken, words_of, similarity))
+    left = durable(crossed(bucket.select("key", "node"), root, spoken, similarity))
     # One pair of any two components first, then some, and at last all of those that stay apart.
     for slots in (1, SLOTS, None):
         if not left.limit(1).count():
