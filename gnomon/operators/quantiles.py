@@ -146,7 +146,9 @@ def running(df: DataFrame, by: tuple[str, ...], order: tuple[str, ...], totals:
 
     Rows are dealt into ranges of (by, order) and kept so; each range adds up its own rows, from what the ranges before
     it add up to. `order` has to tell rows apart where their place matters."""
-    own = written(df.withColumns({f"_x_{k}": x.cast("bigint") for k, x in totals.items()}).repartitionByRange(*by, *order).withColumn("_range", F.spark_partition_id()))
+    # Dealing by ranges reads its input twice, to sample and to deal, so that is made once before.
+    own = written(df.withColumns({f"_x_{k}": x.cast("bigint") for k, x in totals.items()}))
+    own = written(own.repartitionByRange(*by, *order).withColumn("_range", F.spark_partition_id()))
     sums = own.groupBy(*by, "_range").agg(*(F.coalesce(F.sum(f"_x_{k}"), F.lit(0)).alias(k) for k in totals))
     group = Window.partitionBy(*by)
     before = group.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
