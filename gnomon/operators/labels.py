@@ -52,6 +52,8 @@ def drift(replayed: DataFrame) -> DataFrame:
     """Spread of the x misses within panoramas, and of their means between panoramas."""
     missed = replayed.where(~c("exact_x") & c("dx_deg").isNotNull())
     per = missed.groupBy("pano_id").agg(F.count("*").alias("n"), F.stddev_samp("dx_deg").alias("sd"), F.avg("dx_deg").alias("mean")).where("n >= 2")
+    # Read in each pass of the percentile, and few.
+    per = written(per)
     made = per.agg(F.count("*").alias("n_panos"), F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n_labels"), r6(F.stddev_samp("mean")).alias("sd_across"))
     return made.join(percentiles(per, "sd", {"median_within": 0.5})).withColumn("median_within", r6(c("median_within")))
 
