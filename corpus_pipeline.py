@@ -22,9 +22,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which most words are of one known language; those without letters, null and empty texts
     too, go. Repeated rows are decided alike, very long texts whole; with no row to learn from all go, and an
     empty table stays empty."""
-    marked = rows_of(docs).select("row", "row.text")
     model = op3_language.fit(docs.where(fold(F.col("doc_id"), 5) != 0))
-    found = op3_language.identify(marked, model, keys=("row",))
+    found = op3_language.identify(rows_of(docs), model, keys=("row",), within="row")
     return found.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SHARE)).select("row.*")
 
 
@@ -56,8 +55,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any window of a benchmark item. Null and empty texts have none and stay; repeated rows
     are decided alike, very long texts whole; without benchmark items all stay, and an empty table stays empty."""
-    marked = rows_of(docs).select("row", "row.text")
-    found = op7_decontaminate.find(marked, table(spark, sf_dir, "benchmark"), keys=("row",))
+    found = op7_decontaminate.find(rows_of(docs), table(spark, sf_dir, "benchmark"), keys=("row",), within="row")
     return found.where("n_hit = 0").select("row.*")
 
 

@@ -184,16 +184,17 @@ def fit(df: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_i
     return Model(langs, (weights - weights.max(1, keepdims=True)).astype(np.float32), used > 1e-3 * used.sum(0), langs.index(max(sizes, key=lambda k: (sizes[k], k))))
 
 
-def identify(df: DataFrame, model: Model, text: str = "text", keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def identify(df: DataFrame, model: Model, text: str = "text", keys: tuple[str, ...] = ("doc_id",), within: str | None = None) -> DataFrame:
     """keys, lang_pred, score and spans (lang, words) of every whole text.
 
     lang_pred is `und` with score 0 and no spans if the text is null or has no letter, or if the model
     knows no language. score is the share of words of known scripts that lie in spans of lang_pred; a
     text without any such word gets the likeliest language with score 0. Of languages with equally
     many words the first by name wins. Repeated rows and null keys stay, very long texts are read whole, other
-    columns are not read; empty tables stay empty.
+    columns are not read; empty tables stay empty. With within, text is a field of that key, a struct without
+    nulls, and reaches the workers once.
     """
-    own, n = only(df, *keys, text), len(keys)
+    own, n = only(df, *keys, *[text] * (within is None)), len(keys)
     shared = df.sparkSession.sparkContext.broadcast((model.langs, model.weights, model.uses, model.likeliest))
     span = pa.list_(pa.struct([("lang", pa.string()), ("words", pa.int64())]))
     schema = ", ".join([*(f"`{k}` {own.schema[k].dataType.simpleString()}" for k in keys), "lang_pred string, score double, spans array<struct<lang:string,words:bigint>>"])
@@ -203,7 +204,7 @@ def identify(df: DataFrame, model: Model, text: str = "text", keys: tuple[str, .
         for whole in batches:
             for at in range(0, whole.num_rows, 1000):
                 batch = whole.slice(at, 1000)
-                documents = [words(t or "") for t in batch.column(n).to_pylist()]
+                documents = [words(t or "") for t in (batch.column(n) if within is None else batch.column(within).field(text)).to_pylist()]
                 labels = m.label(documents) if m.langs else [np.zeros(0, np.int64)] * len(documents)
                 lang, score, spans = [], [], []
                 for ws, own_labels in zip(documents, labels, strict=True):

@@ -213,21 +213,23 @@ def joined(left: list[tuple[int, int]], right: list[tuple[int, int]]) -> list[tu
     return out
 
 
-def find(df: DataFrame, benchmark: DataFrame, text: str = "text", keys: tuple[str, ...] = ("doc_id",), item_id: str = "item_id", item_text: str = "text", window: int = WINDOW) -> DataFrame:
+def find(df: DataFrame, benchmark: DataFrame, text: str = "text", keys: tuple[str, ...] = ("doc_id",), item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, within: str | None = None) -> DataFrame:
     """keys, n_words, n_hit, spans (of words, end excluded) and items for every row of df.
 
     A null text has no words. A null item id counts as an empty one; items with one id count once.
     Items without words are never found. Repeated rows and null keys stay, an empty table gives an
     empty one, an empty benchmark gives no hits. Phrases are broadcast in blocks of about
-    PHRASE_WORDS words; each block takes one more pass over the texts, without a shuffle.
+    PHRASE_WORDS words; each block takes one more pass over the texts, without a shuffle. With within, text is a
+    field of that key, a struct without nulls, and reaches the workers once.
     """
     items = benchmark.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("item"), F.coalesce(F.col(item_text), F.lit("")).alias("item_text")).distinct()
     size = items.agg(F.coalesce(F.sum(F.size(F.split("item_text", r"\s+"))), F.lit(0)).alias("n")).first()["n"]
     blocks = -(-size // PHRASE_WORDS) or 1
     # Names of the operator's own, so that keys cannot clash with them.
-    out = df.select(*(F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(keys)), F.col(f"`{text}`").alias("_text"), F.lit(0).cast("bigint").alias("_n"), F.array().cast("array<struct<start:bigint,end:bigint>>").alias("_spans"), F.array().cast("array<string>").alias("_items"))
+    out = df.select(*(F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(keys)), *(F.col(f"`{x}`").alias("_text") for x in [text] * (within is None)), F.lit(0).cast("bigint").alias("_n"), F.array().cast("array<struct<start:bigint,end:bigint>>").alias("_spans"), F.array().cast("array<string>").alias("_items"))
     schema, names = out.schema, out.columns
     n = len(keys)
+    held = within is None
 
     def step(rows: list[tuple[str, bytes]], last: bool):
         shared = df.sparkSession.sparkContext.broadcast(Phrases(rows, window))
@@ -236,12 +238,12 @@ def find(df: DataFrame, benchmark: DataFrame, text: str = "text", keys: tuple[st
             for whole in batches:
                 for at in range(0, whole.num_rows, 2000):
                     batch = whole.slice(at, 2000)
-                    lengths, spans, found = hits(texts(batch.column(n)), shared.value)
-                    spans = [joined([(x["start"], x["end"]) for x in old], new) for old, new in zip(batch.column(n + 2).to_pylist(), spans, strict=True)]
-                    found = [sorted(new.union(old)) for old, new in zip(batch.column(n + 3).to_pylist(), found, strict=True)]
+                    lengths, spans, found = hits(texts(batch.column("_text") if held else batch.column(keys.index(within)).field(text)), shared.value)
+                    spans = [joined([(x["start"], x["end"]) for x in old], new) for old, new in zip(batch.column("_spans").to_pylist(), spans, strict=True)]
+                    found = [sorted(new.union(old)) for old, new in zip(batch.column("_items").to_pylist(), found, strict=True)]
                     spans_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-                    text_out = pa.nulls(batch.num_rows, pa.string()) if last else batch.column(n)
-                    yield pa.RecordBatch.from_arrays([*batch.columns[:n], text_out, pa.array(lengths, pa.int64()), pa.array([[{"start": a, "end": b} for a, b in x] for x in spans], spans_type), pa.array(found, pa.list_(pa.string()))], names)
+                    text_out = [pa.nulls(batch.num_rows, pa.string()) if last else batch.column("_text")] if held else []
+                    yield pa.RecordBatch.from_arrays([*batch.columns[:n], *text_out, pa.array(lengths, pa.int64()), pa.array([[{"start": a, "end": b} for a, b in x] for x in spans], spans_type), pa.array(found, pa.list_(pa.string()))], names)
 
         return run
 
