@@ -301,6 +301,13 @@ def divided(bucket: DataFrame, root: DataFrame) -> DataFrame:
     return own.join(sizes, "key")
 
 
+def divided_small(bucket: DataFrame, root: DataFrame) -> DataFrame:
+    """key, node and root of the rows whose key joins several components, for keys of SMALL nodes at most: each such
+    bucket is gathered once, and no join by key is made."""
+    own = bucket.join(root, "node").groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.collect_list(F.struct("node", "root")).alias("nodes"))
+    return own.where("low < high").select("key", F.inline("nodes"))
+
+
 def in_small_buckets(rows: DataFrame, similarity: float) -> DataFrame:
     """Pairs (a, b, root_a, root_b), not yet distinct, that no bound rules out, of rows (key, node, root, n_words, counts) with SMALL
     nodes a key at most. Rows come sorted by key; those of an unfinished key wait for the next batch."""
@@ -374,9 +381,10 @@ def in_blocks(rows: DataFrame, similarity: float) -> DataFrame:
 def crossed(bucket: DataFrame, root: DataFrame, spoken: DataFrame, similarity: float) -> DataFrame:
     """Pairs of nodes that share a key of bucket (key, node), are in different components and that no
     bound rules out. Small buckets are compared whole in the tasks that hold them, all others in blocks."""
-    own = durable(divided(bucket, root).select("key", "node", "root", "n"))
+    large = durable(bucket.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > SMALL).select("key"))
+    small = durable(divided_small(bucket.join(large, "key", "left_anti"), root))
+    crowded = durable(divided(bucket.join(large, "key", "left_semi"), root).select("key", "node", "root", "n"))
     told = spoken.select("node", "n_words", "counts")
-    small, crowded = own.where(F.col("n") <= SMALL).drop("n"), own.where(F.col("n") > SMALL)
     return in_small_buckets(small.join(told, "node"), similarity).union(in_blocks(crowded.join(told, "node"), similarity)).distinct()
 
 
