@@ -114,20 +114,30 @@ def by_buckets(df: DataFrame, wanted: dict[str, tuple[str, float]], width: float
     """The same in two passes over df, which may be made anew in each: values are counted by buckets of a width, and
     those of the buckets that hold a wanted rank are ranked. For many values of a known, bounded range."""
     names = [*dict.fromkeys(v for v, _ in wanted.values())]
-    same = [*by, "_m"]
     rows = longer(df, names, *by).withColumn("_b", F.floor(c("_v") / width))
-    group = Window.partitionBy(*same)
-    counted = written(rows.groupBy(*same, "_b").agg(F.count("*").alias("_k")))
+    counted = written(rows.groupBy(*by, "_m", "_b").agg(F.count("*").alias("_k")))
+    holds = holding(counted, wanted, *by)
+    near = joined(rows, F.broadcast(holds), [*by, "_m", "_b"], "inner").groupBy(*by, "_m", "_b", "_before", "_n", "_v").agg(F.count("*").alias("_k"))
+    return at_buckets(near, wanted, *by)
+
+
+def holding(counted: DataFrame, wanted: dict[str, tuple[str, float]], *by: str) -> DataFrame:
+    """Of buckets with their counts (by, _m, _b, _k), those that hold the rank of a wanted percentile, with the number of
+    values _before them and of all, _n."""
+    group = Window.partitionBy(*by, "_m")
     upto = F.sum("_k").over(group.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0))
-    placed = counted.select(*same, "_b", (upto - c("_k")).alias("_before"), upto.alias("_upto"), F.sum("_k").over(group).alias("_n"))
+    placed = counted.select(*by, "_m", "_b", (upto - c("_k")).alias("_before"), upto.alias("_upto"), F.sum("_k").over(group).alias("_n"))
     takes = []
     for value, q in wanted.values():
         at = q * (c("_n") - 1)
         takes += [(c("_m") == value) & (c("_before") <= rank) & (rank < c("_upto")) for rank in (F.floor(at), F.ceil(at))]
-    holds = written(placed.where(reduce(or_, takes)).select(*same, "_b", "_before", "_n"))
-    near = joined(rows, F.broadcast(holds), [*same, "_b"], "inner").groupBy(*same, "_b", "_before", "_n", "_v").agg(F.count("*").alias("_k"))
-    end = c("_before") + F.sum("_k").over(Window.partitionBy(*same, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
-    return found_at(near.select(*same, "_v", "_n", (end - c("_k")).alias("_first"), end.alias("_end")), wanted, *by)
+    return written(placed.where(reduce(or_, takes)).select(*by, "_m", "_b", "_before", "_n"))
+
+
+def at_buckets(near: DataFrame, wanted: dict[str, tuple[str, float]], *by: str) -> DataFrame:
+    """Percentiles from the distinct values of the buckets that hold their ranks (by, _m, _b, _before, _n, _v, _k)."""
+    end = c("_before") + F.sum("_k").over(Window.partitionBy(*by, "_m", "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
+    return found_at(near.select(*by, "_m", "_v", "_n", (end - c("_k")).alias("_first"), end.alias("_end")), wanted, *by)
 
 
 def percentiles(df: DataFrame, value: str, wanted: dict[str, float], *by: str) -> DataFrame:
